@@ -1,0 +1,21 @@
+"""Broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast if ``df`` has at most ``max_rows`` rows, else leave it.
+
+    The check is one cheap job on the (dimension) side: ``limit(max_rows+1)``
+    stops reading as soon as the bound is exceeded.  Beyond the bound the
+    planner keeps its own choice (a shuffle join, or AQE's runtime broadcast
+    when the measured size turns out small).
+    """
+    if max_rows <= 0:
+        return df
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
