@@ -21,7 +21,7 @@ def _all(preds: list[Column]) -> Column | None:
 
 def filter_actions(actions: DataFrame, users: DataFrame, condition: Condition, *,
                    cities: DataFrame | None = None, ts_col: str | None = "ts",
-                   broadcast_rows: int = 1_000_000) -> DataFrame:
+                   broadcast_rows: int | None = None) -> DataFrame:
     """Actions of users that exist and match the condition (all action columns).
 
     Only predicates that are set are added (empty text / zero age = none),
@@ -76,6 +76,9 @@ def filter_actions(actions: DataFrame, users: DataFrame, condition: Condition, *
         if cities is None:
             raise ValueError("condition.city needs the city dimension")
         wanted = cities.where(F.col("city_name").isin(_pieces(c.city))).select("city_id")
-        a = a.join(bounded_broadcast(wanted, broadcast_rows), "city_id", "left_semi")
+        a = a.join(bounded_broadcast(wanted, broadcast_rows or 100_000), "city_id", "left_semi")
 
+    # No hint on users: the dimension grows with the data.  Spark broadcasts
+    # it when its size is under the threshold (checked again by AQE at run
+    # time); otherwise a shuffle semi join, where AQE splits a hot user.
     return a.join(bounded_broadcast(u, broadcast_rows), "user_id", "left_semi")

@@ -1,14 +1,16 @@
-"""Adjacent rows in order inside a group, safe for hot groups.
+"""Successor of each row in order inside a group, safe for hot groups.
 
 ``lead`` over ``Window.partitionBy(group)`` sends a whole group to one task;
 if one group (say one robot session) holds a third of the log, that task
 holds a third of the work.  Here the rows are range-partitioned on
 ``(group, order...)`` instead: Spark samples the key distribution and cuts a
-hot group into several contiguous ranges.  Inside each (group, range) the
-successor comes from ``lead``; the pairs that straddle two ranges are
-recovered from the range boundaries (first and last row of each
-(group, range)), which are at most two rows per range - a small table no
-matter how the data is skewed.
+hot group into several contiguous ranges ("chunks").  Inside each
+(group, chunk) the successor comes from ``lead``.  Only the last row of a
+group inside a chunk lacks it, and only the group that is last in its chunk
+can continue in a later chunk - with the first row of the next non-empty
+chunk.  So the stitch table holds one row per chunk (its first row): its
+size is bounded by the number of chunks, not by the data, and it is
+broadcast.
 """
 
 from __future__ import annotations
@@ -17,13 +19,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
+def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
                    chunks: int | None = None, skew_safe: bool = True) -> DataFrame:
-    """Rows ``(group, prev_value, next_value)``: one per adjacent pair.
+    """Rows ``(group, value, next_value, has_next)``, one per input row.
 
-    ``order`` must make rows of a group totally ordered (add a unique
-    tie-break column).  ``chunks`` is the number of ranges (default: the
-    session's shuffle partitions).
+    ``next_value`` is the ``value`` of the next row of the same group in
+    ``order`` (NULL and ``has_next`` false for the last row).  ``order``
+    must order the rows of a group totally (add a unique tie-break column).
+    ``chunks`` is the number of ranges (default: shuffle partitions).
     """
     cols = [group, *order, value]
     base = df.select(*cols)
@@ -31,24 +34,40 @@ def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
     more = F.lead(F.lit(True))
     if not skew_safe:
         w = Window.partitionBy(group).orderBy(*order)
-        return (base.select(group, F.col(value).alias("prev_value"),
-                            nxt.over(w).alias("next_value"), more.over(w).alias("_more"))
-                .where(F.col("_more").isNotNull()).drop("_more"))
+        return base.select(group, value, nxt.over(w).alias("next_value"),
+                           more.over(w).isNotNull().alias("has_next"))
 
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = base.repartitionByRange(n, group, *order).withColumn("_chunk", F.spark_partition_id())
     w = Window.partitionBy(group, "_chunk").orderBy(*order)
-    marked = ranged.select(*cols, "_chunk",
-                           nxt.over(w).alias("_next"),
-                           more.over(w).isNotNull().alias("_has_next"),
-                           F.lag(F.lit(True)).over(w).isNull().alias("_first"))
-    inner = (marked.where("_has_next")
-             .select(group, F.col(value).alias("prev_value"), F.col("_next").alias("next_value")))
-    edges = marked.where(F.col("_first") | ~F.col("_has_next"))
-    w2 = Window.partitionBy(group).orderBy("_chunk", *order)
-    cross = (edges.select(group, F.col(value).alias("prev_value"),
-                          nxt.over(w2).alias("next_value"), more.over(w2).alias("_more"),
-                          F.col("_has_next"))
-             .where(~F.col("_has_next") & F.col("_more").isNotNull())
-             .select(group, "prev_value", "next_value"))
-    return inner.unionByName(cross)
+    marked = ranged.select(group, value, "_chunk", nxt.over(w).alias("next_value"),
+                           more.over(w).isNotNull().alias("has_next"))
+    inside = marked.where("has_next")
+
+    # First row of every non-empty chunk, and for each chunk the first row of
+    # the next non-empty one.  At most `n` rows: a single-partition window
+    # over them is fine, and the result is broadcast.
+    firsts = (ranged.groupBy("_chunk")
+              .agg(F.min(F.struct(group, *order, value)).alias("_f"))
+              .select("_chunk", F.col(f"_f.{group}").alias("_g"), F.col(f"_f.{value}").alias("_v")))
+    by_chunk = Window.orderBy("_chunk")
+    follow = F.broadcast(firsts.select(
+        "_chunk",
+        F.lead("_g").over(by_chunk).alias("_next_g"),
+        F.lead("_v").over(by_chunk).alias("_next_v"),
+        F.lead(F.lit(True)).over(by_chunk).isNotNull().alias("_next_exists")))
+    cont = F.col("_next_exists") & (F.col("_next_g") == F.col(group))
+    tails = (marked.where(~F.col("has_next"))
+             .join(follow, "_chunk", "left")
+             .select(group, value,
+                     F.when(cont, F.col("_next_v")).alias("next_value"),
+                     F.coalesce(cont, F.lit(False)).alias("has_next")))
+    return inside.drop("_chunk").unionByName(tails)
+
+
+def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
+                   chunks: int | None = None, skew_safe: bool = True) -> DataFrame:
+    """Rows ``(group, prev_value, next_value)``: one per adjacent pair."""
+    return (with_successor(df, group, order, value, chunks=chunks, skew_safe=skew_safe)
+            .where("has_next")
+            .select(group, F.col(value).alias("prev_value"), "next_value"))

@@ -9,7 +9,9 @@ from clickscope.config import CITY_SHARE_PATTERN, OTHER_LABEL, TOP_CITIES, TOP_P
 from clickscope.functions.text import percent_text
 from clickscope.operators.broadcast import bounded_broadcast
 
-DIM_BROADCAST_ROWS = 1_000_000
+# Row bound for an explicit dimension size check; None = planner's byte
+# threshold and AQE decide (see clickscope.operators.broadcast).
+DIM_BROADCAST_ROWS: int | None = None
 
 
 def _clicks(actions: DataFrame) -> DataFrame:
@@ -17,7 +19,7 @@ def _clicks(actions: DataFrame) -> DataFrame:
 
 
 def enrich_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
-                  broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+                  broadcast_rows: int | None = DIM_BROADCAST_ROWS) -> DataFrame:
     """B8 (row form): every click with its city and product (inner joins).
 
     Columns: city_id, city_name, area, click_product_id, product_name.
@@ -31,14 +33,15 @@ def enrich_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
 
 
 def area_city_product_counts(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
-                             broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+                             broadcast_rows: int | None = DIM_BROADCAST_ROWS) -> DataFrame:
     """B8+B9 first level: clicks per (area, product_name, city_name).
 
     The click log is first counted per (city_id, product_id) - a partial,
     map-side combined aggregation - so the dimension joins see one row per
     distinct pair instead of one per click, and a hot product or city is
-    already collapsed before any shuffle.  Dimensions are broadcast when a
-    size check allows; otherwise the join shuffles the pre-aggregated rows.
+    already collapsed before any shuffle.  Dimensions are broadcast only when
+    a size check allows (planner threshold / AQE, or ``broadcast_rows``);
+    otherwise the join shuffles the pre-aggregated rows.
     """
     pairs = (_clicks(actions)
              .groupBy("city_id", "click_product_id")
@@ -89,7 +92,7 @@ def city_remark(per_city: DataFrame, group: list[str], *, city: str = "city_name
 
 def area_product_counts(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
                         other_label: str = OTHER_LABEL,
-                        broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+                        broadcast_rows: int | None = DIM_BROADCAST_ROWS) -> DataFrame:
     """B9+B10: (area, product_name, click_count, city_remark)."""
     per_city = area_city_product_counts(actions, cities, products, broadcast_rows=broadcast_rows)
     return city_remark(per_city, ["area", "product_name"], other_label=other_label)
@@ -109,7 +112,7 @@ def area_product_top3(counts: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
 
 def area_top_products(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
                       k: int = TOP_PRODUCTS, other_label: str = OTHER_LABEL,
-                      broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+                      broadcast_rows: int | None = DIM_BROADCAST_ROWS) -> DataFrame:
     """B8-B11 end to end: the area report over an (unfiltered) click log."""
     return area_product_top3(area_product_counts(actions, cities, products, other_label=other_label,
                                                  broadcast_rows=broadcast_rows), k)

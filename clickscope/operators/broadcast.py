@@ -1,4 +1,14 @@
-"""Broadcast only behind a size check."""
+"""Broadcast policy.
+
+* A side whose size is bounded by construction (a top-k result, the pairs of
+  a page flow, TPC-H's 25 nations) is broadcast with ``F.broadcast``.
+* A dimension that grows with the data gets no hint: Spark broadcasts it only
+  if its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``,
+  and AQE re-decides from the measured size at run time; otherwise the join
+  shuffles (after the fact side has been pre-aggregated where possible).
+* ``bounded_broadcast`` is the explicit form of that check for callers that
+  want a row bound instead of a byte bound; it costs one small job.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Hint a broadcast if ``df`` has at most ``max_rows`` rows, else leave it.
 
-    The check is one cheap job on the (dimension) side: ``limit(max_rows+1)``
-    stops reading as soon as the bound is exceeded.  Beyond the bound the
-    planner keeps its own choice (a shuffle join, or AQE's runtime broadcast
-    when the measured size turns out small).
+    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
+    exceeded.  ``max_rows=None`` leaves the decision to the planner (size
+    threshold + AQE).
     """
-    if max_rows <= 0:
+    if not max_rows:
         return df
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from clickscope.config import PAGE_RATE_PATTERN
 from clickscope.functions.text import percent_text
-from clickscope.operators.adjacency import adjacent_pairs
+from clickscope.operators.adjacency import adjacent_pairs, with_successor
+from pyspark.sql import Window
 
 
 def _page_ids(flow: str) -> list[str]:
@@ -72,23 +73,41 @@ def page_jump_counts(actions: DataFrame, flow: str, *, order: tuple[str, ...] =
 
 
 def page_conversion(actions: DataFrame, flow: str, task_id: str | None = None, *,
+                    order: tuple[str, ...] = ("action_time", "event_id"),
                     skew_safe: bool = True) -> DataFrame:
     """Conversion rate jumps(a-b) / visits(a) per flow pair.
 
     Columns: [task_id,] pair ("a-b"), jumps, visits, rate (text, pattern
-    ".00%"), rate_value (double).  Pairs without any jump are absent.  Both
-    inputs of the final join have at most one row per flow pair / page, so
-    the join is a broadcast of a bounded side.
+    ".00%"), rate_value (double).  Pairs without any jump are absent.
+
+    One pass over the log: every action gets its successor in the session,
+    actions on flow pages are counted per (page, successor page) - a partial
+    aggregation with at most |flow| x (pages + 1) groups - and both visits
+    (sum over successors) and jumps (the flow pairs) come from that small
+    table.
     """
-    jumps = page_jump_counts(actions, flow, skew_safe=skew_safe)
-    visits = page_visit_counts(actions, flow)
+    pairs = flow_pairs(flow)
+    pages = flow_pages(flow)
+    cols = ["task_id"] if task_id is not None else []
+    schema = ", ".join([f"{c} STRING" for c in cols] +
+                       ["pair STRING", "jumps BIGINT", "visits BIGINT", "rate STRING", "rate_value DOUBLE"])
+    if not pairs:
+        return actions.sparkSession.createDataFrame([], schema)
+    order_cols = [c for c in order if c in actions.columns]
+    succ = with_successor(actions, "session_id", order_cols, "page_id", skew_safe=skew_safe)
+    stats = (succ.where(F.col("page_id").isin(pages))
+             .groupBy("page_id", "next_value").agg(F.count(F.lit(1)).alias("n")))
+    wanted = reduce(lambda x, y: x | y,
+                    [(F.col("page_id") == a) & (F.col("next_value") == b) for a, b in pairs])
     ratio = F.col("jumps") / F.col("visits")
-    out = (jumps.join(F.broadcast(visits), jumps["from_page"] == visits["page_id"])
-           .select(F.concat_ws("-", F.col("from_page").cast("string"),
-                               F.col("to_page").cast("string")).alias("pair"),
-                   "jumps", "visits",
+    out = (stats.withColumn("visits", F.sum("n").over(Window.partitionBy("page_id")))
+           .where(wanted)
+           .select(F.concat_ws("-", F.col("page_id").cast("string"),
+                               F.col("next_value").cast("string")).alias("pair"),
+                   F.col("n").alias("jumps"), F.col("visits").cast("bigint").alias("visits"))
+           .select("pair", "jumps", "visits",
                    percent_text(ratio, PAGE_RATE_PATTERN).alias("rate"),
                    ratio.alias("rate_value")))
     if task_id is not None:
-        out = out.select(F.lit(task_id).alias("task_id"), *[c for c in out.columns])
+        out = out.select(F.lit(task_id).alias("task_id"), *out.columns)
     return out

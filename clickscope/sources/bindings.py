@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickscope.sources.tables import ActionModel
@@ -18,6 +18,10 @@ from clickscope.sources.tables import ActionModel
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "lineitem", "events")
 
+# One lazy DataFrame per (session, folder, table): a read resolves the file
+# listing and footer once, like a catalog table, and later plans reuse it.
+_READS: dict[tuple[int, str, str], DataFrame] = {}
+
 
 @dataclass(frozen=True)
 class TestTables:
@@ -27,44 +31,45 @@ class TestTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TEST_TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+        key = (id(self.spark), path, name)
+        df = _READS.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = self.spark.read.parquet(path)
+            _READS[key] = df
+        return df
 
 
 def test_tables(spark: SparkSession, sf_dir: str) -> TestTables:
     return TestTables(spark, sf_dir)
 
 
-def _k(props: Column) -> Column:
-    return F.regexp_extract(props, r"([0-9]+)", 1).cast("bigint")
-
-
-def _s(c: Column) -> Column:
-    return c.cast("string")
+# Shared SQL fragments of the binding (same text as the DuckDB twins).
+K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)"
+DATE = "CAST(CAST(ts AS DATE) AS STRING)"
 
 
 def users(t: TestTables) -> DataFrame:
-    c = t.customer
-    return c.select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (F.lit(20) + F.col("c_custkey") % 41).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.when(F.col("c_custkey") % 10 < 6, "M").otherwise("F").alias("gender"),
+    return t.customer.selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "CAST(20 + c_custkey % 41 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "CASE WHEN c_custkey % 10 < 6 THEN 'M' ELSE 'F' END AS gender",
     )
 
 
 def cities(t: TestTables) -> DataFrame:
+    """city_info: one row per TPC-H nation (25 rows by definition)."""
     return (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.col("n_nationkey").cast("bigint").alias("city_id"),
-                    F.col("n_name").alias("city_name"),
-                    F.col("r_name").alias("area")))
+            .selectExpr("CAST(n_nationkey AS BIGINT) AS city_id", "n_name AS city_name",
+                        "r_name AS area"))
 
 
 def products(t: TestTables) -> DataFrame:
-    return t.part.select(F.col("p_partkey").alias("product_id"),
-                         F.col("p_name").alias("product_name"),
-                         F.col("p_type").alias("extend_info"))
+    return t.part.selectExpr("p_partkey AS product_id", "p_name AS product_name",
+                             "p_type AS extend_info")
 
 
 def actions(t: TestTables) -> DataFrame:
@@ -73,31 +78,29 @@ def actions(t: TestTables) -> DataFrame:
     ``ts`` lets date predicates also be stated on the stored timestamp, which
     the Parquet scan can push down (see ``filter_actions``).
     """
-    e = t.events
-    cust = t.customer.select(F.col("c_custkey"), F.col("c_nationkey"))
-    k = _k(F.col("props"))
-    eid = F.col("event_id")
-    date = _s(F.col("ts").cast("date"))
-    et = F.col("event_type")
+    e = t.events.selectExpr("event_id", "ts", "user_id", "event_type", f"{K} AS k")
+    cust = t.customer.select("c_custkey", "c_nationkey")
     return (e.join(cust, e["user_id"] == cust["c_custkey"])
-            .select(
-                eid.alias("event_id"),
-                F.col("ts"),
-                date.alias("date"),
-                F.col("user_id"),
-                F.concat(_s(F.col("user_id")), F.lit("-"), date).alias("session_id"),
-                (k % 10 + 1).alias("page_id"),
-                _s(F.col("ts")).alias("action_time"),
-                F.when(et == "view", F.concat(F.lit("kw_"), _s(k % 6))).alias("search_keyword"),
-                F.when(et == "click", k % 20 + 1).otherwise(F.lit(-1)).cast("bigint").alias("click_category_id"),
-                F.when(et == "click", k).otherwise(F.lit(-1)).cast("bigint").alias("click_product_id"),
-                F.when(et == "purchase", F.concat_ws(",", _s(k % 20 + 1), _s((k + eid) % 20 + 1),
-                                                     _s(eid % 20 + 1))).alias("order_category_ids"),
-                F.when(et == "purchase", _s(k)).alias("order_product_ids"),
-                F.when(et == "signup", F.concat_ws(",", _s(k % 20 + 1),
-                                                   _s((k + eid) % 20 + 1))).alias("pay_category_ids"),
-                F.when(et == "signup", _s(k)).alias("pay_product_ids"),
-                F.col("c_nationkey").cast("bigint").alias("city_id"),
+            .selectExpr(
+                "event_id",
+                "ts",
+                f"{DATE} AS date",
+                "user_id",
+                f"CAST(user_id AS STRING) || '-' || {DATE} AS session_id",
+                "k % 10 + 1 AS page_id",
+                "CAST(ts AS STRING) AS action_time",
+                "CASE WHEN event_type = 'view' THEN 'kw_' || CAST(k % 6 AS STRING) END AS search_keyword",
+                "CAST(CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1 END AS BIGINT)"
+                " AS click_category_id",
+                "CAST(CASE WHEN event_type = 'click' THEN k ELSE -1 END AS BIGINT) AS click_product_id",
+                "CASE WHEN event_type = 'purchase' THEN concat_ws(',', CAST(k % 20 + 1 AS STRING),"
+                " CAST((k + event_id) % 20 + 1 AS STRING), CAST(event_id % 20 + 1 AS STRING)) END"
+                " AS order_category_ids",
+                "CASE WHEN event_type = 'purchase' THEN CAST(k AS STRING) END AS order_product_ids",
+                "CASE WHEN event_type = 'signup' THEN concat_ws(',', CAST(k % 20 + 1 AS STRING),"
+                " CAST((k + event_id) % 20 + 1 AS STRING)) END AS pay_category_ids",
+                "CASE WHEN event_type = 'signup' THEN CAST(k AS STRING) END AS pay_product_ids",
+                "CAST(c_nationkey AS BIGINT) AS city_id",
             ))
 
 
@@ -115,27 +118,22 @@ def sales_clicks(t: TestTables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey")
     c = t.customer.select("c_custkey", "c_nationkey")
     return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-            .join(c, F.col("o_custkey") == c["c_custkey"])
-            .select(F.col("c_nationkey").cast("bigint").alias("city_id"),
-                    F.col("l_partkey").alias("click_product_id")))
+            .join(c, o["o_custkey"] == c["c_custkey"])
+            .selectExpr("CAST(c_nationkey AS BIGINT) AS city_id", "l_partkey AS click_product_id"))
 
 
 def ads_clicks(t: TestTables) -> DataFrame:
     """The ad-click log as parsed records: every event is one ad click.
 
     Columns: ts (timestamp, session zone; wall clock of the stored value),
-    event_id, area, city, user_id (string), ads_id (string), day.
+    event_id, area, city, user_id (string), ads_id (string), day.  The city
+    dimension is TPC-H's nation table: 25 rows, so it is broadcast.
     """
-    e = t.events
+    e = t.events.selectExpr("event_id", "ts", "user_id", f"{K} AS k")
     cust = t.customer.select("c_custkey", "c_nationkey")
     city = cities(t)
-    k = _k(F.col("props"))
     return (e.join(cust, e["user_id"] == cust["c_custkey"])
             .join(F.broadcast(city), F.col("c_nationkey").cast("bigint") == city["city_id"])
-            .select(F.col("ts").cast("timestamp").alias("ts"),
-                    F.col("event_id"),
-                    F.col("area"),
-                    F.col("city_name").alias("city"),
-                    _s(F.col("user_id")).alias("user_id"),
-                    _s(k % 5 + 1).alias("ads_id"),
-                    _s(F.col("ts").cast("date")).alias("day")))
+            .selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_id", "area", "city_name AS city",
+                        "CAST(user_id AS STRING) AS user_id", "CAST(k % 5 + 1 AS STRING) AS ads_id",
+                        f"{DATE} AS day"))
