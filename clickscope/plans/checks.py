@@ -137,6 +137,10 @@ QUERIES: dict[str, Query] = {
     "last_hour_json": q_last_hour_json,
 }
 
+from clickscope.plans.streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)
+
 # The ten report queries timed by bench.py (the survey's probe set).
 HEADLINE = ["category_top10", "category_session_top10", "page_conversion", "area_product_top3",
             "area_product_top3_sales", "day_area_city_ads", "area_ads_top3", "blacklist",

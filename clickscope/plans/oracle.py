@@ -168,6 +168,13 @@ lh AS (
   GROUP BY 1, 2)
 """
 
+_LAST_MINUTES = """
+lm AS (
+  SELECT ads_id, date_trunc('minute', ts) AS minute_start, count(*) AS click_count
+  FROM ads WHERE date_trunc('minute', ts) > (SELECT date_trunc('minute', max(ts)) FROM ads) - INTERVAL 60 MINUTE
+  GROUP BY 1, 2)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "filter_actions": f"WITH {_BASE} SELECT * FROM fa",
     "category_counts": f"WITH {_BASE}, {_CAT} SELECT * FROM cc",
@@ -217,3 +224,16 @@ SELECT ads_id,
            || '}}', ',' ORDER BY minute_start) || ']' AS clicks_json
 FROM lh GROUP BY ads_id""",
 }
+
+# The streaming jobs must end in the batch results.
+ORACLE_SQL.update({
+    "stream_day_area_city_ads": ORACLE_SQL["day_area_city_ads"],
+    "stream_area_ads_top3": ORACLE_SQL["area_ads_top3"],
+    "stream_area_ads_top3_update": ORACLE_SQL["area_ads_top3"],
+    "stream_blacklist": ORACLE_SQL["blacklist"],
+    "stream_ads_not_blacklisted": ORACLE_SQL["ads_not_blacklisted"],
+    # the serving view of the stream keeps whole minutes: the 60 minutes
+    # ending with the newest one
+    "stream_last_hour": f"""WITH {_BASE}, {_LAST_MINUTES}
+SELECT ads_id, strftime(minute_start, '%H:%M') AS minute, click_count FROM lm""",
+})

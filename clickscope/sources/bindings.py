@@ -122,14 +122,24 @@ def sales_clicks(t: TestTables) -> DataFrame:
             .selectExpr("CAST(c_nationkey AS BIGINT) AS city_id", "l_partkey AS click_product_id"))
 
 
-def ads_clicks(t: TestTables) -> DataFrame:
+def events_stream(t: TestTables, max_files_per_trigger: int = 1, folder: str | None = None) -> DataFrame:
+    """The events table as a file stream (same schema as the batch read)."""
+    reader = (t.spark.readStream.schema(t.events.schema)
+              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
+    if folder is None:
+        return reader.option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    return reader.parquet(folder)
+
+
+def ads_clicks(t: TestTables, events: DataFrame | None = None) -> DataFrame:
     """The ad-click log as parsed records: every event is one ad click.
 
     Columns: ts (timestamp, session zone; wall clock of the stored value),
     event_id, area, city, user_id (string), ads_id (string), day.  The city
     dimension is TPC-H's nation table: 25 rows, so it is broadcast.
+    ``events`` may be a streaming frame (stream-static joins).
     """
-    e = t.events.selectExpr("event_id", "ts", "user_id", f"{K} AS k")
+    e = (t.events if events is None else events).selectExpr("event_id", "ts", "user_id", f"{K} AS k")
     cust = t.customer.select("c_custkey", "c_nationkey")
     city = cities(t)
     return (e.join(cust, e["user_id"] == cust["c_custkey"])
