@@ -1,0 +1,36 @@
+import uuid
+
+from clickscope.sinks.tables import JdbcTarget, append_table, jdbc_overwrite, overwrite_table, save_table
+
+DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
+
+
+def _target(table):
+    return JdbcTarget(url=f"jdbc:derby:memory:cs{uuid.uuid4().hex[:8]};create=true", table=table, driver=DRIVER)
+
+
+def _read(spark, t):
+    return sorted(tuple(r) for r in spark.read.jdbc(t.url, t.table, properties={"driver": DRIVER}).collect())
+
+
+def test_jdbc_overwrite_truncate_and_append(spark):
+    t = _target("PAGE_RATE")
+    a = spark.createDataFrame([("t1", "1-2", ".50%")], "task_id string, pair string, rate string")
+    b = spark.createDataFrame([("t2", "2-3", "1.00%")], "task_id string, pair string, rate string")
+    jdbc_overwrite(a, t)
+    append_table(b, t)
+    assert _read(spark, t) == [("t1", "1-2", ".50%"), ("t2", "2-3", "1.00%")]
+    overwrite_table(b, t)
+    assert _read(spark, t) == [("t2", "2-3", "1.00%")]
+
+
+def test_files_and_managed_table(spark, tmp_dir):
+    df = spark.createDataFrame([("2019-03-20", 1), ("2019-03-21", 2)], "date string, n long")
+    overwrite_table(df, f"{tmp_dir}/x")
+    append_table(df, f"{tmp_dir}/x")
+    assert spark.read.parquet(f"{tmp_dir}/x").count() == 4
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    save_table(df, name, partition_by=["date"])
+    save_table(df, name, partition_by=["date"])
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
