@@ -1,6 +1,6 @@
 from clickscope.operators.actions import filter_actions
 from clickscope.operators.category import (category_action_counts, category_top10,
-                                           category_session_top10)
+                                           category_session_top10, category_session_counts)
 from clickscope.operators.pageflow import page_visit_counts, page_jump_counts, page_conversion
 from clickscope.operators.area import (enrich_clicks, area_city_product_counts, city_remark,
                                        area_product_counts, area_product_top3, area_top_products)

@@ -42,9 +42,9 @@ def q_category_top10(spark, sf_dir):
 
 
 def q_category_session_top10(spark, sf_dir):
-    acts = _filtered(spark, sf_dir)
-    top = C.category_top10(C.category_action_counts(acts))
-    return C.category_session_top10(acts, top, task_id=CHECK.task_id)
+    by_session = C.category_session_counts(_filtered(spark, sf_dir))
+    top = C.category_top10(C.category_action_counts(None, by_session=by_session))
+    return C.category_session_top10(None, top, task_id=CHECK.task_id, by_session=by_session)
 
 
 def q_page_visits(spark, sf_dir):

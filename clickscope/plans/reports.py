@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from clickscope.config import Condition, OTHER_LABEL
 from clickscope.operators.actions import filter_actions
 from clickscope.operators.area import area_top_products
-from clickscope.operators.category import (category_action_counts, category_session_top10,
-                                           category_top10)
+from clickscope.operators.category import (category_action_counts, category_session_counts,
+                                           category_session_top10, category_top10)
 from clickscope.operators.pageflow import page_conversion
 from clickscope.sinks.tables import JdbcTarget, append_table, jdbc_overwrite, overwrite_table
 from clickscope.sources.tables import ActionModel
@@ -38,10 +38,12 @@ def build_reports(model: ActionModel, condition: Condition, task_id: str | None
     task_id = task_id or str(uuid.uuid4())
     acts = filter_actions(model.actions, model.users, condition, cities=model.cities)
     acts = acts.persist(StorageLevel.MEMORY_AND_DISK)
-    top = category_top10(category_action_counts(acts), task_id=task_id)
+    by_session = category_session_counts(acts)
+    top = category_top10(category_action_counts(acts, by_session=by_session), task_id=task_id)
     out = {
         "category_top10": top,
-        "category_session_top10": category_session_top10(acts, top, task_id=task_id),
+        "category_session_top10": category_session_top10(acts, top.drop("task_id"), task_id=task_id,
+                                                         by_session=by_session),
         "page_conversion": page_conversion(acts, condition.target_page_flow, task_id=task_id)
         .select("task_id", "pair", "rate"),
         "area_product_top3": area_top_products(model.actions, model.cities, model.products,
