@@ -20,6 +20,17 @@ def split_id_list(col: Column) -> Column:
             .otherwise(F.split(stripped, ",")))
 
 
+def split_id_list_sql(expr: str) -> str:
+    """SQL text of ``split_id_list`` applied to the SQL expression ``expr``."""
+    return (f"CASE WHEN ({expr}) IS NULL THEN NULL WHEN ({expr}) RLIKE '^,+$' THEN CAST(array() AS ARRAY<STRING>) "
+            f"ELSE split(regexp_replace({expr}, ',+$', ''), ',') END")
+
+
+def percent_sql(expr: str, pattern: str) -> str:
+    """SQL text of ``percent_text``."""
+    return f"format_number({expr}, '{pattern}')"
+
+
 def percent_text(col: Column, pattern: str) -> Column:
     """Ratio -> percent text with a java.text.DecimalFormat pattern.
 

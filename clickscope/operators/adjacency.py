@@ -15,7 +15,7 @@ broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,40 +29,36 @@ def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
     ``chunks`` is the number of ranges (default: shuffle partitions).
     """
     cols = [group, *order, value]
+    by = ", ".join(order)
     base = df.select(*cols)
-    nxt = F.lead(F.col(value))
-    more = F.lead(F.lit(True))
     if not skew_safe:
-        w = Window.partitionBy(group).orderBy(*order)
-        return base.select(group, value, nxt.over(w).alias("next_value"),
-                           more.over(w).isNotNull().alias("has_next"))
+        w = f"OVER (PARTITION BY {group} ORDER BY {by})"
+        return base.selectExpr(group, value, f"lead({value}) {w} AS next_value",
+                               f"lead(true) {w} IS NOT NULL AS has_next")
 
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = base.repartitionByRange(n, group, *order).withColumn("_chunk", F.spark_partition_id())
-    w = Window.partitionBy(group, "_chunk").orderBy(*order)
-    marked = ranged.select(group, value, "_chunk", nxt.over(w).alias("next_value"),
-                           more.over(w).isNotNull().alias("has_next"))
-    inside = marked.where("has_next")
+    ranged = (base.repartitionByRange(n, group, *order)
+              .selectExpr(*cols, "spark_partition_id() AS _chunk"))
+    w = f"OVER (PARTITION BY {group}, _chunk ORDER BY {by})"
+    marked = ranged.selectExpr(group, value, "_chunk", f"lead({value}) {w} AS next_value",
+                               f"lead(true) {w} IS NOT NULL AS has_next")
+    inside = marked.where("has_next").drop("_chunk")
 
     # First row of every non-empty chunk, and for each chunk the first row of
     # the next non-empty one.  At most `n` rows: a single-partition window
     # over them is fine, and the result is broadcast.
-    firsts = (ranged.groupBy("_chunk")
-              .agg(F.min(F.struct(group, *order, value)).alias("_f"))
-              .select("_chunk", F.col(f"_f.{group}").alias("_g"), F.col(f"_f.{value}").alias("_v")))
-    by_chunk = Window.orderBy("_chunk")
-    follow = F.broadcast(firsts.select(
-        "_chunk",
-        F.lead("_g").over(by_chunk).alias("_next_g"),
-        F.lead("_v").over(by_chunk).alias("_next_v"),
-        F.lead(F.lit(True)).over(by_chunk).isNotNull().alias("_next_exists")))
-    cont = F.col("_next_exists") & (F.col("_next_g") == F.col(group))
-    tails = (marked.where(~F.col("has_next"))
+    first = f"min(struct({group}, {by}, {value}))"
+    firsts = ranged.groupBy("_chunk").agg(F.expr(first).alias("_f"))
+    w2 = "OVER (ORDER BY _chunk)"
+    follow = F.broadcast(firsts.selectExpr(
+        "_chunk", f"lead(_f.{group}) {w2} AS _next_g", f"lead(_f.{value}) {w2} AS _next_v",
+        f"lead(true) {w2} IS NOT NULL AS _next_exists"))
+    cont = f"(_next_exists AND _next_g = {group})"
+    tails = (marked.where("NOT has_next")
              .join(follow, "_chunk", "left")
-             .select(group, value,
-                     F.when(cont, F.col("_next_v")).alias("next_value"),
-                     F.coalesce(cont, F.lit(False)).alias("has_next")))
-    return inside.drop("_chunk").unionByName(tails)
+             .selectExpr(group, value, f"CASE WHEN {cont} THEN _next_v END AS next_value",
+                         f"coalesce({cont}, false) AS has_next"))
+    return inside.unionByName(tails)
 
 
 def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
@@ -70,4 +66,4 @@ def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
     """Rows ``(group, prev_value, next_value)``: one per adjacent pair."""
     return (with_successor(df, group, order, value, chunks=chunks, skew_safe=skew_safe)
             .where("has_next")
-            .select(group, F.col(value).alias("prev_value"), "next_value"))
+            .selectExpr(group, f"{value} AS prev_value", "next_value"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.config import CITY_SHARE_PATTERN, OTHER_LABEL, TOP_CITIES, TOP_PRODUCTS
-from clickscope.functions.text import percent_text
+from clickscope.functions.text import percent_sql
 from clickscope.operators.broadcast import bounded_broadcast
 
 # Row bound for an explicit dimension size check; None = planner's byte
@@ -66,28 +66,24 @@ def city_remark(per_city: DataFrame, group: list[str], *, city: str = "city_name
     over per-city counts (bounded by the number of cities of a group), and
     only ``top`` rows per group are collected.
     """
-    w_all = Window.partitionBy(*group)
-    w_rank = Window.partitionBy(*group).orderBy(F.desc(count), F.asc(city))
-    ranked = (per_city
-              .withColumn("_rn", F.row_number().over(w_rank))
-              .withColumn("_total", F.sum(count).over(w_all))
-              .withColumn("_cities", F.count(F.lit(1)).over(w_all)))
-    named = (ranked.where(F.col("_rn") <= top)
-             .withColumn("_share", F.col(count) / F.col("_total")))
+    keys = ", ".join(group)
+    w_rank = f"OVER (PARTITION BY {keys} ORDER BY {count} DESC, {city} ASC)"
+    w_all = f"OVER (PARTITION BY {keys})"
+    ranked = per_city.selectExpr(*group, city, count, f"row_number() {w_rank} AS _rn",
+                                 f"sum({count}) {w_all} AS _total", f"count(1) {w_all} AS _cities")
+    named = (ranked.where(f"_rn <= {int(top)}")
+             .selectExpr(*group, "_rn", "_total", "_cities", f"{count} / _total AS _share",
+                         f"coalesce({city}, 'null') AS _city"))
     agg = (named.groupBy(*group)
-           .agg(F.max("_total").alias("click_count"),
-                F.max("_cities").alias("_cities"),
-                F.sort_array(F.collect_list(F.struct("_rn", F.col("_share").alias("share"),
-                                                     F.coalesce(F.col(city), F.lit("null"))
-                                                     .alias("city")))).alias("_top")))
-    texts = F.transform(F.col("_top"),
-                        lambda e: F.concat(e["city"], F.lit(":"), percent_text(e["share"], pattern)))
-    rest = F.aggregate(F.col("_top"), F.lit(1.0).cast("double"), lambda acc, e: acc - e["share"])
-    other = F.when(F.col("_cities") > top,
-                   F.array(F.concat(F.lit(other_label), F.lit(":"), percent_text(rest, pattern))))\
-        .otherwise(F.array().cast("array<string>"))
-    return agg.select(*group, F.col("click_count").cast("bigint").alias("click_count"),
-                      F.array_join(F.concat(texts, other), ",").alias("city_remark"))
+           .agg(F.expr("max(_total)").alias("click_count"), F.expr("max(_cities)").alias("_cities"),
+                F.expr("sort_array(collect_list(struct(_rn, _share AS share, _city AS city)))").alias("_top")))
+    label = other_label.replace("'", "''")
+    texts = f"transform(_top, e -> concat(e.city, ':', {percent_sql('e.share', pattern)}))"
+    rest = "aggregate(_top, CAST(1.0 AS DOUBLE), (acc, e) -> acc - e.share)"
+    other = (f"CASE WHEN _cities > {int(top)} THEN array(concat('{label}', ':', {percent_sql(rest, pattern)})) "
+             f"ELSE CAST(array() AS ARRAY<STRING>) END")
+    return agg.selectExpr(*group, "CAST(click_count AS BIGINT) AS click_count",
+                          f"array_join(concat({texts}, {other}), ',') AS city_remark")
 
 
 def area_product_counts(actions: DataFrame, cities: DataFrame, products: DataFrame, *,

@@ -7,32 +7,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.config import TOP_CATEGORIES, TOP_SESSIONS
-from clickscope.functions.text import split_id_list
+from clickscope.functions.text import split_id_list_sql
 
 
 def _items(actions: DataFrame) -> DataFrame:
     """One row per counted (category, kind) of an action, keeping the session."""
-    click = F.coalesce(F.col("click_category_id"), F.lit(-1))
+    click = "coalesce(click_category_id, -1)"
 
-    def tagged(ids, kind):
-        return F.transform(ids, lambda x: F.struct(x.alias("category_id"), F.lit(kind).alias("kind")))
+    def tagged(col: str, kind: str) -> str:
+        return (f"transform({split_id_list_sql(col)}, "
+                f"x -> named_struct('category_id', x, 'kind', '{kind}'))")
 
-    items = (F.when(click != -1,
-                    F.array(F.struct(click.cast("string").alias("category_id"),
-                                     F.lit("click").alias("kind"))))
-             .when(F.col("order_category_ids").isNotNull(),
-                   tagged(split_id_list(F.col("order_category_ids")), "order"))
-             .when(F.col("pay_category_ids").isNotNull(),
-                   tagged(split_id_list(F.col("pay_category_ids")), "pay")))
-    return actions.select("session_id", F.explode(items).alias("it")).select(
-        "session_id", F.col("it.category_id").alias("category_id"), F.col("it.kind").alias("kind"))
+    items = (f"CASE WHEN {click} <> -1 "
+             f"THEN array(named_struct('category_id', CAST({click} AS STRING), 'kind', 'click')) "
+             f"WHEN order_category_ids IS NOT NULL THEN {tagged('order_category_ids', 'order')} "
+             f"WHEN pay_category_ids IS NOT NULL THEN {tagged('pay_category_ids', 'pay')} END")
+    return (actions.selectExpr("session_id", f"explode({items}) AS it")
+            .selectExpr("session_id", "it.category_id AS category_id", "it.kind AS kind"))
 
 
 def _count_kinds(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(
-        F.count_if(F.col("kind") == "click").alias("click_count"),
-        F.count_if(F.col("kind") == "order").alias("order_count"),
-        F.count_if(F.col("kind") == "pay").alias("pay_count"))
+        F.expr("count_if(kind = 'click')").alias("click_count"),
+        F.expr("count_if(kind = 'order')").alias("order_count"),
+        F.expr("count_if(kind = 'pay')").alias("pay_count"))
 
 
 def category_session_counts(actions: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.config import PAGE_RATE_PATTERN
-from clickscope.functions.text import percent_text
+from clickscope.functions.text import percent_sql
 from clickscope.operators.adjacency import adjacent_pairs, with_successor
-from pyspark.sql import Window
+
 
 
 def _page_ids(flow: str) -> list[str]:
@@ -97,17 +97,15 @@ def page_conversion(actions: DataFrame, flow: str, task_id: str | None = None, *
     succ = with_successor(actions, "session_id", order_cols, "page_id", skew_safe=skew_safe)
     stats = (succ.where(F.col("page_id").isin(pages))
              .groupBy("page_id", "next_value").agg(F.count(F.lit(1)).alias("n")))
-    wanted = reduce(lambda x, y: x | y,
-                    [(F.col("page_id") == a) & (F.col("next_value") == b) for a, b in pairs])
-    ratio = F.col("jumps") / F.col("visits")
-    out = (stats.withColumn("visits", F.sum("n").over(Window.partitionBy("page_id")))
+    wanted = " OR ".join(f"(page_id = {a} AND next_value = {b})" for a, b in pairs)
+    ratio = "jumps / visits"
+    out = (stats.selectExpr("page_id", "next_value", "n",
+                            "sum(n) OVER (PARTITION BY page_id) AS visits")
            .where(wanted)
-           .select(F.concat_ws("-", F.col("page_id").cast("string"),
-                               F.col("next_value").cast("string")).alias("pair"),
-                   F.col("n").alias("jumps"), F.col("visits").cast("bigint").alias("visits"))
-           .select("pair", "jumps", "visits",
-                   percent_text(ratio, PAGE_RATE_PATTERN).alias("rate"),
-                   ratio.alias("rate_value")))
+           .selectExpr("concat_ws('-', CAST(page_id AS STRING), CAST(next_value AS STRING)) AS pair",
+                       "n AS jumps", "CAST(visits AS BIGINT) AS visits")
+           .selectExpr("pair", "jumps", "visits", f"{percent_sql(ratio, PAGE_RATE_PATTERN)} AS rate",
+                       f"{ratio} AS rate_value"))
     if task_id is not None:
         out = out.select(F.lit(task_id).alias("task_id"), *out.columns)
     return out

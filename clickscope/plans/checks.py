@@ -26,7 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = B.test_tables(spark, sf_dir)
-    return filter_actions(B.actions(t), B.users(t), CHECK.condition, cities=B.cities(t))
+    cities = B.cities(t) if CHECK.condition.city else None
+    return filter_actions(B.actions(t), B.users(t), CHECK.condition, cities=cities)
 
 
 def q_filter_actions(spark, sf_dir):
