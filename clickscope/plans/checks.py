@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dataclasses import replace
+
 from clickscope.config import CHECK
+from clickscope.functions.city_remark import register_city_remark
 from clickscope.operators import ads as A
 from clickscope.operators import area as AR
 from clickscope.operators import category as C
@@ -34,6 +37,31 @@ def q_filter_actions(spark, sf_dir):
     return _filtered(spark, sf_dir).select("event_id", *ACTION_COLUMNS)
 
 
+# B1x: the optional predicates the reference declares but never applies.
+ATTRS = replace(CHECK.condition, professionals="BUILDING,MACHINERY", gender="F",
+                city="NATION_3,NATION_7,NATION_11")
+SEARCH = replace(CHECK.condition, keywords="kw_1,kw_4")
+CATEGORIES = replace(CHECK.condition, category_ids="3,5,7")
+
+
+def _filtered_with(spark, sf_dir, condition):
+    t = B.test_tables(spark, sf_dir)
+    return filter_actions(B.actions(t), B.users(t), condition, cities=B.cities(t)).select(
+        "event_id", *ACTION_COLUMNS)
+
+
+def q_filter_actions_attrs(spark, sf_dir):
+    return _filtered_with(spark, sf_dir, ATTRS)
+
+
+def q_filter_actions_search(spark, sf_dir):
+    return _filtered_with(spark, sf_dir, SEARCH)
+
+
+def q_filter_actions_categories(spark, sf_dir):
+    return _filtered_with(spark, sf_dir, CATEGORIES)
+
+
 def q_category_counts(spark, sf_dir):
     return C.category_action_counts(_filtered(spark, sf_dir))
 
@@ -72,6 +100,26 @@ def q_area_product_counts(spark, sf_dir):
                                   other_label=CHECK.other_label)
 
 
+def q_area_product_counts_sql(spark, sf_dir):
+    """B9/B10 through SQL text and the registered city_remark function."""
+    t = B.test_tables(spark, sf_dir)
+    tag = abs(hash((sf_dir, "area-sql"))) % 10**8
+    views = {"clicks": B.actions(t), "city": B.cities(t), "product": B.products(t)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(f"cs_{name}_{tag}")
+    fn = register_city_remark(spark, CHECK.other_label)
+    return spark.sql(f"""
+        SELECT area, product_name, CAST(sum(n) AS BIGINT) AS click_count,
+               {fn}(collect_list(named_struct('city', city_name, 'n', n))) AS city_remark
+        FROM (SELECT c.area, p.product_name, c.city_name, count(*) AS n
+              FROM cs_clicks_{tag} v
+              JOIN cs_city_{tag} c ON v.city_id = c.city_id
+              JOIN cs_product_{tag} p ON v.click_product_id = p.product_id
+              WHERE v.click_product_id > -1
+              GROUP BY c.area, p.product_name, c.city_name)
+        GROUP BY area, product_name""")
+
+
 def q_area_product_top3(spark, sf_dir):
     t = B.test_tables(spark, sf_dir)
     return AR.area_top_products(B.actions(t), B.cities(t), B.products(t),
@@ -119,6 +167,9 @@ def q_last_hour_json(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "filter_actions": q_filter_actions,
+    "filter_actions_attrs": q_filter_actions_attrs,
+    "filter_actions_search": q_filter_actions_search,
+    "filter_actions_categories": q_filter_actions_categories,
     "category_counts": q_category_counts,
     "category_top10": q_category_top10,
     "category_session_top10": q_category_session_top10,
@@ -127,6 +178,7 @@ QUERIES: dict[str, Query] = {
     "page_conversion": q_page_conversion,
     "enrich_clicks": q_enrich_clicks,
     "area_product_counts": q_area_product_counts,
+    "area_product_counts_sql": q_area_product_counts_sql,
     "area_product_top3": q_area_product_top3,
     "area_product_top3_sales": q_area_product_top3_sales,
     "day_area_city_ads": q_day_area_city_ads,

@@ -59,6 +59,18 @@ ads AS (
   JOIN ci ON CAST(c.c_nationkey AS BIGINT) = ci.city_id)
 """
 
+def _fa_with(extra: str) -> str:
+    return f"""
+SELECT v.* FROM uva v JOIN ui u ON v.user_id = u.user_id
+WHERE v.date >= '{_C.start_date}' AND v.date <= '{_C.end_date}'
+  AND u.age >= {_C.start_age} AND u.age <= {_C.end_age} AND {extra}"""
+
+
+_ATTRS = ("u.professional IN ('BUILDING', 'MACHINERY') AND u.gender IN ('F') AND v.city_id IN "
+          "(SELECT city_id FROM ci WHERE city_name IN ('NATION_3', 'NATION_7', 'NATION_11'))")
+_SEARCH = "v.search_keyword IN ('kw_1', 'kw_4')"
+_CATEGORIES = "CAST(v.click_category_id AS VARCHAR) IN ('3', '5', '7')"
+
 _CAT = """
 items AS (
   SELECT CAST(click_category_id AS VARCHAR) AS category_id, 'click' AS kind
@@ -177,6 +189,9 @@ lm AS (
 
 ORACLE_SQL: dict[str, str] = {
     "filter_actions": f"WITH {_BASE} SELECT * FROM fa",
+    "filter_actions_attrs": f"WITH {_BASE} {_fa_with(_ATTRS)}",
+    "filter_actions_search": f"WITH {_BASE} {_fa_with(_SEARCH)}",
+    "filter_actions_categories": f"WITH {_BASE} {_fa_with(_CATEGORIES)}",
     "category_counts": f"WITH {_BASE}, {_CAT} SELECT * FROM cc",
     "category_top10": f"WITH {_BASE}, {_CAT} SELECT '{_T}' AS task_id, * FROM top",
     "category_session_top10": f"""WITH {_BASE}, {_CAT},
@@ -200,6 +215,7 @@ SELECT ci.city_id, ci.city_name, ci.area, v.click_product_id, pi.product_name
 FROM uva v JOIN ci ON v.city_id = ci.city_id JOIN pi ON v.click_product_id = pi.product_id
 WHERE v.click_product_id > -1""",
     "area_product_counts": f"WITH {_BASE}, {_area(_UVA_CLICKS)} SELECT * FROM apc",
+    "area_product_counts_sql": f"WITH {_BASE}, {_area(_UVA_CLICKS)} SELECT * FROM apc",
     "area_product_top3": f"WITH {_BASE}, {_area(_UVA_CLICKS)} {_TOP3}",
     "area_product_top3_sales": f"WITH {_BASE}, {_area(_SALES_CLICKS)} {_TOP3}",
     "day_area_city_ads": f"WITH {_BASE}, {_R3} SELECT * FROM r3",
