@@ -60,8 +60,9 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
     ``complete``: the exact equivalent of the reference - every batch sees
     all totals; R3 and R4 are rewritten as new versions.  State never
     expires.  ``update``: only changed totals arrive; they are upserted into
-    R3, and R4 is recomputed for the days touched by the batch only.  With
-    ``day_watermark`` (e.g. "2 days") state for old days is dropped (update
+    R3, and R4 is recomputed for the days touched by the batch only; these
+    serving tables are partitioned by day, so a batch rewrites only the days
+    it touched.  With ``day_watermark`` (e.g. "2 days") state for old days is dropped (update
     mode only).
     """
     src = clicks
@@ -73,9 +74,10 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
                   .agg(F.count(F.lit(1)).alias("click_count")).drop("_d"))
     else:
         counts = A.day_area_city_ads(src)
-    r3 = VersionedTable(_path(out_root, "day_area_city_ads"), ["day", "area", "city", "ads_id"])
-    r4 = VersionedTable(_path(out_root, "area_ads_top3"), ["day", "area"])
-    r4j = VersionedTable(_path(out_root, "area_ads_top3_json"), ["day", "area"])
+    part = "day" if mode == "update" else None
+    r3 = VersionedTable(_path(out_root, "day_area_city_ads"), ["day", "area", "city", "ads_id"], part)
+    r4 = VersionedTable(_path(out_root, "area_ads_top3"), ["day", "area"], part)
+    r4j = VersionedTable(_path(out_root, "area_ads_top3_json"), ["day", "area"], part)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if mode == "complete":
@@ -89,10 +91,10 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
             return
         if batch.isEmpty():
             return
-        r3.upsert(batch, batch_id)
-        spark = batch.sparkSession
-        days = batch.select("day").distinct()
-        touched = r3.read(spark).join(days, "day", "left_semi")
+        # update mode: only the day partitions this batch touched are read
+        # and rewritten, in R3 and in the top-3 tables
+        tags = r3.upsert(batch, batch_id)
+        touched = r3.read(batch.sparkSession, only=tags)
         top3 = A.area_ads_top3(touched, top).persist()
         r4.upsert(top3, batch_id)
         r4j.upsert(A.area_ads_top3_json(top3), batch_id)
@@ -194,10 +196,15 @@ def passed_clicks_stream(spark: SparkSession, out_root: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, out_root: str, name: str) -> DataFrame | None:
+    """Current state of a serving table (either layout)."""
     keys = {"day_area_city_ads": ["day", "area", "city", "ads_id"],
             "area_ads_top3": ["day", "area"], "area_ads_top3_json": ["day", "area"],
             "last_hour": ["ads_id", "minute_start"]}[name]
-    return VersionedTable(_path(out_root, name), keys).read(spark)
+    table = VersionedTable(_path(out_root, name), keys)
+    listing = table._listing(spark)
+    if listing and listing[max(listing)]:
+        table = VersionedTable(_path(out_root, name), keys, partition_by="day")
+    return table.read(spark)
 
 
 # ---------------------------------------------------------------- R6

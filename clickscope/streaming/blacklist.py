@@ -5,7 +5,9 @@ State is kept per user by ``applyInPandasWithState``: a listed flag and one
 counter per (day, ad).  It lives in the query's state store, versioned with
 each micro-batch, so a replayed batch starts again from the state before it.
 A user's rows of one micro-batch form one pandas frame; the trigger bounds
-the batch size, hence the frame.
+the batch size, hence the frame.  State stays small: a listed user keeps
+only the flag, and when the click stream carries a watermark, counters of
+days wholly behind it are dropped.
 
 Modes:
 
@@ -55,10 +57,22 @@ def _blacklist_step(threshold: int, mode: str):
             passed = pdf.iloc[: lister + 1]
         else:
             passed = pdf
-        for k, n in ckey.value_counts().items():
-            counters[k] = counters.get(k, 0) + int(n)
-        state.update((bool(listed or lister is not None), list(counters.keys()),
-                      [int(v) for v in counters.values()]))
+        now_listed = bool(listed or lister is not None)
+        if now_listed:
+            # listing is for ever: the counters of a listed user are not needed
+            counters = {}
+        else:
+            for k, n in ckey.value_counts().items():
+                counters[k] = counters.get(k, 0) + int(n)
+            try:
+                wm = state.getCurrentWatermarkMs()
+            except Exception:  # the stream has no watermark
+                wm = 0
+            if wm > 0:
+                # a day wholly behind the watermark gets no more clicks
+                oldest = pd.Timestamp(wm, unit="ms").strftime("%Y-%m-%d")
+                counters = {k: v for k, v in counters.items() if k.split(_SEP, 1)[0] >= oldest}
+        state.update((now_listed, list(counters.keys()), [int(v) for v in counters.values()]))
         out = [passed[_COLS].assign(kind="pass")]
         if lister is not None:
             out.append(pdf.iloc[[lister]][_COLS].assign(kind="listed"))

@@ -6,8 +6,13 @@ a version is complete when Spark's ``_SUCCESS`` marker is in it.  An upsert
 for batch ``b`` reads the newest complete version *below* ``b``, drops the
 rows whose key is in the batch (``left_anti``), adds the batch rows and
 writes ``v=b``.  Replaying batch ``b`` rewrites the same version from the
-same base, so a retried micro-batch never double counts.  Readers take the
-newest complete version.
+same base, so a retried micro-batch never double counts.
+
+With ``partition_by`` (e.g. ``day``) a version holds only the partitions the
+batch touched (``v=<b>/_p=<tag>``), so the work of a batch is proportional
+to the partitions it touches, not to the table; a reader takes, for each
+partition, its newest complete version.  Without it every version is the
+whole table.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -23,60 +29,119 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _tag(col: str) -> Column:
+    # Folder name of a partition value: hex of its text, so no value needs
+    # escaping and no folder name is mistaken for a number or a date.
+    return F.concat(F.lit("p"), F.hex(F.col(col).cast("string")))
+
+
 class VersionedTable:
     """A keyed serving table with one folder per committed micro-batch."""
 
-    def __init__(self, path: str, keys: list[str], keep_versions: int = 3):
+    def __init__(self, path: str, keys: list[str], partition_by: str | None = None,
+                 keep_versions: int = 3):
         self.path = path.rstrip("/")
         self.keys = list(keys)
+        self.partition_by = partition_by
         self.keep_versions = keep_versions
 
-    def versions(self, spark: SparkSession) -> list[int]:
+    # ------------------------------------------------------------ listing
+    def _listing(self, spark: SparkSession) -> dict[int, list[str]]:
+        """Complete versions -> partition tags in them ([] for a whole table)."""
         fs, root, jvm = _fs(spark, self.path)
         if not fs.exists(root):
-            return []
-        out = []
+            return {}
+        out: dict[int, list[str]] = {}
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                marker = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-                if fs.exists(marker):
-                    out.append(int(name[2:]))
-        return sorted(out)
+            if not (st.isDirectory() and name.startswith("v=")):
+                continue
+            if not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                continue
+            tags = [c.getPath().getName()[3:] for c in fs.listStatus(st.getPath())
+                    if c.isDirectory() and c.getPath().getName().startswith("_p=")]
+            out[int(name[2:])] = tags
+        return out
 
-    def _version_path(self, v: int) -> str:
-        return f"{self.path}/v={v}"
-
-    def read(self, spark: SparkSession, below: int | None = None) -> DataFrame | None:
-        vs = [v for v in self.versions(spark) if below is None or v < below]
-        return spark.read.parquet(self._version_path(vs[-1])) if vs else None
+    def versions(self, spark: SparkSession) -> list[int]:
+        return sorted(self._listing(spark))
 
+    def _paths(self, spark: SparkSession, below: int | None, only: set[str] | None) -> list[str]:
+        listing = {v: t for v, t in self._listing(spark).items() if below is None or v < below}
+        if not listing:
+            return []
+        if self.partition_by is None:
+            return [f"{self.path}/v={max(listing)}"]
+        newest: dict[str, int] = {}
+        for v in sorted(listing):
+            for tag in listing[v]:
+                newest[tag] = v
+        return [f"{self.path}/v={v}/_p={tag}" for tag, v in sorted(newest.items())
+                if only is None or tag in only]
+
+    def read(self, spark: SparkSession, below: int | None = None,
+             only: set[str] | None = None) -> DataFrame | None:
+        """Newest complete state (of versions below ``below``; of the
+        partition tags in ``only``)."""
+        paths = self._paths(spark, below, only)
+        return spark.read.parquet(*paths) if paths else None
+
+    def touched(self, batch: DataFrame) -> set[str]:
+        """Partition tags present in a batch (a handful per micro-batch)."""
+        return {r[0] for r in batch.select(_tag(self.partition_by)).distinct().collect()}
+
+    # ------------------------------------------------------------ writing
     def upsert(self, batch: DataFrame, batch_id: int,
-               retain: Callable[[DataFrame], Column] | None = None) -> None:
-        """Replace the rows of the batch's keys (all rows of a key) and write v=batch_id.
+               retain: Callable[[DataFrame], Column] | None = None) -> set[str] | None:
+        """Replace the rows of the batch's keys (all rows of a key), write v=batch_id.
 
         ``retain(table)`` optionally gives a predicate of rows to keep (for
         example minutes still inside a window), applied to the result.
+        Returns the partition tags written (partitioned tables).
         """
         spark = batch.sparkSession
-        base = self.read(spark, below=batch_id)
+        tags = self.touched(batch) if self.partition_by else None
+        base = self.read(spark, below=batch_id, only=tags)
         merged = batch if base is None else (
             base.join(batch.select(*self.keys).distinct(), self.keys, "left_anti")
             .unionByName(batch.select(*base.columns)))
         if retain is not None:
             merged = merged.where(retain(merged))
-        merged.write.mode("overwrite").parquet(self._version_path(batch_id))
-        self._prune(spark, batch_id)
+        out = f"{self.path}/v={batch_id}"
+        if self.partition_by:
+            merged.withColumn("_p", _tag(self.partition_by)).write.mode("overwrite") \
+                .partitionBy("_p").parquet(out)
+        else:
+            merged.write.mode("overwrite").parquet(out)
+        self._prune(spark)
+        return tags
 
     def replace(self, table: DataFrame, batch_id: int) -> None:
-        """Write a full new version (complete-mode results)."""
-        table.write.mode("overwrite").parquet(self._version_path(batch_id))
-        self._prune(spark=table.sparkSession, newest=batch_id)
-
-    def _prune(self, spark: SparkSession, newest: int) -> None:
-        old = [v for v in self.versions(spark) if v < newest][:-max(self.keep_versions - 1, 1)]
-        if not old:
+        """Write a full new version (complete-mode results; unpartitioned)."""
+        if self.partition_by:
+            raise ValueError("replace is for unpartitioned tables")
+        table.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        self._prune(table.sparkSession)
+
+    def _prune(self, spark: SparkSession) -> None:
+        """Delete versions that are ``keep_versions`` versions behind for
+        every partition they hold (the version below the newest one is kept,
+        so the newest batch can be replayed)."""
+        listing = self._listing(spark)
+        keep = max(self.keep_versions, 2)
+        order = sorted(listing)
+        if self.partition_by is None:
+            doomed = order[:-keep]
+        else:
+            rank: dict[tuple[str, int], int] = {}
+            seen: dict[str, int] = {}
+            for v in reversed(order):
+                for tag in listing[v]:
+                    seen[tag] = seen.get(tag, 0) + 1
+                    rank[(tag, v)] = seen[tag]
+            doomed = [v for v in order if listing[v] and all(rank[(t, v)] > keep for t in listing[v])]
+        if not doomed:
             return
         fs, _, jvm = _fs(spark, self.path)
-        for v in old:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self._version_path(v)), True)
+        for v in doomed:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}"), True)

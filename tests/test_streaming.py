@@ -124,3 +124,20 @@ def test_versioned_upsert_replay_is_idempotent(spark, tmp_dir):
     t.upsert(b1, 3)
     t.upsert(b0, 4)
     assert t.versions(spark) == [2, 3, 4]
+
+
+def test_partitioned_upsert_touches_only_its_partitions(spark, tmp_dir):
+    t = VersionedTable(f"{tmp_dir}/ptbl", ["day", "k"], partition_by="day")
+    schema = "day string, k string, n long"
+    t.upsert(spark.createDataFrame([("d1", "a", 1), ("d2", "a", 1)], schema), 0)
+    t.upsert(spark.createDataFrame([("d2", "a", 7), ("d2", "b", 1)], schema), 1)
+    assert t._listing(spark)[1] == sorted(t.touched(spark.createDataFrame([("d2", "x", 0)], schema)))
+    want = [("d1", "a", 1), ("d2", "a", 7), ("d2", "b", 1)]
+    assert _rows(t.read(spark), ["day", "k", "n"]) == want
+    t.upsert(spark.createDataFrame([("d2", "a", 7), ("d2", "b", 1)], schema), 1)  # replay
+    assert _rows(t.read(spark), ["day", "k", "n"]) == want
+    for b in range(2, 6):
+        t.upsert(spark.createDataFrame([("d2", "c", b)], schema), b)
+    # d1 lives only in version 0, which therefore stays
+    assert 0 in t.versions(spark) and 1 not in t.versions(spark)
+    assert _rows(t.read(spark), ["day", "k", "n"])[0] == ("d1", "a", 1)
