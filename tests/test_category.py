@@ -45,3 +45,28 @@ def test_session_counts_most_first(spark):
     top = category_top10(category_action_counts(df))
     got = category_session_top10(df, top, k=1)
     assert rows(got, "category_id", "session_id", "click_count") == [("1", "b", 2), ("2", "c", 1)]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 15), st.sampled_from(["click", "order", "pay"])), max_size=80),
+       st.integers(1, 12))
+def test_top_n_is_prefix_of_full_order(spark, acts, n):
+    rows_ = []
+    for i, (c, kind) in enumerate(acts):
+        if kind == "click":
+            rows_.append(action(i, click_category_id=c))
+        elif kind == "order":
+            rows_.append(action(i, order_category_ids=str(c)))
+        else:
+            rows_.append(action(i, pay_category_ids=str(c)))
+    if not rows_:
+        return
+    counts = category_action_counts(actions_df(spark, rows_))
+    full = [tuple(r) for r in category_top10(counts, n=1000).collect()]
+    top = [tuple(r) for r in category_top10(counts, n=n).collect()]
+    assert top == full[:n]
+    keys = [(-r[1], -r[2], -r[3], r[0]) for r in full]
+    assert keys == sorted(keys)

@@ -141,3 +141,14 @@ def test_partitioned_upsert_touches_only_its_partitions(spark, tmp_dir):
     # d1 lives only in version 0, which therefore stays
     assert 0 in t.versions(spark) and 1 not in t.versions(spark)
     assert _rows(t.read(spark), ["day", "k", "n"])[0] == ("d1", "a", 1)
+
+
+def test_update_mode_with_day_watermark(spark, sliced, tmp_dir):
+    q = _run(J.start_running_counts(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", mode="update",
+                                    day_watermark="2 days", trigger=J.AVAILABLE_NOW))
+    # events arrive in time order, so nothing is late and the totals are exact
+    assert all(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) == 0
+               for p in q.recentProgress if p.get("stateOperators"))
+    r3 = _batch(spark).transform(A.day_area_city_ads)
+    cols = ["day", "area", "city", "ads_id", "click_count"]
+    assert _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), cols) == _rows(r3, cols)
