@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickscope.config import BLACKLIST_THRESHOLD, LAST_HOUR_MINUTES, TOP_ADS
 from clickscope.functions.text import json_pairs
+from clickscope.operators.broadcast import checked_broadcast
 
 
 def _time_order(df: DataFrame) -> list[Column]:
@@ -91,7 +92,11 @@ def blacklist_since(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) ->
         "user_id", *[F.col(f"_since.{c}").alias(f"listed_{c}") for c in order])
 
 
-def ads_not_blacklisted(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
+LISTED_BROADCAST_ROWS = 500_000
+
+
+def ads_not_blacklisted(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD, *,
+                        broadcast_rows: int | None = LISTED_BROADCAST_ROWS) -> DataFrame:
     """R2 (row-exact): clicks that pass a blacklist updated after every click.
 
     A click passes unless its user was listed by an earlier click; the click
@@ -99,10 +104,14 @@ def ads_not_blacklisted(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD)
     the reference's filter-then-count order.  Equivalent to running the
     reference with a micro-batch of one click.
 
-    The listed users are far fewer than the clicks; the left join lets AQE
-    broadcast them when small and split a hot user's partition otherwise.
+    The listed users are usually far fewer than the clicks but not bounded
+    in general: they are materialized once and broadcast when at most
+    ``broadcast_rows`` (so the click log is not shuffled at all); beyond that
+    the left join shuffles, and AQE splits a hot user's partition.
     """
     since = blacklist_since(clicks, threshold)
+    if broadcast_rows:
+        since = checked_broadcast(since, broadcast_rows, name="listed-users")
     c = clicks.alias("c")
     s = since.alias("s")
     cond = F.col("s.listed_ts").isNull() | (F.col("c.ts") < F.col("s.listed_ts"))

@@ -28,3 +28,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def checked_broadcast(df: DataFrame, max_rows: int, name: str = "side") -> DataFrame:
+    """Materialize ``df`` once, then broadcast it if it has at most ``max_rows`` rows.
+
+    For a side that is computed (not a stored dimension) and usually small but
+    not bounded in general, e.g. the users a blacklist has listed.  ``df`` is
+    written once as Parquet under the shared folder named by
+    ``spark.checkpoint.dir`` (reliable storage on a cluster) and read back, so
+    its lineage is cut, the size check reads the written rows, and the join
+    does not recompute them.  Beyond the bound the caller's join keeps its
+    shuffle strategy.
+    """
+    from clickscope.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    done = df.sparkSession.read.parquet(path)
+    if done.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(done)
+    return done
