@@ -1,0 +1,20 @@
+from clickscope.operators.broadcast import bounded_broadcast, checked_broadcast
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checked_broadcast_both_ways(spark):
+    big = spark.range(0, 50_000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(checked_broadcast(small, 100), "k")
+        assert "BroadcastHashJoin" in _plan(hinted) and hinted.count() == 10
+        kept = big.join(checked_broadcast(spark.range(0, 1000).withColumnRenamed("id", "k"), 100), "k")
+        assert "BroadcastHashJoin" not in _plan(kept) and kept.count() == 1000
+        assert "BroadcastHashJoin" in _plan(big.join(bounded_broadcast(small, 10), "k"))
+        assert "BroadcastHashJoin" not in _plan(big.join(bounded_broadcast(small, 5), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
