@@ -247,6 +247,7 @@ ORACLE_SQL.update({
     "stream_area_ads_top3": ORACLE_SQL["area_ads_top3"],
     "stream_area_ads_top3_update": ORACLE_SQL["area_ads_top3"],
     "stream_blacklist": ORACLE_SQL["blacklist"],
+    "stream_blacklist_tables": ORACLE_SQL["blacklist"],
     "stream_ads_not_blacklisted": ORACLE_SQL["ads_not_blacklisted"],
     # the serving view of the stream keeps whole minutes: the 60 minutes
     # ending with the newest one

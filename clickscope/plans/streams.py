@@ -69,6 +69,13 @@ def q_stream_ads_not_blacklisted(spark, sf_dir):
     return J.read_passed_clicks(spark, out).select("event_id", "user_id", "ads_id", "day", "area", "city")
 
 
+def q_stream_blacklist_tables(spark, sf_dir):
+    clicks = _clicks_stream(spark, sf_dir)
+    out = _run(spark, lambda o, c: J.start_blacklist_tables(clicks, o, c, threshold=CHECK.blacklist_threshold,
+                                                           trigger=J.AVAILABLE_NOW), "bl-tables")
+    return J.read_blacklist_tables(spark, out)[0]
+
+
 def q_stream_last_hour(spark, sf_dir):
     clicks = _clicks_stream(spark, sf_dir)
     out = _run(spark, lambda o, c: J.start_last_hour(clicks, o, c, trigger=J.AVAILABLE_NOW), "last-hour")
@@ -81,5 +88,6 @@ STREAM_QUERIES = {
     "stream_area_ads_top3_update": q_stream_area_ads_top3_update,
     "stream_blacklist": q_stream_blacklist,
     "stream_ads_not_blacklisted": q_stream_ads_not_blacklisted,
+    "stream_blacklist_tables": q_stream_blacklist_tables,
     "stream_last_hour": q_stream_last_hour,
 }

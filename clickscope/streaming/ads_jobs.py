@@ -176,6 +176,56 @@ def start_blacklist(clicks: DataFrame, out_root: str, checkpoint: str, *,
     return trigger.apply(w).start()
 
 
+def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
+                           threshold: int = BLACKLIST_THRESHOLD, trigger: Trigger = Trigger(),
+                           name: str | None = None) -> StreamingQuery:
+    """R1 + R2 in the reference's per-batch form, on the JVM only.
+
+    Each micro-batch: read the listed users as they stood before it, drop
+    their clicks (snapshot filter, R2), add the batch's clicks to the
+    (user, day, ad) counters (all clicks, as the reference counts them), and
+    list the users whose counter reaches ``threshold`` (R1).  Counters and
+    the list are versioned tables read "below the batch id", so a replayed
+    batch starts from the same state; counters are partitioned by day, so a
+    batch rewrites only the days it touched.  Passed clicks go to
+    ``blacklist_passed/batch=<id>``.
+    """
+    keys = ["user_id", "day", "ads_id"]
+    counters = VersionedTable(_path(out_root, "blacklist_counters"), keys, partition_by="day")
+    listed = VersionedTable(_path(out_root, "blacklist_listed"), ["user_id"])
+    passed_root = _path(out_root, "blacklist_passed")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        snapshot = listed.read(spark, below=batch_id)
+        passed = batch if snapshot is None else A.drop_blacklisted(batch, snapshot)
+        passed.write.mode("overwrite").parquet(f"{passed_root}/batch={batch_id}")
+        inc = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        base = counters.read(spark, below=batch_id, only=counters.touched(inc))
+        totals = inc if base is None else (
+            inc.join(base.withColumnRenamed("n", "_n0"), keys, "left")
+            .select(*keys, (F.col("n") + F.coalesce(F.col("_n0"), F.lit(0))).alias("n")))
+        totals = totals.persist()
+        counters.upsert(totals, batch_id)
+        listed.upsert(totals.where(F.col("n") >= threshold).select("user_id").distinct(), batch_id)
+        totals.unpersist()
+
+    w = (clicks.writeStream.outputMode("append").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    if name:
+        w = w.queryName(name)
+    return trigger.apply(w).start()
+
+
+def read_blacklist_tables(spark: SparkSession, out_root: str) -> tuple[DataFrame | None, DataFrame]:
+    """(listed users, passed clicks) written by ``start_blacklist_tables``."""
+    listed = VersionedTable(_path(out_root, "blacklist_listed"), ["user_id"]).read(spark)
+    passed = spark.read.parquet(_path(out_root, "blacklist_passed")).drop("batch")
+    return listed, passed
+
+
 def read_blacklist(spark: SparkSession, out_root: str) -> DataFrame:
     """R1 serving form: the listed users (user_id)."""
     ev = spark.read.parquet(_path(out_root, "blacklist_events"))

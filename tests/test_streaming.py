@@ -100,6 +100,17 @@ def test_blacklist_batch_mode_snapshot(spark, sliced, tmp_dir):
         _rows(A.blacklist_users(clicks, TH), ["user_id"])
 
 
+def test_jvm_blacklist_tables_equal_state_batch_mode(spark, sliced, tmp_dir):
+    """Two implementations of the reference's snapshot semantics agree."""
+    _run(J.start_blacklist_tables(_stream(spark, sliced), f"{tmp_dir}/a", f"{tmp_dir}/cka", threshold=TH,
+                                  trigger=J.AVAILABLE_NOW))
+    _run(J.start_blacklist(_stream(spark, sliced), f"{tmp_dir}/b", f"{tmp_dir}/ckb", threshold=TH,
+                           mode="batch", trigger=J.AVAILABLE_NOW))
+    listed, passed = J.read_blacklist_tables(spark, f"{tmp_dir}/a")
+    assert _rows(passed, ["event_id"]) == _rows(J.read_passed_clicks(spark, f"{tmp_dir}/b"), ["event_id"])
+    assert _rows(listed, ["user_id"]) == _rows(A.blacklist_users(_batch(spark), TH), ["user_id"])
+
+
 def test_composed_jobs_count_passed_clicks(spark, sliced, tmp_dir):
     qs = J.start_ads_jobs(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", threshold=TH,
                           blacklist_mode="row", counts_mode="update", trigger=J.AVAILABLE_NOW)
