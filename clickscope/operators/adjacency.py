@@ -26,7 +26,8 @@ def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
     ``next_value`` is the ``value`` of the next row of the same group in
     ``order`` (NULL and ``has_next`` false for the last row).  ``order``
     must order the rows of a group totally (add a unique tie-break column).
-    ``chunks`` is the number of ranges (default: shuffle partitions).
+    ``chunks`` is the number of ranges (default: the shuffle partitions,
+    coalesced by AQE where small).
     """
     cols = [group, *order, value]
     by = ", ".join(order)
@@ -36,16 +37,19 @@ def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
         return base.selectExpr(group, value, f"lead({value}) {w} AS next_value",
                                f"lead(true) {w} IS NOT NULL AS has_next")
 
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (base.repartitionByRange(n, group, *order)
-              .selectExpr(*cols, "spark_partition_id() AS _chunk"))
+    # Without an explicit count the range exchange uses the shuffle
+    # partitions and AQE may merge small neighbouring ranges; merged ranges
+    # stay contiguous and in order, and large (hot) ranges are not merged.
+    ranged = (base.repartitionByRange(chunks, group, *order) if chunks
+              else base.repartitionByRange(group, *order))
+    ranged = ranged.selectExpr(*cols, "spark_partition_id() AS _chunk")
     w = f"OVER (PARTITION BY {group}, _chunk ORDER BY {by})"
     marked = ranged.selectExpr(group, value, "_chunk", f"lead({value}) {w} AS next_value",
                                f"lead(true) {w} IS NOT NULL AS has_next")
     inside = marked.where("has_next").drop("_chunk")
 
     # First row of every non-empty chunk, and for each chunk the first row of
-    # the next non-empty one.  At most `n` rows: a single-partition window
+    # the next non-empty one.  One row per chunk: a single-partition window
     # over them is fine, and the result is broadcast.
     first = f"min(struct({group}, {by}, {value}))"
     firsts = ranged.groupBy("_chunk").agg(F.expr(first).alias("_f"))

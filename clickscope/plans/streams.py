@@ -25,7 +25,15 @@ def _clicks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run(spark: SparkSession, start, name: str) -> str:
     root = scratch_path(spark, f"stream-{name}")
-    q = start(f"{root}/out", f"{root}/checkpoint")
+    # State partitions are fixed when a query first starts; size them to the
+    # cluster's cores for these checks and give the session its setting back.
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        q = start(f"{root}/out", f"{root}/checkpoint")
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

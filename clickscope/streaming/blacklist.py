@@ -73,10 +73,11 @@ def _blacklist_step(threshold: int, mode: str):
                 oldest = pd.Timestamp(wm, unit="ms").strftime("%Y-%m-%d")
                 counters = {k: v for k, v in counters.items() if k.split(_SEP, 1)[0] >= oldest}
         state.update((now_listed, list(counters.keys()), [int(v) for v in counters.values()]))
-        out = [passed[_COLS].assign(kind="pass")]
+        out = passed[_COLS].assign(kind="pass")
         if lister is not None:
-            out.append(pdf.iloc[[lister]][_COLS].assign(kind="listed"))
-        yield pd.concat(out, ignore_index=True)[["kind", *_COLS]]
+            listing = pdf.iloc[[lister]][_COLS].assign(kind="listed")
+            out = listing if out.empty else pd.concat([out, listing], ignore_index=True)
+        yield out[["kind", *_COLS]]
 
     return step
 
