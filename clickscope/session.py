@@ -39,9 +39,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, fault-tolerant folder and is
-    used as is.  Only when it is unset (local tests) a fresh folder is made
-    and registered, so that ``DataFrame.checkpoint`` and streaming
-    checkpoints have somewhere to go.
+    used as is; if it is unset there, this fails rather than fall back to a
+    machine-local folder.  Only in local mode (tests) a fresh folder is made
+    and registered when the setting is unset.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -49,6 +49,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...): "
+                               "a machine-local folder is not visible to the other executors")
         root = tempfile.mkdtemp(prefix="clickscope-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -68,3 +71,29 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def scale_settings(input_bytes: int, cores: int, *, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a job reading ``input_bytes`` on ``cores``.
+
+    The initial shuffle partition count aims at ``partition_bytes`` of input
+    per partition (at least two per core); AQE then merges small partitions
+    towards the same advisory size and splits skewed join partitions, so a
+    partition fits in an executor's execution memory without spilling much.
+    """
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, *, partition_bytes: int = 256 << 20) -> None:
+    """Set ``scale_settings`` on a session (cores = default parallelism)."""
+    for k, v in scale_settings(input_bytes, spark.sparkContext.defaultParallelism,
+                               partition_bytes=partition_bytes).items():
+        spark.conf.set(k, v)
