@@ -10,7 +10,6 @@ under the session's checkpoint folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickscope.config import CHECK
 from clickscope.session import scratch_path

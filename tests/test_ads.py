@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from clickscope.operators import ads as A
 from clickscope.sources.ads_log import kafka_options, parse_ads_log

@@ -1,5 +1,4 @@
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from clickscope.functions.city_remark import register_city_remark
 from clickscope.operators.area import area_product_counts, area_product_top3, city_remark
