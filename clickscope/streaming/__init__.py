@@ -1,7 +1,8 @@
 from clickscope.streaming.versioned import VersionedTable
 from clickscope.streaming.blacklist import blacklist_stream
 from clickscope.streaming.ads_jobs import (Trigger, AVAILABLE_NOW, start_running_counts, start_last_hour,
-                                           start_blacklist, start_blacklist_tables, read_blacklist_tables,
+                                           start_blacklist, start_blacklist_tables, apply_blacklist_batch,
+                                           read_blacklist_tables,
                                            start_ads_jobs, read_blacklist,
                                            read_passed_clicks, passed_clicks_stream, read_last_hour,
                                            read_table)

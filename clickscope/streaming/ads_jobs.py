@@ -190,27 +190,8 @@ def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
     batch rewrites only the days it touched.  Passed clicks go to
     ``blacklist_passed/batch=<id>``.
     """
-    keys = ["user_id", "day", "ads_id"]
-    counters = VersionedTable(_path(out_root, "blacklist_counters"), keys, partition_by="day")
-    listed = VersionedTable(_path(out_root, "blacklist_listed"), ["user_id"])
-    passed_root = _path(out_root, "blacklist_passed")
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        snapshot = listed.read(spark, below=batch_id)
-        passed = batch if snapshot is None else A.drop_blacklisted(batch, snapshot)
-        passed.write.mode("overwrite").parquet(f"{passed_root}/batch={batch_id}")
-        inc = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        base = counters.read(spark, below=batch_id, only=counters.touched(inc))
-        totals = inc if base is None else (
-            inc.join(base.withColumnRenamed("n", "_n0"), keys, "left")
-            .select(*keys, (F.col("n") + F.coalesce(F.col("_n0"), F.lit(0))).alias("n")))
-        totals = totals.persist()
-        counters.upsert(totals, batch_id)
-        listed.upsert(totals.where(F.col("n") >= threshold).select("user_id").distinct(), batch_id)
-        totals.unpersist()
+        apply_blacklist_batch(batch, batch_id, out_root, threshold)
 
     w = (clicks.writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -219,6 +200,29 @@ def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
     return trigger.apply(w).start()
 
 
+def apply_blacklist_batch(batch: DataFrame, batch_id: int, out_root: str,
+                          threshold: int = BLACKLIST_THRESHOLD) -> None:
+    """One micro-batch of ``start_blacklist_tables`` (idempotent per batch id)."""
+    if batch.isEmpty():
+        return
+    keys = ["user_id", "day", "ads_id"]
+    counters = VersionedTable(_path(out_root, "blacklist_counters"), keys, partition_by="day")
+    listed = VersionedTable(_path(out_root, "blacklist_listed"), ["user_id"])
+    spark = batch.sparkSession
+    snapshot = listed.read(spark, below=batch_id)
+    passed = batch if snapshot is None else A.drop_blacklisted(batch, snapshot)
+    passed.write.mode("overwrite").parquet(f"{_path(out_root, 'blacklist_passed')}/batch={batch_id}")
+    inc = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    base = counters.read(spark, below=batch_id, only=counters.touched(inc))
+    totals = inc if base is None else (
+        inc.join(base.withColumnRenamed("n", "_n0"), keys, "left")
+        .select(*keys, (F.col("n") + F.coalesce(F.col("_n0"), F.lit(0))).alias("n")))
+    totals = totals.persist()
+    counters.upsert(totals, batch_id)
+    listed.upsert(totals.where(F.col("n") >= threshold).select("user_id").distinct(), batch_id)
+    totals.unpersist()
+
+
 def read_blacklist_tables(spark: SparkSession, out_root: str) -> tuple[DataFrame | None, DataFrame]:
     """(listed users, passed clicks) written by ``start_blacklist_tables``."""
     listed = VersionedTable(_path(out_root, "blacklist_listed"), ["user_id"]).read(spark)

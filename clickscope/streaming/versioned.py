@@ -6,7 +6,9 @@ a version is complete when Spark's ``_SUCCESS`` marker is in it.  An upsert
 for batch ``b`` reads the newest complete version *below* ``b``, drops the
 rows whose key is in the batch (``left_anti``), adds the batch rows and
 writes ``v=b``.  Replaying batch ``b`` rewrites the same version from the
-same base, so a retried micro-batch never double counts.
+same base, so a retried micro-batch never double counts.  (A reader that
+planned a read of the newest version while that batch is being replayed
+must read again.)
 
 With ``partition_by`` (e.g. ``day``) a version holds only the partitions the
 batch touched (``v=<b>/_p=<tag>``), so the work of a batch is proportional

@@ -71,3 +71,25 @@ def test_drop_blacklisted_snapshot(spark):
     clicks = _clicks(spark, [(_t(0), 0, "n", "c", "u1", "1", "d"), (_t(1), 1, "n", "c", "u2", "1", "d")])
     bl = spark.createDataFrame([("u1",)], "user_id string")
     assert [r.user_id for r in A.drop_blacklisted(clicks, bl).collect()] == ["u2"]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]), st.sampled_from(["1", "2"]),
+                          st.integers(0, 3)), max_size=40), st.integers(1, 4))
+def test_row_mode_output_is_subset_and_prefix(spark, events, th):
+    rows = [(_t(i), i, "n", "c", u, a, f"2024-01-0{d + 1}") for i, (u, a, d) in enumerate(events)]
+    if not rows:
+        return
+    clicks = _clicks(spark, rows)
+    passed = {r.event_id for r in A.ads_not_blacklisted(clicks, th).collect()}
+    assert passed <= {r[1] for r in rows}
+    listed = {r.user_id for r in A.blacklist_users(clicks, th).collect()}
+    for u in {r[4] for r in rows}:
+        mine = [r[1] for r in rows if r[4] == u]
+        kept = [e for e in mine if e in passed]
+        assert kept == mine[:len(kept)]  # a user's passed clicks are a prefix in time
+        if u not in listed:
+            assert kept == mine
