@@ -30,37 +30,42 @@ def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
     coalesced by AQE where small).
     """
     cols = [group, *order, value]
-    by = ", ".join(order)
     base = df.select(*cols)
+    # columns are renamed to fixed names inside, so the SQL text below never
+    # depends on how the caller's columns are spelled
+    names = ["_g", *[f"_o{i}" for i in range(len(order))], "_v"]
+    base = base.toDF(*names)
+    by = ", ".join(names[1:-1])
     if not skew_safe:
-        w = f"OVER (PARTITION BY {group} ORDER BY {by})"
-        return base.selectExpr(group, value, f"lead({value}) {w} AS next_value",
+        w = f"OVER (PARTITION BY _g ORDER BY {by})"
+        return base.selectExpr(f"_g AS `{group}`", f"_v AS `{value}`", f"lead(_v) {w} AS next_value",
                                f"lead(true) {w} IS NOT NULL AS has_next")
 
     # Without an explicit count the range exchange uses the shuffle
     # partitions and AQE may merge small neighbouring ranges; merged ranges
     # stay contiguous and in order, and large (hot) ranges are not merged.
-    ranged = (base.repartitionByRange(chunks, group, *order) if chunks
-              else base.repartitionByRange(group, *order))
-    ranged = ranged.selectExpr(*cols, "spark_partition_id() AS _chunk")
-    w = f"OVER (PARTITION BY {group}, _chunk ORDER BY {by})"
-    marked = ranged.selectExpr(group, value, "_chunk", f"lead({value}) {w} AS next_value",
+    ranged = (base.repartitionByRange(chunks, *names[:-1]) if chunks
+              else base.repartitionByRange(*names[:-1]))
+    ranged = ranged.selectExpr(*names, "spark_partition_id() AS _chunk")
+    w = f"OVER (PARTITION BY _g, _chunk ORDER BY {by})"
+    marked = ranged.selectExpr("_g", "_v", "_chunk", f"lead(_v) {w} AS next_value",
                                f"lead(true) {w} IS NOT NULL AS has_next")
-    inside = marked.where("has_next").drop("_chunk")
+    inside = marked.where("has_next").selectExpr(f"_g AS `{group}`", f"_v AS `{value}`", "next_value",
+                                                 "has_next")
 
     # First row of every non-empty chunk, and for each chunk the first row of
     # the next non-empty one.  One row per chunk: a single-partition window
     # over them is fine, and the result is broadcast.
-    first = f"min(struct({group}, {by}, {value}))"
-    firsts = ranged.groupBy("_chunk").agg(F.expr(first).alias("_f"))
+    firsts = ranged.groupBy("_chunk").agg(F.expr(f"min(struct(_g, {by}, _v))").alias("_f"))
     w2 = "OVER (ORDER BY _chunk)"
     follow = F.broadcast(firsts.selectExpr(
-        "_chunk", f"lead(_f.{group}) {w2} AS _next_g", f"lead(_f.{value}) {w2} AS _next_v",
+        "_chunk", f"lead(_f._g) {w2} AS _next_g", f"lead(_f._v) {w2} AS _next_v",
         f"lead(true) {w2} IS NOT NULL AS _next_exists"))
-    cont = f"(_next_exists AND _next_g = {group})"
+    cont = "(_next_exists AND _next_g <=> _g)"
     tails = (marked.where("NOT has_next")
              .join(follow, "_chunk", "left")
-             .selectExpr(group, value, f"CASE WHEN {cont} THEN _next_v END AS next_value",
+             .selectExpr(f"_g AS `{group}`", f"_v AS `{value}`",
+                         f"CASE WHEN {cont} THEN _next_v END AS next_value",
                          f"coalesce({cont}, false) AS has_next"))
     return inside.unionByName(tails)
 
@@ -70,4 +75,4 @@ def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
     """Rows ``(group, prev_value, next_value)``: one per adjacent pair."""
     return (with_successor(df, group, order, value, chunks=chunks, skew_safe=skew_safe)
             .where("has_next")
-            .selectExpr(group, f"{value} AS prev_value", "next_value"))
+            .selectExpr(f"`{group}`", f"`{value}` AS prev_value", "next_value"))

@@ -12,7 +12,6 @@ from clickscope.functions.text import percent_sql
 from clickscope.operators.adjacency import adjacent_pairs, with_successor
 
 
-
 def _page_ids(flow: str) -> list[str]:
     # The reference splits the flow text on "," and compares the pieces with
     # page_id.toString, so only canonical decimal pieces can ever match.
