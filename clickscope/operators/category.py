@@ -92,8 +92,13 @@ def category_session_top10(actions: DataFrame | None, top_categories: DataFrame,
     """
     ids = F.broadcast(top_categories.select("category_id").distinct())
     if by_session is not None:
-        counts = (by_session.join(ids, "category_id", "left_semi")
-                  .where(F.col("click_count") > 0)
+        # Both consumers of ``by_session`` must plan the same aggregate for
+        # Spark to run it once: an inner join with the (distinct, broadcast)
+        # ids keeps the rows a semi join keeps but is not pushed below the
+        # aggregate, and the order / pay counts stay referenced (counts are
+        # never negative) so column pruning does not drop them on this side.
+        counts = (by_session.join(ids, "category_id")
+                  .where((F.col("click_count") > 0) & (F.col("order_count") + F.col("pay_count") >= 0))
                   .select("category_id", "session_id", "click_count"))
     else:
         clicks = actions.select(F.col("click_category_id").cast("string").alias("category_id"),
