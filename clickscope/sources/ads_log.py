@@ -44,12 +44,16 @@ def parse_ads_log(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame
 
 
 def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
-                  starting_offsets: str = "latest") -> dict[str, str]:
+                  starting_offsets: str = "latest",
+                  max_offsets_per_trigger: int | None = 5_000_000) -> dict[str, str]:
     """Consumer settings of the reference's direct stream, as source options.
 
     Offsets are tracked in the query checkpoint instead of being auto-committed
     to the broker, which makes a restarted query resume exactly where the last
-    committed micro-batch ended.
+    committed micro-batch ended.  ``max_offsets_per_trigger`` bounds a
+    micro-batch (a backlog after downtime is worked off over several batches,
+    nothing is dropped), which bounds the per-user frames of the stateful
+    blacklist.
     """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -57,16 +61,20 @@ def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = Non
         "startingOffsets": starting_offsets,
         "failOnDataLoss": "false",
     }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if group_id:
         opts["kafka.group.id"] = group_id
     return opts
 
 
 def kafka_ads_stream(spark: SparkSession, bootstrap_servers: str, topic: str = "ads_log",
-                     group_id: str | None = None, starting_offsets: str = "latest") -> DataFrame:
+                     group_id: str | None = None, starting_offsets: str = "latest",
+                     max_offsets_per_trigger: int | None = 5_000_000) -> DataFrame:
     """S3: streaming frame of record values (needs the Kafka connector jar)."""
     reader = spark.readStream.format("kafka")
-    for k, v in kafka_options(bootstrap_servers, topic, group_id, starting_offsets).items():
+    for k, v in kafka_options(bootstrap_servers, topic, group_id, starting_offsets,
+                              max_offsets_per_trigger).items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"))
 

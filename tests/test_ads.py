@@ -26,6 +26,7 @@ def test_parse_and_reject(spark):
 def test_kafka_options():
     o = kafka_options("h:9092", "ads_log", group_id="g")
     assert o["subscribe"] == "ads_log" and o["startingOffsets"] == "latest" and o["kafka.group.id"] == "g"
+    assert int(o["maxOffsetsPerTrigger"]) > 0
 
 
 def test_blacklist_edge_row_mode(spark):
