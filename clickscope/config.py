@@ -60,6 +60,10 @@ BLACKLIST_THRESHOLD = 100    # clicks per (user, day, ad) that list a user
 OTHER_LABEL = "其他"         # label of the residual share in the city remark
 LAST_HOUR_MINUTES = 60       # window of the last-hour report
 
+# Result table names of the reference, spelled as it spells them.
+REPORT_TABLES = ("category_top10", "category_top10_session_count", "page_conversion_rate",
+                 "arer_product_click")
+
 # Percent patterns (java.text.DecimalFormat syntax, as used by format_number).
 PAGE_RATE_PATTERN = ".00%"
 CITY_SHARE_PATTERN = "0.00%"
