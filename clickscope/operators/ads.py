@@ -56,20 +56,30 @@ def area_ads_top3_json(top: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- R1 / R2
 
-def blacklist_hits(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
+def blacklist_hits(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
+                   prior: DataFrame | None = None) -> DataFrame:
     """The click that makes a (user, day, ad) counter reach ``threshold``.
 
     One row per counter that reaches it: user_id, day, ads_id, ts[, event_id].
-    ``row_number() == threshold`` over the counter's clicks in time order is
-    planned with a WindowGroupLimit: every task keeps at most ``threshold``
-    clicks per counter before the shuffle, so a hot user or ad sends a
-    bounded number of rows to the final ranking.
+    ``prior`` (user_id, day, ads_id, n) gives counts from before ``clicks``
+    (earlier micro-batches), so the hit is the click whose running count,
+    prior included, first equals ``threshold``.  ``row_number() <= threshold``
+    over the counter's clicks in time order is planned with a
+    WindowGroupLimit: every task keeps at most ``threshold`` clicks per
+    counter before the shuffle, so a hot user or ad sends a bounded number of
+    rows to the final ranking.
     """
-    keep = ["user_id", "day", "ads_id", "ts"] + (["event_id"] if "event_id" in clicks.columns else [])
-    w = Window.partitionBy("user_id", "day", "ads_id").orderBy(*_time_order(clicks))
-    return (clicks.select(*keep)
-            .withColumn("_n", F.row_number().over(w))
-            .where(F.col("_n") == threshold).drop("_n"))
+    keys = ["user_id", "day", "ads_id"]
+    keep = [*keys, "ts"] + (["event_id"] if "event_id" in clicks.columns else [])
+    w = Window.partitionBy(*keys).orderBy(*_time_order(clicks))
+    ranked = (clicks.select(*keep)
+              .withColumn("_n", F.row_number().over(w))
+              .where(F.col("_n") <= threshold))
+    if prior is None:
+        return ranked.where(F.col("_n") == threshold).drop("_n")
+    return (ranked.join(prior.select(*keys, F.col("n").alias("_p")), keys, "left")
+            .where(F.col("_n") + F.coalesce(F.col("_p"), F.lit(0)) == threshold)
+            .drop("_n", "_p"))
 
 
 def blacklist_users(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
@@ -83,9 +93,10 @@ def blacklist_users(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) ->
             .select("user_id").distinct())
 
 
-def blacklist_since(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
+def blacklist_since(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
+                    prior: DataFrame | None = None) -> DataFrame:
     """Per listed user, the (ts[, event_id]) of the click that listed them."""
-    hits = blacklist_hits(clicks, threshold)
+    hits = blacklist_hits(clicks, threshold, prior)
     order = ["ts"] + (["event_id"] if "event_id" in hits.columns else [])
     first = F.min(F.struct(*order)).alias("_since")
     return hits.groupBy("user_id").agg(first).select(
@@ -96,20 +107,23 @@ LISTED_BROADCAST_ROWS = 500_000
 
 
 def ads_not_blacklisted(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD, *,
+                        prior: DataFrame | None = None,
                         broadcast_rows: int | None = LISTED_BROADCAST_ROWS) -> DataFrame:
     """R2 (row-exact): clicks that pass a blacklist updated after every click.
 
     A click passes unless its user was listed by an earlier click; the click
     that lists a user still passes (the filter runs before the update), as in
     the reference's filter-then-count order.  Equivalent to running the
-    reference with a micro-batch of one click.
+    reference with a micro-batch of one click.  ``prior`` carries counter
+    values from earlier batches (see ``blacklist_hits``); users listed before
+    must already be removed from ``clicks``.
 
     The listed users are usually far fewer than the clicks but not bounded
     in general: they are materialized once and broadcast when at most
     ``broadcast_rows`` (so the click log is not shuffled at all); beyond that
     the left join shuffles, and AQE splits a hot user's partition.
     """
-    since = blacklist_since(clicks, threshold)
+    since = blacklist_since(clicks, threshold, prior)
     if broadcast_rows:
         since = checked_broadcast(since, broadcast_rows, name="listed-users")
     c = clicks.alias("c")

@@ -177,8 +177,8 @@ def start_blacklist(clicks: DataFrame, out_root: str, checkpoint: str, *,
 
 
 def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
-                           threshold: int = BLACKLIST_THRESHOLD, trigger: Trigger = Trigger(),
-                           name: str | None = None) -> StreamingQuery:
+                           threshold: int = BLACKLIST_THRESHOLD, mode: str = "batch",
+                           trigger: Trigger = Trigger(), name: str | None = None) -> StreamingQuery:
     """R1 + R2 in the reference's per-batch form, on the JVM only.
 
     Each micro-batch: read the listed users as they stood before it, drop
@@ -188,10 +188,11 @@ def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
     the list are versioned tables read "below the batch id", so a replayed
     batch starts from the same state; counters are partitioned by day, so a
     batch rewrites only the days it touched.  Passed clicks go to
-    ``blacklist_passed/batch=<id>``.
+    ``blacklist_passed/batch=<id>``.  ``mode="row"`` filters exactly per
+    click instead (the batch operator with the stored counters as prior).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        apply_blacklist_batch(batch, batch_id, out_root, threshold)
+        apply_blacklist_batch(batch, batch_id, out_root, threshold, mode)
 
     w = (clicks.writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -201,19 +202,23 @@ def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
 
 
 def apply_blacklist_batch(batch: DataFrame, batch_id: int, out_root: str,
-                          threshold: int = BLACKLIST_THRESHOLD) -> None:
+                          threshold: int = BLACKLIST_THRESHOLD, mode: str = "batch") -> None:
     """One micro-batch of ``start_blacklist_tables`` (idempotent per batch id)."""
+    if mode not in ("batch", "row"):
+        raise ValueError("mode is 'batch' or 'row'")
     if batch.isEmpty():
         return
     keys = ["user_id", "day", "ads_id"]
     counters = VersionedTable(_path(out_root, "blacklist_counters"), keys, partition_by="day")
     listed = VersionedTable(_path(out_root, "blacklist_listed"), ["user_id"])
     spark = batch.sparkSession
+    inc = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    base = counters.read(spark, below=batch_id, only=counters.touched(inc))
     snapshot = listed.read(spark, below=batch_id)
     passed = batch if snapshot is None else A.drop_blacklisted(batch, snapshot)
+    if mode == "row":
+        passed = A.ads_not_blacklisted(passed, threshold, prior=base)
     passed.write.mode("overwrite").parquet(f"{_path(out_root, 'blacklist_passed')}/batch={batch_id}")
-    inc = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    base = counters.read(spark, below=batch_id, only=counters.touched(inc))
     totals = inc if base is None else (
         inc.join(base.withColumnRenamed("n", "_n0"), keys, "left")
         .select(*keys, (F.col("n") + F.coalesce(F.col("_n0"), F.lit(0))).alias("n")))

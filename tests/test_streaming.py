@@ -111,6 +111,15 @@ def test_jvm_blacklist_tables_equal_state_batch_mode(spark, sliced, tmp_dir):
     assert _rows(listed, ["user_id"]) == _rows(A.blacklist_users(_batch(spark), TH), ["user_id"])
 
 
+def test_jvm_blacklist_tables_row_mode_equals_batch_operator(spark, sliced, tmp_dir):
+    _run(J.start_blacklist_tables(_stream(spark, sliced), f"{tmp_dir}/a", f"{tmp_dir}/cka", threshold=TH,
+                                  mode="row", trigger=J.AVAILABLE_NOW))
+    listed, passed = J.read_blacklist_tables(spark, f"{tmp_dir}/a")
+    clicks = _batch(spark)
+    assert _rows(passed, ["event_id"]) == _rows(A.ads_not_blacklisted(clicks, TH), ["event_id"])
+    assert _rows(listed, ["user_id"]) == _rows(A.blacklist_users(clicks, TH), ["user_id"])
+
+
 def test_composed_jobs_count_passed_clicks(spark, sliced, tmp_dir):
     qs = J.start_ads_jobs(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", threshold=TH,
                           blacklist_mode="row", counts_mode="update", trigger=J.AVAILABLE_NOW)

@@ -51,6 +51,16 @@ def main() -> None:
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = plan.split("== Initial Plan ==")[0]
         lines += [f"## {name}", "", "```", *summary(plan), "```", ""]
+    # ads_not_blacklisted writes its listed users first (checked broadcast);
+    # that job's plan holds the window
+    from clickscope.config import CHECK
+    from clickscope.operators.ads import blacklist_since
+    from clickscope.sources import bindings as B
+    df = blacklist_since(B.ads_clicks(B.test_tables(spark, sf_dir)), CHECK.blacklist_threshold)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines += ["## ads_not_blacklisted: listed users (written before the main query)", "", "```",
+              *summary(plan), "```", ""]
     spark.stop()
     with open("PLANS.md", "w") as f:
         f.write("\n".join(lines))
