@@ -13,8 +13,10 @@ must read again.)
 With ``partition_by`` (e.g. ``day``) a version holds only the partitions the
 batch touched (``v=<b>/_p=<tag>``), so the work of a batch is proportional
 to the partitions it touches, not to the table; a reader takes, for each
-partition, its newest complete version.  Without it every version is the
-whole table.
+partition, its newest complete version.  Every ``compact_every``-th batch
+writes all partitions once, which lets the versions of partitions no longer
+touched be pruned, so listings stay short on a stream that runs for years.
+Without ``partition_by`` every version is the whole table.
 """
 
 from __future__ import annotations
@@ -41,11 +43,15 @@ class VersionedTable:
     """A keyed serving table with one folder per committed micro-batch."""
 
     def __init__(self, path: str, keys: list[str], partition_by: str | None = None,
-                 keep_versions: int = 3):
+                 keep_versions: int = 3, compact_every: int = 200):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.partition_by = partition_by
         self.keep_versions = keep_versions
+        # Every `compact_every`-th batch writes all partitions, so partitions
+        # that are no longer touched do not keep old versions (and listings)
+        # alive for ever.
+        self.compact_every = compact_every
 
     # ------------------------------------------------------------ listing
     def _listing(self, spark: SparkSession) -> dict[int, list[str]]:
@@ -103,7 +109,8 @@ class VersionedTable:
         """
         spark = batch.sparkSession
         tags = self.touched(batch) if self.partition_by else None
-        base = self.read(spark, below=batch_id, only=tags)
+        compact = bool(self.partition_by and self.compact_every and batch_id % self.compact_every == 0)
+        base = self.read(spark, below=batch_id, only=None if compact else tags)
         merged = batch if base is None else (
             base.join(batch.select(*self.keys).distinct(), self.keys, "left_anti")
             .unionByName(batch.select(*base.columns)))

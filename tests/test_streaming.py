@@ -194,3 +194,15 @@ def test_blacklist_batch_step_replay_is_idempotent(spark, tmp_dir):
     assert _rows(again[1], ["event_id"]) == [(i,) for i in range(6)]
     counters = J.VersionedTable(f"{out}/blacklist_counters", ["user_id", "day", "ads_id"], "day").read(spark)
     assert _rows(counters, ["user_id", "n"]) == [("u1", 6)]
+
+
+def test_partitioned_compaction_prunes_untouched_partitions(spark, tmp_dir):
+    t = VersionedTable(f"{tmp_dir}/ctbl", ["day", "k"], partition_by="day", compact_every=4)
+    schema = "day string, k string, n long"
+    t.upsert(spark.createDataFrame([("d1", "a", 1)], schema), 1)
+    for b in range(2, 14):
+        t.upsert(spark.createDataFrame([("d2", "a", b)], schema), b)
+    # d1 was rewritten by the compactions at 4, 8 and 12, so version 1 is
+    # gone; each partition keeps its 3 newest versions
+    assert t.versions(spark) == [4, 8, 11, 12, 13]
+    assert _rows(t.read(spark), ["day", "k", "n"]) == [("d1", "a", 1), ("d2", "a", 13)]
