@@ -4,7 +4,7 @@ from clickscope.streaming.ads_jobs import (Trigger, AVAILABLE_NOW, start_running
                                            start_blacklist, start_blacklist_tables, apply_blacklist_batch,
                                            read_blacklist_tables,
                                            start_ads_jobs, read_blacklist,
-                                           read_passed_clicks, passed_clicks_stream, read_last_hour,
+                                           read_passed_clicks, passed_clicks_stream, read_last_hour, read_last_hour_json,
                                            read_table)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -153,6 +153,12 @@ def read_last_hour(spark: SparkSession, out_root: str, minutes: int = LAST_HOUR_
                     F.date_format("minute_start", "HH:mm").alias("minute"), "click_count"))
 
 
+def read_last_hour_json(spark: SparkSession, out_root: str, minutes: int = LAST_HOUR_MINUTES) -> DataFrame | None:
+    """R5 serving form of the reference: one JSON per ad, ``[{"HH:mm":count},...]``."""
+    t = read_last_hour(spark, out_root, minutes)
+    return None if t is None else A.last_hour_json(t)
+
+
 # ---------------------------------------------------------------- R1 + R2
 
 PASSED_SCHEMA = ("ts TIMESTAMP, event_id BIGINT, area STRING, city STRING, user_id STRING, "

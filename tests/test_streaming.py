@@ -76,6 +76,9 @@ def test_last_hour_equals_batch_minutes(spark, sliced, tmp_dir):
                 .agg(F.count(F.lit(1)).alias("click_count")))
     cols = ["ads_id", "minute", "click_count"]
     assert _rows(J.read_last_hour(spark, f"{tmp_dir}/out"), cols) == _rows(expected, cols)
+    js = {r.ads_id: r.clicks_json for r in J.read_last_hour_json(spark, f"{tmp_dir}/out").collect()}
+    assert set(js) == {r.ads_id for r in expected.collect()}
+    assert all(v.startswith('[{"') and v.endswith("}]") for v in js.values())
 
 
 def test_blacklist_row_mode_equals_batch(spark, sliced, tmp_dir):
