@@ -32,22 +32,42 @@ def enrich_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
             .select("city_id", "city_name", "area", "click_product_id", "product_name"))
 
 
+# Product dimensions up to this many rows are broadcast before the click log
+# is aggregated (size-checked); larger ones are joined after it.
+EARLY_PRODUCT_ROWS = 1_000_000
+
+
 def area_city_product_counts(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
-                             broadcast_rows: int | None = DIM_BROADCAST_ROWS) -> DataFrame:
+                             broadcast_rows: int | None = DIM_BROADCAST_ROWS,
+                             early_product_rows: int | None = EARLY_PRODUCT_ROWS) -> DataFrame:
     """B8+B9 first level: clicks per (area, product_name, city_name).
 
-    The click log is first counted per (city_id, product_id) - a partial,
-    map-side combined aggregation - so the dimension joins see one row per
-    distinct pair instead of one per click, and a hot product or city is
-    already collapsed before any shuffle.  Dimensions are broadcast only when
-    a size check allows (planner threshold / AQE, or ``broadcast_rows``);
-    otherwise the join shuffles the pre-aggregated rows.
+    Two plans, chosen by a row-count check of the product dimension:
+
+    * small products (at most ``early_product_rows``): both dimensions are
+      broadcast and joined to the click log first, so the map-side partial
+      aggregation already groups by product *name* and city - the coarsest
+      key - and the log is never shuffled;
+    * large products: the click log is first counted per (city_id,
+      product_id) - a partial, map-side combined aggregation - so the
+      product join, a shuffle join at that size, sees one row per distinct
+      pair instead of one per click, and a hot product or city is already
+      collapsed before any shuffle.
     """
+    c = bounded_broadcast(cities.select("city_id", "city_name", "area"), broadcast_rows)
+    prod = products.select("product_id", "product_name")
+    if early_product_rows:
+        p = bounded_broadcast(prod, early_product_rows)
+        if p is not prod:  # the check passed: broadcast before aggregating
+            return (_clicks(actions).select("city_id", "click_product_id")
+                    .join(F.broadcast(c), "city_id")
+                    .join(p, F.col("click_product_id") == p["product_id"])
+                    .groupBy("area", "product_name", "city_name")
+                    .agg(F.count(F.lit(1)).alias("n")))
     pairs = (_clicks(actions)
              .groupBy("city_id", "click_product_id")
              .agg(F.count(F.lit(1)).alias("n")))
-    c = bounded_broadcast(cities.select("city_id", "city_name", "area"), broadcast_rows)
-    p = bounded_broadcast(products.select("product_id", "product_name"), broadcast_rows)
+    p = bounded_broadcast(prod, broadcast_rows)
     return (pairs.join(c, "city_id")
             .join(p, F.col("click_product_id") == p["product_id"])
             .groupBy("area", "product_name", "city_name")
