@@ -64,3 +64,14 @@ def test_shares_sum_to_one(spark, counts):
     total = sum(float(part.split(":")[1].rstrip("%")) for part in text.split(","))
     assert abs(total - 100.0) <= 0.02
     assert len(text.split(",")) == (3 if len(counts) > 2 else len(counts))
+
+
+def test_early_and_late_product_join_agree(spark):
+    from clickscope.operators.area import area_city_product_counts
+    from clickscope.sources import bindings as B
+    from tests.conftest import SF_SMALL
+    t = B.test_tables(spark, SF_SMALL)
+    cols = ["area", "product_name", "city_name", "n"]
+    early = area_city_product_counts(B.actions(t), B.cities(t), B.products(t), early_product_rows=10**6)
+    late = area_city_product_counts(B.actions(t), B.cities(t), B.products(t), early_product_rows=None)
+    assert rows(early, *cols) == rows(late, *cols) and len(rows(early, *cols)) > 0
