@@ -51,3 +51,23 @@ def test_csv_text_stream_equals_batch(spark, tmp_dir):
     assert sorted(got) == sorted(A.day_area_city_ads(clicks).select(cols).collect())
     batch_lines = spark.read.text(folder)
     assert [r.value for r in parse_ads_log(batch_lines)[1].collect()] == ["abc,x"]
+
+
+def test_date_partitioned_log_prunes_partitions(spark, tmp_dir):
+    from clickscope.config import CHECK
+    from clickscope.operators.actions import filter_actions
+    t = B.test_tables(spark, SF_SMALL)
+    model = B.action_model(t)
+    model.actions.drop("event_id", "ts").write.partitionBy("date").parquet(f"{tmp_dir}/user_visit_action")
+    overwrite_table(model.users, f"{tmp_dir}/user_info")
+    overwrite_table(model.cities, f"{tmp_dir}/city_info")
+    overwrite_table(model.products, f"{tmp_dir}/product_info")
+    loaded = load_tables(spark, path=tmp_dir)
+    got = filter_actions(loaded.actions, loaded.users, CHECK.condition)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-05" in plan
+    want = filter_actions(model.actions, model.users, CHECK.condition).drop("event_id", "ts")
+    cols = sorted(want.columns)
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+    days = {r.date for r in got.select("date").distinct().collect()}
+    assert min(days) >= "2024-01-05" and max(days) <= "2024-01-25"
