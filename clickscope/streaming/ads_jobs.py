@@ -11,7 +11,9 @@ Serving tables under ``out_root``:
 * ``area_ads_top3`` (R4)      day, area, ads_id, click_count, rank
 * ``area_ads_top3_json`` (R4) day, area -> ads_json
 * ``last_hour`` (R5)          ads_id, minute_start -> click_count
-* ``blacklist_events`` (R1/R2) batch=<id>/kind=pass|listed
+* ``blacklist_events`` (R1/R2, state form) file-sink table, kind=pass|listed
+* ``blacklist_counters`` / ``blacklist_listed`` / ``blacklist_passed``
+  (R1/R2, JVM form) counters per (user, day, ad), listed users, passed clicks
 """
 
 from __future__ import annotations
