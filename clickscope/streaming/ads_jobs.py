@@ -119,8 +119,10 @@ def start_last_hour(clicks: DataFrame, out_root: str, checkpoint: str, *,
     Incremental minute counts in state (the reference recomputes the whole
     hour from raw events every 5 s).  Changed minutes are upserted; minutes
     older than the window of the newest minute are dropped from the table.
-    Clicks later than the watermark are dropped by Spark and reported in the
-    query progress (``numRowsDroppedByWatermark``).
+    State for minutes behind the watermark is evicted; a click that arrives
+    behind it may be dropped by Spark (then counted in the progress metric
+    ``numRowsDroppedByWatermark``), and the serving view never shows minutes
+    outside the current hour either way.
     """
     counts = (clicks.withWatermark("ts", f"{int(minutes)} minutes")
               .groupBy(F.window("ts", "1 minute").alias("w"), "ads_id")
