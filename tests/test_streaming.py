@@ -236,3 +236,16 @@ def test_last_hour_ignores_clicks_behind_the_window(spark, tmp_dir):
     # data newer than the watermark); the serving view never shows it
     got = {r.minute: r.click_count for r in J.read_last_hour(spark, f"{tmp_dir}/out").collect()}
     assert "12:05" not in got and got["13:55"] == 1 and got["13:50"] == 1
+
+
+def test_live_trigger_processes_and_stops(spark, sliced, tmp_dir):
+    q = J.start_running_counts(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", mode="update",
+                               trigger=J.Trigger(processing_time="1 second"), name="live_counts")
+    try:
+        q.processAllAvailable()
+        assert q.isActive and q.name == "live_counts"
+    finally:
+        q.stop()
+    r3 = _batch(spark).transform(A.day_area_city_ads)
+    cols = ["day", "area", "city", "ads_id", "click_count"]
+    assert _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), cols) == _rows(r3, cols)
