@@ -10,7 +10,7 @@ group inside a chunk lacks it, and only the group that is last in its chunk
 can continue in a later chunk - with the first row of the next non-empty
 chunk.  So the stitch table holds one row per chunk (its first row): its
 size is bounded by the number of chunks, not by the data, and it is
-broadcast.
+broadcast and joined to the window output in the same pass.
 """
 
 from __future__ import annotations
@@ -48,10 +48,8 @@ def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
               else base.repartitionByRange(*names[:-1]))
     ranged = ranged.selectExpr(*names, "spark_partition_id() AS _chunk")
     w = f"OVER (PARTITION BY _g, _chunk ORDER BY {by})"
-    marked = ranged.selectExpr("_g", "_v", "_chunk", f"lead(_v) {w} AS next_value",
-                               f"lead(true) {w} IS NOT NULL AS has_next")
-    inside = marked.where("has_next").selectExpr(f"_g AS `{group}`", f"_v AS `{value}`", "next_value",
-                                                 "has_next")
+    marked = ranged.selectExpr("_g", "_v", "_chunk", f"lead(_v) {w} AS _next",
+                               f"lead(true) {w} IS NOT NULL AS _has_next")
 
     # First row of every non-empty chunk, and for each chunk the first row of
     # the next non-empty one.  One row per chunk: a single-partition window
@@ -61,13 +59,14 @@ def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
     follow = F.broadcast(firsts.selectExpr(
         "_chunk", f"lead(_f._g) {w2} AS _next_g", f"lead(_f._v) {w2} AS _next_v",
         f"lead(true) {w2} IS NOT NULL AS _next_exists"))
-    cont = "(_next_exists AND _next_g <=> _g)"
-    tails = (marked.where("NOT has_next")
-             .join(follow, "_chunk", "left")
-             .selectExpr(f"_g AS `{group}`", f"_v AS `{value}`",
-                         f"CASE WHEN {cont} THEN _next_v END AS next_value",
-                         f"coalesce({cont}, false) AS has_next"))
-    return inside.unionByName(tails)
+    # One pass over the window output: rows with a successor inside their
+    # chunk keep it; the last row of a group in a chunk takes the first row
+    # of the next chunk when that row belongs to the same group.
+    cont = "coalesce(_next_exists AND _next_g <=> _g, false)"
+    return (marked.join(follow, "_chunk", "left")
+            .selectExpr(f"_g AS `{group}`", f"_v AS `{value}`",
+                        f"CASE WHEN _has_next THEN _next WHEN {cont} THEN _next_v END AS next_value",
+                        f"_has_next OR {cont} AS has_next"))
 
 
 def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
