@@ -21,7 +21,7 @@ from clickscope.plans.checks import QUERIES  # noqa: E402
 from clickscope.plans.streams import STREAM_QUERIES  # noqa: E402
 from clickscope.session import local_session  # noqa: E402
 
-KEEP = re.compile(r"^(\s*[:+\- ]*)(Exchange|BroadcastExchange|ReusedExchange|BroadcastHashJoin|SortMergeJoin|"
+KEEP = re.compile(r"^(\s*[:+\- ]*)(\*\(\d+\) )?(Exchange|BroadcastExchange|ReusedExchange|BroadcastHashJoin|SortMergeJoin|"
                   r"ShuffledHashJoin|WindowGroupLimit|Window|HashAggregate|ObjectHashAggregate|SortAggregate|"
                   r"TakeOrderedAndProject|Generate|Union)\b")
 
