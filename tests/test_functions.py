@@ -20,3 +20,27 @@ def test_percent_patterns_round_half_even(spark):
 def test_json_pairs_form(spark):
     df = spark.createDataFrame([([("1", 200), ("2", 100)],)], "l array<struct<k:string,v:bigint>>")
     assert df.select(json_pairs(F.col("l"), "k", "v")).first()[0] == '[{"1":200},{"2":100}]'
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+from clickscope.functions.text import split_id_list_sql  # noqa: E402
+
+
+def _java_split(s):
+    if s is None:
+        return None
+    parts = s.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts if s == "" or parts else []
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="12,", max_size=6)), min_size=1, max_size=8))
+def test_split_helpers_agree_with_java_split(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = df.select(split_id_list(F.col("s")).alias("a"), F.expr(split_id_list_sql("s")).alias("b")).collect()
+    for v, r in zip(values, got):
+        want = [""] if v == "" else _java_split(v)
+        assert r.a == r.b == want
