@@ -64,6 +64,8 @@ def mix_plan(docs: DataFrame, *, seed: str = "mix", weights: tuple[int, ...] = (
     text; rows equal in all that are interchangeable, so reruns agree.  An
     empty table gives an empty one.
     """
+    new = ["source_size", "target", "epochs", "part", *(["size"] if "text" in docs.columns else [])]
+    docs = docs.drop(*new)  # columns of those names are replaced
     sized = docs.withColumn("size", F.size(words(F.col("text"))).cast("long")) if "text" in docs.columns else docs
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     keyed = (sized.withColumn("__source", _source_key(F.col("source"))).withColumn("__key", key))
@@ -82,8 +84,7 @@ def mix_plan(docs: DataFrame, *, seed: str = "mix", weights: tuple[int, ...] = (
                .withColumn("__rest", budget - F.col("epochs") * F.col("source_size"))
                .withColumn("part", F.when(F.col("__before") < F.col("__rest"),
                                           F.least("size", F.col("__rest") - F.col("__before")))))
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "epochs", "part")]
-    return planned.select(*kept, "size", "source_size", "target", "epochs", "part")
+    return planned.select(*[c for c in docs.columns if c != "size"], "size", "source_size", "target", "epochs", "part")
 
 
 def taken() -> Column:

@@ -26,8 +26,9 @@ from clickscope.llm.common import WHITE, saved, words
 # The symbols that count.
 SYMBOLS = "#*$%&|<>"
 
-# Vector dimensions and the standard deviation under which a difference is noise.
-DIMENSIONS = {"word_length": 0.25, "symbols": 0.10, "repeats": 0.10, "dup_lines": 0.15}
+# Vector dimensions and the standard deviation under which a difference is noise: 6 % of the mean word length, one
+# symbol in a thousand characters, one word or line in 25 repeated (the shares enter by their roots).
+DIMENSIONS = {"word_length": 0.06, "symbols": 0.03, "repeats": 0.20, "dup_lines": 0.20}
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 

@@ -1,0 +1,79 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickscope.llm.html_extract import extract, main_text
+from clickscope.llm.queries import op2_line_block_text
+from tests.conftest import SF_SMALL
+
+BODY = "One two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen."
+
+
+def page(article, before="", after=""):
+    return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>{before}{article}{after}</body></html>"
+
+
+def test_query_equals_the_article_blocks(spark):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
+    got = op2_line_block_text(spark, SF_SMALL).collect()
+    assert sorted(r["page_id"] for r in got) == sorted(pages)
+    import html
+    for r in got:
+        inner = re.search("<article>(.*?)(?:</article>|<footer>|$)", pages[r["page_id"]]["html"], re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub("</?b>", "", x)).split()) for x in re.split("</?(?:p|h1|br)>", inner)]
+        assert r["text"] == " ".join(b for b in blocks if b)
+        assert r["n_chars"] == len(r["text"]) and r["url"] == pages[r["page_id"]]["url"]
+
+
+CASES = {
+    "menus and footers": (page(f"<article><h1>Hi</h1><p>{BODY}</p><p>Be.</p></article>", "<nav><ul><li><a href=/>Home</a></li></ul></nav>",
+                               "<footer>&copy; x</footer>"), f"Hi {BODY} Be."),
+    "names": (page(f"<div id=content><p>{BODY}</p><p>End</p></div>", "<header>Site</header><div class='cookie-notice'>We use cookies</div>",
+                   f"<div class='sidebar'><p>{BODY}</p></div><div id=comments><p>{BODY} {BODY}</p></div>"), f"{BODY} End"),
+    "inside": (page(f"<article><p>{BODY}</p><div class=\"ad\">Buy</div><form><label>Mail</label></form><aside>See</aside><p>More</p></article>"),
+               f"{BODY} More"),
+    "references": ("<article><p>a &amp; b&nbsp;c &lt;d&gt; &#233;&copy</p></article>", "a & b c <d> é©"),
+    "white space": ("<article><p>a\n\t b  c</p>\n\n<p>  </p><p>d<br>e</p></article>", "a b c d e"),
+    "inline": ("<article><p>un<b>bro</b>ken <a href='x>y'>link</a></p></article>", "unbroken link"),
+    "scripts": ("<article><script>var t='</p>';if(a<b)</script><p>x</p><!-- <p>no</p> --><style>p{}</style></article>", "x"),
+    "unclosed": (page(f"<article><h1>T</h1><p><b>{BODY}<br><p>Two")[:-14], f"T {BODY} Two"),
+    "unclosed script": ("<article><p>x</p><script>var a", "x"),
+    "tables and lists": ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a b c d"),
+    "no article, short": ("<p>Only this.</p>", "Only this."),
+    "plain": ("just text", "just text"),
+    "empty": ("", ""),
+    "null": (None, ""),
+    "markup only": ("<div><p></p></div>", ""),
+    "reader comments as articles": (f"<article><p>{BODY}</p></article><article class=comment><p>{BODY} no</p></article>", BODY),
+    "nested same tags": (f"<div class=ad><div>x</div><div>y</div></div><div><p>{BODY}</p></div>", BODY),
+    "stray less-than": ("<article><p>a < b and c > d</p></article>", "a < b and c > d"),
+    "odd quotes": ("<article><p title=it's>a</p><p>b's</p></article>", "a b's"),
+    "layout names": (f"<div class='content no-sidebar'><p>{BODY}</p></div>", BODY),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_cases(name):
+    html, want = CASES[name]
+    assert main_text(html) == want
+
+
+def test_lines_alone_find_the_article():
+    menu = "".join(f"<div><a href=/{i}>Item {i}</a></div>" for i in range(20))
+    text = "".join(f"<div>{BODY} {i}</div>" for i in range(5))
+    assert main_text(f"<body><div class=menu>{menu}</div><div>{text}</div><div class=footer>Imprint</div></body>") == " ".join(f"{BODY} {i}" for i in range(5))
+
+
+def test_long_pages_take_linear_time():
+    deep = "<div>" * 50_000 + "<p>x" * 50_000
+    assert main_text(deep).startswith("x x")
+    assert main_text("<p class=\"" * 20_000) == ""
+    assert len(main_text("<article><p>" + f"{BODY} " * 50_000)) == 50_000 * (len(BODY) + 1) - 1
+
+
+def test_column(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "<p>é &#x1F600;</p>"), (3, "<p>é &#x1F600;</p>")], "page_id long, html string")
+    got = [r[0] for r in df.select(extract(F.col("html"))).collect()]
+    assert got == ["", "", "é \U0001F600", "é \U0001F600"]
+    assert df.where("false").select(extract(F.col("html"))).collect() == []

@@ -1,0 +1,91 @@
+import random
+import zlib
+
+import numpy as np
+
+from clickscope.llm import langid as L
+from clickscope.llm.queries import language_model, op8_subword_langid
+from tests.conftest import SF_MID, SF_SMALL
+from tests.llm.helpers import empty_docs, odd_docs
+
+
+def test_held_out_accuracy(spark):
+    lang = {r["doc_id"]: (r["lang"], r["text"]) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()}
+    got = op8_subword_langid(spark, SF_MID).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(lang)
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) and 0 <= r["score"] <= 1
+    held = [r for r in got if r["held_out"]]
+    assert len(held) > 250
+    assert np.mean([r["lang_pred"] == lang[r["doc_id"]][0] for r in held]) >= 0.97
+    accepted = [r for r in held if r["accepted"]]
+    assert len(accepted) >= 0.97 * len(held)
+
+
+def test_short_texts(spark):
+    model = language_model(spark, SF_MID)
+    rng, right, n = random.Random(4), 0, 0
+    for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect():
+        w = r["text"].split()
+        if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 and len(w) > 30:
+            at = rng.randrange(len(w) - 8)
+            best, _ = model.predict([" ".join(w[at: at + 8]).encode()])
+            right += model.langs[best[0]] == r["lang"]
+            n += 1
+    assert right >= 0.93 * n
+
+
+def test_model_is_the_same_on_reruns(spark):
+    a, b = language_model(spark, SF_SMALL), language_model(spark, SF_SMALL)
+    assert a.langs == b.langs and np.array_equal(a.scores, b.scores) and (a.temperature, a.threshold) == (b.temperature, b.threshold)
+
+
+def test_odd_rows(spark):
+    model = language_model(spark, SF_SMALL)
+    docs, rows = odd_docs(spark, extra=("lang_pred", "score"))
+    got = L.identify(docs, model).select("text", "__lang.*").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        blank = r[0] is None or not any(c.isalpha() for c in r[0])
+        assert (r[1] == "und") == blank and 0 <= r[2] <= 1
+        assert not (blank and r[3])
+    kept = L.keep_recognised(docs, model)
+    assert kept.columns == docs.columns
+    assert all(r["text"] and any(c.isalpha() for c in r["text"]) for r in kept.collect())
+
+
+def test_without_labels_all_is_undecided(spark):
+    docs, _ = odd_docs(spark)
+    assert L.train(empty_docs(spark)) is None
+    assert L.train(docs.where("lang is null")) is None
+    assert {r[0] for r in L.identify(docs, None).select("__lang.lang_pred").collect()} == {"und"}
+    assert L.identify(empty_docs(spark), None).collect() == []
+
+
+def test_one_language(spark):
+    docs, _ = odd_docs(spark)
+    model = L.train(docs.where("lang = 'en'"))
+    assert model.langs == ["en"]
+    assert model.predict([b"ka lo mi"])[0].tolist() == [0]
+
+
+def test_whole_text_counts_whatever_the_parts(monkeypatch):
+    text = ("ab cd \n efg\t" * 500).encode()
+    whole = np.sort(np.concatenate(list(L.subwords(text, 12))))
+    monkeypatch.setattr(L, "_PART", 101)
+    parts = np.sort(np.concatenate(list(L.subwords(text, 12))))
+    assert np.array_equal(whole, parts)
+    assert [len(x) for x in L.subwords(b"", 12)] == [1]
+
+
+def test_calibration():
+    rng = np.random.default_rng(0)
+    y = rng.integers(0, 3, 600)
+    logits = rng.normal(0, 1, (600, 3))
+    logits[np.arange(600), y] += 2
+    t, threshold = L.calibrate(logits * 5, y, np.zeros(3), 0.05)
+    assert 2.5 < t < 10
+    best, score = L._best(logits * 5, np.zeros(3), t)
+    right = score[best == y]
+    assert abs((right < threshold).mean() - 0.05) < 0.01
+    assert abs(score.mean() - (best == y).mean()) < 0.05
