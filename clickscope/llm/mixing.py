@@ -14,9 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import bucket_count, running_before, words
+from clickscope.llm.common import bucket_count, running_before, saved, words
 
 _KEY_SPACE = 1 << 28  # seven hex digits of the key
+BROADCAST_SOURCES = 100_000
 
 
 def _source_key(source: Column) -> Column:
@@ -70,8 +71,8 @@ def mix_plan(docs: DataFrame, *, seed: str = "mix", weights: tuple[int, ...] = (
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     keyed = (sized.withColumn("__source", _source_key(F.col("source"))).withColumn("__key", key))
     sizes = keyed.groupBy("__source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__rows"))
-    rows = sizes.agg(F.sum("__rows")).first()[0] or 0
-    buckets = bucket_count(rows)
+    rows, n_sources = sizes.agg(F.sum("__rows"), F.count(F.lit(1))).first()
+    buckets = bucket_count(rows or 0)
     at = F.floor(F.conv(F.substring("__key", 1, 7), 16, 10).cast("long") * buckets / _KEY_SPACE).cast("int")
     order = ["__key", "size", *(["__tie"] if "text" in docs.columns else [])]
     if "text" in docs.columns:
@@ -79,7 +80,9 @@ def mix_plan(docs: DataFrame, *, seed: str = "mix", weights: tuple[int, ...] = (
     placed = running_before(keyed.withColumn("__bucket", at), ["__source"], "__bucket", order, "size", "__before")
     budget = F.floor("target").cast("long")
     whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size")).cast("long")).otherwise(0)
-    planned = (placed.join(targets(sizes.drop("__rows"), weights, max_epochs), "__source")
+    goal = saved(targets(sizes.drop("__rows"), weights, max_epochs), "mix-targets")
+    # one row a source: sent to all tasks if they are few, else joined by source, where AQE splits a hot one
+    planned = (placed.join(F.broadcast(goal) if n_sources <= BROADCAST_SOURCES else goal, "__source")
                .withColumn("epochs", whole)
                .withColumn("__rest", budget - F.col("epochs") * F.col("source_size"))
                .withColumn("part", F.when(F.col("__before") < F.col("__rest"),

@@ -179,7 +179,7 @@ def robust_distances(rows: DataFrame, x: list[str], floors: list[float], *, shar
             total = F.sum("n").over(Window.partitionBy("__group"))
             limit = (counts.select("__group", "__bin", (upto >= share * total).alias("__enough"))
                      .groupBy("__group").agg(F.min(F.when(F.col("__enough"), F.col("__bin"))).alias("__last")))
-            near = seen.join(limit, "__group").where("__bin <= __last")
+            near = seen.join(saved(limit, "quality-limit"), "__group").where("__bin <= __last")
         at = _estimate(_moments_of(near, x, sizes, least_rows), d, floors)
     return rows.join(saved(at, "quality-estimate"), "__group").withColumn("distance", _distance(x)).drop("__at")
 

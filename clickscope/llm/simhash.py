@@ -120,7 +120,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         if not larger:
             both = both.where("v < u")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        # written, so that both sides of the join are plain exchanges: then a hub's edges can be split over tasks
+        low = saved(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), "components-least")
         seen = both.join(low, "u")
         moved = seen.where("v > u" if larger else "v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         if not larger:
@@ -157,9 +158,9 @@ def near_duplicates(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     roots = components(links(firsts.select("fp"), max_bits))
     rooted = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
-    best = rooted.groupBy("root").agg(F.min("__first").alias("component_id"))
-    classes = rooted.join(best, "root").select("fp", "component_id")
-    return prints.join(classes, "fp")
+    best = saved(rooted.groupBy("root").agg(F.min("__first").alias("component_id")), "simhash-components")
+    classes = saved(rooted.join(best, "root").select("fp", "component_id"), "simhash-classes")
+    return prints.join(classes, "fp")  # AQE splits a fingerprint that many copies share
 
 
 def one_of_each(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:

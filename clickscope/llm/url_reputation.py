@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickscope.llm.common import saved
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -112,7 +114,7 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], *, str
     new = ("host", "path", "rule", "verdict", "bad_rate", "bad_rate_low")
     base = pages.select(*[c for c in pages.columns if c not in new], url_host(F.col("url")).alias("host"),
                         url_path(F.col("url")).alias("path"))
-    known = host_reputation(base, outcomes, strength)
+    known = saved(host_reputation(base, outcomes, strength), "host-reputation")  # so that AQE can split a hot host
     judged = base.join(known, "host").withColumn("__rule", rule_for(F.col("host"), F.col("path"), rules))
     low = lower_bound(F.col("mean"), F.col("weight"), z)
     own = F.when(low > most_bad, "block").otherwise("allow")
