@@ -153,19 +153,20 @@ def calibrate(logits: np.ndarray, y: np.ndarray, bias: np.ndarray, reject_share:
 
 
 def train(labelled: DataFrame, *, rows_per_lang: int = 600, bits: int = 16, calibration_share: float = 0.25,
-          reject_share: float = 0.001) -> Model | None:
+          reject_share: float = 0.001, max_langs: int = 1_000) -> Model | None:
     """A model from the rows (text, lang); null labels, null and letterless texts teach nothing.
 
     The sample is about ``rows_per_lang`` rows of each language (chosen by a
-    hash of the text, whole texts each), never all rows; the driver gets their
-    distinct buckets only, at most ``2^bits`` for a text of any length.
+    hash of the text, whole texts each) for the ``max_langs`` most frequent
+    ones, never all rows; the driver gets their distinct buckets only, at most
+    ``2^bits`` for a text of any length.
     Without any usable row there is no model (None).
     """
     usable = (labelled.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
               .select("text", "lang", F.shiftrightunsigned(F.xxhash64("text", F.lit("langid")), 1).alias("key")))
-    sizes = usable.groupBy("lang").count()
+    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
     rate = F.least(F.lit(1.0), F.lit(float(rows_per_lang)) / F.col("count"))
-    sample = (usable.join(F.broadcast(sizes), "lang")  # one row a language
+    sample = (usable.join(F.broadcast(sizes), "lang")  # at most max_langs rows
               .where(F.col("key") < rate * float(1 << 63)).select("key", "lang", "text"))
     rows = sorted(labelled_features(sample, bits).toLocalIterator(), key=lambda r: (r.key, r.lang, r.part))
     if not rows:
