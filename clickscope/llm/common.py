@@ -186,12 +186,16 @@ def text_groups(texts: list[bytes | None], limit: int = _CHUNK) -> Iterator[tupl
         lo = hi
 
 
-def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` consecutive words (unmixed polynomial, whatever the rows)."""
-    n = len(hashes) - k + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
+def gram_sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums and inverse powers: ``(sums[i + k] - sums[i]) * down[i]`` is the hash of words i .. i + k - 1."""
     _WORDS.reach(len(hashes) + 1)
     sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
     np.cumsum(hashes * _WORDS.up[: len(hashes)], out=sums[1:])
-    return (sums[k:] - sums[:n]) * _WORDS.down[:n]
+    return sums, _WORDS.down
+
+
+def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each run of ``k`` consecutive words (unmixed polynomial, whatever the rows)."""
+    n = max(0, len(hashes) - k + 1)
+    sums, down = gram_sums(hashes)
+    return (sums[k:] - sums[:n]) * down[:n] if n else np.zeros(0, dtype=np.uint64)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import gram_hashes, mixed, saved, text_groups
+from clickscope.llm.common import gram_sums, mixed, saved, text_groups
 
 _GRAM = 16
 
@@ -42,48 +42,60 @@ def sliding_min(x: np.ndarray, k: int) -> np.ndarray:
 
 
 class Blocks:
-    """Blocks of one text: first window, number of windows, anchor and content hash."""
+    """Blocks of a group of texts: row, first word, number of windows, anchor and content hash of each.
 
-    def __init__(self, hashes: np.ndarray, window: int):
+    ``hashes`` are the words of all texts, ``first`` the first word of each
+    text and the end; no block reaches from one text into the next.
+    """
+
+    def __init__(self, hashes: np.ndarray, first: np.ndarray, window: int):
         gram = min(_GRAM, window)
+        self._window, self._first = window, first
+        self._sums, self._down = gram_sums(hashes)
         n = len(hashes) - window + 1
         if n <= 0:
-            self.start = self.count = np.zeros(0, dtype=np.int64)
-            self.anchor = self.content = np.zeros(0, dtype=np.int64)
-            self._hashes, self._window = hashes, window
+            self.row = self.start = self.count = self.anchor = self.content = np.zeros(0, dtype=np.int64)
             return
-        least = sliding_min(mixed(gram_hashes(hashes, gram)), window - gram + 1)
-        first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
-        size = np.diff(np.append(first, n))
+        of = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        at = np.flatnonzero(of[:n] == of[window - 1:])
+        least = sliding_min(mixed(self._hash(np.arange(len(hashes) - gram + 1), gram)), window - gram + 1)[at]
+        of = of[at]
+        cut = np.flatnonzero((least[1:] != least[:-1]) | (of[1:] != of[:-1])) + 1
+        begin = np.concatenate(([0], cut)) if len(at) else cut
+        size = np.diff(np.append(begin, len(at)))
         # periodic text can keep one anchor for long; blocks of bounded size, cut from their start
         most = window - gram + 1
         parts = -(-size // most)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        self.start = np.repeat(first, parts) + nth * most
+        head = np.repeat(begin, parts) + nth * most
+        self.row, self.start = of[head], at[head]
         self.count = np.minimum(np.repeat(size, parts) - nth * most, most)
-        self.anchor = least[self.start].view(np.int64)
-        self._hashes, self._window = hashes, window
-        self.content = self._spans(self.start, self.count + window - 1)
-
-    def _spans(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(start), dtype=np.uint64)
-        for n in np.unique(length):
-            at = length == n
-            out[at] = gram_hashes(self._hashes, int(n))[start[at]] + np.uint64(n)
-        return mixed(out).view(np.int64)
-
-    def windows(self, block: int) -> np.ndarray:
-        """Content hash of each window of a block."""
-        lo = self.start[block]
-        own = self._hashes[lo: lo + self.count[block] + self._window - 1]
-        return mixed(gram_hashes(own, self._window)).view(np.int64)
-
-
-def _each_text(batch: pa.RecordBatch, window: int):
-    """(row, blocks) of the rows of a batch with doc_id and text."""
+        self.anchor = least[head].view(np.int64)
+        length = self.count + window - 1
+        self.content = mixed(self._hash(self.start, length) + length.astype(np.uint64)).view(np.int64)
+
+    def _hash(self, start: np.ndarray, length) -> np.ndarray:
+        return (self._sums[start + length] - self._sums[start]) * self._down[start]
+
+    def windows(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Block, place in it and content hash of each window of these blocks."""
+        count = self.count[blocks]
+        of = np.repeat(blocks, count)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        return of, nth, mixed(self._hash(self.start[of] + nth, self._window)).view(np.int64)
+
+    def keys(self, lo: int, hi: int) -> list[tuple[int, int]]:
+        return list(zip(self.anchor[lo:hi].tolist(), self.content[lo:hi].tolist(), strict=True))
+
+    def of_row(self, row: int) -> tuple[int, int]:
+        """First block of a row and the end."""
+        return tuple(np.searchsorted(self.row, (row, row + 1)).tolist())
+
+
+def _groups(batch: pa.RecordBatch, window: int):
+    """(first row, end row, first words, blocks) of the texts of a batch."""
     for lo, hi, hashes, first in text_groups(batch.column("text").cast(pa.large_binary()).to_pylist()):
-        for i in range(lo, hi):
-            yield i, Blocks(hashes[first[i - lo]: first[i - lo + 1]], window)
+        yield lo, hi, first, Blocks(hashes, first, window)
 
 
 def _longs(x) -> pa.Array:
@@ -91,17 +103,13 @@ def _longs(x) -> pa.Array:
 
 
 def document_blocks(docs: DataFrame, window: int) -> DataFrame:
-    """(anchor, content, doc_id): the distinct blocks of each row."""
+    """(anchor, content, doc_id): the blocks of each row."""
     def cut(batches):
         for batch in batches:
-            ids, out = batch.column("doc_id").to_pylist(), [[], [], []]
-            for i, b in _each_text(batch, window):
-                if len(b.start):
-                    own = np.unique(np.stack([b.anchor, b.content]), axis=1)
-                    for c, v in zip(out, (own[0], own[1], np.full(own.shape[1], ids[i])), strict=True):
-                        c.append(v)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([_longs(np.concatenate(c)) for c in out], names=["anchor", "content", "doc_id"])
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            for lo, _, _, b in _groups(batch, window):
+                yield pa.RecordBatch.from_arrays([_longs(b.anchor), _longs(b.content), _longs(ids[lo + b.row])],
+                                                 names=["anchor", "content", "doc_id"])
     return docs.select("doc_id", "text").mapInArrow(cut, "anchor long, content long, doc_id long")
 
 
@@ -109,30 +117,33 @@ def boundary_windows(asked: DataFrame, window: int) -> DataFrame:
     """(anchor, content, doc_id, nth, hash): the windows of the blocks ``asked`` for (doc_id, text, anchors, contents)."""
     def check(batches):
         for batch in batches:
-            ids, anchors, contents = (batch.column(c).to_pylist() for c in ("doc_id", "anchors", "contents"))
-            out = [[], [], [], [], []]
-            for i, b in _each_text(batch, window):
-                wanted = set(zip(anchors[i], contents[i], strict=True))
-                for k, key in enumerate(zip(b.anchor.tolist(), b.content.tolist(), strict=True)):
-                    if key in wanted:
-                        wanted.discard(key)
-                        h = b.windows(k)
-                        for c, v in zip(out, (np.full(len(h), key[0]), np.full(len(h), key[1]), np.full(len(h), ids[i]),
-                                              np.arange(len(h)), h), strict=True):
-                            c.append(v)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([_longs(np.concatenate(c)) for c in out],
-                                                 names=["anchor", "content", "doc_id", "nth", "hash"])
+            ids, anchors, contents = (batch.column(c) for c in ("doc_id", "anchors", "contents"))
+            ids = ids.to_numpy(zero_copy_only=False)
+            for lo, hi, _, b in _groups(batch, window):
+                found = []
+                for i in range(lo, hi):
+                    wanted = set(zip(anchors[i].as_py(), contents[i].as_py(), strict=True))
+                    begin, end = b.of_row(i - lo)
+                    for k, key in enumerate(b.keys(begin, end), begin):
+                        if key in wanted:
+                            wanted.discard(key)
+                            found.append(k)
+                of, nth, h = b.windows(np.array(found, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [_longs(b.anchor[of]), _longs(b.content[of]), _longs(ids[lo + b.row[of]]), _longs(nth), _longs(h)],
+                    names=["anchor", "content", "doc_id", "nth", "hash"])
     return asked.mapInArrow(check, "anchor long, content long, doc_id long, nth long, hash long")
 
 
-def _covered(b: Blocks, n_words: int, window: int, whole: set, partly: dict) -> np.ndarray:
-    """Which words a repeated window covers."""
+def _covered(b: Blocks, row: int, first: int, n_words: int, window: int, whole: set, partly: dict) -> np.ndarray:
+    """Which words of a row a repeated window covers."""
     edge = np.zeros(n_words + 1, dtype=np.int64)
-    for start, count, key in zip(b.start.tolist(), b.count.tolist(), zip(b.anchor.tolist(), b.content.tolist(), strict=True), strict=True):
+    begin, end = b.of_row(row)
+    for k, key in enumerate(b.keys(begin, end), begin):
+        start = b.start[k] - first
         if key in whole:
             edge[start] += 1
-            edge[start + count + window - 1] -= 1
+            edge[start + b.count[k] + window - 1] -= 1
         elif key in partly:
             at = start + np.asarray(partly[key])
             np.add.at(edge, at, 1)
@@ -151,17 +162,19 @@ def _factored(joined: DataFrame, window: int) -> DataFrame:
     def factor(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-            whole, partly = batch.column("__whole").to_pylist(), batch.column("__partly").to_pylist()
+            whole, partly = batch.column("__whole"), batch.column("__partly")
             n, removed, spans, kept = [0] * len(texts), [0] * len(texts), [[]] * len(texts), [""] * len(texts)
-            for i, b in _each_text(batch, window):
-                found = (texts[i] or b"").split()
-                n[i] = len(found)
-                if whole[i] or partly[i]:
-                    covered = _covered(b, len(found), window, {(k["anchor"], k["content"]) for k in whole[i] or ()},
-                                       {(k["anchor"], k["content"]): k["nth"] for k in partly[i] or ()})
-                    removed[i], spans[i] = int(covered.sum()), _spans(covered)
-                    found = [w for w, gone in zip(found, covered.tolist(), strict=True) if not gone]
-                kept[i] = b" ".join(found).decode()
+            for lo, hi, first, b in _groups(batch, window):
+                for i in range(lo, hi):
+                    found = (texts[i] or b"").split()
+                    n[i] = len(found)
+                    if whole[i].is_valid or partly[i].is_valid:
+                        covered = _covered(b, i - lo, int(first[i - lo]), len(found), window,
+                                           {(k["anchor"], k["content"]) for k in whole[i].as_py() or ()},
+                                           {(k["anchor"], k["content"]): k["nth"] for k in partly[i].as_py() or ()})
+                        removed[i], spans[i] = int(covered.sum()), _spans(covered)
+                        found = [w for w, gone in zip(found, covered.tolist(), strict=True) if not gone]
+                    kept[i] = b" ".join(found).decode()
             own = [c for c in batch.schema.names if c not in ("text", "__whole", "__partly")]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in own], _longs(n), _longs(removed), pa.array(spans, span), pa.array(kept, pa.string())],
@@ -192,7 +205,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
               .groupBy("doc_id", "anchor", "content").agg(F.collect_list("nth").alias("nth"))
               .groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "content", "nth")).alias("__partly")))
     whole = (blocks.join(holders.where("first < last").select("anchor", "content", "first"), ["anchor", "content"])
-             .where("first < doc_id").select("doc_id", "anchor", "content").distinct()
+             .where("first < doc_id")
              .groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "content")).alias("__whole")))
     found = whole.join(partly, "doc_id", "full")
     return _factored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(found, "doc_id", "left"), window)
