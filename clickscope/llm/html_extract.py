@@ -1,14 +1,14 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines: each block of text (paragraph, heading, list item,
-table cell) is one line.  Parts that markup names as something else than the
-article (menus, page headers and footers, sidebars, notices, adverts, forms,
-comments, scripts, styles) leave empty lines in their place, and so do the
-borders of an article.  Text lengths, link text not counted, are summed over a
-sliding window of lines.  The sums surge where an article begins and dive to
-nothing where it ends; what stands between a surge and a dive is kept if the
-sums reach ``least`` on the way, short lines at either end included.  If the
-page marks an article, only stretches within it count.
+table cell) is one line, weighed by its length without link text.  Parts that
+markup names as something else than the article (menus, page headers and
+footers, sidebars, notices, adverts, forms, comments, scripts, styles) leave
+empty lines in their place, and so do the borders of an article.  If the page
+marks an article, its lines weigh more and all others nothing.  The weights are
+summed over a sliding window of lines.  The sums surge where an article begins
+and dive to nothing where it ends; what stands between a surge and a dive is
+kept if the sums reach ``least`` on the way, short lines included.
 """
 
 from __future__ import annotations
@@ -66,8 +66,8 @@ def _outside(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """Lines of a page: (text, length without links, inside a marked article); empty texts are gaps."""
+def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool]]:
+    """Lines of a page: (text, length without links, inside a marked article); a gap is ``window`` empty lines."""
     lines: list[tuple[str, int, bool]] = []
     piece: list[str] = []
     open_tags: list[tuple[str, bool, bool]] = []  # name, outside, article
@@ -84,7 +84,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
 
     def gap() -> None:
         end_line()
-        lines.append(("", 0, False))
+        lines.extend([("", 0, False)] * window)
 
     at, in_head = 0, False
     while at < len(page):
@@ -143,35 +143,32 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
-def _stretches(lines: list[tuple[str, int, bool]], window: int, least: int) -> list[tuple[int, int, int]]:
-    """(surge, dive, highest sum) of each stretch of lines without a gap."""
-    out, at = [], 0
-    sums = [0]
-    for _, n, _ in lines:
-        sums.append(sums[-1] + n)
-    while at < len(lines):
-        if not lines[at][0]:
-            at += 1
-            continue
-        end = at
-        while end < len(lines) and lines[end][0]:
-            end += 1
-        peak = max(sums[min(i + window, end)] - sums[i] for i in range(at, end))
-        out.append((at, end, peak))
-        at = end
+def surges(weights: list[int], window: int) -> list[tuple[int, int, int]]:
+    """(surge, dive, highest sum): the stretches of lines between which a whole window weighs nothing."""
+    sums = [sum(weights[max(0, i - window + 1): i + 1]) for i in range(len(weights))]
+    out, begin = [], None
+    for i, total in enumerate([*sums, 0]):
+        if total and begin is None:
+            begin = i
+        elif not total and begin is not None:
+            end = i
+            while not weights[end - 1]:  # the window has run past the last line
+                end -= 1
+            out.append((begin, end, max(sums[begin:i])))
+            begin = None
     return out
 
 
 def main_text(page: str | None, window: int = 3, least: int = 80) -> str:
     """The article's text: blocks in page order, joined by one space (none: empty)."""
-    lines = page_lines(page or "")
-    found = _stretches(lines, window, least)
-    marked = [s for s in found if lines[s[0]][2]]
-    if marked:
-        kept = marked  # the page says where its article is: every stretch of it, short ones too
+    lines = page_lines(page or "", window)
+    if any(marked for _, _, marked in lines):
+        weights = [n + least if marked else 0 for _, n, marked in lines]
     else:
-        kept = [s for s in found if s[2] >= least] or sorted(found, key=lambda s: (-s[2], s[0]))[:1]
-    return " ".join(lines[i][0] for a, b, _ in kept for i in range(a, b))
+        weights = [n for _, n, _ in lines]
+    found = surges(weights, window)
+    kept = [s for s in found if s[2] >= least] or sorted(found, key=lambda s: (-s[2], s[0]))[:1]
+    return " ".join(text for a, b, _ in kept for text, _, _ in lines[a:b] if text)
 
 
 def extract(page: Column, window: int = 3, least: int = 80) -> Column:
