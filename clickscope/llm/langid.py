@@ -92,24 +92,25 @@ def _spans(text: bytes, key: int) -> list[bytes]:
 
 
 def labelled_features(rows: DataFrame, bits: int) -> DataFrame:
-    """(key, lang, part, ids, counts) of the rows (key, lang, text): the distinct buckets of each text and span."""
+    """(key, lang, part, ids, counts) of the rows (key, lang, text): the distinct buckets of each text and span.
+
+    ``ids`` (4-byte integers) and ``counts`` (4-byte floats) are packed arrays.
+    """
     def extract(batches):
         for batch in batches:
-            cols = {"key": [], "lang": [], "part": [], "ids": [], "counts": []}
-            for key, lang, text in zip(*(batch.column(c).to_pylist() for c in ("key", "lang", "text")), strict=True):
-                for part, span in enumerate(_spans(text.encode(), key)):
-                    all_ids = np.zeros(0, dtype=np.uint32)
+            for key, lang, text in zip(*(batch.column(c) for c in ("key", "lang", "text")), strict=True):
+                key, out = key.as_py(), []
+                for span in _spans(text.as_py().encode(), key):
                     counts = np.zeros(1 << bits, dtype=np.int64)
                     for ids in subwords(span, bits):
                         counts += np.bincount(ids, minlength=1 << bits)
-                    all_ids = np.flatnonzero(counts)
-                    for c, v in zip(cols, (key, lang, part, all_ids.astype(np.int32), counts[all_ids].astype(np.float32)), strict=True):
-                        cols[c].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols["key"], pa.int64()), pa.array(cols["lang"], pa.string()), pa.array(cols["part"], pa.int32()),
-                 pa.array(cols["ids"], pa.list_(pa.int32())), pa.array(cols["counts"], pa.list_(pa.float32()))],
-                names=list(cols))
-    return rows.mapInArrow(extract, "key long, lang string, part int, ids array<int>, counts array<float>")
+                    own = np.flatnonzero(counts)
+                    out.append((own.astype(np.uint32).tobytes(), counts[own].astype(np.float32).tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(out), pa.int64()), pa.array([lang.as_py()] * len(out), pa.string()),
+                     pa.array(range(len(out)), pa.int32()), *(pa.array(v, pa.binary()) for v in zip(*out, strict=True))],
+                    names=["key", "lang", "part", "ids", "counts"])
+    return rows.mapInArrow(extract, "key long, lang string, part int, ids binary, counts binary")
 
 
 def fit(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, n_langs: int, bits: int, *, dim: int = 16,
@@ -175,7 +176,7 @@ def train(labelled: DataFrame, *, rows_per_lang: int = 600, bits: int = 16, cali
     held = [(r.key >> 8) % 1000 < 1000 * calibration_share for r in rows]
     if all(held):
         held = [False] * len(rows)
-    x = [(np.array(r.ids, dtype=np.int64), np.array(r.counts, dtype=np.float32)) for r in rows]
+    x = [(np.frombuffer(r.ids, dtype=np.uint32), np.frombuffer(r.counts, dtype=np.float32)) for r in rows]
     y = np.array([langs.index(r.lang) for r in rows])
     learn = [i for i, h in enumerate(held) if not h]
     scores, bias = fit([x[i] for i in learn], y[learn], len(langs), bits)
