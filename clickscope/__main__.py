@@ -51,7 +51,15 @@ def _parser() -> argparse.ArgumentParser:
     rt.add_argument("--checkpoint", required=True, help="root folder of the query checkpoints (shared)")
     rt.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD)
     rt.add_argument("--blacklist-mode", choices=["batch", "row"], default="batch")
-    rt.add_argument("--counts-mode", choices=["complete", "update"], default="complete")
+    rt.add_argument("--counts-mode", choices=["complete", "update"], default="update")
+    rt.add_argument("--day-watermark", help="with --no-filter: drop the state of days that began so long ago, e.g. '2 days'")
+    rt.add_argument("--starting-offsets", default="latest", help="latest, earliest or Kafka's JSON of offsets")
+    rt.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE",
+                    help="further source or kafka.* consumer setting (repeatable)")
+    rt.add_argument("--max-offsets-per-trigger", type=int, help="bound a micro-batch (with the snapshot blacklist this moves its cuts)")
+    rt.add_argument("--max-files-per-trigger", type=int, help="the same for --text-path")
+    rt.add_argument("--allow-data-loss", action="store_true", help="go on if offsets have expired meanwhile")
+    rt.add_argument("--reset", action="store_true", help="start fresh serving tables under a new checkpoint")
     rt.add_argument("--no-filter", action="store_true", help="count all clicks, not only those passing")
     rt.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     return p
@@ -80,13 +88,18 @@ def run_realtime(spark: SparkSession, a: argparse.Namespace):
     from clickscope.sources.ads_log import kafka_ads_stream, parse_ads_log, text_ads_stream
     from clickscope.streaming.ads_jobs import AVAILABLE_NOW, Trigger, start_ads_jobs
 
-    lines = (kafka_ads_stream(spark, a.kafka, a.topic) if a.kafka
-             else text_ads_stream(spark, a.text_path, max_files_per_trigger=1))
-    clicks, _rejects = parse_ads_log(lines)
+    if a.kafka:
+        lines = kafka_ads_stream(spark, a.kafka, a.topic, starting_offsets=a.starting_offsets,
+                                 max_offsets_per_trigger=a.max_offsets_per_trigger,
+                                 fail_on_data_loss=not a.allow_data_loss,
+                                 options=dict(o.split("=", 1) for o in a.kafka_option))
+    else:
+        lines = text_ads_stream(spark, a.text_path, max_files_per_trigger=a.max_files_per_trigger)
+    clicks, rejects = parse_ads_log(lines)
     trigger = AVAILABLE_NOW if a.available_now else Trigger()
-    queries = start_ads_jobs(clicks, a.out, a.checkpoint, threshold=a.threshold,
+    queries = start_ads_jobs(clicks, a.out, a.checkpoint, rejects=rejects, threshold=a.threshold,
                              blacklist_mode=a.blacklist_mode, filter_blacklisted=not a.no_filter,
-                             counts_mode=a.counts_mode, trigger=trigger)
+                             counts_mode=a.counts_mode, day_watermark=a.day_watermark, trigger=trigger, reset=a.reset)
     for q in queries:
         q.awaitTermination()
     return queries

@@ -6,39 +6,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def split_id_list(col: Column) -> Column:
-    """Comma list -> array of pieces, with java.lang.String.split semantics.
+def split_id_list_sql(expr: str) -> str:
+    """SQL text that splits the comma list ``expr`` with java.lang.String.split semantics.
 
     Java drops trailing empty pieces ("3,5," -> [3, 5]) and returns no piece
     at all for a list made only of commas, but one empty piece for "".
     Spark's ``split`` keeps trailing empties, so they are stripped first.
     NULL stays NULL.
     """
-    stripped = F.regexp_replace(col, ",+$", "")
-    return (F.when(col.isNull(), F.lit(None))
-            .when(col.rlike("^,+$"), F.array().cast("array<string>"))
-            .otherwise(F.split(stripped, ",")))
-
-
-def split_id_list_sql(expr: str) -> str:
-    """SQL text of ``split_id_list`` applied to the SQL expression ``expr``."""
     return (f"CASE WHEN ({expr}) IS NULL THEN NULL WHEN ({expr}) RLIKE '^,+$' THEN CAST(array() AS ARRAY<STRING>) "
             f"ELSE split(regexp_replace({expr}, ',+$', ''), ',') END")
 
 
 def percent_sql(expr: str, pattern: str) -> str:
-    """SQL text of ``percent_text``."""
-    return f"format_number({expr}, '{pattern}')"
-
+    """SQL text of a ratio as percent text, with a java.text.DecimalFormat pattern.
 
-def percent_text(col: Column, pattern: str) -> Column:
-    """Ratio -> percent text with a java.text.DecimalFormat pattern.
-
-    ``F.format_number`` only takes a digit count, so the SQL function is
-    called by name with the pattern.  Rounding is HALF_EVEN like the reference's
-    DecimalFormat (".00%" renders 0.005 as ".50%", "0.00%" as "0.50%").
+    Rounding is HALF_EVEN like the reference's DecimalFormat (".00%" renders
+    0.005 as ".50%", "0.00%" as "0.50%").
     """
-    return F.call_function("format_number", col, F.lit(pattern))
+    return f"format_number({expr}, '{pattern}')"
 
 
 def json_pairs(items: Column, key_field: str, value_field: str) -> Column:

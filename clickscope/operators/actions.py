@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.config import Condition
-from clickscope.operators.broadcast import bounded_broadcast
 
 
 def _pieces(text: str) -> list[str]:
@@ -20,8 +19,7 @@ def _all(preds: list[Column]) -> Column | None:
 
 
 def filter_actions(actions: DataFrame, users: DataFrame, condition: Condition, *,
-                   cities: DataFrame | None = None, ts_col: str | None = "ts",
-                   broadcast_rows: int | None = None) -> DataFrame:
+                   cities: DataFrame | None = None, ts_col: str | None = None) -> DataFrame:
     """Actions of users that exist and match the condition (all action columns).
 
     Only predicates that are set are added (empty text / zero age = none),
@@ -30,8 +28,8 @@ def filter_actions(actions: DataFrame, users: DataFrame, condition: Condition, *
     user key: action rows are never widened, and a user key is unique in the
     dimension, so this equals the reference's inner join.
 
-    Dates are ``yyyy-MM-dd`` text compared as text.  When the frame also
-    carries the stored event time (``ts_col``), the same range is added on it
+    Dates are ``yyyy-MM-dd`` text compared as text.  If the caller names the
+    column of the stored event time (``ts_col``), the same range is added on it
     so that the Parquet scan can skip row groups; on a log partitioned by
     ``date`` the text predicates prune partitions directly.
 
@@ -55,7 +53,7 @@ def filter_actions(actions: DataFrame, users: DataFrame, condition: Condition, *
     u = u.select("user_id")
 
     apreds: list[Column] = []
-    has_ts = ts_col is not None and ts_col in actions.columns
+    has_ts = ts_col is not None
     if c.start_date:
         apreds.append(F.col("date") >= c.start_date)
         if has_ts:
@@ -76,9 +74,9 @@ def filter_actions(actions: DataFrame, users: DataFrame, condition: Condition, *
         if cities is None:
             raise ValueError("condition.city needs the city dimension")
         wanted = cities.where(F.col("city_name").isin(_pieces(c.city))).select("city_id")
-        a = a.join(bounded_broadcast(wanted, broadcast_rows or 100_000), "city_id", "left_semi")
+        a = a.join(wanted, "city_id", "left_semi")
 
     # No hint on users: the dimension grows with the data.  Spark broadcasts
     # it when its size is under the threshold (checked again by AQE at run
     # time); otherwise a shuffle semi join, where AQE splits a hot user.
-    return a.join(bounded_broadcast(u, broadcast_rows), "user_id", "left_semi")
+    return a.join(u, "user_id", "left_semi")

@@ -1,77 +1,71 @@
 """Successor of each row in order inside a group, safe for hot groups.
 
 ``lead`` over ``Window.partitionBy(group)`` sends a whole group to one task;
-if one group (say one robot session) holds a third of the log, that task
-holds a third of the work.  Here the rows are range-partitioned on
-``(group, order...)`` instead: Spark samples the key distribution and cuts a
-hot group into several contiguous ranges ("chunks").  Inside each
-(group, chunk) the successor comes from ``lead``.  Only the last row of a
-group inside a chunk lacks it, and only the group that is last in its chunk
-can continue in a later chunk - with the first row of the next non-empty
-chunk.  So the stitch table holds one row per chunk (its first row): its
-size is bounded by the number of chunks, not by the data, and it is
-broadcast and joined to the window output in the same pass.
+if one group (say one robot session) holds a third of the log, that task holds
+a third of the work.  Here a group is cut by a value in its rows: a *bucket*
+of the first order column (the hour of a time).  ``lead`` runs inside each
+(group, bucket); the last row of a bucket is followed by the first row of the
+group's next bucket, found in a table with one row per (group, bucket).  The
+rows are shuffled once, by (group, bucket), and nothing depends on how Spark
+happens to deal or reuse partitions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _default_bucket(kind: T.DataType) -> str:
+    """Hour of a time, or of a time in text (``yyyy-MM-dd HH``); one bucket for other types."""
+    if isinstance(kind, T.StringType):
+        return "substr(_o0, 1, 13)"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return "CAST(date_trunc('HOUR', _o0) AS STRING)"
+    return "''"
 
 
 def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
-                   chunks: int | None = None, skew_safe: bool = True) -> DataFrame:
+                   bucket: str | None = None, skew_safe: bool = True) -> DataFrame:
     """Rows ``(group, value, next_value, has_next)``, one per input row.
 
     ``next_value`` is the ``value`` of the next row of the same group in
     ``order`` (NULL and ``has_next`` false for the last row).  ``order``
     must order the rows of a group totally (add a unique tie-break column).
-    ``chunks`` is the number of ranges (default: the shuffle partitions,
-    coalesced by AQE where small).
+    ``bucket`` is SQL text over ``_o0``, the first order column, that never
+    decreases along it (default: its hour); it should cut a group into pieces
+    that fit a task.
     """
-    cols = [group, *order, value]
-    base = df.select(*cols)
     # columns are renamed to fixed names inside, so the SQL text below never
     # depends on how the caller's columns are spelled
     names = ["_g", *[f"_o{i}" for i in range(len(order))], "_v"]
-    base = base.toDF(*names)
+    base = df.select(group, *order, value).toDF(*names)
     by = ", ".join(names[1:-1])
     if not skew_safe:
         w = f"OVER (PARTITION BY _g ORDER BY {by})"
         return base.selectExpr(f"_g AS `{group}`", f"_v AS `{value}`", f"lead(_v) {w} AS next_value",
                                f"lead(true) {w} IS NOT NULL AS has_next")
 
-    # Without an explicit count the range exchange uses the shuffle
-    # partitions and AQE may merge small neighbouring ranges; merged ranges
-    # stay contiguous and in order, and large (hot) ranges are not merged.
-    ranged = (base.repartitionByRange(chunks, *names[:-1]) if chunks
-              else base.repartitionByRange(*names[:-1]))
-    ranged = ranged.selectExpr(*names, "spark_partition_id() AS _chunk")
-    w = f"OVER (PARTITION BY _g, _chunk ORDER BY {by})"
-    marked = ranged.selectExpr("_g", "_v", "_chunk", f"lead(_v) {w} AS _next",
-                               f"lead(true) {w} IS NOT NULL AS _has_next")
+    cut = bucket or _default_bucket(base.schema["_o0"].dataType)
+    base = base.selectExpr("*", f"coalesce({cut}, '') AS _b")
+    w = f"OVER (PARTITION BY _g, _b ORDER BY {by})"
+    inside = base.selectExpr("_g", "_b", "_v", f"lead(_v) {w} AS _next", f"lead(true) {w} IS NOT NULL AS _has_next")
 
-    # First row of every non-empty chunk, and for each chunk the first row of
-    # the next non-empty one.  One row per chunk: a single-partition window
-    # over them is fine, and the result is broadcast.
-    firsts = ranged.groupBy("_chunk").agg(F.expr(f"min(struct(_g, {by}, _v))").alias("_f"))
-    w2 = "OVER (ORDER BY _chunk)"
-    follow = F.broadcast(firsts.selectExpr(
-        "_chunk", f"lead(_f._g) {w2} AS _next_g", f"lead(_f._v) {w2} AS _next_v",
-        f"lead(true) {w2} IS NOT NULL AS _next_exists"))
-    # One pass over the window output: rows with a successor inside their
-    # chunk keep it; the last row of a group in a chunk takes the first row
-    # of the next chunk when that row belongs to the same group.
-    cont = "coalesce(_next_exists AND _next_g <=> _g, false)"
-    return (marked.join(follow, "_chunk", "left")
+    # one row per (group, bucket), pre-aggregated where the rows lie
+    firsts = base.groupBy("_g", "_b").agg(F.expr(f"min(struct({by}, _v))").alias("_f"))
+    w2 = "OVER (PARTITION BY _g ORDER BY _b)"
+    follow = firsts.selectExpr("_g AS _fg", "_b AS _fb", f"lead(_f._v) {w2} AS _next_v",
+                               f"lead(true) {w2} IS NOT NULL AS _goes_on")
+    return (inside.join(follow, F.col("_g").eqNullSafe(F.col("_fg")) & (F.col("_b") == F.col("_fb")))
             .selectExpr(f"_g AS `{group}`", f"_v AS `{value}`",
-                        f"CASE WHEN _has_next THEN _next WHEN {cont} THEN _next_v END AS next_value",
-                        f"_has_next OR {cont} AS has_next"))
+                        "CASE WHEN _has_next THEN _next WHEN _goes_on THEN _next_v END AS next_value",
+                        "_has_next OR _goes_on AS has_next"))
 
 
 def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
-                   chunks: int | None = None, skew_safe: bool = True) -> DataFrame:
+                   bucket: str | None = None, skew_safe: bool = True) -> DataFrame:
     """Rows ``(group, prev_value, next_value)``: one per adjacent pair."""
-    return (with_successor(df, group, order, value, chunks=chunks, skew_safe=skew_safe)
+    return (with_successor(df, group, order, value, bucket=bucket, skew_safe=skew_safe)
             .where("has_next")
             .selectExpr(f"`{group}`", f"`{value}` AS prev_value", "next_value"))

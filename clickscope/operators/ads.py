@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from clickscope.config import BLACKLIST_THRESHOLD, LAST_HOUR_MINUTES, TOP_ADS
 from clickscope.functions.text import json_pairs
-from clickscope.operators.broadcast import checked_broadcast
 
 
 def _time_order(df: DataFrame) -> list[Column]:
@@ -103,12 +102,8 @@ def blacklist_since(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
         "user_id", *[F.col(f"_since.{c}").alias(f"listed_{c}") for c in order])
 
 
-LISTED_BROADCAST_ROWS = 500_000
-
-
 def ads_not_blacklisted(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD, *,
-                        prior: DataFrame | None = None,
-                        broadcast_rows: int | None = LISTED_BROADCAST_ROWS) -> DataFrame:
+                        prior: DataFrame | None = None) -> DataFrame:
     """R2 (row-exact): clicks that pass a blacklist updated after every click.
 
     A click passes unless its user was listed by an earlier click; the click
@@ -118,14 +113,12 @@ def ads_not_blacklisted(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
     values from earlier batches (see ``blacklist_hits``); users listed before
     must already be removed from ``clicks``.
 
-    The listed users are usually far fewer than the clicks but not bounded
-    in general: they are materialized once and broadcast when at most
-    ``broadcast_rows`` (so the click log is not shuffled at all); beyond that
-    the left join shuffles, and AQE splits a hot user's partition.
+    Only the click's ids and time are read to find the listed users, so pass
+    clicks that are not yet joined to their city.  No broadcast hint: AQE
+    broadcasts the listed users if they turn out small, else the left join
+    shuffles and AQE splits a hot user's partition.
     """
     since = blacklist_since(clicks, threshold, prior)
-    if broadcast_rows:
-        since = checked_broadcast(since, broadcast_rows, name="listed-users")
     c = clicks.alias("c")
     s = since.alias("s")
     cond = F.col("s.listed_ts").isNull() | (F.col("c.ts") < F.col("s.listed_ts"))
@@ -150,16 +143,22 @@ def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- R5
 
+def last_hour_start(newest: Column, minutes: int = LAST_HOUR_MINUTES) -> Column:
+    """First moment of the ``minutes`` whole minutes that end with the minute of ``newest``."""
+    return F.date_trunc("minute", newest) - F.expr(f"INTERVAL {int(minutes) - 1} MINUTES")
+
+
 def last_hour_ads(clicks: DataFrame, minutes: int = LAST_HOUR_MINUTES, now: Column | None = None) -> DataFrame:
-    """Clicks per (ads_id, minute) over the last ``minutes`` minutes.
+    """Clicks per (ads_id, minute) over the last ``minutes`` whole minutes.
 
-    ``now`` defaults to the newest click time (a scalar subquery, one small
-    job).  Window is ``ts > now - minutes``.  Columns: ads_id, minute_start
-    (timestamp), minute ("HH:mm"), click_count.
+    The window is the ``minutes`` minutes that end with the minute of ``now``,
+    which defaults to the newest click time (a scalar subquery, one small
+    job); a stream's minute counts keep the same ones.  Columns: ads_id,
+    minute_start (timestamp), minute ("HH:mm"), click_count.
     """
     if now is None:
         now = clicks.select(F.max("ts")).scalar()
-    recent = clicks.where(F.col("ts") > now - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    recent = clicks.where(F.col("ts") >= last_hour_start(now, minutes))
     start = F.date_trunc("minute", F.col("ts"))
     return (recent.groupBy("ads_id", start.alias("minute_start"))
             .agg(F.count(F.lit(1)).alias("click_count"))

@@ -7,67 +7,35 @@ from pyspark.sql import functions as F
 
 from clickscope.config import CITY_SHARE_PATTERN, OTHER_LABEL, TOP_CITIES, TOP_PRODUCTS
 from clickscope.functions.text import percent_sql
-from clickscope.operators.broadcast import bounded_broadcast
-
-# Row bound for an explicit dimension size check; None = planner's byte
-# threshold and AQE decide (see clickscope.operators.broadcast).
-DIM_BROADCAST_ROWS: int | None = None
-
 
 def _clicks(actions: DataFrame) -> DataFrame:
     return actions.where(F.coalesce(F.col("click_product_id"), F.lit(-1)) > -1)
 
 
-def enrich_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
-                  broadcast_rows: int | None = DIM_BROADCAST_ROWS) -> DataFrame:
+def enrich_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
     """B8 (row form): every click with its city and product (inner joins).
 
-    Columns: city_id, city_name, area, click_product_id, product_name.
+    Columns: city_id, city_name, area, click_product_id, product_name.  No
+    broadcast hints: the planner and AQE choose by measured size.
     """
-    c = bounded_broadcast(cities.select("city_id", "city_name", "area"), broadcast_rows)
-    p = bounded_broadcast(products.select("product_id", "product_name"), broadcast_rows)
+    c = cities.select("city_id", "city_name", "area")
+    p = products.select("product_id", "product_name")
     return (_clicks(actions).select("city_id", "click_product_id")
             .join(c, "city_id")
             .join(p, F.col("click_product_id") == p["product_id"])
             .select("city_id", "city_name", "area", "click_product_id", "product_name"))
 
 
-# Product dimensions up to this many rows are broadcast before the click log
-# is aggregated (size-checked); larger ones are joined after it.
-EARLY_PRODUCT_ROWS = 1_000_000
-
-
-def area_city_product_counts(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
-                             broadcast_rows: int | None = DIM_BROADCAST_ROWS,
-                             early_product_rows: int | None = EARLY_PRODUCT_ROWS) -> DataFrame:
+def area_city_product_counts(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
     """B8+B9 first level: clicks per (area, product_name, city_name).
 
-    Two plans, chosen by a row-count check of the product dimension:
-
-    * small products (at most ``early_product_rows``): both dimensions are
-      broadcast and joined to the click log first, so the map-side partial
-      aggregation already groups by product *name* and city - the coarsest
-      key - and the log is never shuffled;
-    * large products: the click log is first counted per (city_id,
-      product_id) - a partial, map-side combined aggregation - so the
-      product join, a shuffle join at that size, sees one row per distinct
-      pair instead of one per click, and a hot product or city is already
-      collapsed before any shuffle.
+    The log is counted per (city_id, product_id) first, map-side combined, so
+    the dimension joins see one row per distinct pair instead of one per
+    click, and a hot product or city is collapsed before any shuffle.
     """
-    c = bounded_broadcast(cities.select("city_id", "city_name", "area"), broadcast_rows)
-    prod = products.select("product_id", "product_name")
-    if early_product_rows:
-        p = bounded_broadcast(prod, early_product_rows)
-        if p is not prod:  # the check passed: broadcast before aggregating
-            return (_clicks(actions).select("city_id", "click_product_id")
-                    .join(F.broadcast(c), "city_id")
-                    .join(p, F.col("click_product_id") == p["product_id"])
-                    .groupBy("area", "product_name", "city_name")
-                    .agg(F.count(F.lit(1)).alias("n")))
-    pairs = (_clicks(actions)
-             .groupBy("city_id", "click_product_id")
-             .agg(F.count(F.lit(1)).alias("n")))
-    p = bounded_broadcast(prod, broadcast_rows)
+    pairs = (_clicks(actions).groupBy("city_id", "click_product_id").agg(F.count(F.lit(1)).alias("n")))
+    c = cities.select("city_id", "city_name", "area")
+    p = products.select("product_id", "product_name")
     return (pairs.join(c, "city_id")
             .join(p, F.col("click_product_id") == p["product_id"])
             .groupBy("area", "product_name", "city_name")
@@ -107,10 +75,9 @@ def city_remark(per_city: DataFrame, group: list[str], *, city: str = "city_name
 
 
 def area_product_counts(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
-                        other_label: str = OTHER_LABEL,
-                        broadcast_rows: int | None = DIM_BROADCAST_ROWS) -> DataFrame:
+                        other_label: str = OTHER_LABEL) -> DataFrame:
     """B9+B10: (area, product_name, click_count, city_remark)."""
-    per_city = area_city_product_counts(actions, cities, products, broadcast_rows=broadcast_rows)
+    per_city = area_city_product_counts(actions, cities, products)
     return city_remark(per_city, ["area", "product_name"], other_label=other_label)
 
 
@@ -127,8 +94,15 @@ def area_product_top3(counts: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
 
 
 def area_top_products(actions: DataFrame, cities: DataFrame, products: DataFrame, *,
-                      k: int = TOP_PRODUCTS, other_label: str = OTHER_LABEL,
-                      broadcast_rows: int | None = DIM_BROADCAST_ROWS) -> DataFrame:
-    """B8-B11 end to end: the area report over an (unfiltered) click log."""
-    return area_product_top3(area_product_counts(actions, cities, products, other_label=other_label,
-                                                 broadcast_rows=broadcast_rows), k)
+                      k: int = TOP_PRODUCTS, other_label: str = OTHER_LABEL) -> DataFrame:
+    """B8-B11 end to end: the area report over an (unfiltered) click log.
+
+    Products are ranked by their totals first; only the survivors go back to
+    their per-city counts for the remark.
+    """
+    per_city = area_city_product_counts(actions, cities, products)
+    totals = per_city.groupBy("area", "product_name").agg(F.sum("n").alias("click_count"))
+    top = area_product_top3(totals, k).select("area", "product_name", "rank")
+    group = ["area", "product_name", "rank"]
+    remarks = city_remark(per_city.join(top, ["area", "product_name"]), group, other_label=other_label)
+    return remarks.select("area", "product_name", "click_count", "city_remark", "rank")

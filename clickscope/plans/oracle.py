@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from clickscope.config import CHECK
 from clickscope.operators.pageflow import flow_pages, flow_pairs
+from clickscope.plans.streams import PART_DATES
+from clickscope.sources.bindings import LINE
 
 _C = CHECK.condition
 _FLOW = _C.target_page_flow
@@ -175,13 +177,6 @@ since AS (
 
 _LAST = """
 lh AS (
-  SELECT ads_id, date_trunc('minute', ts) AS minute_start, count(*) AS click_count
-  FROM ads WHERE ts > (SELECT max(ts) FROM ads) - INTERVAL 60 MINUTE
-  GROUP BY 1, 2)
-"""
-
-_LAST_MINUTES = """
-lm AS (
   SELECT ads_id, date_trunc('minute', ts) AS minute_start, count(*) AS click_count
   FROM ads WHERE date_trunc('minute', ts) > (SELECT date_trunc('minute', max(ts)) FROM ads) - INTERVAL 60 MINUTE
   GROUP BY 1, 2)
@@ -241,16 +236,58 @@ SELECT ads_id,
 FROM lh GROUP BY ads_id""",
 }
 
+# A CSV line of the click log, as sources.bindings makes it.
+_LINES = f"""
+lines AS (
+  SELECT ts, user_id, ads_id, day, area, city, event_id,
+         {LINE.format(ms="epoch_ms(ts)").replace("STRING", "VARCHAR")} AS value
+  FROM ads),
+sound AS (SELECT date_trunc('millisecond', ts) AS ts, area, city, user_id, ads_id, day
+          FROM lines WHERE event_id % 10 < 7)
+"""
+
+# Micro-batches of the stream checks; a user is listed after the batch in
+# which one of the user's counters reaches the threshold.
+_PART = " + ".join(f"CASE WHEN day >= '{d}' THEN 1 ELSE 0 END" for d in PART_DATES)
+
+
+def _snapshot(source: str) -> str:
+    return f"""
+parts AS (SELECT *, {_PART} AS part FROM {source}),
+listed AS (
+  SELECT user_id, min(part) AS part FROM (
+    SELECT user_id, part, row_number() OVER (PARTITION BY user_id, day, ads_id ORDER BY ts) AS rn FROM parts)
+  WHERE rn = {_TH} GROUP BY user_id),
+passed AS (SELECT p.* FROM parts p LEFT JOIN listed l ON p.user_id = l.user_id WHERE l.part IS NULL OR p.part <= l.part)
+"""
+
+
+_CATEGORY_ROWS = "category_id, click_count, order_count, pay_count"
+
 # The streaming jobs must end in the batch results.
 ORACLE_SQL.update({
     "stream_day_area_city_ads": ORACLE_SQL["day_area_city_ads"],
     "stream_area_ads_top3": ORACLE_SQL["area_ads_top3"],
     "stream_area_ads_top3_update": ORACLE_SQL["area_ads_top3"],
+    "stream_area_ads_top3_json": ORACLE_SQL["area_ads_top3_json"],
     "stream_blacklist": ORACLE_SQL["blacklist"],
     "stream_blacklist_tables": ORACLE_SQL["blacklist"],
+    "stream_blacklist_passed": f"WITH {_BASE}, {_snapshot('ads')} SELECT event_id, user_id, ads_id, day, area, city FROM passed",
+    "stream_blacklist_passed_row": ORACLE_SQL["ads_not_blacklisted"],
     "stream_ads_not_blacklisted": ORACLE_SQL["ads_not_blacklisted"],
-    # the serving view of the stream keeps whole minutes: the 60 minutes
-    # ending with the newest one
-    "stream_last_hour": f"""WITH {_BASE}, {_LAST_MINUTES}
-SELECT ads_id, strftime(minute_start, '%H:%M') AS minute, click_count FROM lm""",
+    "stream_last_hour": ORACLE_SQL["last_hour"],
+    "stream_last_hour_json": ORACLE_SQL["last_hour_json"],
+    "ads_pipeline": f"""WITH {_BASE}, {_LINES}, {_snapshot('sound')}
+SELECT day, area, city, ads_id, count(*) AS click_count FROM passed GROUP BY 1, 2, 3, 4""",
+    "ads_pipeline_rejects": f"""WITH {_BASE}, {_LINES}
+SELECT value, CASE event_id % 10 WHEN 7 THEN 'bad timestamp' WHEN 8 THEN 'timestamp out of range' ELSE 'too few fields' END AS reason
+FROM lines WHERE event_id % 10 >= 7""",
+    "parse_ads_log": f"""WITH {_BASE}, {_LINES}
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, area, city, user_id, ads_id, day FROM sound""",
+    "load_tables": ORACLE_SQL["area_product_top3"],
+    "overwrite_table": ORACLE_SQL["category_counts"],
+    "append_table": f"""WITH {_BASE}, {_CAT}
+SELECT task_id, {_CATEGORY_ROWS} FROM cc, (SELECT unnest(['run-1', 'run-2']) AS task_id)""",
+    "save_table": f"WITH {_BASE} SELECT * FROM uva",
 })
+ORACLE_SQL["parse_ads_log_rejects"] = ORACLE_SQL["ads_pipeline_rejects"]

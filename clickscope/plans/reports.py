@@ -24,6 +24,11 @@ from clickscope.sinks.tables import JdbcTarget, append_table, jdbc_overwrite, ov
 from clickscope.sources.tables import ActionModel
 
 
+# What the three reports over the filtered log read.
+REPORT_COLUMNS = ("event_id", "session_id", "page_id", "action_time", "click_category_id", "order_category_ids",
+                  "pay_category_ids")
+
+
 @dataclass(frozen=True)
 class ReportTargets:
     category_top10: JdbcTarget | str
@@ -37,7 +42,8 @@ def build_reports(model: ActionModel, condition: Condition, task_id: str | None
     """The four result DataFrames (lazy) and the persisted filtered log."""
     task_id = task_id or str(uuid.uuid4())
     acts = filter_actions(model.actions, model.users, condition, cities=model.cities)
-    acts = acts.persist(StorageLevel.MEMORY_AND_DISK)
+    used = [c for c in REPORT_COLUMNS if c in acts.columns]
+    acts = acts.select(*used).persist(StorageLevel.MEMORY_AND_DISK)
     by_session = category_session_counts(acts)
     top = category_top10(category_action_counts(acts, by_session=by_session), task_id=task_id)
     out = {
@@ -63,15 +69,13 @@ def run_reports(model: ActionModel, condition: Condition, targets: ReportTargets
     task_id = task_id or str(uuid.uuid4())
     out, acts = build_reports(model, condition, task_id, other_label)
     try:
-        top = out["category_top10"].persist()
-        append_table(top, targets.category_top10)
+        append_table(out["category_top10"], targets.category_top10)
         overwrite_table(out["category_session_top10"], targets.category_session_top10)
         overwrite_table(out["page_conversion"], targets.page_conversion)
         if isinstance(targets.area_product_top3, JdbcTarget):
             jdbc_overwrite(out["area_product_top3"], targets.area_product_top3)
         else:
             overwrite_table(out["area_product_top3"], targets.area_product_top3)
-        top.unpersist()
     finally:
         acts.unpersist()
     return task_id

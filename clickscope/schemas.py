@@ -40,17 +40,3 @@ PRODUCT_INFO = T.StructType([
     T.StructField("product_name", T.StringType()),
     T.StructField("extend_info", T.StringType()),
 ])
-
-# One parsed ad click.  ``ts`` is an event-time timestamp, ``day`` its
-# yyyy-MM-dd text; ids stay strings as in the CSV record.
-ADS_CLICK = T.StructType([
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("ads_id", T.StringType()),
-    T.StructField("day", T.StringType()),
-])
-
-# CSV layout of an ads_log record: timestamp(ms),area,city,userid,adid
-ADS_CSV = "ts_ms BIGINT, area STRING, city STRING, user_id STRING, ads_id STRING"

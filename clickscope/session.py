@@ -44,12 +44,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     and registered when the setting is unset.
     """
     conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...): "
                                "a machine-local folder is not visible to the other executors")
         root = tempfile.mkdtemp(prefix="clickscope-ckpt-")
@@ -64,15 +65,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can list a local folder."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def scale_settings(input_bytes: int, cores: int, *, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for a job reading ``input_bytes`` on ``cores``.
 
@@ -90,10 +82,3 @@ def scale_settings(input_bytes: int, cores: int, *, partition_bytes: int = 256 <
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
-
-
-def apply_scale_settings(spark: SparkSession, input_bytes: int, *, partition_bytes: int = 256 << 20) -> None:
-    """Set ``scale_settings`` on a session (cores = default parallelism)."""
-    for k, v in scale_settings(input_bytes, spark.sparkContext.defaultParallelism,
-                               partition_bytes=partition_bytes).items():
-        spark.conf.set(k, v)

@@ -126,28 +126,47 @@ def sales_clicks(t: TestTables) -> DataFrame:
             .selectExpr("CAST(c_nationkey AS BIGINT) AS city_id", "l_partkey AS click_product_id"))
 
 
-def events_stream(t: TestTables, max_files_per_trigger: int = 1, folder: str | None = None) -> DataFrame:
-    """The events table as a file stream (same schema as the batch read)."""
-    reader = (t.spark.readStream.schema(t.events.schema)
-              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
-    if folder is None:
-        return reader.option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+def events_stream(t: TestTables, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A folder of event files as a file stream (same schema as the batch read)."""
+    reader = t.spark.readStream.schema(t.events.schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(folder)
 
 
+def bare_clicks(t: TestTables, events: DataFrame | None = None) -> DataFrame:
+    """The ad-click log without its city: ts, event_id, user_id, ads_id, day and the customer key."""
+    return (t.events if events is None else events).selectExpr(
+        "CAST(ts AS TIMESTAMP) AS ts", "event_id", "user_id AS _cust", "CAST(user_id AS STRING) AS user_id",
+        f"CAST({K} % 5 + 1 AS STRING) AS ads_id", f"{DATE} AS day")
+
+
+def with_city(t: TestTables, clicks: DataFrame) -> DataFrame:
+    """Bare clicks joined to area and city (TPC-H's nation table: 25 rows, so it is broadcast)."""
+    cust = t.customer.select("c_custkey", "c_nationkey")
+    city = cities(t)
+    return (clicks.join(cust, clicks["_cust"] == cust["c_custkey"])
+            .join(F.broadcast(city), F.col("c_nationkey").cast("bigint") == city["city_id"])
+            .select("ts", "event_id", "area", F.col("city_name").alias("city"), "user_id", "ads_id", "day"))
+
+
+# SQL text of a click log line: seven in ten are sound, the others broken in three ways.
+LINE = ("CASE event_id % 10 WHEN 7 THEN 'abc,' || area || ',' || city || ',' || user_id || ',' || ads_id "
+        "WHEN 8 THEN '99999999999999999,' || area || ',' || city || ',' || user_id || ',' || ads_id "
+        "WHEN 9 THEN area || ',' || user_id "
+        "ELSE CAST({ms} AS STRING) || ',' || area || ',' || city || ',' || user_id || ',' || ads_id END")
+
+
+def ads_lines(t: TestTables) -> DataFrame:
+    """(value, ts): one CSV line for every event, some of them malformed."""
+    return ads_clicks(t).selectExpr(f"{LINE.format(ms='unix_millis(ts)')} AS value", "ts")
+
+
 def ads_clicks(t: TestTables, events: DataFrame | None = None) -> DataFrame:
     """The ad-click log as parsed records: every event is one ad click.
 
     Columns: ts (timestamp, session zone; wall clock of the stored value),
-    event_id, area, city, user_id (string), ads_id (string), day.  The city
-    dimension is TPC-H's nation table: 25 rows, so it is broadcast.
+    event_id, area, city, user_id (string), ads_id (string), day.
     ``events`` may be a streaming frame (stream-static joins).
     """
-    e = (t.events if events is None else events).selectExpr("event_id", "ts", "user_id", f"{K} AS k")
-    cust = t.customer.select("c_custkey", "c_nationkey")
-    city = cities(t)
-    return (e.join(cust, e["user_id"] == cust["c_custkey"])
-            .join(F.broadcast(city), F.col("c_nationkey").cast("bigint") == city["city_id"])
-            .selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_id", "area", "city_name AS city",
-                        "CAST(user_id AS STRING) AS user_id", "CAST(k % 5 + 1 AS STRING) AS ads_id",
-                        f"{DATE} AS day"))
+    return with_city(t, bare_clicks(t, events))

@@ -1,9 +1,9 @@
 """The ad-click stream jobs and their serving tables.
 
 Every job is one Structured Streaming query with its own checkpoint and a
-``foreachBatch`` sink that writes serving tables through ``VersionedTable``
-(K5) or batch-id folders, so a retried micro-batch rewrites the same output.
-The per-batch work calls the batch operators of ``clickscope.operators.ads``.
+``foreachBatch`` sink that writes keyed serving tables (K5) or a folder named
+by batch id, so a retried micro-batch rewrites the same output.  The per-batch
+work calls the batch operators of ``clickscope.operators.ads``.
 
 Serving tables under ``out_root``:
 
@@ -11,9 +11,10 @@ Serving tables under ``out_root``:
 * ``area_ads_top3`` (R4)      day, area, ads_id, click_count, rank
 * ``area_ads_top3_json`` (R4) day, area -> ads_json
 * ``last_hour`` (R5)          ads_id, minute_start -> click_count
-* ``blacklist_events`` (R1/R2, state form) file-sink table, kind=pass|listed
 * ``blacklist_counters`` / ``blacklist_listed`` / ``blacklist_passed``
-  (R1/R2, JVM form) counters per (user, day, ad), listed users, passed clicks
+  (R1/R2) counters per (user, day, ad), listed users, passed clicks
+* ``blacklist_events`` (R1/R2, state form) file-sink table, kind=pass|listed
+* ``rejects`` (S2)            lines that are no clicks, with the reason
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickscope.config import BLACKLIST_THRESHOLD, LAST_HOUR_MINUTES, TOP_ADS
 from clickscope.operators import ads as A
 from clickscope.streaming.blacklist import blacklist_stream
-from clickscope.streaming.versioned import VersionedTable
+from clickscope.streaming.keyed import KeyedTable
 
 
 @dataclass(frozen=True)
@@ -54,53 +55,47 @@ def _path(root: str, name: str) -> str:
 # ---------------------------------------------------------------- R3 + R4
 
 def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
-                         mode: str = "complete", day_watermark: str | None = None,
-                         top: int = TOP_ADS, trigger: Trigger = Trigger(),
+                         mode: str = "update", day_watermark: str | None = None,
+                         top: int = TOP_ADS, trigger: Trigger = Trigger(), reset: bool = False,
                          name: str | None = None) -> StreamingQuery:
     """R3 running totals per (day, area, city, ad), R4 top ads per (day, area).
 
-    ``complete``: the exact equivalent of the reference - every batch sees
-    all totals; R3 and R4 are rewritten as new versions.  State never
-    expires.  ``update``: only changed totals arrive; they are upserted into
-    R3, and R4 is recomputed for the days touched by the batch only; these
-    serving tables are partitioned by day, so a batch rewrites only the days
-    it touched.  With ``day_watermark`` (e.g. "2 days") state for old days is dropped (update
-    mode only).
+    ``update``: only changed totals arrive; they are upserted into R3, and R4
+    is recomputed for the days touched by the batch only; the tables are
+    partitioned by day.  With ``day_watermark`` (e.g. "2 days") state is
+    dropped for days that began so long before the newest day, in the session
+    time zone; clicks of such days are dropped too.  ``complete``: every batch
+    emits and writes all totals, as the reference does; state never expires,
+    and each batch adds a whole copy of the tables until they are compacted.
     """
-    src = clicks
+    counts = A.day_area_city_ads(clicks)
     if day_watermark:
         if mode != "update":
             raise ValueError("a watermark needs update mode")
-        src = src.withWatermark("ts", day_watermark)
-        counts = (src.groupBy(F.window("ts", "1 day").alias("_d"), "day", "area", "city", "ads_id")
-                  .agg(F.count(F.lit(1)).alias("click_count")).drop("_d"))
-    else:
-        counts = A.day_area_city_ads(src)
-    part = "day" if mode == "update" else None
-    r3 = VersionedTable(_path(out_root, "day_area_city_ads"), ["day", "area", "city", "ads_id"], part)
-    r4 = VersionedTable(_path(out_root, "area_ads_top3"), ["day", "area"], part)
-    r4j = VersionedTable(_path(out_root, "area_ads_top3_json"), ["day", "area"], part)
+        # the watermark is on the start of the session-zone day, so that there
+        # is one state row for each (day, area, city, ad)
+        days = clicks.withColumn("_day_start", F.date_trunc("day", "ts")).withWatermark("_day_start", day_watermark)
+        counts = (days.groupBy("_day_start", "day", "area", "city", "ads_id")
+                  .agg(F.count(F.lit(1)).alias("click_count")).drop("_day_start"))
+    r3, r4, r4j = (_table(out_root, n) for n in ("day_area_city_ads", "area_ads_top3", "area_ads_top3_json"))
+    for t in (r3, r4, r4j):
+        t.claim(clicks.sparkSession, checkpoint, reset)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if mode == "complete":
-            batch = batch.persist()
-            r3.replace(batch, batch_id)
-            top3 = A.area_ads_top3(batch, top).persist()
-            r4.replace(top3, batch_id)
-            r4j.replace(A.area_ads_top3_json(top3), batch_id)
-            top3.unpersist()
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            r3.upsert(batch, batch_id)
+            totals = batch if mode == "complete" else r3.read(batch.sparkSession, only=batch)
+            top3 = A.area_ads_top3(totals, top).persist()
+            try:
+                r4.upsert(top3, batch_id)
+                r4j.upsert(A.area_ads_top3_json(top3), batch_id)
+            finally:
+                top3.unpersist()
+        finally:
             batch.unpersist()
-            return
-        if batch.isEmpty():
-            return
-        # update mode: only the day partitions this batch touched are read
-        # and rewritten, in R3 and in the top-3 tables
-        tags = r3.upsert(batch, batch_id)
-        touched = r3.read(batch.sparkSession, only=tags)
-        top3 = A.area_ads_top3(touched, top).persist()
-        r4.upsert(top3, batch_id)
-        r4j.upsert(A.area_ads_top3_json(top3), batch_id)
-        top3.unpersist()
 
     w = (counts.writeStream.outputMode(mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -112,32 +107,29 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
 # ---------------------------------------------------------------- R5
 
 def start_last_hour(clicks: DataFrame, out_root: str, checkpoint: str, *,
-                    minutes: int = LAST_HOUR_MINUTES, trigger: Trigger = Trigger(),
+                    minutes: int = LAST_HOUR_MINUTES, trigger: Trigger = Trigger(), reset: bool = False,
                     name: str | None = None) -> StreamingQuery:
     """Clicks per (ad, minute) with a ``minutes`` event-time watermark.
 
     Incremental minute counts in state (the reference recomputes the whole
-    hour from raw events every 5 s).  Changed minutes are upserted; minutes
-    older than the window of the newest minute are dropped from the table.
-    State for minutes behind the watermark is evicted; a click that arrives
-    behind it may be dropped by Spark (then counted in the progress metric
-    ``numRowsDroppedByWatermark``), and the serving view never shows minutes
-    outside the current hour either way.
+    hour from raw events every 5 s).  Changed minutes are upserted, by day;
+    the serving view shows the ``minutes`` whole minutes that end with the
+    newest one.  State for minutes behind the watermark is evicted; a click
+    that arrives behind it may be dropped by Spark (then counted in the
+    progress metric ``numRowsDroppedByWatermark``) and lies outside the view
+    either way.
     """
     counts = (clicks.withWatermark("ts", f"{int(minutes)} minutes")
               .groupBy(F.window("ts", "1 minute").alias("w"), "ads_id")
               .agg(F.count(F.lit(1)).alias("click_count"))
-              .select("ads_id", F.col("w.start").alias("minute_start"), "click_count"))
-    table = VersionedTable(_path(out_root, "last_hour"), ["ads_id", "minute_start"])
-
-    def retain(t: DataFrame):
-        newest = t.select(F.max("minute_start")).scalar()
-        return F.col("minute_start") > newest - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+              .select("ads_id", F.col("w.start").alias("minute_start"),
+                      F.date_format("w.start", "yyyy-MM-dd").alias("day"), "click_count"))
+    table = _table(out_root, "last_hour")
+    table.claim(clicks.sparkSession, checkpoint, reset)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        table.upsert(batch, batch_id, retain=retain)
+        if not batch.isEmpty():
+            table.upsert(batch, batch_id)
 
     w = (counts.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -147,12 +139,12 @@ def start_last_hour(clicks: DataFrame, out_root: str, checkpoint: str, *,
 
 
 def read_last_hour(spark: SparkSession, out_root: str, minutes: int = LAST_HOUR_MINUTES) -> DataFrame | None:
-    """Serving view of R5: minutes within ``minutes`` of the newest one."""
-    t = VersionedTable(_path(out_root, "last_hour"), ["ads_id", "minute_start"]).read(spark)
+    """Serving view of R5: the ``minutes`` whole minutes that end with the newest one."""
+    t = _table(out_root, "last_hour").read(spark)
     if t is None:
         return None
     newest = t.select(F.max("minute_start")).scalar()
-    return (t.where(F.col("minute_start") > newest - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    return (t.where(F.col("minute_start") >= A.last_hour_start(newest, minutes))
             .select("ads_id", "minute_start",
                     F.date_format("minute_start", "HH:mm").alias("minute"), "click_count"))
 
@@ -165,19 +157,16 @@ def read_last_hour_json(spark: SparkSession, out_root: str, minutes: int = LAST_
 
 # ---------------------------------------------------------------- R1 + R2
 
-PASSED_SCHEMA = ("ts TIMESTAMP, event_id BIGINT, area STRING, city STRING, user_id STRING, "
-                 "ads_id STRING, day STRING, kind STRING")
-
-
 def start_blacklist(clicks: DataFrame, out_root: str, checkpoint: str, *,
-                    threshold: int = BLACKLIST_THRESHOLD, mode: str = "batch",
+                    threshold: int = BLACKLIST_THRESHOLD, mode: str = "batch", watermark: str | None = None,
                     trigger: Trigger = Trigger(), name: str | None = None) -> StreamingQuery:
-    """R1 + R2: passed clicks (kind=pass) and listing events (kind=listed).
+    """R1 + R2 in state form: passed clicks (kind=pass) and listing events (kind=listed).
 
+    For moderate rates: see ``blacklist_stream`` for what one task holds.
     Written by the Parquet file sink: its commit log makes the output
     exactly-once, and readers (batch or stream) see committed files only.
     """
-    events = blacklist_stream(clicks, threshold, mode)
+    events = blacklist_stream(clicks, threshold, mode, watermark)
     w = (events.writeStream.format("parquet").outputMode("append").partitionBy("kind")
          .option("path", _path(out_root, "blacklist_events"))
          .option("checkpointLocation", checkpoint))
@@ -188,21 +177,31 @@ def start_blacklist(clicks: DataFrame, out_root: str, checkpoint: str, *,
 
 def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
                            threshold: int = BLACKLIST_THRESHOLD, mode: str = "batch",
-                           trigger: Trigger = Trigger(), name: str | None = None) -> StreamingQuery:
+                           trigger: Trigger = Trigger(), reset: bool = False, counts: bool = False,
+                           top: int = TOP_ADS, name: str | None = None) -> StreamingQuery:
     """R1 + R2 in the reference's per-batch form, on the JVM only.
 
     Each micro-batch: read the listed users as they stood before it, drop
     their clicks (snapshot filter, R2), add the batch's clicks to the
     (user, day, ad) counters (all clicks, as the reference counts them), and
-    list the users whose counter reaches ``threshold`` (R1).  Counters and
-    the list are versioned tables read "below the batch id", so a replayed
-    batch starts from the same state; counters are partitioned by day, so a
-    batch rewrites only the days it touched.  Passed clicks go to
-    ``blacklist_passed/batch=<id>``.  ``mode="row"`` filters exactly per
-    click instead (the batch operator with the stored counters as prior).
+    list the users whose counter reaches ``threshold`` (R1).  Counters, the
+    list and the passed clicks are read "below the batch id", so a replayed
+    batch starts from the same state; counters and passed clicks are
+    partitioned by day, the list only grows by new users.  ``mode="row"``
+    filters exactly per click instead (the batch operator with the stored
+    counters as prior).  With ``counts`` the batch's passed clicks are added
+    to the tables of R3, R4 and R5 as well, under the same batch id.
     """
+    if mode not in ("batch", "row"):
+        raise ValueError("mode is 'batch' or 'row'")
+    own = ["blacklist_counters", "blacklist_listed", "blacklist_passed"]
+    if counts:
+        own += ["day_area_city_ads", "area_ads_top3", "area_ads_top3_json", "last_hour"]
+    for n in own:
+        _table(out_root, n).claim(clicks.sparkSession, checkpoint, reset)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        apply_blacklist_batch(batch, batch_id, out_root, threshold, mode)
+        apply_blacklist_batch(batch, batch_id, out_root, threshold, mode, counts, top)
 
     w = (clicks.writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -212,37 +211,67 @@ def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
 
 
 def apply_blacklist_batch(batch: DataFrame, batch_id: int, out_root: str,
-                          threshold: int = BLACKLIST_THRESHOLD, mode: str = "batch") -> None:
-    """One micro-batch of ``start_blacklist_tables`` (idempotent per batch id)."""
-    if mode not in ("batch", "row"):
-        raise ValueError("mode is 'batch' or 'row'")
-    if batch.isEmpty():
-        return
+                          threshold: int = BLACKLIST_THRESHOLD, mode: str = "batch", counts: bool = False,
+                          top: int = TOP_ADS) -> None:
+    """One micro-batch of ``start_blacklist_tables`` (idempotent per batch id; the batch is read once)."""
     keys = ["user_id", "day", "ads_id"]
-    counters = VersionedTable(_path(out_root, "blacklist_counters"), keys, partition_by="day")
-    listed = VersionedTable(_path(out_root, "blacklist_listed"), ["user_id"])
+    counters, listed, passed_table = (_table(out_root, n) for n in ("blacklist_counters", "blacklist_listed", "blacklist_passed"))
     spark = batch.sparkSession
-    inc = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    base = counters.read(spark, below=batch_id, only=counters.touched(inc))
-    snapshot = listed.read(spark, below=batch_id)
-    passed = batch if snapshot is None else A.drop_blacklisted(batch, snapshot)
-    if mode == "row":
-        passed = A.ads_not_blacklisted(passed, threshold, prior=base)
-    passed.write.mode("overwrite").parquet(f"{_path(out_root, 'blacklist_passed')}/batch={batch_id}")
-    totals = inc if base is None else (
-        inc.join(base.withColumnRenamed("n", "_n0"), keys, "left")
-        .select(*keys, (F.col("n") + F.coalesce(F.col("_n0"), F.lit(0))).alias("n")))
-    totals = totals.persist()
-    counters.upsert(totals, batch_id)
-    listed.upsert(totals.where(F.col("n") >= threshold).select("user_id").distinct(), batch_id)
-    totals.unpersist()
-
-
-def read_blacklist_tables(spark: SparkSession, out_root: str) -> tuple[DataFrame | None, DataFrame]:
+    batch = batch.persist()
+    try:
+        if batch.isEmpty():
+            return
+        inc = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        base = counters.read(spark, below=batch_id, only=batch)
+        snapshot = listed.read(spark, below=batch_id)
+        passed = batch if snapshot is None else A.drop_blacklisted(batch, snapshot)
+        if mode == "row":
+            passed = A.ads_not_blacklisted(passed, threshold, prior=base)
+        passed_table.upsert(passed, batch_id)
+        if counts:
+            count_batch(passed, batch_id, out_root, top)
+        totals = _added(inc, base, keys, "n").persist()
+        try:
+            counters.upsert(totals, batch_id)
+            new = totals.where(F.col("n") >= threshold).select("user_id").distinct()
+            if snapshot is not None:
+                new = new.join(snapshot, "user_id", "left_anti")
+            listed.upsert(new, batch_id)
+        finally:
+            totals.unpersist()
+    finally:
+        batch.unpersist()
+
+
+def _added(inc: DataFrame, base: DataFrame | None, keys: list[str], value: str) -> DataFrame:
+    """Increments plus the stored totals of their keys."""
+    if base is None:
+        return inc
+    return (inc.join(base.select(*keys, F.col(value).alias("_stored")), keys, "left")
+            .withColumn(value, F.col(value) + F.coalesce(F.col("_stored"), F.lit(0))).drop("_stored"))
+
+
+def count_batch(clicks: DataFrame, batch_id: int, out_root: str, top: int = TOP_ADS) -> None:
+    """Add one batch of clicks to the tables of R3, R4 and R5 (idempotent per batch id)."""
+    spark = clicks.sparkSession
+    r3, r4, r4j, r5 = (_table(out_root, n) for n in ("day_area_city_ads", "area_ads_top3", "area_ads_top3_json", "last_hour"))
+    r3.upsert(_added(A.day_area_city_ads(clicks), r3.read(spark, below=batch_id, only=clicks), r3.keys, "click_count"), batch_id)
+    totals = r3.read(spark, only=clicks)
+    if totals is not None:
+        top3 = A.area_ads_top3(totals, top).persist()
+        try:
+            r4.upsert(top3, batch_id)
+            r4j.upsert(A.area_ads_top3_json(top3), batch_id)
+        finally:
+            top3.unpersist()
+    minutes = (clicks.groupBy("ads_id", F.date_trunc("minute", "ts").alias("minute_start"), "day")
+               .agg(F.count(F.lit(1)).alias("click_count")))
+    r5.upsert(_added(minutes, r5.read(spark, below=batch_id, only=clicks), r5.keys, "click_count"), batch_id)
+
+
+def read_blacklist_tables(spark: SparkSession, out_root: str) -> tuple[DataFrame | None, DataFrame | None]:
     """(listed users, passed clicks) written by ``start_blacklist_tables``."""
-    listed = VersionedTable(_path(out_root, "blacklist_listed"), ["user_id"]).read(spark)
-    passed = spark.read.parquet(_path(out_root, "blacklist_passed")).drop("batch")
-    return listed, passed
+    return _table(out_root, "blacklist_listed").read(spark), _table(out_root, "blacklist_passed").log(spark)
 
 
 def read_blacklist(spark: SparkSession, out_root: str) -> DataFrame:
@@ -257,49 +286,59 @@ def read_passed_clicks(spark: SparkSession, out_root: str) -> DataFrame:
     return ev.where(F.col("kind") == "pass").drop("kind")
 
 
-def passed_clicks_stream(spark: SparkSession, out_root: str) -> DataFrame:
-    """R2 output as a stream (file source over the sink's committed files)."""
-    return (spark.readStream.schema(PASSED_SCHEMA)
-            .parquet(_path(out_root, "blacklist_events"))
-            .where(F.col("kind") == "pass").drop("kind"))
+TABLE_KEYS = {"day_area_city_ads": ["day", "area", "city", "ads_id"], "area_ads_top3": ["day", "area"],
+              "area_ads_top3_json": ["day", "area"], "last_hour": ["ads_id", "minute_start"],
+              "blacklist_counters": ["user_id", "day", "ads_id"], "blacklist_listed": ["user_id"], "blacklist_passed": []}
+
+
+def _table(out_root: str, name: str) -> KeyedTable:
+    return KeyedTable(_path(out_root, name), TABLE_KEYS[name], None if name == "blacklist_listed" else "day")
 
 
 def read_table(spark: SparkSession, out_root: str, name: str) -> DataFrame | None:
-    """Current state of a serving table (either layout)."""
-    keys = {"day_area_city_ads": ["day", "area", "city", "ads_id"],
-            "area_ads_top3": ["day", "area"], "area_ads_top3_json": ["day", "area"],
-            "last_hour": ["ads_id", "minute_start"]}[name]
-    table = VersionedTable(_path(out_root, name), keys)
-    listing = table._listing(spark)
-    if listing and listing[max(listing)]:
-        table = VersionedTable(_path(out_root, name), keys, partition_by="day")
-    return table.read(spark)
+    """Current state of a serving table."""
+    return _table(out_root, name).read(spark)
+
+
+def compact_tables(spark: SparkSession, out_root: str) -> list[str]:
+    """Maintenance while no query runs: each keyed table's newest rows in one folder; returns the folders of before."""
+    old = [_table(out_root, n).compact(spark) for n, keys in TABLE_KEYS.items() if keys]
+    return [p for p in old if p]
+
+
+def start_rejects(rejects: DataFrame, out_root: str, checkpoint: str, *, trigger: Trigger = Trigger(),
+                  name: str | None = None) -> StreamingQuery:
+    """Lines that are no clicks, with the reason, appended to the ``rejects`` table (file sink)."""
+    w = (rejects.writeStream.format("parquet").outputMode("append")
+         .option("path", _path(out_root, "rejects")).option("checkpointLocation", checkpoint))
+    if name:
+        w = w.queryName(name)
+    return trigger.apply(w).start()
 
 
 # ---------------------------------------------------------------- R6
 
 def start_ads_jobs(clicks: DataFrame, out_root: str, checkpoint_root: str, *,
-                   threshold: int = BLACKLIST_THRESHOLD, blacklist_mode: str = "batch",
-                   filter_blacklisted: bool = True, counts_mode: str = "complete",
-                   trigger: Trigger = Trigger()) -> list[StreamingQuery]:
-    """Blacklist (R1/R2), running counts + top 3 (R3/R4), last hour.
-
-    With ``filter_blacklisted`` the counting jobs read the clicks that passed
-    the blacklist (the reference's commented-out intent) from the blacklist
-    job's file sink; each query keeps its own checkpoint and restarts on its
-    own.  Under ``available_now`` the blacklist job finishes first so the
-    later jobs see all of its output.
+                   rejects: DataFrame | None = None, threshold: int = BLACKLIST_THRESHOLD,
+                   blacklist_mode: str = "batch", filter_blacklisted: bool = True, counts_mode: str = "update",
+                   day_watermark: str | None = None, trigger: Trigger = Trigger(), reset: bool = False) -> list[StreamingQuery]:
+    """Blacklist (R1/R2), running counts + top 3 (R3/R4), last hour (R5), rejects.
+
+    With ``filter_blacklisted`` (the reference's commented-out intent) the
+    clicks that pass the blacklist are counted in the same query and under the
+    same batch id, so a retried batch counts once in every table.  Without it
+    the counting jobs read all clicks, each a query with its own checkpoint
+    and state; give ``day_watermark`` then for a job that runs for long, or
+    the totals of every day stay in state (``counts_mode`` and the watermark
+    apply to that form only).
     """
     ck = checkpoint_root.rstrip("/")
-    spark = clicks.sparkSession
-    queries = [start_blacklist(clicks, out_root, f"{ck}/blacklist", threshold=threshold,
-                               mode=blacklist_mode, trigger=trigger)]
-    source = clicks
-    if filter_blacklisted:
-        if trigger.available_now:
-            queries[0].awaitTermination()
-        source = passed_clicks_stream(spark, out_root)
-    queries.append(start_running_counts(source, out_root, f"{ck}/running_counts", mode=counts_mode,
-                                        trigger=trigger))
-    queries.append(start_last_hour(source, out_root, f"{ck}/last_hour", trigger=trigger))
+    queries = [start_blacklist_tables(clicks, out_root, f"{ck}/blacklist", threshold=threshold, mode=blacklist_mode,
+                                      counts=filter_blacklisted, trigger=trigger, reset=reset)]
+    if rejects is not None:
+        queries.append(start_rejects(rejects, out_root, f"{ck}/rejects", trigger=trigger))
+    if not filter_blacklisted:
+        queries.append(start_running_counts(clicks, out_root, f"{ck}/running_counts", mode=counts_mode,
+                                            day_watermark=day_watermark, trigger=trigger, reset=reset))
+        queries.append(start_last_hour(clicks, out_root, f"{ck}/last_hour", trigger=trigger, reset=reset))
     return queries

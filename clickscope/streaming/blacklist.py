@@ -4,10 +4,12 @@ reach the threshold, and drop the clicks of listed users.
 State is kept per user by ``applyInPandasWithState``: a listed flag and one
 counter per (day, ad).  It lives in the query's state store, versioned with
 each micro-batch, so a replayed batch starts again from the state before it.
-A user's rows of one micro-batch form one pandas frame; the trigger bounds
-the batch size, hence the frame.  State stays small: a listed user keeps
-only the flag, and when the click stream carries a watermark, counters of
-days wholly behind it are dropped.
+All of a user's rows of one micro-batch form one pandas frame in one task, so
+a user with most of a large batch is that task's memory: bound the batch at
+the source, or use the form on tables (``start_blacklist_tables``), which has
+no such frame and is what the pipeline runs.  A listed user keeps only the
+flag; with ``watermark``, counters of days wholly behind it are dropped.  A
+user ever seen keeps a state row.
 
 Modes:
 
@@ -37,7 +39,8 @@ _COLS = ["ts", "event_id", "area", "city", "user_id", "ads_id", "day"]
 _SEP = "\u001f"
 
 
-def _blacklist_step(threshold: int, mode: str):
+def _blacklist_step(threshold: int, mode: str, zone: str | None = None):
+    """``zone``: the session time zone in which ``day`` is cut, if the stream has a watermark."""
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
             listed, keys, values = state.get
@@ -64,13 +67,10 @@ def _blacklist_step(threshold: int, mode: str):
         else:
             for k, n in ckey.value_counts().items():
                 counters[k] = counters.get(k, 0) + int(n)
-            try:
-                wm = state.getCurrentWatermarkMs()
-            except Exception:  # the stream has no watermark
-                wm = 0
+            wm = state.getCurrentWatermarkMs() if zone else 0
             if wm > 0:
                 # a day wholly behind the watermark gets no more clicks
-                oldest = pd.Timestamp(wm, unit="ms").strftime("%Y-%m-%d")
+                oldest = pd.Timestamp(wm, unit="ms", tz="UTC").tz_convert(zone).strftime("%Y-%m-%d")
                 counters = {k: v for k, v in counters.items() if k.split(_SEP, 1)[0] >= oldest}
         state.update((now_listed, list(counters.keys()), [int(v) for v in counters.values()]))
         out = passed[_COLS].assign(kind="pass")
@@ -83,15 +83,20 @@ def _blacklist_step(threshold: int, mode: str):
 
 
 def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
-                     mode: str = "batch") -> DataFrame:
+                     mode: str = "batch", watermark: str | None = None) -> DataFrame:
     """Streaming frame of ``kind`` = 'pass' rows (clicks that pass the
-    blacklist) and 'listed' rows (the click that listed a user)."""
+    blacklist) and 'listed' rows (the click that listed a user).
+
+    ``watermark`` (e.g. "1 day") drops the counters of days behind it."""
     if mode not in ("batch", "row"):
         raise ValueError("mode is 'batch' or 'row'")
     src = clicks
     if "event_id" not in src.columns:
         src = src.withColumn("event_id", F.lit(0).cast("bigint"))
     src = src.select(*_COLS)
+    zone = None
+    if watermark:
+        src, zone = src.withWatermark("ts", watermark), src.sparkSession.conf.get("spark.sql.session.timeZone")
     return src.groupBy("user_id").applyInPandasWithState(
-        _blacklist_step(threshold, mode), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        _blacklist_step(threshold, mode, zone), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.NoTimeout)

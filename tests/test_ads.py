@@ -15,18 +15,25 @@ def _t(m):
 
 
 def test_parse_and_reject(spark):
-    lines = spark.createDataFrame([("1704103200000,north,c1,7,3",), ("abc,x",), ("x,a,b,c,d",), ("1,a,b,c,",)],
-                                  "value string")
+    lines = spark.createDataFrame([("1704103200000,north,c1,7,3",), ("abc,x",), ("x,a,b,c,d",), ("1,a,b,c,",),
+                                   ("99999999999999999,a,c,u,1",), ("-5,a,c,u,1",), (None,), ("",)], "value string")
     clicks, rejects = parse_ads_log(lines)
     got = clicks.collect()
     assert len(got) == 1 and got[0].user_id == "7" and got[0].ads_id == "3" and got[0].day == "2024-01-01"
-    assert sorted(r.value for r in rejects.collect()) == ["1,a,b,c,", "abc,x", "x,a,b,c,d"]
+    assert sorted(((r.value, r.reason) for r in rejects.collect()), key=repr) == sorted([
+        ("1,a,b,c,", "too few fields"), ("abc,x", "too few fields"), ("x,a,b,c,d", "bad timestamp"), (None, "too few fields"),
+        ("99999999999999999,a,c,u,1", "timestamp out of range"), ("-5,a,c,u,1", "timestamp out of range"),
+        ("", "too few fields")], key=repr)
 
 
 def test_kafka_options():
     o = kafka_options("h:9092", "ads_log", group_id="g")
     assert o["subscribe"] == "ads_log" and o["startingOffsets"] == "latest" and o["kafka.group.id"] == "g"
-    assert int(o["maxOffsetsPerTrigger"]) > 0
+    assert o["failOnDataLoss"] == "true" and "maxOffsetsPerTrigger" not in o
+    o = kafka_options("h:9092", "t", starting_offsets="earliest", max_offsets_per_trigger=10, fail_on_data_loss=False,
+                      options={"kafka.security.protocol": "SSL"})
+    assert (o["startingOffsets"], o["maxOffsetsPerTrigger"], o["failOnDataLoss"], o["kafka.security.protocol"]) == (
+        "earliest", "10", "false", "SSL")
 
 
 def test_blacklist_edge_row_mode(spark):
@@ -58,7 +65,7 @@ def test_top3_and_json(spark):
 
 
 def test_last_hour_window(spark):
-    # window is ts > newest - 60 min: 10:30 is out, 10:31 is in
+    # the 60 minutes that end with 11:30: 10:30 is out, 10:31 is in
     rows = [(_t(30), 0, "n", "c", "u", "1", "d"), (_t(31), 1, "n", "c", "u", "1", "d"),
             (_t(90), 2, "n", "c", "u", "1", "d"), (_t(90), 3, "n", "c", "u", "2", "d")]
     got = A.last_hour_ads(_clicks(spark, rows))
@@ -68,6 +75,13 @@ def test_last_hour_window(spark):
     assert js["1"] == '[{"10:31":1},{"11:30":1}]'
 
 
+def test_last_hour_is_whole_minutes(spark):
+    s30, s50 = (dt.datetime(2024, 1, 1, 11, 30, x) for x in (0, 50))
+    rows = [(s30, 0, "n", "c", "u", "1", "d"), (s50, 1, "n", "c", "u", "1", "d"),
+            (dt.datetime(2024, 1, 1, 12, 30, 20), 2, "n", "c", "u", "1", "d")]
+    assert [(r.minute, r.click_count) for r in A.last_hour_ads(_clicks(spark, rows)).collect()] == [("12:30", 1)]
+
+
 def test_drop_blacklisted_snapshot(spark):
     clicks = _clicks(spark, [(_t(0), 0, "n", "c", "u1", "1", "d"), (_t(1), 1, "n", "c", "u2", "1", "d")])
     bl = spark.createDataFrame([("u1",)], "user_id string")

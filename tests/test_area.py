@@ -66,12 +66,13 @@ def test_shares_sum_to_one(spark, counts):
     assert len(text.split(",")) == (3 if len(counts) > 2 else len(counts))
 
 
-def test_early_and_late_product_join_agree(spark):
-    from clickscope.operators.area import area_city_product_counts
+def test_ranking_first_gives_the_same_report(spark):
+    from clickscope.operators.area import area_top_products
     from clickscope.sources import bindings as B
     from tests.conftest import SF_SMALL
     t = B.test_tables(spark, SF_SMALL)
-    cols = ["area", "product_name", "city_name", "n"]
-    early = area_city_product_counts(B.actions(t), B.cities(t), B.products(t), early_product_rows=10**6)
-    late = area_city_product_counts(B.actions(t), B.cities(t), B.products(t), early_product_rows=None)
-    assert rows(early, *cols) == rows(late, *cols) and len(rows(early, *cols)) > 0
+    dims = (B.actions(t), B.cities(t), B.products(t))
+    cols = ["area", "product_name", "click_count", "city_remark", "rank"]
+    top = area_top_products(*dims, other_label="other")
+    assert rows(top, *cols) == rows(area_product_top3(area_product_counts(*dims, other_label="other")), *cols)
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()

@@ -70,3 +70,13 @@ def test_top_n_is_prefix_of_full_order(spark, acts, n):
     assert top == full[:n]
     keys = [(-r[1], -r[2], -r[3], r[0]) for r in full]
     assert keys == sorted(keys)
+
+
+def test_sessions_and_totals_share_one_aggregate(spark):
+    """The predicate that keeps both consumers of the shared aggregate alike must go on doing so."""
+    from clickscope.plans.checks import QUERIES
+    from tests.conftest import SF_SMALL
+    df = QUERIES["category_session_top10"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("Generate explode") == 1

@@ -1,6 +1,8 @@
 import os
 import time
 
+import pytest
+
 from clickscope.__main__ import main
 from clickscope.sinks.tables import overwrite_table
 from clickscope.sources import bindings as B
@@ -23,7 +25,8 @@ def test_offline_command(spark, tmp_dir):
         assert spark.read.parquet(f"{tmp_dir}/out/{name}").count() > 0
 
 
-def test_realtime_command_on_text_files(spark, tmp_dir):
+@pytest.mark.parametrize("counts_mode", [None, "update", "complete"])
+def test_realtime_command_on_text_files(spark, tmp_dir, counts_mode):
     clicks = B.ads_clicks(B.test_tables(spark, SF_SMALL))
     rows = [r.v for r in clicks.orderBy("event_id").selectExpr(
         "concat_ws(',', CAST(unix_millis(ts) AS STRING), area, city, user_id, ads_id) AS v").collect()]
@@ -31,11 +34,14 @@ def test_realtime_command_on_text_files(spark, tmp_dir):
     for i, part in enumerate([rows[: len(rows) // 2], rows[len(rows) // 2:]]):
         path = f"{tmp_dir}/lines/p{i}.txt"
         with open(path, "w") as f:
-            f.write("\n".join(part) + "\n")
+            f.write("\n".join(part) + "\nno click\n")
         os.utime(path, (time.time() + i, time.time() + i))
     qs = main(["realtime", "--text-path", f"{tmp_dir}/lines", "--out", f"{tmp_dir}/serving",
                "--checkpoint", f"{tmp_dir}/ck", "--threshold", "3", "--blacklist-mode", "row",
-               "--counts-mode", "update", "--available-now"], spark=spark)
-    assert len(qs) == 3 and all(q.exception() is None for q in qs)
+               *(["--no-filter", "--counts-mode", counts_mode] if counts_mode else []),
+               *(["--day-watermark", "90 days"] if counts_mode == "update" else []),
+               "--available-now"], spark=spark)
+    assert len(qs) == (4 if counts_mode else 2) and all(q.exception() is None for q in qs)
+    assert {r.value for r in spark.read.parquet(f"{tmp_dir}/serving/rejects").collect()} == {"no click"}
     assert J.read_table(spark, f"{tmp_dir}/serving", "area_ads_top3").count() > 0
     assert J.read_last_hour(spark, f"{tmp_dir}/serving").count() > 0

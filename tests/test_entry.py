@@ -31,7 +31,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = df.collect()

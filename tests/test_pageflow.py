@@ -1,5 +1,7 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 
 from clickscope.operators.adjacency import adjacent_pairs, with_successor
@@ -52,25 +54,35 @@ def _brute_pairs(data):
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 30), st.integers(1, 4)),
                 min_size=0, max_size=60),
-       st.integers(1, 7))
-def test_range_chunked_pairs_equal_brute_force(spark, events, chunks):
+       st.sampled_from([None, "substr(_o0, 1, 2)", "substr(_o0, 1, 3)", "_o0", "''"]))
+def test_bucketed_pairs_equal_brute_force(spark, events, bucket):
     data = [(sid, f"t{t:03d}", i, page) for i, (sid, t, page) in enumerate(events)]
     df = spark.createDataFrame(data, "session_id string, action_time string, event_id long, page_id long")
-    got = adjacent_pairs(df, "session_id", ["action_time", "event_id"], "page_id", chunks=chunks)
+    got = adjacent_pairs(df, "session_id", ["action_time", "event_id"], "page_id", bucket=bucket)
     assert rows(got, "session_id", "prev_value", "next_value") == _brute_pairs(data)
 
 
-def test_hot_session_is_split_and_stitched(spark):
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_session_is_split_and_stitched(spark, reuse, adaptive):
     random.seed(7)
-    data = [("hot", f"t{i:05d}", i, random.randint(1, 3)) for i in range(3000)]
-    data += [(f"s{i}", f"t{i:05d}", 10_000 + i, 1) for i in range(50)]
-    df = spark.createDataFrame(data, "session_id string, action_time string, event_id long, page_id long")
-    succ = with_successor(df, "session_id", ["action_time", "event_id"], "page_id", chunks=8)
-    assert succ.count() == len(data)
-    got = adjacent_pairs(df, "session_id", ["action_time", "event_id"], "page_id", chunks=8)
-    assert rows(got, "session_id", "prev_value", "next_value") == _brute_pairs(data)
-    plain = adjacent_pairs(df, "session_id", ["action_time", "event_id"], "page_id", skew_safe=False)
-    assert rows(plain, "session_id", "prev_value", "next_value") == _brute_pairs(data)
+    data = [("hot", f"2024-01-{1 + i // 480:02d} {i // 20 % 24:02d}:{i % 20:02d}", i, random.randint(1, 3)) for i in range(3000)]
+    data += [(f"s{i}", f"2024-01-01 10:{i:02d}", 10_000 + i, 1) for i in range(50)] + [(None, "2024-01-01 1", 20_000, 1), (None, None, 20_001, 2)]
+    df = spark.createDataFrame(data, "session_id string, action_time string, event_id long, page_id long").repartition(8)
+    keys = {"spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": adaptive, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        succ = with_successor(df, "session_id", ["action_time", "event_id"], "page_id")
+        tasks = [r[0] for r in succ.where("session_id = 'hot'").groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert len(tasks) > 1 and sum(tasks) == 3000  # over several tasks
+        got = sorted(map(tuple, succ.collect()), key=repr)
+        plain = with_successor(df, "session_id", ["action_time", "event_id"], "page_id", skew_safe=False)
+        assert got == sorted(map(tuple, plain.collect()), key=repr) and len(got) == len(data)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 @settings(max_examples=10, deadline=None)

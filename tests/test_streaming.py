@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 import time
 
@@ -7,9 +8,10 @@ from pyspark.sql import functions as F
 
 from clickscope.config import CHECK
 from clickscope.operators import ads as A
+from clickscope.session import checkpoint_root
 from clickscope.sources import bindings as B
 from clickscope.streaming import ads_jobs as J
-from clickscope.streaming.versioned import VersionedTable
+from clickscope.streaming.keyed import KeyedTable, TableClaimed
 from tests.conftest import SF_MID
 
 TH = CHECK.blacklist_threshold
@@ -69,11 +71,7 @@ def test_last_hour_equals_batch_minutes(spark, sliced, tmp_dir):
                   if p.get("stateOperators"))
     assert dropped == 0
     clicks = _batch(spark)
-    newest = clicks.select(F.date_trunc("minute", F.max("ts"))).scalar()
-    expected = (clicks.withColumn("m", F.date_trunc("minute", "ts"))
-                .where(F.col("m") > newest - F.expr("INTERVAL 60 MINUTES"))
-                .groupBy("ads_id", F.date_format("m", "HH:mm").alias("minute"))
-                .agg(F.count(F.lit(1)).alias("click_count")))
+    expected = A.last_hour_ads(clicks)
     cols = ["ads_id", "minute", "click_count"]
     assert _rows(J.read_last_hour(spark, f"{tmp_dir}/out"), cols) == _rows(expected, cols)
     js = {r.ads_id: r.clicks_json for r in J.read_last_hour_json(spark, f"{tmp_dir}/out").collect()}
@@ -123,47 +121,181 @@ def test_jvm_blacklist_tables_row_mode_equals_batch_operator(spark, sliced, tmp_
     assert _rows(listed, ["user_id"]) == _rows(A.blacklist_users(clicks, TH), ["user_id"])
 
 
+@pytest.mark.parametrize("counts_mode", ["update", "complete"])
+def test_composed_jobs_count_all_clicks(spark, sliced, tmp_dir, counts_mode):
+    for q in J.start_ads_jobs(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", threshold=TH, counts_mode=counts_mode,
+                              filter_blacklisted=False, trigger=J.AVAILABLE_NOW):
+        _run(q)
+    cols = ["day", "area", "city", "ads_id", "click_count"]
+    assert _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), cols) == _rows(A.day_area_city_ads(_batch(spark)), cols)
+    J.compact_tables(spark, f"{tmp_dir}/out")
+    assert _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), cols) == _rows(A.day_area_city_ads(_batch(spark)), cols)
+
+
 def test_composed_jobs_count_passed_clicks(spark, sliced, tmp_dir):
     qs = J.start_ads_jobs(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", threshold=TH,
-                          blacklist_mode="row", counts_mode="update", trigger=J.AVAILABLE_NOW)
+                          blacklist_mode="row", trigger=J.AVAILABLE_NOW)
     for q in qs:
         _run(q)
     passed = A.ads_not_blacklisted(_batch(spark), TH)
     cols = ["day", "area", "city", "ads_id", "click_count"]
     assert _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), cols) == \
         _rows(A.day_area_city_ads(passed), cols)
+    top = A.area_ads_top3(A.day_area_city_ads(passed))
+    assert _rows(J.read_table(spark, f"{tmp_dir}/out", "area_ads_top3"), ["day", "area", "ads_id", "rank"]) == \
+        _rows(top, ["day", "area", "ads_id", "rank"])
+    cols = ["ads_id", "minute", "click_count"]
+    assert _rows(J.read_last_hour(spark, f"{tmp_dir}/out"), cols) == _rows(A.last_hour_ads(passed), cols)
 
 
-def test_versioned_upsert_replay_is_idempotent(spark, tmp_dir):
-    t = VersionedTable(f"{tmp_dir}/tbl", ["k"])
+def _claimed(spark, tmp_dir, name, keys, part=None):
+    t = KeyedTable(f"{tmp_dir}/{name}", keys, part)
+    t.claim(spark, f"{tmp_dir}/ck")
+    return t
+
+
+def test_keyed_upsert_replay_is_idempotent(spark, tmp_dir):
+    t = _claimed(spark, tmp_dir, "tbl", ["k"])
+    assert t.read(spark) is None
     b0 = spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long")
     b1 = spark.createDataFrame([("b", 5), ("c", 1)], "k string, n long")
     t.upsert(b0, 0)
     t.upsert(b1, 1)
     once = _rows(t.read(spark), ["k", "n"])
-    t.upsert(b1, 1)  # replay of batch 1 starts again from version 0
+    t.upsert(b1, 1)
     assert _rows(t.read(spark), ["k", "n"]) == once == [("a", 1), ("b", 5), ("c", 1)]
+    assert _rows(t.read(spark, below=1), ["k", "n"]) == [("a", 1), ("b", 1)]
     t.upsert(b0, 2)
-    t.upsert(b1, 3)
-    t.upsert(b0, 4)
-    assert t.versions(spark) == [2, 3, 4]
+    assert _rows(t.read(spark), ["k", "n"]) == [("a", 1), ("b", 1), ("c", 1)]
+
+
+def test_all_rows_of_a_key_are_replaced(spark, tmp_dir):
+    t = _claimed(spark, tmp_dir, "top", ["day"], "day")
+    schema = "day string, ads string"
+    t.upsert(spark.createDataFrame([("d1", "x"), ("d1", "y"), ("d2", "x")], schema), 0)
+    t.upsert(spark.createDataFrame([("d1", "z")], schema), 1)
+    assert _rows(t.read(spark), ["day", "ads"]) == [("d1", "z"), ("d2", "x")]
 
 
-def test_partitioned_upsert_touches_only_its_partitions(spark, tmp_dir):
-    t = VersionedTable(f"{tmp_dir}/ptbl", ["day", "k"], partition_by="day")
+def test_partitioned_read_scans_only_its_days(spark, tmp_dir):
+    t = _claimed(spark, tmp_dir, "ptbl", ["day", "k"], "day")
     schema = "day string, k string, n long"
-    t.upsert(spark.createDataFrame([("d1", "a", 1), ("d2", "a", 1)], schema), 0)
-    t.upsert(spark.createDataFrame([("d2", "a", 7), ("d2", "b", 1)], schema), 1)
-    assert t._listing(spark)[1] == sorted(t.touched(spark.createDataFrame([("d2", "x", 0)], schema)))
-    want = [("d1", "a", 1), ("d2", "a", 7), ("d2", "b", 1)]
-    assert _rows(t.read(spark), ["day", "k", "n"]) == want
-    t.upsert(spark.createDataFrame([("d2", "a", 7), ("d2", "b", 1)], schema), 1)  # replay
-    assert _rows(t.read(spark), ["day", "k", "n"]) == want
-    for b in range(2, 6):
-        t.upsert(spark.createDataFrame([("d2", "c", b)], schema), b)
-    # d1 lives only in version 0, which therefore stays
-    assert 0 in t.versions(spark) and 1 not in t.versions(spark)
-    assert _rows(t.read(spark), ["day", "k", "n"])[0] == ("d1", "a", 1)
+    t.upsert(spark.createDataFrame([("2024-01-01", "a", 1), ("2024-01-02", "a", 1)], schema), 0)
+    t.upsert(spark.createDataFrame([("2024-01-02", "a", 7), ("2024-01-02", "b", 1)], schema), 1)
+    only = t.read(spark, only=spark.createDataFrame([("2024-01-02",)], "day string"))
+    assert _rows(only, ["day", "k", "n"]) == [("2024-01-02", "a", 7), ("2024-01-02", "b", 1)]
+    assert "PartitionFilters: [cast(_part" in only._jdf.queryExecution().executedPlan().toString()
+    assert _rows(t.read(spark), ["day", "k", "n"])[0] == ("2024-01-01", "a", 1)
+
+
+def test_a_batch_from_another_checkpoint_is_refused(spark, tmp_dir):
+    schema = "k string, n long"
+    t = _claimed(spark, tmp_dir, "tbl", ["k"])
+    for b in range(5):
+        t.upsert(spark.createDataFrame([("a", b)], schema), b)
+    with pytest.raises(TableClaimed):
+        t.claim(spark, f"{tmp_dir}/other")
+    t.claim(spark, f"{tmp_dir}/ck")  # the query itself restarts
+    assert _rows(t.read(spark), ["k", "n"]) == [("a", 4)]
+    t.claim(spark, f"{tmp_dir}/other", reset=True)
+    t.upsert(spark.createDataFrame([("new", 1)], schema), 0)  # ids start again, nothing is lost
+    assert _rows(t.read(spark), ["k", "n"]) == [("new", 1)]
+    with pytest.raises(TableClaimed):
+        KeyedTable(f"{tmp_dir}/unclaimed", ["k"]).upsert(spark.createDataFrame([("a", 1)], schema), 0)
+
+
+def test_compaction_is_a_call_of_its_own(spark, tmp_dir):
+    t = _claimed(spark, tmp_dir, "ctbl", ["day", "k"], "day")
+    schema = "day string, k string, n long"
+    for b in range(6):
+        t.upsert(spark.createDataFrame([("2024-01-01" if b < 2 else "2024-01-02", "a", b)], schema), b)
+    before = _rows(t.read(spark), ["day", "k", "n"])
+    old = t.compact(spark)
+    assert _rows(t.read(spark), ["day", "k", "n"]) == before == [("2024-01-01", "a", 1), ("2024-01-02", "a", 5)]
+    assert old != t.data_path(spark) and os.listdir(t.data_path(spark)) == ["batch=5"]
+    t.upsert(spark.createDataFrame([("2024-01-02", "a", 9)], schema), 6)
+    assert _rows(t.read(spark), ["day", "k", "n"]) == [("2024-01-01", "a", 1), ("2024-01-02", "a", 9)]
+    t.compact(spark, keep=F.col("day") > "2024-01-01")
+    assert _rows(t.read(spark), ["day", "k", "n"]) == [("2024-01-02", "a", 9)]
+    assert _claimed(spark, tmp_dir, "none", ["k"]).compact(spark) is None
+
+
+def test_restart_with_another_checkpoint_needs_a_reset(spark, sliced, tmp_dir):
+    def start(ck, **how):
+        return J.start_running_counts(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/{ck}", trigger=J.AVAILABLE_NOW, **how)
+    cols = ["day", "area", "city", "ads_id", "click_count"]
+    _run(start("a"))
+    want = _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), cols)
+    with pytest.raises(TableClaimed):
+        start("b")
+    _run(start("b", reset=True))
+    assert _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), cols) == want
+
+
+def _files(spark, tmp_dir, parts, schema):
+    """One file for each part, in time order."""
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_dir}/b{i}")
+        f = [x for x in os.listdir(f"{tmp_dir}/b{i}") if x.endswith(".parquet")][0]
+        os.rename(f"{tmp_dir}/b{i}/{f}", f"{src}/part-{i}.parquet")
+        os.utime(f"{src}/part-{i}.parquet", (time.time() + i, time.time() + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(src)
+
+
+CLICK = "ts timestamp, event_id long, area string, city string, user_id string, ads_id string"
+
+
+@pytest.fixture()
+def zone(spark):
+    key, before = "spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone")
+    yield lambda z: spark.conf.set(key, z)
+    spark.conf.set(key, before)
+
+
+def test_day_watermark_keeps_one_state_row_outside_utc(spark, tmp_dir, zone):
+    zone("Asia/Shanghai")
+    # one local day, on both sides of UTC midnight
+    utc = dt.datetime(2024, 1, 4, 20, tzinfo=dt.timezone.utc)
+    first = [(utc + dt.timedelta(minutes=i), i, "n", "c", "u", "1") for i in range(5)]
+    later = [(utc + dt.timedelta(hours=6, minutes=i), 10 + i, "n", "c", "u", "1") for i in range(3)]
+    clicks = _files(spark, tmp_dir, [first, later], CLICK).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    _run(J.start_running_counts(clicks, f"{tmp_dir}/out", f"{tmp_dir}/ck", mode="update", day_watermark="2 days",
+                                trigger=J.AVAILABLE_NOW))
+    assert _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), ["day", "click_count"]) == [("2024-01-05", 8)]
+
+
+@pytest.mark.parametrize("name", ["America/Los_Angeles", "Asia/Shanghai", "UTC"])
+def test_state_blacklist_keeps_the_counters_of_the_running_day(spark, tmp_dir, zone, name):
+    zone(name)
+    utc = dt.datetime(2024, 1, 5, 3, tzinfo=dt.timezone.utc)  # the evening of the 4th in Los Angeles
+    parts = [[(utc + dt.timedelta(minutes=2 * b + i), 2 * b + i, "n", "c", "u", "1") for i in range(2)] for b in range(3)]
+    clicks = _files(spark, tmp_dir, parts, CLICK).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    _run(J.start_blacklist(clicks, f"{tmp_dir}/out", f"{tmp_dir}/ck", threshold=4, mode="row", watermark="1 minute",
+                           trigger=J.AVAILABLE_NOW))
+    assert _rows(J.read_blacklist(spark, f"{tmp_dir}/out"), ["user_id"]) == [("u",)]
+    assert _rows(J.read_passed_clicks(spark, f"{tmp_dir}/out"), ["event_id"]) == [(0,), (1,), (2,), (3,)]
+
+
+@pytest.mark.parametrize("mode", ["batch", "row"])
+def test_a_batch_is_read_once_and_leaves_no_scratch(spark, tmp_dir, mode):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+    clicks = spark.range(60).select(
+        F.timestamp_seconds(F.lit(1704100000) + F.col("id")).alias("ts"), F.col("id").alias("event_id"), F.lit("n").alias("area"),
+        F.lit("c").alias("city"), counted((F.col("id") % 3).cast("string")).alias("user_id"), F.lit("1").alias("ads_id"),
+        F.lit("2024-01-01").alias("day"))
+    out, root = f"{tmp_dir}/bl", checkpoint_root(spark).removeprefix("file:")
+    for n in ("blacklist_counters", "blacklist_listed", "blacklist_passed", "day_area_city_ads", "area_ads_top3", "area_ads_top3_json", "last_hour"):
+        J._table(out, n).claim(spark, f"{tmp_dir}/ck")
+    before = sorted(os.listdir(root))
+    J.apply_blacklist_batch(clicks, 0, out, threshold=4, mode=mode, counts=True)
+    assert seen.value == 60 and sorted(os.listdir(root)) == before
 
 
 def test_update_mode_with_day_watermark(spark, sliced, tmp_dir):
@@ -178,13 +310,14 @@ def test_update_mode_with_day_watermark(spark, sliced, tmp_dir):
 
 
 def test_blacklist_batch_step_replay_is_idempotent(spark, tmp_dir):
-    import datetime as dt
     schema = "ts timestamp, event_id long, area string, city string, user_id string, ads_id string, day string"
     t0 = dt.datetime(2024, 1, 1, 10)
     rows = [(t0 + dt.timedelta(minutes=i), i, "n", "c", "u1", "1", "2024-01-01") for i in range(6)]
     b0 = spark.createDataFrame(rows[:3], schema)
     b1 = spark.createDataFrame(rows[3:], schema)
     out = f"{tmp_dir}/bl"
+    for n in ("blacklist_counters", "blacklist_listed", "blacklist_passed"):
+        J._table(out, n).claim(spark, f"{tmp_dir}/ck")
     J.apply_blacklist_batch(b0, 0, out, threshold=4)
     J.apply_blacklist_batch(b1, 1, out, threshold=4)
     first = [_rows(df, cols) for df, cols in zip(J.read_blacklist_tables(spark, out),
@@ -195,24 +328,11 @@ def test_blacklist_batch_step_replay_is_idempotent(spark, tmp_dir):
     assert first[1] == _rows(again[1], ["event_id"])
     # snapshot semantics: u1 was not listed when batch 1 began, so all 6 clicks passed
     assert _rows(again[1], ["event_id"]) == [(i,) for i in range(6)]
-    counters = J.VersionedTable(f"{out}/blacklist_counters", ["user_id", "day", "ads_id"], "day").read(spark)
+    counters = J.read_table(spark, out, "blacklist_counters")
     assert _rows(counters, ["user_id", "n"]) == [("u1", 6)]
 
 
-def test_partitioned_compaction_prunes_untouched_partitions(spark, tmp_dir):
-    t = VersionedTable(f"{tmp_dir}/ctbl", ["day", "k"], partition_by="day", compact_every=4)
-    schema = "day string, k string, n long"
-    t.upsert(spark.createDataFrame([("d1", "a", 1)], schema), 1)
-    for b in range(2, 14):
-        t.upsert(spark.createDataFrame([("d2", "a", b)], schema), b)
-    # d1 was rewritten by the compactions at 4, 8 and 12, so version 1 is
-    # gone; each partition keeps its 3 newest versions
-    assert t.versions(spark) == [4, 8, 11, 12, 13]
-    assert _rows(t.read(spark), ["day", "k", "n"]) == [("d1", "a", 1), ("d2", "a", 13)]
-
-
 def test_last_hour_ignores_clicks_behind_the_window(spark, tmp_dir):
-    import datetime as dt
     schema = "ts timestamp, event_id long, area string, city string, user_id string, ads_id string, day string"
     t0 = dt.datetime(2024, 1, 1, 12)
     first = [(t0 + dt.timedelta(minutes=m), m, "n", "c", "u", "1", "2024-01-01") for m in range(0, 120, 10)]

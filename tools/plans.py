@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from clickscope.plans.checks import QUERIES  # noqa: E402
 from clickscope.plans.streams import STREAM_QUERIES  # noqa: E402
+from clickscope.plans.tables import TABLE_QUERIES  # noqa: E402
 from clickscope.session import local_session  # noqa: E402
 
 KEEP = re.compile(r"^(\s*[:+\- ]*)(\*\(\d+\) )?(Exchange|BroadcastExchange|ReusedExchange|BroadcastHashJoin|SortMergeJoin|"
@@ -44,23 +45,13 @@ def main() -> None:
     lines = ["# PLANS", "", f"Final adaptive physical plans at `{sf_dir}` (local[8], 8 shuffle partitions),",
              "reduced to the operators that decide cost at scale. Generated by `tools/plans.py`.", ""]
     for name, q in QUERIES.items():
-        if name in STREAM_QUERIES:
+        if name in STREAM_QUERIES or name in TABLE_QUERIES:
             continue
         df = q(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = plan.split("== Initial Plan ==")[0]
         lines += [f"## {name}", "", "```", *summary(plan), "```", ""]
-    # ads_not_blacklisted writes its listed users first (checked broadcast);
-    # that job's plan holds the window
-    from clickscope.config import CHECK
-    from clickscope.operators.ads import blacklist_since
-    from clickscope.sources import bindings as B
-    df = blacklist_since(B.ads_clicks(B.test_tables(spark, sf_dir)), CHECK.blacklist_threshold)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    lines += ["## ads_not_blacklisted: listed users (written before the main query)", "", "```",
-              *summary(plan), "```", ""]
     spark.stop()
     with open("PLANS.md", "w") as f:
         f.write("\n".join(lines))
