@@ -29,6 +29,10 @@ _CUTS = "__node int, __dim int, __v long, __h long, __left int, __right int"
 _SPANS = "__node int, __dim int, __on_hash boolean, __v long, __lo long, __step long, __below long, __want double"
 
 
+# Node 1 for every row (a hash has 63 bits); as a value of the row and not a literal, so that joins by node are hash joins.
+_ROOT = "CAST(shiftrightunsigned(__hash, 63) + 1 AS INT)"
+
+
 @dataclass
 class Tree:
     """Cuts by level; the root is node 1, leaves carry their shard."""
@@ -123,7 +127,7 @@ def build_tree(points: DataFrame, n_dims: int, n_shards: int | None, target_byte
     if n_shards is None:
         n_shards = max(1, -(-total // target_bytes))
     tree, leaves = Tree(), {1: n_shards}
-    placed = points.withColumn("__node", F.lit(1))
+    placed = points.withColumn("__node", F.expr(_ROOT))
     whole: list[float] | None = None
     while any(n > 1 for n in leaves.values()):
         edges = [F.struct(F.min(F.element_at("__dims", d + 1)).alias("lo"), F.max(F.element_at("__dims", d + 1)).alias("hi")).alias(f"d{d}")
@@ -174,7 +178,7 @@ def kd_shards(docs: DataFrame, *, n_shards: int | None = None, target_bytes: int
     dims = dims or default_dimensions(docs)
     points = saved(_with_points(docs, dims).select("__size", "__dims", "__hash"), "shard-points")
     tree = build_tree(points, len(dims), n_shards, target_bytes)
-    placed = _with_points(docs, dims).withColumn("__node", F.lit(1))
+    placed = _with_points(docs, dims).withColumn("__node", F.expr(_ROOT))
     for cuts in tree.levels:
         placed = _descend(placed, cuts)
     shards = F.broadcast(_small(docs.sparkSession, list(tree.shard_of.items()), "__node int, __shard int"))
