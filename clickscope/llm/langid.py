@@ -7,7 +7,7 @@ softmax are trained by stochastic gradient descent in numpy on a bounded
 sample of labelled rows; for prediction their product is one small table of
 class scores per bucket, sent to the tasks.
 
-Scores are calibrated on sampled rows held back from training: one temperature
+Scores are calibrated on sampled rows held back from training, whole texts and short spans of them: one temperature
 that minimises their log loss, and a rejection threshold at the lower
 ``reject_share`` quantile of the scores of those predicted right, so at most
 about that share of recognisable text is rejected.
@@ -180,9 +180,9 @@ def train(labelled: DataFrame, *, rows_per_lang: int = 600, bits: int = 16, cali
     y = np.array([langs.index(r.lang) for r in rows])
     learn = [i for i, h in enumerate(held) if not h]
     scores, bias = fit([x[i] for i in learn], y[learn], len(langs), bits)
-    whole = [i for i, h in enumerate(held) if h and rows[i].part == 0]
-    logits = np.array([c @ scores[ids] / c.sum() for ids, c in (x[i] for i in whole)]).reshape(-1, len(langs))
-    return Model(langs, scores, bias, *calibrate(logits, y[whole], bias, reject_share), bits)
+    check = [i for i, h in enumerate(held) if h]  # whole texts and short spans: short texts are not rejected for being short
+    logits = np.array([c @ scores[ids] / c.sum() for ids, c in (x[i] for i in check)]).reshape(-1, len(langs))
+    return Model(langs, scores, bias, *calibrate(logits, y[check], bias, reject_share), bits)
 
 
 def predictor(docs: DataFrame, model: Model | None) -> Callable:
