@@ -103,4 +103,5 @@ def test_one_of_each(spark):
     want = expected([(r[0], r[1]) for r in rows])[0]
     classes = slow_components([slow_print(r[1]) for r in rows])
     assert len(got) == len(set(classes.values())) == len({classes[slow_print(r["text"])] for r in got})
-    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == sorted({c for _, _, c in want if c is not None})
+    # 27 stands twice: with two texts it is in two components
+    assert {r["doc_id"] for r in got if r["doc_id"] is not None} == {c for _, _, c in want if c is not None}
