@@ -27,8 +27,9 @@ from clickscope.llm.common import WHITE, saved, words
 SYMBOLS = "#*$%&|<>"
 
 # Vector dimensions and the standard deviation under which a difference is noise: 6 % of the mean word length, one
-# symbol in a thousand characters, one word or line in 25 repeated (the shares enter by their roots).
-DIMENSIONS = {"word_length": 0.06, "symbols": 0.03, "repeats": 0.20, "dup_lines": 0.20}
+# symbol in a thousand characters, one word in 100 and one line in 44 repeated (the shares enter by their roots).  The
+# base rules pass up to half the words repeated, so these levels must leave either repetition a distance over the cutoff.
+DIMENSIONS = {"word_length": 0.06, "symbols": 0.03, "repeats": 0.10, "dup_lines": 0.15}
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 

@@ -107,3 +107,26 @@ def test_junk_goes_and_prose_stays(spark):
     plain = [r for r in got if r["n_symbols"] == 0 and r["n_dup_lines"] == 0]
     assert symbols and not any(r["kept"] for r in symbols)
     assert np.mean([r["kept"] for r in plain]) > 0.98 and len(docs) == 1000
+
+
+def _repeating(rng, n, repeats, lines):
+    """A text of ``n`` words in lines of five; ``repeats`` words and ``lines`` lines are copies of others."""
+    fresh = lambda k: [f"w{rng.integers(10**9):09d}" for _ in range(k)]
+    out = [" ".join(fresh(5)) for _ in range((n - repeats) // 5)]
+    phrase = " ".join(fresh(5))
+    out += [phrase] * (repeats // 5)
+    return "\n".join(out + ["x"] * lines)
+
+
+def test_extreme_repetition_is_rejected_and_mild_stays(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, _repeating(rng, 200, 0, 0)) for i in range(300)]
+    rows += [(1000 + i, _repeating(rng, 200, 100, 0)) for i in range(2)]   # half the words: in 20 of 40 lines
+    rows += [(2000, "\n".join(["- a"] * 30 + [_repeating(rng, 200, 0, 0).replace("\n", " ")]))]  # nearly all lines
+    rows += [(3000 + i, _repeating(rng, 200, 10, 0)) for i in range(3)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in Q.judge(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert 0.45 <= got[1000]["n_repeat_words"] / got[1000]["n_words"] <= 0.5
+    assert not any(got[i]["kept"] for i in (1000, 1001, 2000))
+    assert all(r["kept"] for i, r in got.items() if i < 1000 or i >= 3000)
