@@ -9,9 +9,12 @@ that are no outliers.  A document whose squared Mahalanobis distance passes
 
 Means, covariances and the ranks of distances are sums over fixed bins and
 moments, so a group of any size is pre-aggregated where its rows lie; each
-step joins one row per group back.  Groups under ``least_rows`` rows use the
-estimate of all rows.  The covariance has a floor (the variance that one would
-call noise): most statistics are exactly zero in clean text.
+step joins one row per group back.  A group has its own estimate from
+``2 * least_rows`` rows on (ten for each dimension); with fewer its moments
+are mixed with those of its language in all sources, in shares that fall
+evenly to none at ``least_rows``, and the language's with those of all rows by
+the same rule.  The covariance has a floor (the variance that one would call
+noise): most statistics are exactly zero in clean text.
 """
 
 from __future__ import annotations
@@ -136,34 +139,51 @@ def _distance(x: list[str]) -> Column:
     return sum((v * v for v in y[1:]), y[0] * y[0])
 
 
-def _for_all_groups(own: DataFrame, whole: list, names: list[str], sizes: DataFrame, least_rows: int) -> DataFrame:
-    """Values of each group; groups under ``least_rows`` rows take those of all rows (one row, ``whole``)."""
-    small = F.col("rows") < least_rows
-    values = [F.when(small | F.col(c).isNull(), F.lit(v)).otherwise(F.col(c)).alias(c) for c, v in zip(names, whole, strict=True)]
-    return sizes.join(own, "__group", "left").select("__group", *values)
+def _mixed(rows: str, own: str, wider: Column, least_rows: int) -> Column:
+    """The value of a group, mixed with that of the wider group if its rows are few (null: the wider one's)."""
+    share = F.least(F.greatest((F.col(rows) - least_rows) / F.lit(float(least_rows)), F.lit(0.0)), F.lit(1.0))
+    return F.when((share == 0) | F.col(own).isNull(), wider).otherwise(share * F.col(own) + (1 - share) * wider)
+
+
+def _for_all_groups(own: DataFrame, wider: DataFrame, whole: list, names: list[str], sizes: DataFrame, least_rows: int) -> DataFrame:
+    """Values of each group (``own``), mixed with those of ``wider`` and of all rows (one row, ``whole``)."""
+    language = [_mixed("wider_rows", f"__w_{c}", F.lit(v), least_rows) for c, v in zip(names, whole, strict=True)]
+    values = [_mixed("rows", c, w, least_rows).alias(c) for c, w in zip(names, language, strict=True)]
+    wider = wider.select("__wider", *[F.col(c).alias(f"__w_{c}") for c in names])
+    return sizes.join(own, "__group", "left").join(wider, "__wider", "left").select("__group", *values)
 
 
 def _moments_of(near: DataFrame, x: list[str], sizes: DataFrame, least_rows: int) -> DataFrame:
-    own = saved(near.groupBy("__group").agg(*_moments(x)), "quality-moments")
-    names = own.columns[1:]
-    whole = own.agg(*[F.sum(c) for c in names]).first()  # moments add up; one row
-    return _for_all_groups(own, list(whole), names, sizes, least_rows)
+    """Moments of one row each (n is 1), so that those of groups of any size can be mixed."""
+    sums = saved(near.groupBy("__wider", "__group").agg(*_moments(x)), "quality-moments")
+    names = sums.columns[2:]
+    each = lambda df: df.select(*[c for c in df.columns if c not in names], *[(F.col(c) / F.col("n")).alias(c) for c in names])
+    total = [F.sum(c).alias(c) for c in names]  # moments add up
+    whole = each(sums.agg(*total)).first()  # one row
+    return _for_all_groups(each(sums.drop("__wider")), each(sums.groupBy("__wider").agg(*total)), list(whole), names, sizes, least_rows)
 
 
 def robust_distances(rows: DataFrame, x: list[str], floors: list[float], *, share: float = 0.75, steps: int = 4,
-                     least_rows: int = 200, trim: float = 25.0) -> DataFrame:
+                     least_rows: int | None = None, trim: float = 25.0) -> DataFrame:
     """``rows`` (__group and the columns ``x``) with ``distance``, squared, to the group's robust centre.
 
-    ``rows`` is read several times: pass a saved table.
+    A column ``__wider`` names what holds a group and lends it moments if it
+    has few rows (none: all rows do).  ``least_rows`` is five for each
+    dimension unless given.  ``rows`` is read several times: pass a saved
+    table.
     """
     d = len(x)
+    least_rows = least_rows or 5 * d
+    if "__wider" not in rows.columns:
+        rows = rows.withColumn("__wider", F.lit(""))
     # start: distance from the group's medians, each coordinate by its noise
     middle = [F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(x)]
-    sizes = saved(rows.groupBy("__group").agg(F.count(F.lit(1)).alias("rows"), *middle), "quality-groups")
+    own = saved(rows.groupBy("__wider", "__group").agg(F.count(F.lit(1)).alias("rows"), *middle), "quality-groups")
+    wider = saved(rows.groupBy("__wider").agg(F.count(F.lit(1)).alias("wider_rows"), *middle), "quality-wider")
     names = [f"m{i}" for i in range(d)]
     whole = rows.agg(*middle).first()
-    medians = _for_all_groups(sizes.drop("rows"), list(whole), names, sizes.select("__group", "rows"), least_rows)
-    sizes = sizes.select("__group", "rows")
+    sizes = saved(own.select("__wider", "__group", "rows").join(wider.select("__wider", "wider_rows"), "__wider"), "quality-sizes")
+    medians = _for_all_groups(own.drop("__wider", "rows"), wider, list(whole), names, sizes, least_rows)
     at = medians.select("__group", F.struct(
         *[F.col(f"m{i}") for i in range(d)],
         *[F.lit(floors[i] if i == j else 0.0).alias(f"l{i}_{j}") for j in range(d) for i in range(j, d)]).alias("__at"))
@@ -193,10 +213,11 @@ def judge(docs: DataFrame, *, cutoff: float = 40.0, **how) -> DataFrame:
     base rules are not kept and are left out of the estimates (their distance
     is null).
     """
-    group = F.concat_ws("\x00", F.coalesce(F.concat(F.lit("a"), "lang"), F.lit("n")),
+    language = F.coalesce(F.concat(F.lit("a"), "lang"), F.lit("n"))
+    group = F.concat_ws("\x00", F.length(language).cast("string"), language,
                         F.coalesce(F.concat(F.lit("a"), "source"), F.lit("n")))
     x = [f"__x{i}" for i in range(len(DIMENSIONS))]
-    based = base_statistics(docs.select("doc_id", "lang", "source", "text")).withColumn("__group", group)
+    based = base_statistics(docs.select("doc_id", "lang", "source", "text")).withColumns({"__group": group, "__wider": language})
     rows = saved(based.withColumns(dict(zip(x, statistic_vector(), strict=True))).drop("text", "lang", "source", "__n_lines"),
                  "quality-statistics")
     sound = robust_distances(rows.where("not base_failed"), x, list(DIMENSIONS.values()), **how)

@@ -130,3 +130,17 @@ def test_extreme_repetition_is_rejected_and_mild_stays(spark):
     assert 0.45 <= got[1000]["n_repeat_words"] / got[1000]["n_words"] <= 0.5
     assert not any(got[i]["kept"] for i in (1000, 1001, 2000))
     assert all(r["kept"] for i, r in got.items() if i < 1000 or i >= 3000)
+
+
+def test_a_rare_language_is_judged_by_its_own_rows(spark):
+    rng = np.random.default_rng(6)
+    rows = [("en|s", "en", float(v), 0.0) for v in rng.normal(1.8, 0.05, 1000)]
+    rows += [("th|s", "th", float(v), 0.0) for v in rng.normal(2.8, 0.05, 150)] + [("th|s", "th", 4.0, 0.0)]  # one group under 200 rows
+    rows += [(f"zh|s{i % 20}", "zh", float(v), 0.0) for i, v in enumerate(rng.normal(0.8, 0.05, 120))]  # six rows a group
+    rows += [("zh|s3", "zh", 1.8, 0.0)]
+    rows += [("fr|s", "fr", float(v), 0.0) for v in rng.normal(2.3, 0.05, 15)]  # between a share of its own and none
+    frame = spark.createDataFrame(rows, "__group string, __wider string, a double, b double")
+    got = Q.robust_distances(frame, ["a", "b"], [0.06, 0.2]).collect()
+    assert len(got) == len(rows)
+    far = [(r["__wider"], r["a"]) for r in got if r["distance"] > 40]
+    assert sorted(far) == [("th", 4.0), ("zh", 1.8)]
