@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import WHITE, ascii_lower, shipped
+from clickscope.llm.common import WHITE, ascii_lower, saved, shipped
 
 _SIZES = (2, 3, 4)
 _PART = 1 << 20
@@ -153,29 +153,38 @@ def calibrate(logits: np.ndarray, y: np.ndarray, bias: np.ndarray, reject_share:
     return float(temperature), float(right[int(reject_share * len(right))]) if len(right) else 0.0
 
 
+def sampled(usable: DataFrame, rows_per_lang: int, max_langs: int) -> DataFrame:
+    """(key, lang, text): the ``rows_per_lang`` distinct texts of least hash of each language, each once however often it is there."""
+    keys = saved(usable.select("lang", "key").distinct(), "langid-keys")
+    sizes = keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    chosen = keys.join(F.broadcast(sizes), "lang").withColumn("__nth", nth).where(F.col("__nth") <= rows_per_lang)  # at most max_langs rows
+    # rows_per_lang * max_langs keys at most; the planner chooses how to join them
+    return usable.join(saved(chosen.select("lang", "key"), "langid-chosen"), ["lang", "key"]).groupBy("key", "lang").agg(F.min("text").alias("text"))
+
+
 def train(labelled: DataFrame, *, rows_per_lang: int = 600, bits: int = 16, calibration_share: float = 0.25,
           reject_share: float = 0.001, max_langs: int = 1_000) -> Model | None:
     """A model from the rows (text, lang); null labels, null and letterless texts teach nothing.
 
-    The sample is about ``rows_per_lang`` rows of each language (chosen by a
-    hash of the text, whole texts each) for the ``max_langs`` most frequent
-    ones, never all rows; the driver gets their distinct buckets only, at most
-    ``2^bits`` for a text of any length.
+    The sample is ``rows_per_lang`` distinct texts of each language, or all if
+    it has fewer (chosen by a hash of the text, whole texts each), for the
+    ``max_langs`` languages with most distinct texts; copies count once.  The
+    driver gets their distinct buckets only, at most ``2^bits`` for a text of
+    any length.
     Without any usable row there is no model (None).
     """
     usable = (labelled.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
               .select("text", "lang", F.shiftrightunsigned(F.xxhash64("text", F.lit("langid")), 1).alias("key")))
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
-    rate = F.least(F.lit(1.0), F.lit(float(rows_per_lang)) / F.col("count"))
-    sample = (usable.join(F.broadcast(sizes), "lang")  # at most max_langs rows
-              .where(F.col("key") < rate * float(1 << 63)).select("key", "lang", "text"))
-    rows = sorted(labelled_features(sample, bits).toLocalIterator(), key=lambda r: (r.key, r.lang, r.part))
+    rows = sorted(labelled_features(sampled(usable, rows_per_lang, max_langs), bits).toLocalIterator(), key=lambda r: (r.key, r.lang, r.part))
     if not rows:
         return None
     langs = sorted({r.lang for r in rows})
-    held = [(r.key >> 8) % 1000 < 1000 * calibration_share for r in rows]
-    if all(held):
-        held = [False] * len(rows)
+    aside = lambda key: (key >> 8) % 1000 < 1000 * calibration_share
+    # a language whose few texts would all be held back learns from one of them
+    taught = {r.lang for r in rows if not aside(r.key)}
+    needed = {min(r.key for r in rows if r.lang == lang) for lang in langs if lang not in taught}
+    held = [aside(r.key) and r.key not in needed for r in rows]
     x = [(np.frombuffer(r.ids, dtype=np.uint32), np.frombuffer(r.counts, dtype=np.float32)) for r in rows]
     y = np.array([langs.index(r.lang) for r in rows])
     learn = [i for i, h in enumerate(held) if not h]

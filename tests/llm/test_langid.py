@@ -89,3 +89,18 @@ def test_calibration():
     right = score[best == y]
     assert abs((right < threshold).mean() - 0.05) < 0.01
     assert abs(score.mean() - (best == y).mean()) < 0.05
+
+
+def test_copies_count_once_and_no_language_goes_missing(spark):
+    rng = random.Random(2)
+    text = lambda letters: " ".join("".join(rng.choices(letters, k=4)) for _ in range(30))
+    rows = [(text("abcdef"), "aa") for _ in range(200)]
+    rows += [(rows[0][0], "aa")] * 300
+    few = {f"l{i}": [text("uvwxyz") for _ in range(1 + i % 3)] for i in range(12)}  # copies of few texts
+    rows += [(t, lang) for lang, texts in few.items() for t in texts for _ in range(100)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    model = L.train(frame, rows_per_lang=20)
+    assert model.langs == sorted(["aa", *few])
+    usable = frame.selectExpr("text", "lang", "shiftrightunsigned(xxhash64(text, 'langid'), 1) AS key")
+    got = L.sampled(usable, 20, 1000).collect()
+    assert len(got) == 20 + sum(map(len, few.values())) == len({(r["lang"], r["text"]) for r in got})
