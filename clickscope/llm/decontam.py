@@ -15,6 +15,10 @@ any domain; ``b`` follows from ``s`` and the accepted chance of a miss.
 Candidates are verified by exact containment: the item's distinct shingles
 found anywhere in the whole document, compared as words.
 
+Items of up to ``SHORT`` shingles are no MinHash queries: the hash of each of
+their shingles is a key, and a document that holds enough keys of an item is a
+candidate, so none is missed.
+
 The items' signatures are broadcast in blocks of ``items_at_once`` items, one
 pass over the documents for each block, so what is sent is bounded whatever
 the size of the benchmark.  Documents are never shuffled.
@@ -33,6 +37,9 @@ from pyspark.sql import functions as F
 
 from clickscope.llm.common import ascii_lower, gram_hashes, mixed, shipped, text_groups
 
+# Fixed value: items of up to so many shingles are looked up by each of them.
+SHORT = 8
+
 MATCH = "array<struct<item_id:bigint,n_shingles:bigint,n_shared:bigint>>"
 
 
@@ -58,6 +65,44 @@ class Partition:
     seen: list[np.ndarray] = field(repr=False)  # low bits of the minima that occur
 
 
+@dataclass
+class Keys:
+    """Shingle hashes of the items of up to ``SHORT`` shingles."""
+
+    values: np.ndarray                     # sorted, distinct
+    first: np.ndarray                      # where each value's items begin, and the end
+    items: np.ndarray                      # index into Index.ids
+    least: np.ndarray                      # for each item of the index: keys that a candidate holds
+    seen: np.ndarray = field(repr=False)   # low bits of the values that occur
+
+    @classmethod
+    def of(cls, hashes: dict[int, np.ndarray], sets: list[set[bytes]], threshold: float) -> Keys:
+        least = np.zeros(len(sets), dtype=np.int64)
+        for n, h in hashes.items():  # shingles of one hash are one key
+            need = sum(i < threshold * len(sets[n]) for i in range(len(sets[n])))
+            least[n] = max(1, need - (len(sets[n]) - len(h)))
+        value, item = np.concatenate(list(hashes.values())), np.repeat(list(hashes), [len(h) for h in hashes.values()])
+        order = np.argsort(value, kind="stable")
+        values, first = np.unique(value[order], return_index=True)
+        seen = np.zeros(1 << max(12, (64 * len(values) - 1).bit_length()), dtype=bool)
+        seen[values & np.uint64(len(seen) - 1)] = True
+        return cls(values, np.append(first, len(value)), item[order], least, seen)
+
+    def candidates(self, grams: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(row, item) for each item of which the row holds enough keys."""
+        hit = np.flatnonzero(self.seen[grams & np.uint64(len(self.seen) - 1)])
+        at = np.searchsorted(self.values, grams[hit])
+        same = self.values[np.minimum(at, len(self.values) - 1)] == grams[hit]
+        held = np.unique(row[hit[same]] * len(self.values) + at[same])
+        row, at = np.divmod(held, len(self.values))
+        n = self.first[at + 1] - self.first[at]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        item = self.items[np.repeat(self.first[at], n) + nth]
+        pairs, count = np.unique(np.repeat(row, n) * len(self.least) + item, return_counts=True)
+        enough = count >= self.least[pairs % len(self.least)]
+        return zip(*(x.tolist() for x in np.divmod(pairs[enough], len(self.least))), strict=True)
+
+
 @dataclass
 class Index:
     """MinHash index of one block of test items."""
@@ -65,6 +110,7 @@ class Index:
     ids: list[int | None]
     sets: list[set[bytes]]
     partitions: list[Partition]
+    keys: Keys | None
     factors: np.ndarray
     k: int
     threshold: float
@@ -76,14 +122,16 @@ def build_index(items: list[tuple[int | None, bytes | None]], k: int = 5, thresh
     kept = [(i, s) for i, t in items if (s := shingles(t, k))]
     b = minhash_values(threshold, miss)
     factors = np.random.default_rng(seed).integers(1, 2**64, size=b, dtype=np.uint64) | np.uint64(1)
-    least, bounds = [], []
-    for _, s in kept:
+    least, bounds, short = [], [], {}
+    for n, (_, s) in enumerate(kept):
         _, _, h, _ = next(text_groups([b" ".join(s)]))
         grams = mixed(gram_hashes(h, k)[::k])
         least.append((grams[None, :] * factors[:, None]).min(axis=1))
-        bounds.append(max(16, 1 << (len(s) - 1).bit_length()))
+        bounds.append(1 << (len(s) - 1).bit_length())
+        if len(s) <= SHORT:
+            short[n] = np.unique(grams)
     parts = []
-    for bound in sorted(set(bounds)):
+    for bound in sorted({x for x in bounds if x > SHORT}):
         own = np.array([n for n, x in enumerate(bounds) if x == bound])
         sig = np.array([least[n] for n in own])
         bits = max(12, (64 * len(own) - 1).bit_length())
@@ -95,7 +143,8 @@ def build_index(items: list[tuple[int | None, bytes | None]], k: int = 5, thresh
             hit[v & np.uint64((1 << bits) - 1)] = True
             seen.append(hit)
         parts.append(Partition(bound, own, values, [own[o] for o in order], seen))
-    return Index([i for i, _ in kept], [s for _, s in kept], parts, factors, k, threshold)
+    sets = [s for _, s in kept]
+    return Index([i for i, _ in kept], sets, parts, Keys.of(short, sets, threshold) if short else None, factors, k, threshold)
 
 
 def _runs(n_grams: np.ndarray, first: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +156,7 @@ def _runs(n_grams: np.ndarray, first: np.ndarray, block: int) -> tuple[np.ndarra
 
 
 def candidates(index: Index, texts: list[bytes | None]) -> list[set[int]]:
-    """For each text the items (positions in ``index.ids``) with which a domain shares a MinHash value."""
+    """For each text the items (positions in ``index.ids``) of which it holds enough keys or with which a domain shares a MinHash value."""
     out: list[set[int]] = [set() for _ in texts]
     for lo, hi, h, first in text_groups([t and ascii_lower(t) for t in texts], 1 << 19):
         grams = mixed(gram_hashes(h, index.k))
@@ -118,6 +167,9 @@ def candidates(index: Index, texts: list[bytes | None]) -> list[set[int]]:
         begin = np.cumsum(n_grams) - n_grams
         own = np.arange(n_grams.sum()) + np.repeat(first[:-1] - begin, n_grams)
         grams = grams[own]
+        if index.keys:
+            for row, n in index.keys.candidates(grams, np.repeat(np.arange(len(n_grams)), n_grams)):
+                out[lo + row].add(n)
         runs = [(p, *_runs(n_grams, begin, p.bound // 2)) for p in index.partitions]
         for j, factor in enumerate(index.factors):
             x = grams * factor

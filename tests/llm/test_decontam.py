@@ -101,3 +101,27 @@ def test_empty_tables(spark):
 def test_values_follow_from_the_chance_of_a_miss():
     assert D.minhash_values(0.8, 1e-6) == 49  # a similarity of a quarter at least
     assert D.minhash_values(0.5, 1e-6) > 49
+
+
+def test_no_short_item_is_missed():
+    rng = random.Random(12)
+    items = [(i, prose(rng, 5 + i % 8).encode()) for i in range(400)]
+    index = D.build_index(items)
+    for i, t in items:
+        w = prose(rng, 400).encode().split()
+        at = rng.randrange(len(w))
+        got = D.matches(index, [b" ".join([*w[:at], t.upper(), *w[at:]])])[0]
+        assert i in [m["item_id"] for m in got]
+
+
+def test_short_items_equal_brute_force():
+    rng = random.Random(13)
+    vocabulary = prose(rng, 4).split()  # so that items share shingles
+    items = list(dict.fromkeys((i, " ".join(rng.choices(vocabulary, k=rng.randint(5, 13)))) for i in range(150)))
+    docs = [(d, " ".join(rng.choices(vocabulary, k=rng.choice([0, 4, 60, 400])))) for d in range(40)]
+    index = D.build_index([(i, t.encode()) for i, t in items])
+    got = [(d, m["item_id"], m["n_shingles"], m["n_shared"]) for (d, _), found in
+           zip(docs, D.matches(index, [t.encode() for _, t in docs]), strict=True) for m in found]
+    short = {i for i, t in items if len(slow_shingles(t)) <= D.SHORT}
+    want = [x for x in slow(docs, items) if x[1] in short]
+    assert want and sorted((x for x in got if x[1] in short), key=repr) == want
