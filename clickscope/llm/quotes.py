@@ -4,8 +4,9 @@ A message's lines are parsed into quote levels (leading ``>`` marks, nested
 ones counted).  Quoted passages are normalised (lower case, one space) and
 hashed as a whole, by paragraph and by line; so is what each message says
 itself.  A quoted passage is joined to the first message of the conversation
-that says it; a message replies to the message its own (level 1) quotations
-match in most characters, the latest if equal.
+that says it, whatever its level; a message replies to the message that the
+quotations of its shallowest matching level match in most characters, the
+latest if equal.
 
 Chains of such replies are followed by doubling.  Each thread hangs on the
 message at its top; conversations are ordered by top message, then turn, so a
@@ -94,10 +95,10 @@ def reply_links(messages: DataFrame) -> DataFrame:
     """
     rows = saved(_unit_rows(messages), "quote-units")
     said = rows.where("level = 0").groupBy("__conv", "hash").agg(F.min("__turn").alias("__up"))
-    quoted = rows.where("level = 1").select("__conv", "__turn", "hash", "length").distinct()
+    quoted = rows.where("level > 0").select("__conv", "__turn", "level", "hash", "length").distinct()
     found = (quoted.join(said, ["__conv", "hash"]).where("__up < __turn")
-             .groupBy("__conv", "__turn", "__up").agg(F.sum("length").alias("length")))
-    return (found.groupBy("__conv", "__turn").agg(F.max(F.struct("length", "__up")).alias("best"))
+             .groupBy("__conv", "__turn", "level", "__up").agg(F.sum("length").alias("length")))
+    return (found.groupBy("__conv", "__turn").agg(F.max(F.struct(-F.col("level"), "length", "__up")).alias("best"))
             .select("__conv", "__turn", F.col("best.__up").alias("__up")))
 
 

@@ -69,3 +69,11 @@ def test_query_covers_every_message(spark):
     want = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").collect()
     got = op3_quotation_links(spark, SF_SMALL).collect()
     assert sorted((r["conv_id"], r["turn"], r["text"].strip("\n")) for r in want) == sorted((r["conv_id"], r["turn"], r["text"]) for r in got)
+
+
+def test_deeper_levels_link_where_shallower_ones_do_not(spark):
+    thread = [(1, 0, "a", "The plan is ready."), (1, 1, "b", "Other talk."), (1, 2, "c", ">> The plan is ready.\nFine."),
+              (1, 3, "d", "> an edited passage\n>> Other talk.\nYes."), (1, 4, "e", ">>> The plan is ready.\n>> Fine.\nGood."),
+              (1, 5, "f", "> Fine.\n>> The plan is ready.\nWell.")]
+    got = rows(link_quotations(spark.createDataFrame(thread, TURNS)))
+    assert {t: r["reply_to"] for (_, t), r in got.items()} == {0: None, 1: None, 2: 0, 3: 1, 4: 2, 5: 2}
