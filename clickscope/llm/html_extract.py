@@ -8,7 +8,10 @@ empty lines in their place, and so do the borders of an article.  If the page
 marks an article, its lines weigh more and all others nothing.  The weights are
 summed over a sliding window of lines.  The sums surge where an article begins
 and dive to nothing where it ends; what stands between a surge and a dive is
-kept if the sums reach ``least`` on the way, short lines included.
+kept if the sums reach ``least`` on the way, short lines included.  In a page
+without a marked article a lighter stretch is kept too if a line of it stands
+in the same parent as a line of a kept one: an advert inside the text cuts it
+in two, whatever the weight of the pieces.
 """
 
 from __future__ import annotations
@@ -66,9 +69,13 @@ def _outside(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool]]:
-    """Lines of a page: (text, length without links, inside a marked article); a gap is ``window`` empty lines."""
-    lines: list[tuple[str, int, bool]] = []
+def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool, tuple[int, ...]]]:
+    """Lines of a page: (text, length without links, inside a marked article, numbers of its block and the block's parent).
+
+    A gap is ``window`` empty lines.  The page itself is block 0.
+    """
+    lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
+    blocks, n_blocks = [0], 0
     piece: list[str] = []
     open_tags: list[tuple[str, bool, bool]] = []  # name, outside, article
     depth: Counter = Counter()
@@ -78,13 +85,13 @@ def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool]]:
         nonlocal linked
         text = " ".join(html.unescape("".join(piece)).split())
         if text:
-            lines.append((text, max(0, len(text) - linked), article > 0))
+            lines.append((text, max(0, len(text) - linked), article > 0, tuple(blocks[-2:])))
         piece.clear()
         linked = 0
 
     def gap() -> None:
         end_line()
-        lines.extend([("", 0, False)] * window)
+        lines.extend([("", 0, False, ())] * window)
 
     at, in_head = 0, False
     while at < len(page):
@@ -122,6 +129,8 @@ def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool]]:
                 while open_tags:
                     top, was_outside, was_article = open_tags.pop()
                     depth[top] -= 1
+                    if top not in _INLINE:
+                        blocks.pop()
                     outside -= was_outside
                     if was_article:
                         gap()
@@ -136,6 +145,9 @@ def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool]]:
             if is_outside and not outside or is_article:
                 gap()
             open_tags.append((name, is_outside, is_article))
+            if name not in _INLINE:
+                n_blocks += 1
+                blocks.append(n_blocks)
             depth[name] += 1
             outside += is_outside
             article += is_article
@@ -162,13 +174,16 @@ def surges(weights: list[int], window: int) -> list[tuple[int, int, int]]:
 def main_text(page: str | None, window: int = 3, least: int = 80) -> str:
     """The article's text: blocks in page order, joined by one space (none: empty)."""
     lines = page_lines(page or "", window)
-    if any(marked for _, _, marked in lines):
-        weights = [n + least if marked else 0 for _, n, marked in lines]
-    else:
-        weights = [n for _, n, _ in lines]
+    marked_page = any(marked for _, _, marked, _ in lines)
+    weights = [(n + least if marked else 0) if marked_page else n for _, n, marked, _ in lines]
     found = surges(weights, window)
     kept = [s for s in found if s[2] >= least] or sorted(found, key=lambda s: (-s[2], s[0]))[:1]
-    return " ".join(text for a, b, _ in kept for text, _, _ in lines[a:b] if text)
+    if not marked_page:
+        near = lambda s: {x for i in range(s[0], s[1]) if weights[i] for x in lines[i][3]}
+        parents = set().union(*map(near, kept))
+        heavy = set(kept)
+        kept = [s for s in found if s in heavy or not parents.isdisjoint(near(s))]
+    return " ".join(text for a, b, _ in kept for text, *_ in lines[a:b] if text)
 
 
 def extract(page: Column, window: int = 3, least: int = 80) -> Column:

@@ -77,3 +77,21 @@ def test_column(spark):
     got = [r[0] for r in df.select(extract(F.col("html"))).collect()]
     assert got == ["", "", "é \U0001F600", "é \U0001F600"]
     assert df.where("false").select(extract(F.col("html"))).collect() == []
+
+
+AD = "<div class=ad><p>Buy</p></div>"
+INLINE_PARTS = {
+    "short end": (page(f"<p>{BODY}</p>{AD}<p>Short end.</p>"), f"{BODY} Short end."),
+    "short pieces only": (page(f"<div><p>One.</p>{AD}<p>Two, longer.</p><form>Mail</form><p>Three.</p></div>"), "One. Two, longer. Three."),
+    "text beside blocks": (page(f"<div>{BODY}{AD}Short end.</div>"), f"{BODY} Short end."),
+    "no body": (f"<p>{BODY}</p>{AD}<p>Short end.</p>", f"{BODY} Short end."),
+    "unclosed": (page(f"<p>{BODY}{AD}<p>Short end."), f"{BODY} Short end."),
+    "other parents": (page(f"<div><p>Tel. 1</p></div><nav>x</nav><div><p>{BODY}</p>{AD}<p>End.</p></div><form>y</form><div><p>Fax 2</p></div>"),
+                      f"{BODY} End."),
+}
+
+
+@pytest.mark.parametrize("name", INLINE_PARTS)
+def test_an_advert_inside_the_text_drops_nothing_else(name):
+    html, want = INLINE_PARTS[name]
+    assert main_text(html) == want
