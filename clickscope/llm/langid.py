@@ -158,7 +158,10 @@ def sampled(usable: DataFrame, rows_per_lang: int, max_langs: int) -> DataFrame:
     keys = saved(usable.select("lang", "key").distinct(), "langid-keys")
     sizes = keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    chosen = keys.join(F.broadcast(sizes), "lang").withColumn("__nth", nth).where(F.col("__nth") <= rows_per_lang)  # at most max_langs rows
+    # only hashes that can be among the least are ranked: a few times rows_per_lang, whatever the language holds
+    enough = F.least(F.lit(1.0), F.lit(3.0 * rows_per_lang + 100) / F.col("count")) * float(1 << 63)
+    near = keys.join(F.broadcast(sizes), "lang").where(F.col("key") <= enough)  # at most max_langs rows
+    chosen = near.withColumn("__nth", nth).where(F.col("__nth") <= rows_per_lang)
     # rows_per_lang * max_langs keys at most; the planner chooses how to join them
     return usable.join(saved(chosen.select("lang", "key"), "langid-chosen"), ["lang", "key"]).groupBy("key", "lang").agg(F.min("text").alias("text"))
 
