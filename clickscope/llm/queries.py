@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import bpe, decontam, html_extract, langid, mixing, quality, quotes, rlz_dedup, sharding, simhash, url_reputation
+from clickscope.llm import bpe, decontam, html_extract, langid, mixing, quality, quotes, rlz_dedup, sharding, simhash, url_reputation, whitening
 from clickscope.llm.common import saved, table, utf8_size, words
 
 SHARDS = 16
@@ -88,6 +88,11 @@ def op10_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return rows.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 def op13_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder_of = bpe.encoder(spark, public_tokenizers.path("word_bpe_49k.json"))
     ids = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), encoder_of).alias("ids"))
@@ -99,7 +104,7 @@ def op13_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_kd_shards, op2_line_block_text, op3_quotation_links, op4_rlz_dedup, op5_host_reputation,
                             op6_benchmark_containment, op7_simhash_components, op8_subword_langid, op9_source_mix,
-                            op10_robust_quality, op13_forced_boundary_bpe)}
+                            op10_robust_quality, op11_embedding_whitening, op13_forced_boundary_bpe)}
 
 _WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 

@@ -1,0 +1,116 @@
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clickscope.llm import whitening as W
+from clickscope.llm.queries import op11_embedding_whitening
+from tests.conftest import SF_MID, SF_SMALL
+
+ROWS = "vec_id long, embedding array<float>, label int"
+
+
+def integers(v):
+    return tuple(math.floor(64.0 * c) + 1_000_000 for c in v)
+
+
+def is_usable(v):
+    return v is not None and len(v) > 0 and all(c is not None and math.isfinite(c) for c in v)
+
+
+def slow_fit(vectors):
+    """(n, S, covariance, eigenvalues, components) of the distinct integer vectors, centred exactly."""
+    fit = sorted(set(vectors))
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    y = np.array([[float(Fraction(n * a - s, n)) for a, s in zip(v, sums)] for v in fit])
+    cov = y.T @ y / n
+    e, u = np.linalg.eigh(cov)
+    return n, sums, cov, e[::-1], u[:, ::-1]
+
+
+def check(got, rows, components=16):
+    """The result against numpy's eigenvectors, up to each component's sign."""
+    own = [(i, integers(v)) for i, v in rows if is_usable(v)]
+    n, sums, cov, e, u = slow_fit([x for _, x in own])
+    k = min(components, sum(e > len(e) * 1e-15 * e[0] * 10))
+    assert len(got) == k * len(own)
+    by = {}
+    for r in got:
+        by.setdefault(r["vec_id"], {})[r["component"]] = r
+    signs = {}
+    for i, x in own:
+        y = np.array([float(Fraction(n * a - s, n)) for a, s in zip(x, sums)])
+        for c in range(1, k + 1):
+            r = by[i][c]
+            assert (r["n"], r["deviation"]) == (n, sum((n * a - s) ** 2 for a, s in zip(x, sums)))
+            assert r["explained"] == pytest.approx(e[c - 1] / cov.trace(), rel=1e-9)
+            assert r["identity_error"] < 1e-9
+            want = float(y @ u[:, c - 1]) / e[c - 1] ** 0.5
+            if abs(want) > 1e-6:
+                signs.setdefault(c, math.copysign(1, want * r["whitened"]))
+            assert r["whitened"] == pytest.approx(signs.get(c, 1) * want, abs=1e-7)
+
+
+def test_query_equals_numpy(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF_MID}/embeddings.parquet").collect()]
+    check(op11_embedding_whitening(spark, SF_MID).collect(), rows)
+
+
+def test_reruns_agree_whatever_the_partitions(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    a, b = (sorted(map(tuple, W.whiten(df.repartition(p).select("vec_id", "embedding")).collect())) for p in (1, 7))
+    assert [r[:4] for r in a] == [r[:4] for r in b] and np.allclose([r[4] for r in a], [r[4] for r in b], atol=1e-9)
+
+
+def test_odd_rows_copies_and_extra_columns(spark):
+    rng = random.Random(4)
+    base = [[rng.uniform(-1, 1) for _ in range(5)] for _ in range(40)]
+    rows = [(i, v) for i, v in enumerate(base)] + [(100 + i, base[0]) for i in range(30)]
+    rows += [(200, None), (201, []), (202, [None] * 5), (203, [1.0, 2.0, float("nan"), 0.0, 0.0]), (204, [float("inf")] * 5),
+             (205, [1.0, 2.0]), (206, [c + 1e-9 for c in base[3]])]
+    df = spark.createDataFrame([(i, v, None, "x", "y") for i, v in rows], ROWS + ", n string, own string")
+    got = W.whiten(df)
+    assert got.columns == ["vec_id", "label", "own", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    check(got.collect(), [r for r in rows if r[0] != 205])
+    null_id = spark.createDataFrame([(None, v, None) for v in base], ROWS)
+    assert W.whiten(null_id).where("vec_id is null").count() == 200
+
+
+def test_few_equal_and_no_vectors(spark):
+    flat = spark.createDataFrame([(i, [0.5, 0.5], 1) for i in range(3)], ROWS)
+    assert W.whiten(flat).collect() == [] == W.whiten(flat.where("false")).collect()
+    line = [(i, [float(i), 2.0 * i, 0.25]) for i in range(6)]  # one dimension of variance in three
+    check(W.whiten(spark.createDataFrame([(i, v, 1) for i, v in line], ROWS)).collect(), line)
+
+
+def test_large_numbers_keep_deviations_exact_or_null(spark):
+    rows = [(0, [2.0 ** 20, 0.0]), (1, [-(2.0 ** 20), 1.0]), (2, [0.0, 3.0])]
+    check(W.whiten(spark.createDataFrame([(i, v, 1) for i, v in rows], ROWS)).collect(), rows)
+    far = [(0, [1e30, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 3.0], 1)]
+    got = W.whiten(spark.createDataFrame(far, ROWS)).where("vec_id = 0").collect()
+    assert got and all(r["deviation"] is None and math.isfinite(r["whitened"]) for r in got)
+
+
+@pytest.mark.parametrize("d", [1, 2, 7, 40])
+def test_cholesky_and_jacobi_give_the_eigenvalues(d):
+    rng = np.random.default_rng(d)
+    a = rng.normal(size=(d, max(1, d - 2))) * np.geomspace(1, 1e-6, max(1, d - 2))
+    scatter = a @ a.T
+    factor, order = W.pivoted_cholesky(scatter)
+    assert factor.shape[1] <= max(1, d - 2) + 1
+    assert np.allclose(factor @ factor.T, scatter[np.ix_(order, order)], atol=1e-12 * scatter.max())
+    turned = W.one_sided_jacobi(factor)
+    gram = turned.T @ turned
+    size = np.sqrt(np.outer(gram.diagonal(), gram.diagonal()))
+    assert np.allclose(gram / size, np.eye(len(gram)), atol=1e-13)
+    want = np.linalg.eigvalsh(scatter)[::-1][: len(gram)]
+    assert np.allclose(np.sort(gram.diagonal())[::-1], want, rtol=1e-6, atol=1e-14 * want[0])
+
+
+def test_wide_vectors_are_refused(spark):
+    df = spark.range(2).select(F.array_repeat(F.col("id").cast("float"), W.MOST_DIMENSIONS + 1).alias("embedding"))
+    with pytest.raises(ValueError):
+        W.whiten(df)
