@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import bpe, decontam, html_extract, langid, mixing, quality, quotes, rlz_dedup, sharding, simhash, url_reputation, whitening
+from clickscope.llm import bpe, decontam, hard_negatives, html_extract, langid, mixing, quality, quotes, rlz_dedup, sharding, simhash, url_reputation, whitening
 from clickscope.llm.common import saved, table, utf8_size, words
 
 SHARDS = 16
@@ -93,6 +93,13 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
 
 
+def op12_angular_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return hard_negatives.mine_hard_negatives(rows, lambda ids: ids % 100 == 0)
+
+
 def op13_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder_of = bpe.encoder(spark, public_tokenizers.path("word_bpe_49k.json"))
     ids = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), encoder_of).alias("ids"))
@@ -104,7 +111,8 @@ def op13_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_kd_shards, op2_line_block_text, op3_quotation_links, op4_rlz_dedup, op5_host_reputation,
                             op6_benchmark_containment, op7_simhash_components, op8_subword_langid, op9_source_mix,
-                            op10_robust_quality, op11_embedding_whitening, op13_forced_boundary_bpe)}
+                            op10_robust_quality, op11_embedding_whitening, op12_angular_hard_negatives,
+                            op13_forced_boundary_bpe)}
 
 _WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
@@ -181,4 +189,19 @@ ORACLE_SQL = {
               FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
         SELECT doc_id, size, source_size, target,
                CAST(epochs * size + CASE WHEN before < rest THEN least(size, rest - before) ELSE 0 END AS BIGINT) AS taken FROM x""",
+    "op12_angular_hard_negatives": """
+        WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, a.label AS own, r.vec_id AS id, r.label, CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+              FROM r AS a JOIN r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE label = own
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+               id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE label <> own AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5""",
 }

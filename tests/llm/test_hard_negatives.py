@@ -1,0 +1,114 @@
+import math
+
+import duckdb
+import numpy as np
+import pytest
+
+from clickscope.llm import hard_negatives as H
+from clickscope.llm.queries import ORACLE_SQL, op12_angular_hard_negatives
+from tests.conftest import SF_MID
+
+ROWS = "vec_id long, embedding array<double>, label int"
+LAST = 2**63
+
+
+def slow(rows, is_anchor, positives=5, negatives=5, percent=(80, 100), scale=256):
+    """All scores, one by one; ``rows`` are (id, vector, label)."""
+    own = [(i, [math.floor(scale * c) for c in v], lab) for i, v, lab in rows
+           if lab is not None and v and all(c is not None and math.isfinite(c) for c in v)]
+    anchors = {(i, tuple(x), lab) for i, x, lab in own if i is not None and is_anchor(i)}
+    first = lambda e: (-e[0], LAST if e[1] is None else e[1])
+    out = []
+    for a, ax, al in anchors:
+        scored = [(sum(p * q for p, q in zip(ax, x)), i, lab) for i, x, lab in own if i != a]
+        for ps, pid, _ in sorted((e for e in scored if e[2] == al), key=first)[:positives]:
+            near = [e for e in scored if e[2] != al and percent[0] * ps <= 100 * e[0] <= percent[1] * ps]
+            out += [(a, pid, n, i, ps, s) for n, (s, i, _) in enumerate(sorted(near, key=first)[:negatives], 1)]
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect()), key=repr)
+
+
+def relabelled(rows):
+    return [(i, v, lab if lab is None or i is None or i % 7 else (lab + 1) % 10) for i, v, lab in rows]
+
+
+def test_query_equals_brute_force_and_sql(spark):
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{SF_MID}/embeddings.parquet").collect()]
+    got = found(op12_angular_hard_negatives(spark, SF_MID))
+    assert got and got == slow(relabelled(rows), lambda i: i % 100 == 0)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_MID}/embeddings.parquet'")
+    assert got == sorted(con.execute(ORACLE_SQL["op12_angular_hard_negatives"]).fetchall(), key=repr)
+
+
+def clustered(n, d, seed, spread=0.15):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, d))
+    x = centres[rng.integers(0, 6, n)] + spread * rng.normal(size=(n, d))
+    return [(i, v.tolist(), int(rng.integers(0, 3))) for i, v in enumerate(x * rng.uniform(0.5, 1.5, (n, 1)))]
+
+
+@pytest.mark.parametrize("at_once", [7, 4096])
+def test_clustered_vectors_in_blocks_and_small_windows(spark, monkeypatch, at_once):
+    monkeypatch.setattr(H, "_WINDOW", 8)
+    monkeypatch.setattr(H, "_ANCHOR_WINDOW", 4)
+    rows = clustered(400, 6, 1)
+    got = H.mine_hard_negatives(spark.createDataFrame(rows, ROWS).repartition(5), lambda ids: ids % 10 == 0, anchors_at_once=at_once)
+    assert found(got) == slow(rows, lambda i: i % 10 == 0)
+
+
+def test_ties_copies_nulls_and_extra_columns(spark):
+    base = clustered(60, 4, 2)
+    hot = [(100 + i, base[0][1], i % 2) for i in range(80)]  # many copies of one vector, in two labels
+    odd = [(200, None, 1), (201, [], 1), (202, [1.0, None, 0.0, 0.0], 1), (203, [float("nan")] * 4, 1), (204, [float("inf")] * 4, 1),
+           (205, base[1][1], None), (None, base[2][1], 1), (None, base[0][1], 0), (300, [0.0] * 4, 1), (300, [0.0] * 4, 1),
+           (0, base[0][1], base[0][2]), (10, base[4][1], 2), (400, [-c for c in base[0][1]], 1)]
+    rows = base + hot + odd
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], ROWS + ", id string, score int")
+    got = H.mine_hard_negatives(df, lambda ids: ids % 10 == 0)
+    # row 400 and its like have negative scores only: no window; repeated anchors are one, row 10 is two
+    assert found(got) == slow(rows, lambda i: i % 10 == 0)
+    lengths = [(500, [1.0, 2.0], 1), (501, [1.0, 2.0, 3.0, 4.0, 5.0], 0), (502, [1e300] * 4, 0)]
+    again = H.mine_hard_negatives(spark.createDataFrame(base + lengths, ROWS), lambda ids: ids % 10 == 0)
+    assert found(again) == slow(base, lambda i: i % 10 == 0)
+
+
+def test_large_numbers_are_multiplied_as_integers(spark):
+    rows = [(i, [float((i * 7919) % 1000) * 3000 + 1, float(i)], i % 2) for i in range(30)]
+    got = H.mine_hard_negatives(spark.createDataFrame(rows, ROWS), lambda ids: ids % 10 == 0)
+    assert found(got) == slow(rows, lambda i: i % 10 == 0)
+
+
+def test_no_anchors_and_empty_table(spark):
+    df = spark.createDataFrame(clustered(20, 3, 3), ROWS)
+    assert found(H.mine_hard_negatives(df, lambda ids: ids < 0)) == []
+    assert found(H.mine_hard_negatives(df.where("false"), lambda ids: ids % 10 == 0)) == []
+    zero = spark.createDataFrame([(i, [0.0, 0.0], i % 2) for i in range(20)], ROWS)
+    assert found(H.mine_hard_negatives(zero, lambda ids: ids % 10 == 0)) == slow([(i, [0.0, 0.0], i % 2) for i in range(20)], lambda i: i % 10 == 0)
+
+
+def indexed(vectors, directions):
+    norm = np.linalg.norm(vectors, axis=1)
+    angles = np.arccos(np.clip(vectors / np.where(norm > 0, norm, 1)[:, None] @ directions.T, -1, 1)).astype(np.float32)
+    order = np.lexsort((angles.min(axis=1), angles.argmin(axis=1)))
+    ids = np.arange(len(vectors))
+    return H.Rows(ids, ids % 2, vectors.astype(np.int64)[order], norm[order], angles[order].astype(np.float64))
+
+
+@pytest.mark.parametrize("spread,skipped", [(0.02, 0.4), (3.0, 0.0)])
+def test_bounds_hold_and_skip_windows_of_clustered_vectors(spread, skipped):
+    x = np.floor(256 * np.array([v for _, v, _ in clustered(600, 16, 5, spread)]))
+    x[:3] = 0
+    x[3:6] = x[6]
+    rows = indexed(x, H.reference_directions(x, 16))
+    low, high = H.score_bounds(rows.edges(10), rows.edges(20))
+    s = H.scores(rows, rows)
+    assert (s == (rows.x.astype(object) @ rows.x.T.astype(object))).all()
+    for a in range(len(low)):
+        for r in range(low.shape[1]):
+            part = s[10 * a: 10 * a + 10, 20 * r: 20 * r + 20]
+            assert low[a, r] <= part.min() and part.max() <= high[a, r]
+    assert (high < 0.5 * s.max()).mean() >= skipped
