@@ -23,6 +23,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -31,10 +32,14 @@ from clickscope.llm.common import WHITE, shipped
 
 #: A tokenizer file is sent to all tasks; larger ones are refused.
 MOST_FILE_BYTES = 64 << 20
-# remembered chunks and fragments of a task, the longest one remembered, and the chunks looked at together
-_MEMO, _MEMO_BYTES, _SLICE = 1 << 18, 64, 1 << 14
-_NEVER = 1 << 62
+# remembered chunks and words of a task, the longest one remembered, and the chunks looked at together
+_MEMO, _MEMO_BYTES, _SLICE = 1 << 18, 64, 1 << 18
 _MARK = "\U0010FFFD"  # a private character that stands between chunks split together
+_NEVER = 1 << 30
+_LONG = 64             # symbols from which a fragment is merged by a queue
+# Fixed value: characters that stand alone in normal form C and whose class is settled; there normalisation is lower-casing.
+_SETTLED = re.compile("[!-~\u00a1-\u02ff]+")
+_PLAIN_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 
 
 def _byte_alphabet() -> list[str]:
@@ -54,23 +59,27 @@ class Encoder:
         self._suffix = model.get("end_of_word_suffix") or ""
         alphabet = _byte_alphabet()
         self._check(spec, vocab, alphabet)
-        self._first = [{c: vocab[c + end] for c in alphabet} for end in ("", self._suffix)]
-        self._merges: dict[tuple[int, int], int] = {}  # rank and merged id in one number
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self._merges[vocab[left], vocab[right]] = rank << 32 | vocab[left + right]
+        self._first = [np.array([vocab[c + end] for c in alphabet]) for end in ("", self._suffix)]
+        merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])]
+        left, right, both = np.array(merges, dtype=np.int64).reshape(-1, 3).T
+        self._product, pairs = both, left << 32 | right
+        self._rank_of_pair = np.argsort(pairs, kind="stable")
+        self._pairs_in_order = pairs[self._rank_of_pair]
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in [*vocab.items(), *added.items()]}
         self._added = {t: np.array([i], dtype="<u4").tobytes() for t, i in added.items()}
+        self._added_bytes = [t.encode() for t in added]
         self._at_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self._to_byte = {ord(c): b for b, c in enumerate(alphabet)}
         self.inside = self._pairs(vocab)
         rules = Tokenizer.from_str(json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}))
         self._normalizer, self._splitter = rules.normalizer, rules.pre_tokenizer
-        if self._words("a" + WHITE + "b") != self._words("a") + self._words("b"):
+        if self._split("a" + WHITE + "b") != self._split("a") + self._split("b"):
             raise ValueError("a tokenizer that keeps white space is not supported")
-        self._mark = self._words(_MARK)[0]
+        self._mark = self._split(_MARK)[0]
+        self._settled_words = self._pattern(spec)
         self._chunks: dict[bytes, bytes] = {}
-        self._fragments: dict[tuple[str, bool], bytes] = {}
+        self._words: dict[bytes, bytes] = {}
 
     def _check(self, spec: dict, vocab: dict[str, int], alphabet: list[str]) -> None:
         model = spec["model"]
@@ -82,60 +91,110 @@ class Encoder:
         if any(c + end not in vocab for c in alphabet for end in ("", self._suffix)):
             raise ValueError("the vocabulary lacks single bytes")
 
-    def _pairs(self, vocab: dict[str, int]) -> frozenset[str]:
-        """The byte pairs (as two characters) that stand side by side inside a token."""
-        pairs = set()
+    def _pattern(self, spec: dict) -> Callable[[str], list[str]] | None:
+        """The file's pattern of words, if settled characters need nothing else than it (None: they go the general way)."""
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if (spec["normalizer"] or {}).get("normalizers") != _PLAIN_NORMALIZER or [s["type"] for s in steps] != ["Split", "ByteLevel"]:
+            return None
+        split, level = steps
+        plain = split["behavior"] == "Removed" and split["invert"] and not level["add_prefix_space"] and not level["use_regex"]
+        return regex.compile(split["pattern"]["Regex"]).findall if plain and "Regex" in split["pattern"] else None
+
+    def _pairs(self, vocab: dict[str, int]) -> np.ndarray:
+        """Which byte pairs stand side by side inside a token."""
+        inside = np.zeros((256, 256), dtype=bool)
         for token in vocab:
             own = token.removesuffix(self._suffix) if self._suffix else token
-            pairs.update(map("".join, zip(own, own[1:], strict=False)))
-        return frozenset(pairs)
+            own = [self._to_byte[ord(c)] for c in own if ord(c) in self._to_byte]
+            inside[own[:-1], own[1:]] = True
+        return inside
 
-    def _words(self, text: str) -> list[str]:
-        """Words of a text after normalisation, a character for each byte."""
+    def _split(self, text: str) -> list[bytes]:
+        """Words of a text by the library's rules."""
         if self._normalizer:
             text = self._normalizer.normalize_str(text)
-        return [w for w, _ in self._splitter.pre_tokenize_str(text)]
-
-    def fragments(self, word: str) -> list[str]:
-        """The word cut at every byte pair that no token holds."""
-        inside, out, begin = self.inside, [], 0
-        for at, pair in enumerate(zip(word, word[1:], strict=False), 1):
-            if pair[0] + pair[1] not in inside:
-                out.append(word[begin:at])
-                begin = at
-        out.append(word[begin:])
-        return out
-
-    def merged(self, fragment: str, ends_word: bool, at_once: int = 24) -> list[int]:
-        """Token ids of a fragment: the pair of lowest rank is merged first, the leftmost of equals."""
-        first, merges = self._first[0], self._merges
-        ids = [first[c] for c in fragment]
-        if ends_word:
-            ids[-1] = self._first[1][fragment[-1]]
-        if len(ids) > at_once:
-            return self._merged_by_queue(ids)
-        ranks = [merges.get(p, _NEVER) for p in zip(ids, ids[1:], strict=False)]
-        while ranks:
-            best = min(ranks)
-            if best == _NEVER:
-                break
-            i = ranks.index(best)
-            ids[i: i + 2] = [best & 0xFFFFFFFF]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = merges.get((ids[i - 1], ids[i]), _NEVER)
-            if i < len(ranks):
-                ranks[i] = merges.get((ids[i], ids[i + 1]), _NEVER)
-        return ids
-
-    def _merged_by_queue(self, ids: list[int]) -> list[int]:
-        """The same for many symbols, in n log n steps."""
+        return [w.translate(self._to_byte).encode("latin-1") for w, _ in self._splitter.pre_tokenize_str(text)]
+
+    # ------------------------------------------------------------ merging
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self._pairs_in_order):
+            return np.full(len(left), _NEVER)
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self._pairs_in_order, pair), len(self._pairs_in_order) - 1)
+        return np.where(self._pairs_in_order[at] == pair, self._rank_of_pair[at], _NEVER)
+
+    def fragments(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """First symbols of the words' bytes, side by side, and which of them begin a fragment."""
+        raw = np.frombuffer(b"".join(words), dtype=np.uint8)
+        end = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        ids = self._first[0][raw]
+        ids[end - 1] = self._first[1][raw[end - 1]]
+        begins = np.ones(len(raw), dtype=bool)
+        begins[1:] = ~self.inside[raw[:-1], raw[1:]]
+        begins[end[:-1]] = True
+        return ids, begins
+
+    def merged(self, ids: np.ndarray, begins: np.ndarray, long: int = _LONG) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all fragments, each merged on its own, and the place of each id's first symbol.
+
+        In a fragment the pair of lowest rank is merged first, the leftmost of
+        equals; a round does that for all fragments at once.
+        """
+        first = np.flatnonzero(begins)
+        size = np.diff(np.append(first, len(ids)))
+        done_ids, done_at = [], []
+        for f in np.flatnonzero(size >= long).tolist():
+            got, at = self._merged_by_queue(ids[first[f]: first[f] + size[f]].tolist())
+            done_ids.append(np.array(got, dtype=np.int64))
+            done_at.append(np.array(at, dtype=np.int64) + first[f])
+        at = np.flatnonzero(np.repeat(size < long, size))
+        ids, begins = ids[at], begins[at]
+        rank = np.full(len(ids), _NEVER)  # of the symbol and the next one of its fragment
+        inner = np.flatnonzero(~begins) - 1
+        rank[inner] = self._ranks(ids[inner], ids[inner + 1])
+        while len(ids):
+            first = np.flatnonzero(begins)
+            size = np.diff(np.append(first, len(ids)))
+            least = np.minimum.reduceat(rank, first)
+            open_ = np.repeat(least < _NEVER, size)
+            done_ids.append(ids[~open_])
+            done_at.append(at[~open_])
+            low = np.repeat(least, size)[open_]
+            ids, at, begins, rank = ids[open_], at[open_], begins[open_], rank[open_]
+            hit = rank == low
+            # equal neighbours overlap: every other one of a run is merged, from its left end
+            run = np.flatnonzero(hit & ~np.concatenate(([False], hit[:-1])))
+            place = np.flatnonzero(hit)
+            place = place[(place - run[np.searchsorted(run, place, "right") - 1]) % 2 == 0]
+            ids[place] = self._product[rank[place]]
+            stay = np.ones(len(ids), dtype=bool)
+            stay[place + 1] = False
+            new = np.zeros(len(ids), dtype=bool)
+            new[place] = True
+            ids, at, begins, rank, new = ids[stay], at[stay], begins[stay], rank[stay], new[stay]
+            new[:-1] |= new[1:]
+            last = np.append(begins[1:], True)
+            again = np.flatnonzero(new & ~last)
+            rank[new] = _NEVER
+            rank[again] = self._ranks(ids[again], ids[again + 1])
+        ids, at = np.concatenate([np.zeros(0, np.int64), *done_ids]), np.concatenate([np.zeros(0, np.int64), *done_at])
+        order = np.argsort(at, kind="stable")
+        return ids[order], at[order]
+
+    def _merged_by_queue(self, ids: list[int]) -> tuple[list[int], list[int]]:
+        """The same for one long fragment, in n log n steps."""
         after, before = [*range(1, len(ids) + 1)], [*range(-1, len(ids) - 1)]
+        known: dict[tuple[int, int], int] = {}
+
+        def rank(left: int, right: int) -> int:
+            if (left, right) not in known:
+                known[left, right] = int(self._ranks(np.array([left]), np.array([right]))[0])
+            return known[left, right]
         queue: list[tuple[int, int, int, int]] = []
 
         def offer(i: int) -> None:
             j = after[i]
-            if j < len(ids) and (found := self._merges.get((ids[i], ids[j]))):
+            if j < len(ids) and (found := rank(ids[i], ids[j])) < _NEVER:
                 heapq.heappush(queue, (found, i, ids[i], ids[j]))
 
         for i in range(len(ids) - 1):
@@ -145,68 +204,102 @@ class Encoder:
             j = after[i]
             if ids[i] != left or j >= len(ids) or ids[j] != right:
                 continue  # one of the two has been merged since
-            ids[i], ids[j] = best & 0xFFFFFFFF, -1
+            ids[i], ids[j] = int(self._product[best]), -1
             after[i] = after[j]
             if after[i] < len(ids):
                 before[after[i]] = i
             if before[i] >= 0:
                 offer(before[i])
             offer(i)
-        return [x for x in ids if x >= 0]
-
-    def _word_ids(self, word: str) -> bytes:
-        known, out, pieces = self._fragments, [], self.fragments(word)
-        for n, piece in enumerate(pieces, 1):
-            key = piece, n == len(pieces)
-            ids = known.get(key)
-            if ids is None:
-                ids = np.array(self.merged(*key), dtype="<u4").tobytes()
-                if len(piece) <= _MEMO_BYTES:
-                    known[key] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
-        """Packed ids of each of some texts without white space, added tokens and the mark."""
-        out: list[list[bytes]] = [[]]
-        for word in self._words(f" {_MARK} ".join(chunks)):
-            if word == self._mark:
-                out.append([])
+        at = [i for i, x in enumerate(ids) if x >= 0]
+        return [ids[i] for i in at], at
+
+    # ------------------------------------------------------------ texts
+    def _learn_words(self, words: list[bytes]) -> None:
+        if not words:
+            return
+        ids, at = self.merged(*self.fragments(words))
+        end = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        cut = [0, *(4 * np.searchsorted(at, end)).tolist()]
+        packed = ids.astype("<u4").tobytes()
+        self._words.update(zip(words, (packed[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)), strict=True))
+
+    def _words_of(self, chunks: list[bytes]) -> list[list[bytes]]:
+        """The words of each of some texts without ASCII white space and added tokens."""
+        out: list[list[bytes]] = [[] for _ in chunks]
+        odd = []
+        for n, chunk in enumerate(chunks):
+            text = chunk.decode()
+            if self._settled_words and _SETTLED.fullmatch(text):
+                out[n] = [w.encode() for w in self._settled_words(text.lower())]
+            elif _MARK in text:
+                out[n] = self._split(text)
             else:
-                out[-1].append(self._word_ids(word))
-        return list(map(b"".join, out))
-
-    def _odd_chunk_ids(self, chunk: str) -> bytes:
-        """The same of one chunk that holds added tokens or the mark."""
-        parts = self._at_added.split(chunk) if self._at_added else [chunk]
-        return b"".join(self._added.get(p) or b"".join(map(self._word_ids, self._words(p))) for p in parts if p)
+                odd.append((n, text))
+        if odd:
+            at = 0
+            for word in self._split(f" {_MARK} ".join(t for _, t in odd)):
+                if word == self._mark:
+                    at += 1
+                else:
+                    out[odd[at][0]].append(word)
+        return out
 
     def _learn(self, chunks: set[bytes]) -> None:
         """Ids of these chunks, put into the memo."""
-        if len(self._fragments) > _MEMO:
-            self._fragments.clear()
-        texts = {c: c.decode() for c in chunks}
-        odd = [c for c, t in texts.items() if _MARK in t or self._at_added and self._at_added.search(t)]
-        for c in odd:
-            self._chunks[c] = self._odd_chunk_ids(texts.pop(c))
-        if texts:
-            self._chunks.update(zip(texts, self._chunk_ids(list(texts.values())), strict=True))
-
-    def encode(self, text: bytes | None) -> bytes:
-        """Ids of a UTF-8 text as little-endian unsigned 32-bit integers."""
-        chunks, known, out = (text or b"").split(), self._chunks, []
-        for at in range(0, len(chunks), _SLICE):
-            part = chunks[at: at + _SLICE]
-            if len(known) > _MEMO:
-                known.clear()
-            new = set(part).difference(known)
+        if len(self._words) > _MEMO:
+            self._words.clear()
+        plain = [c for c in chunks if not self._at_added or not any(t in c for t in self._added_bytes)]
+        parts = {c: [p for p in self._at_added.split(c.decode()) if p] for c in chunks.difference(plain)} if len(plain) < len(chunks) else {}
+        between = [p.encode() for own in parts.values() for p in own if p not in self._added]
+        words = self._words_of(plain + between)
+        new = list({w for own in words for w in own}.difference(self._words))
+        self._learn_words(new)
+        ids = [b"".join(map(self._words.__getitem__, own)) for own in words]
+        for w in new:
+            if len(w) > _MEMO_BYTES:
+                del self._words[w]
+        self._chunks.update(zip(plain, ids[: len(plain)], strict=True))
+        rest = iter(ids[len(plain):])
+        for c, own in parts.items():
+            self._chunks[c] = b"".join(self._added[p] if p in self._added else next(rest) for p in own)
+
+    def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
+        """Ids of UTF-8 texts as little-endian unsigned 32-bit integers; new chunks of many texts are learned together."""
+        out: list[bytes] = []
+        ready: list[list[bytes]] = []
+        waiting = 0
+        for text in texts:
+            chunks = (text or b"").split()
+            if len(chunks) >= _SLICE:
+                out += self._joined(ready)
+                ready, waiting = [], 0
+                out.append(b"".join(self._joined([chunks[at: at + _SLICE] for at in range(0, len(chunks), _SLICE)], together=1)))
+                continue
+            ready.append(chunks)
+            waiting += len(chunks)
+            if waiting >= _SLICE:
+                out += self._joined(ready)
+                ready, waiting = [], 0
+        return out + self._joined(ready)
+
+    def _joined(self, lists: list[list[bytes]], together: int | None = None) -> list[bytes]:
+        out: list[bytes] = []
+        for at in range(0, len(lists), together or max(1, len(lists))):
+            part = lists[at: at + (together or len(lists))]
+            if len(self._chunks) > _MEMO:
+                self._chunks.clear()
+            new = set().union(*part).difference(self._chunks)
             if new:
                 self._learn(new)
-            out.append(b"".join(map(known.__getitem__, part)))
+            out += [b"".join(map(self._chunks.__getitem__, own)) for own in part]
             for c in new:
                 if len(c) > _MEMO_BYTES:
-                    del known[c]
-        return b"".join(out)
+                    del self._chunks[c]
+        return out
+
+    def encode(self, text: bytes | None) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes | None) -> str:
         """The tokens' strings joined by a space: what the library gives for a file without a decoder."""
@@ -238,9 +331,7 @@ def encode(text: Column, encoder_of: Callable[[], Encoder]) -> Column:
     """
     @F.arrow_udf("binary")
     def of(texts: pa.Array) -> pa.Array:
-        enc = encoder_of()
-        return pa.array([enc.encode(t.as_buffer().to_pybytes() if t.is_valid else None) for t in texts.cast(pa.large_binary())],
-                        pa.binary())
+        return pa.array(encoder_of().encode_all(texts.cast(pa.large_binary()).to_pylist()), pa.binary())
     return of(text)
 
 
