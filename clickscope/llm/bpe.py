@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import string
 from collections.abc import Callable
 from pathlib import Path
 
@@ -98,7 +99,8 @@ class Encoder:
             return None
         split, level = steps
         plain = split["behavior"] == "Removed" and split["invert"] and not level["add_prefix_space"] and not level["use_regex"]
-        return regex.compile(split["pattern"]["Regex"]).findall if plain and "Regex" in split["pattern"] else None
+        find = regex.compile(split["pattern"]["Regex"]).findall if plain and "Regex" in split["pattern"] else None
+        return find if find and find(string.ascii_lowercase) == [string.ascii_lowercase] else None
 
     def _pairs(self, vocab: dict[str, int]) -> np.ndarray:
         """Which byte pairs stand side by side inside a token."""
@@ -226,18 +228,24 @@ class Encoder:
 
     def _words_of(self, chunks: list[bytes]) -> list[list[bytes]]:
         """The words of each of some texts without ASCII white space and added tokens."""
-        out: list[list[bytes]] = [[] for _ in chunks]
+        out: list[list[bytes]] = [[]] * len(chunks)
         odd = []
+        find, settled = self._settled_words, _SETTLED.fullmatch
         for n, chunk in enumerate(chunks):
+            if find and chunk.isalpha():  # ASCII letters
+                out[n] = [chunk.lower()]
+                continue
             text = chunk.decode()
-            if self._settled_words and _SETTLED.fullmatch(text):
-                out[n] = [w.encode() for w in self._settled_words(text.lower())]
+            if find and settled(text):
+                out[n] = [w.encode() for w in find(text.lower())]
             elif _MARK in text:
                 out[n] = self._split(text)
             else:
                 odd.append((n, text))
         if odd:
             at = 0
+            for n, _ in odd:
+                out[n] = []
             for word in self._split(f" {_MARK} ".join(t for _, t in odd)):
                 if word == self._mark:
                     at += 1
@@ -249,13 +257,16 @@ class Encoder:
         """Ids of these chunks, put into the memo."""
         if len(self._words) > _MEMO:
             self._words.clear()
-        plain = [c for c in chunks if not self._at_added or not any(t in c for t in self._added_bytes)]
+        plain, all_chunks = list(chunks), b" ".join(chunks)
+        if any(t in all_chunks for t in self._added_bytes):
+            plain = [c for c in chunks if not any(t in c for t in self._added_bytes)]
         parts = {c: [p for p in self._at_added.split(c.decode()) if p] for c in chunks.difference(plain)} if len(plain) < len(chunks) else {}
         between = [p.encode() for own in parts.values() for p in own if p not in self._added]
         words = self._words_of(plain + between)
         new = list({w for own in words for w in own}.difference(self._words))
         self._learn_words(new)
-        ids = [b"".join(map(self._words.__getitem__, own)) for own in words]
+        known = self._words
+        ids = [known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for own in words]
         for w in new:
             if len(w) > _MEMO_BYTES:
                 del self._words[w]
