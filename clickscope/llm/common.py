@@ -168,8 +168,8 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(starts)
 
 
-def text_groups(texts: list[bytes | None], limit: int = _CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Consecutive texts hashed together: (first row, end row, word hashes, first word of each row and the end).
+def joined_groups(texts: list[bytes | None], limit: int = _CHUNK) -> Iterator[tuple[int, int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Consecutive texts hashed together: (first row, end row, their bytes joined by a space, word hashes, first byte of each word, first word of each row and the end).
 
     A group holds ``limit`` bytes or one longer text.
     """
@@ -181,11 +181,18 @@ def text_groups(texts: list[bytes | None], limit: int = _CHUNK) -> Iterator[tupl
             hi += 1
         offsets = np.zeros(hi - lo + 1, dtype=np.int64)
         np.cumsum([len(t or b"") + 1 for t in texts[lo:hi]], out=offsets[1:])
-        hashes, starts = word_hashes(b" ".join(t or b"" for t in texts[lo:hi]))
-        yield lo, hi, hashes, np.searchsorted(starts, offsets)
+        data = b" ".join(t or b"" for t in texts[lo:hi])
+        hashes, starts = word_hashes(data)
+        yield lo, hi, data, hashes, starts, np.searchsorted(starts, offsets)
         lo = hi
 
 
+def text_groups(texts: list[bytes | None], limit: int = _CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, word hashes, first word of each row and the end) of ``joined_groups``."""
+    for lo, hi, _, hashes, _, first in joined_groups(texts, limit):
+        yield lo, hi, hashes, first
+
+
 def gram_sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums and inverse powers: ``(sums[i + k] - sums[i]) * down[i]`` is the hash of words i .. i + k - 1."""
     _WORDS.reach(len(hashes) + 1)

@@ -9,9 +9,10 @@ marks an article, its lines weigh more and all others nothing.  The weights are
 summed over a sliding window of lines.  The sums surge where an article begins
 and dive to nothing where it ends; what stands between a surge and a dive is
 kept if the sums reach ``least`` on the way, short lines included.  In a page
-without a marked article a lighter stretch is kept too if a line of it stands
-in the same parent as a line of a kept one: an advert inside the text cuts it
-in two, whatever the weight of the pieces.
+without a marked article stretches that are mostly links are menus; a lighter
+stretch is kept too if the parent of a line of it is a part of the page that
+has a line of a kept one in it, at any depth: an advert inside the text cuts it
+in two, whatever the weight of the pieces.  If none is heavy, all are kept.
 """
 
 from __future__ import annotations
@@ -39,43 +40,54 @@ NAMES = ("ad ads advert advertisement advertising adverts adbox banner sponsor s
          "masthead topbar comment comments commentlist disqus reply replies respond related recommended share sharing social "
          "newsletter subscribe subscription signup login popup modal overlay toolbar pagination pager widget widgets")
 
+# Fixed value: words that begin the class or id of an article element that is no article of its page.
+TEASERS = "comment comments reply replies related recommended teaser promo sponsored sponsor ad ads advert"
+
+_TEASERS = frozenset(TEASERS.split())
 _RAW, _OUTSIDE, _VOID, _INLINE, _ARTICLE, _ROLES, _NAMES = (
     frozenset(x.split()) for x in (RAW, OUTSIDE, VOID, INLINE, ARTICLE, ROLES, NAMES))
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?>=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z))", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?|\"[^\"]*\"?|'[^']*'?")
 _SPLIT = re.compile(r"[-_]+")
 
 
-def _outside(name: str, attributes: str, in_article: bool) -> bool:
+def attributes(text: str) -> dict[str, str]:
+    """The attributes of a start tag by lower-case name, lower-case values (none: empty); of equal names the first counts."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        if m[1]:
+            out.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    return out
+
+
+def _outside(name: str, own: dict[str, str], in_article: bool) -> bool:
     """Does this start tag open a part that is not the article's text?"""
     if name in _OUTSIDE or name == "header" and not in_article:
         return True
-    if name in ("html", "body") or not attributes or name in _ARTICLE and "comment" not in attributes:
+    if name in ("html", "body") or not own:
         return False
-    for m in _ATTRIBUTE.finditer(attributes):
-        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key == "role" and value in _ROLES:
+    tokens = f"{own.get('class', '')} {own.get('id', '')}".split()
+    if name in _ARTICLE:  # the article itself may be named after what else is on its page; teasers and comments are named first
+        return any(_SPLIT.split(token)[0] in _TEASERS for token in tokens)
+    if own.get("role") in _ROLES or "hidden" in own and name not in _INLINE or own.get("aria-hidden") == "true":
+        return True
+    for token in tokens:
+        part = _SPLIT.split(token)
+        if token in _NAMES or part[-1] in _NAMES and part[0] not in ("no", "has", "with", "without"):
             return True
-        if key == "hidden" and name not in _INLINE or key == "aria-hidden" and value == "true":
+        if part[0] in _NAMES and part[-1] in ("box", "wrapper", "container", "area", "section", "list", "slot", "block",
+                                              "form", "bar", "inner", "content", "item", "body", "text", "card"):
             return True
-        if key in ("class", "id"):
-            for token in value.split():
-                part = _SPLIT.split(token)
-                if token in _NAMES or part[-1] in _NAMES and part[0] not in ("no", "has", "with", "without"):
-                    return True
-                if part[0] in _NAMES and part[-1] in ("box", "wrapper", "container", "area", "section", "list", "slot", "block",
-                                                      "form", "bar", "inner", "content", "item", "body", "text"):
-                    return True
     return False
 
 
-def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool, tuple[int, ...]]]:
-    """Lines of a page: (text, length without links, inside a marked article, numbers of its block and the block's parent).
+def page_lines(page: str, window: int = 3) -> tuple[list[tuple[str, int, bool, int]], list[int]]:
+    """Lines of a page: (text, length without links, inside a marked article, number of its block), and the parent of each block.
 
     A gap is ``window`` empty lines.  The page itself is block 0.
     """
-    lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
-    blocks, n_blocks = [0], 0
+    lines: list[tuple[str, int, bool, int]] = []
+    blocks, parent = [0], [0]
     piece: list[str] = []
     open_tags: list[tuple[str, bool, bool]] = []  # name, outside, article
     depth: Counter = Counter()
@@ -85,13 +97,13 @@ def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool, tuple[i
         nonlocal linked
         text = " ".join(html.unescape("".join(piece)).split())
         if text:
-            lines.append((text, max(0, len(text) - linked), article > 0, tuple(blocks[-2:])))
+            lines.append((text, max(0, len(text) - linked), article > 0, blocks[-1]))
         piece.clear()
         linked = 0
 
     def gap() -> None:
         end_line()
-        lines.extend([("", 0, False, ())] * window)
+        lines.extend([("", 0, False, 0)] * window)
 
     at, in_head = 0, False
     while at < len(page):
@@ -140,19 +152,20 @@ def page_lines(page: str, window: int = 3) -> list[tuple[str, int, bool, tuple[i
                     if top == name:
                         break
         elif name not in _VOID:
-            is_outside = not in_head and _outside(name, m[3], article > 0)
-            is_article = name in _ARTICLE or "articlebody" in m[3].lower()
+            own = attributes(m[3]) if m[3] else {}
+            is_outside = not in_head and _outside(name, own, article > 0)
+            is_article = not is_outside and (name in _ARTICLE or "articlebody" in own.get("itemprop", "").split())
             if is_outside and not outside or is_article:
                 gap()
             open_tags.append((name, is_outside, is_article))
             if name not in _INLINE:
-                n_blocks += 1
-                blocks.append(n_blocks)
+                parent.append(blocks[-1])
+                blocks.append(len(parent) - 1)
             depth[name] += 1
             outside += is_outside
             article += is_article
     end_line()
-    return lines
+    return lines, parent
 
 
 def surges(weights: list[int], window: int) -> list[tuple[int, int, int]]:
@@ -173,16 +186,23 @@ def surges(weights: list[int], window: int) -> list[tuple[int, int, int]]:
 
 def main_text(page: str | None, window: int = 3, least: int = 80) -> str:
     """The article's text: blocks in page order, joined by one space (none: empty)."""
-    lines = page_lines(page or "", window)
+    lines, parent = page_lines(page or "", window)
     marked_page = any(marked for _, _, marked, _ in lines)
     weights = [(n + least if marked else 0) if marked_page else n for _, n, marked, _ in lines]
     found = surges(weights, window)
-    kept = [s for s in found if s[2] >= least] or sorted(found, key=lambda s: (-s[2], s[0]))[:1]
-    if not marked_page:
-        near = lambda s: {x for i in range(s[0], s[1]) if weights[i] for x in lines[i][3]}
-        parents = set().union(*map(near, kept))
+    if not marked_page:  # what is mostly links is a menu
+        found = [(a, b, top) for a, b, top in found if 2 * sum(weights[a:b]) >= sum(len(text) for text, *_ in lines[a:b])]
+    kept = [s for s in found if s[2] >= least] or found
+    if not marked_page and len(kept) < len(found):
+        around = {0}  # the blocks of the kept lines and all blocks around them
+        for a, b, _ in kept:
+            for text, _, _, block in lines[a:b]:
+                while text and block not in around:
+                    around.add(block)
+                    block = parent[block]
         heavy = set(kept)
-        kept = [s for s in found if s in heavy or not parents.isdisjoint(near(s))]
+        kept = [s for s in found if s in heavy
+                or any(lines[i][3] in around or parent[lines[i][3]] in around for i in range(s[0], s[1]) if lines[i][0])]
     return " ".join(text for a, b, _ in kept for text, *_ in lines[a:b] if text)
 
 

@@ -5,7 +5,8 @@ space, a space stands before and after the text) is hashed into a bucket; the
 mean of the buckets' embeddings goes through a linear softmax.  Embeddings and
 softmax are trained by stochastic gradient descent in numpy on a bounded
 sample of labelled rows; for prediction their product is one small table of
-class scores per bucket, sent to the tasks.
+class scores per bucket, sent to the tasks (with more
+languages than dimensions: the two factors, so that what is sent hardly grows with them).
 
 Scores are calibrated on sampled rows held back from training, whole texts and short spans of them: one temperature
 that minimises their log loss, and a rejection threshold at the lower
@@ -34,7 +35,8 @@ PREDICTION = "lang_pred string, score double, accepted boolean"
 @dataclass
 class Model:
     langs: list[str]
-    scores: np.ndarray      # bucket x language
+    scores: np.ndarray      # bucket x language, or bucket x dimension if there are more languages than dimensions
+    head: np.ndarray | None  # dimension x language in that case
     bias: np.ndarray
     temperature: float
     threshold: float
@@ -42,13 +44,13 @@ class Model:
 
     def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Class index and calibrated probability of each text."""
-        logits = np.zeros((len(texts), len(self.langs)))
+        means = np.zeros((len(texts), self.scores.shape[1]))
         for i, text in enumerate(texts):
-            logits[i] = self._mean_scores(text)
-        return _best(logits, self.bias, self.temperature)
+            means[i] = self._mean_scores(text)
+        return _best(means if self.head is None else means @ self.head, self.bias, self.temperature)
 
     def _mean_scores(self, text: bytes) -> np.ndarray:
-        total, n = np.zeros(len(self.langs)), 0
+        total, n = np.zeros(self.scores.shape[1]), 0
         for ids in subwords(text, self.bits):
             for at in range(0, len(ids), 1 << 15):
                 total += self.scores[ids[at: at + (1 << 15)]].sum(axis=0, dtype=np.float64)
@@ -114,16 +116,16 @@ def labelled_features(rows: DataFrame, bits: int) -> DataFrame:
 
 
 def fit(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, n_langs: int, bits: int, *, dim: int = 16,
-        epochs: int = 5, rate: float = 0.5, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket scores (embeddings times softmax weights) and bias, by plain SGD over the examples."""
+        epochs: int = 5, rate: float = 0.5, seed: int = 5) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """Bucket scores (embeddings times softmax weights; with many languages the two apart) and bias, by plain SGD over the examples."""
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1.0, 1.0, (1 << bits, dim)).astype(np.float32) / dim
     out, bias = np.zeros((dim, n_langs), dtype=np.float32), np.zeros(n_langs, dtype=np.float32)
-    share = [(ids, (c / c.sum()).astype(np.float32)) for ids, c in x]
     steps, done = epochs * len(x), 0
     for _ in range(epochs):
         for i in rng.permutation(len(x)):
-            ids, f = share[i]
+            ids, f = x[i]
+            f = f / f.sum()
             lr = rate * (1 - done / steps)
             mean = f @ emb[ids]
             z = mean @ out + bias
@@ -136,7 +138,7 @@ def fit(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, n_langs: int, bit
             # the step of an embedding follows its share of the text; scaled so that long texts move rare buckets too
             emb[ids] -= (lr * len(ids) ** 0.5) * np.outer(f, back)
             done += 1
-    return emb @ out, bias
+    return (emb @ out, None, bias) if n_langs <= dim else (emb, out, bias)
 
 
 def calibrate(logits: np.ndarray, y: np.ndarray, bias: np.ndarray, reject_share: float) -> tuple[float, float]:
@@ -153,48 +155,59 @@ def calibrate(logits: np.ndarray, y: np.ndarray, bias: np.ndarray, reject_share:
     return float(temperature), float(right[int(reject_share * len(right))]) if len(right) else 0.0
 
 
-def sampled(usable: DataFrame, rows_per_lang: int, max_langs: int) -> DataFrame:
+def sampled(usable: DataFrame, rows_per_lang: int) -> DataFrame:
     """(key, lang, text): the ``rows_per_lang`` distinct texts of least hash of each language, each once however often it is there."""
     keys = saved(usable.select("lang", "key").distinct(), "langid-keys")
-    sizes = keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
+    sizes = keys.groupBy("lang").count()
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     # only hashes that can be among the least are ranked: a few times rows_per_lang, whatever the language holds
     enough = F.least(F.lit(1.0), F.lit(3.0 * rows_per_lang + 100) / F.col("count")) * float(1 << 63)
-    near = keys.join(F.broadcast(sizes), "lang").where(F.col("key") <= enough)  # at most max_langs rows
+    near = keys.join(sizes, "lang").where(F.col("key") <= enough)  # one row a language: the planner broadcasts them if they are few
     chosen = near.withColumn("__nth", nth).where(F.col("__nth") <= rows_per_lang)
-    # rows_per_lang * max_langs keys at most; the planner chooses how to join them
+    # rows_per_lang keys a language at most; the planner chooses how to join them
     return usable.join(saved(chosen.select("lang", "key"), "langid-chosen"), ["lang", "key"]).groupBy("key", "lang").agg(F.min("text").alias("text"))
 
 
 def train(labelled: DataFrame, *, rows_per_lang: int = 600, bits: int = 16, calibration_share: float = 0.25,
-          reject_share: float = 0.001, max_langs: int = 1_000) -> Model | None:
+          reject_share: float = 0.001) -> Model | None:
     """A model from the rows (text, lang); null labels, null and letterless texts teach nothing.
 
     The sample is ``rows_per_lang`` distinct texts of each language, or all if
-    it has fewer (chosen by a hash of the text, whole texts each), for the
-    ``max_langs`` languages with most distinct texts; copies count once.  The
-    driver gets their distinct buckets only, at most ``2^bits`` for a text of
-    any length.
+    it has fewer (chosen by a hash of the text, whole texts each); copies count
+    once, and every language is learned, however rare.  The driver gets the
+    distinct buckets of the sample only, at most ``2^bits`` for a text of any
+    length; it grows with the number of languages, not of rows.
     Without any usable row there is no model (None).
     """
     usable = (labelled.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
               .select("text", "lang", F.shiftrightunsigned(F.xxhash64("text", F.lit("langid")), 1).alias("key")))
-    rows = sorted(labelled_features(sampled(usable, rows_per_lang, max_langs), bits).toLocalIterator(), key=lambda r: (r.key, r.lang, r.part))
-    if not rows:
+    x, y, held, langs = _examples(labelled_features(sampled(usable, rows_per_lang), bits), calibration_share)
+    if not x:
         return None
-    langs = sorted({r.lang for r in rows})
-    aside = lambda key: (key >> 8) % 1000 < 1000 * calibration_share
-    # a language whose few texts would all be held back learns from one of them
-    taught = {r.lang for r in rows if not aside(r.key)}
-    needed = {min(r.key for r in rows if r.lang == lang) for lang in langs if lang not in taught}
-    held = [aside(r.key) and r.key not in needed for r in rows]
-    x = [(np.frombuffer(r.ids, dtype=np.uint32), np.frombuffer(r.counts, dtype=np.float32)) for r in rows]
-    y = np.array([langs.index(r.lang) for r in rows])
     learn = [i for i, h in enumerate(held) if not h]
-    scores, bias = fit([x[i] for i in learn], y[learn], len(langs), bits)
+    scores, head, bias = fit([x[i] for i in learn], y[learn], len(langs), bits)
     check = [i for i, h in enumerate(held) if h]  # whole texts and short spans: short texts are not rejected for being short
-    logits = np.array([c @ scores[ids] / c.sum() for ids, c in (x[i] for i in check)]).reshape(-1, len(langs))
-    return Model(langs, scores, bias, *calibrate(logits, y[check], bias, reject_share), bits)
+    logits = np.array([c @ scores[ids] / c.sum() for ids, c in (x[i] for i in check)]).reshape(-1, scores.shape[1])
+    logits = logits if head is None else logits @ head
+    return Model(langs, scores, head, bias, *calibrate(logits, y[check], bias, reject_share), bits)
+
+
+def _examples(features: DataFrame, calibration_share: float) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, list[bool], list[str]]:
+    """(buckets and counts, class, held back?) of each example, in an order that does not depend on the partitions, and the classes."""
+    found = sorted(((r.key, r.lang, r.part, r.ids, r.counts) for r in features.toLocalIterator()), key=lambda r: r[:3])
+    langs = sorted({r[1] for r in found})
+    aside = lambda key: (key >> 8) % 1000 < 1000 * calibration_share
+    # a language whose few texts would all be held back learns from one of them
+    taught = {r[1] for r in found if not aside(r[0])}
+    needed = {}
+    for r in found:
+        if r[1] not in taught:
+            needed.setdefault(r[1], r[0])
+    once = set(needed.values())
+    held = [aside(r[0]) and r[0] not in once for r in found]
+    number = {lang: i for i, lang in enumerate(langs)}
+    x = [(np.frombuffer(r[3], dtype=np.uint32), np.frombuffer(r[4], dtype=np.float32)) for r in found]
+    return x, np.array([number[r[1]] for r in found], dtype=np.int64), held, langs
 
 
 def predictor(docs: DataFrame, model: Model | None) -> Callable:

@@ -15,18 +15,23 @@ anchor, so no other block can hold it).  Only the first holder of each
 distinct block has to be checked so, once, whatever the number of copies.
 Runs of repeated windows are the duplicate spans.
 
-Blocks and windows are compared by anchor hash and content hash together, 128
-bits.  Shuffled are three numbers a block, and the texts by doc_id.
+Blocks and windows are compared by a 128-bit cryptographic digest of their
+words, joined by one space: different words that agree can't be made up, and
+come about by chance once in 2^64 distinct ones.  The rolling hash of words
+only chooses where to cut.  Shuffled are an anchor, a digest and an id for
+each block, and the texts by doc_id.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import gram_sums, mixed, saved, text_groups
+from clickscope.llm.common import gram_sums, joined_groups, mixed, saved
 
 _GRAM = 16
 
@@ -42,19 +47,22 @@ def sliding_min(x: np.ndarray, k: int) -> np.ndarray:
 
 
 class Blocks:
-    """Blocks of a group of texts: row, first word, number of windows, anchor and content hash of each.
+    """Blocks of a group of texts: row, first word, number of windows, anchor and digest of each.
 
     ``hashes`` are the words of all texts, ``first`` the first word of each
-    text and the end; no block reaches from one text into the next.
+    text and the end; no block reaches from one text into the next.  ``data``
+    holds the words joined by one space, ``at`` the first byte of each.
     """
 
-    def __init__(self, hashes: np.ndarray, first: np.ndarray, window: int):
+    def __init__(self, data: bytes, hashes: np.ndarray, at: np.ndarray, first: np.ndarray, window: int):
         gram = min(_GRAM, window)
+        self._data, self._at = data, np.append(at, len(data) + 1)
         self._window, self._first = window, first
+        self.content: list[bytes] = []
         self._sums, self._down = gram_sums(hashes)
         n = len(hashes) - window + 1
         if n <= 0:
-            self.row = self.start = self.count = self.anchor = self.content = np.zeros(0, dtype=np.int64)
+            self.row = self.start = self.count = self.anchor = np.zeros(0, dtype=np.int64)
             return
         of = np.repeat(np.arange(len(first) - 1), np.diff(first))
         at = np.flatnonzero(of[:n] == of[window - 1:])
@@ -71,21 +79,25 @@ class Blocks:
         self.row, self.start = of[head], at[head]
         self.count = np.minimum(np.repeat(size, parts) - nth * most, most)
         self.anchor = least[head].view(np.int64)
-        length = self.count + window - 1
-        self.content = mixed(self._hash(self.start, length) + length.astype(np.uint64)).view(np.int64)
+        self.content = self._digests(self.start, self.count + window - 1)
 
     def _hash(self, start: np.ndarray, length) -> np.ndarray:
         return (self._sums[start + length] - self._sums[start]) * self._down[start]
 
-    def windows(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Block, place in it and content hash of each window of these blocks."""
+    def _digests(self, start: np.ndarray, length) -> list[bytes]:
+        """Digest of the ``length`` words from each ``start``."""
+        data, ends = self._data, self._at[start + length] - 1
+        return [blake2b(data[a:b], digest_size=16).digest() for a, b in zip(self._at[start].tolist(), ends.tolist(), strict=True)]
+
+    def windows(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Block, place in it and digest of each window of these blocks."""
         count = self.count[blocks]
         of = np.repeat(blocks, count)
         nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-        return of, nth, mixed(self._hash(self.start[of] + nth, self._window)).view(np.int64)
+        return of, nth, self._digests(self.start[of] + nth, self._window)
 
-    def keys(self, lo: int, hi: int) -> list[tuple[int, int]]:
-        return list(zip(self.anchor[lo:hi].tolist(), self.content[lo:hi].tolist(), strict=True))
+    def keys(self, lo: int, hi: int) -> list[tuple[int, bytes]]:
+        return list(zip(self.anchor[lo:hi].tolist(), self.content[lo:hi], strict=True))
 
     def of_row(self, row: int) -> tuple[int, int]:
         """First block of a row and the end."""
@@ -94,23 +106,35 @@ class Blocks:
 
 def _groups(batch: pa.RecordBatch, window: int):
     """(first row, end row, first words, blocks) of the texts of a batch."""
-    for lo, hi, hashes, first in text_groups(batch.column("text").cast(pa.large_binary()).to_pylist()):
-        yield lo, hi, first, Blocks(hashes, first, window)
+    texts = [b" ".join((t or b"").split()) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+    for lo, hi, data, hashes, at, first in joined_groups(texts):
+        if b"" in texts[lo:hi]:  # texts without words leave spaces of their own
+            data = b" ".join(t for t in texts[lo:hi] if t)
+            at = _word_starts(data)
+        yield lo, hi, first, Blocks(data, hashes, at, first, window)
+
+
+def _word_starts(data: bytes) -> np.ndarray:
+    return np.concatenate(([0], np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 32) + 1)) if data else np.zeros(0, dtype=np.int64)
 
 
 def _longs(x) -> pa.Array:
     return pa.array(np.asarray(x, dtype=np.int64))
 
 
+def _digests(x: list[bytes]) -> pa.Array:
+    return pa.array(x, pa.binary())
+
+
 def document_blocks(docs: DataFrame, window: int) -> DataFrame:
     """(anchor, content, doc_id): the blocks of each row."""
     def cut(batches):
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for lo, _, _, b in _groups(batch, window):
-                yield pa.RecordBatch.from_arrays([_longs(b.anchor), _longs(b.content), _longs(ids[lo + b.row])],
+                yield pa.RecordBatch.from_arrays([_longs(b.anchor), _digests(b.content), _longs(ids[lo + b.row])],
                                                  names=["anchor", "content", "doc_id"])
-    return docs.select("doc_id", "text").mapInArrow(cut, "anchor long, content long, doc_id long")
+    return docs.select("doc_id", "text").mapInArrow(cut, "anchor long, content binary, doc_id long")
 
 
 def boundary_windows(asked: DataFrame, window: int) -> DataFrame:
@@ -130,9 +154,9 @@ def boundary_windows(asked: DataFrame, window: int) -> DataFrame:
                             found.append(k)
                 of, nth, h = b.windows(np.array(found, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [_longs(b.anchor[of]), _longs(b.content[of]), _longs(ids[lo + b.row[of]]), _longs(nth), _longs(h)],
+                    [_longs(b.anchor[of]), _digests([b.content[k] for k in of.tolist()]), _longs(ids[lo + b.row[of]]), _longs(nth), _digests(h)],
                     names=["anchor", "content", "doc_id", "nth", "hash"])
-    return asked.mapInArrow(check, "anchor long, content long, doc_id long, nth long, hash long")
+    return asked.mapInArrow(check, "anchor long, content binary, doc_id long, nth long, hash binary")
 
 
 def _covered(b: Blocks, row: int, first: int, n_words: int, window: int, whole: set, partly: dict) -> np.ndarray:

@@ -6,7 +6,9 @@ weighted median: the value up to which its rows hold half of its leaves'
 share of the bytes.  Splitting goes on until each node is one leaf of the
 target bytes.  All nodes of a level are split at once.
 
-The medians are found on the data where it lies: the weights are summed into
+Each row's node is written with its narrow point after every level, so a pass
+reads one table and joins one, however deep the tree is.  The medians are
+found on the data where it lies: the weights are summed into
 value ranges, the range that holds the median is divided again, until it is
 one value or too light to matter; rows that tie on the value are divided by a
 hash of the row in the same way.  A pass brings one row per node to the
@@ -37,6 +39,7 @@ _ROOT = "CAST(shiftrightunsigned(__hash, 63) + 1 AS INT)"
 class Tree:
     """Cuts by level; the root is node 1, leaves carry their shard."""
 
+    rows: int = 0
     levels: list[list[tuple]] = field(default_factory=list)
     shard_of: dict[int, int] = field(default_factory=dict)
 
@@ -123,10 +126,11 @@ def _medians(points: DataFrame, nodes: list[dict], slack: float) -> dict[int, tu
 
 def build_tree(points: DataFrame, n_dims: int, n_shards: int | None, target_bytes: int | None, slack: float = 0.001) -> Tree:
     """The cuts over ``points`` (__size, __dims, __hash), a saved table that is read once a pass."""
-    total = points.agg(F.sum("__size")).first()[0] or 0
+    total, rows = points.agg(F.sum("__size"), F.count(F.lit(1))).first()
+    total = total or 0
     if n_shards is None:
         n_shards = max(1, -(-total // target_bytes))
-    tree, leaves = Tree(), {1: n_shards}
+    tree, leaves = Tree(rows), {1: n_shards}
     placed = points.withColumn("__node", F.expr(_ROOT))
     whole: list[float] | None = None
     while any(n > 1 for n in leaves.values()):
@@ -154,7 +158,9 @@ def build_tree(points: DataFrame, n_dims: int, n_shards: int | None, target_byte
             cuts.append((node, dims.get(node, 0), v, h, 2 * node, 2 * node + 1))
             below |= {2 * node: (n + 1) // 2, 2 * node + 1: n // 2}
         tree.levels.append(cuts)
-        placed, leaves = _descend(placed, cuts), below
+        leaves = below
+        if any(n > 1 for n in leaves.values()):  # plans stay one join long
+            placed = saved(_descend(placed, cuts), "shard-nodes")
 
     def in_order(node: int) -> tuple:
         return tuple(bin(node)[3:])
@@ -182,7 +188,7 @@ def kd_shards(docs: DataFrame, *, n_shards: int | None = None, target_bytes: int
     for cuts in tree.levels:
         placed = _descend(placed, cuts)
     shards = F.broadcast(_small(docs.sparkSession, list(tree.shard_of.items()), "__node int, __shard int"))
-    buckets = bucket_count(points.count() // len(tree.shard_of) + 1)
+    buckets = bucket_count(tree.rows // len(tree.shard_of) + 1)
     numbered = running_before(
         placed.join(shards, "__node").withColumns({"__one": F.lit(1), "__bucket": key_bucket(F.col("__hash"), buckets)}),
         ["__shard"], "__bucket", ["__hash", "doc_id"], "__one", "__slot")

@@ -95,3 +95,29 @@ INLINE_PARTS = {
 def test_an_advert_inside_the_text_drops_nothing_else(name):
     html, want = INLINE_PARTS[name]
     assert main_text(html) == want
+
+
+LONG = "This paragraph is long enough to be taken for the text of an article by any measure that counts letters."
+ATTRIBUTES = {
+    "overflow:hidden": (f'<div style="overflow:hidden"><p>{LONG}</p></div>', LONG),
+    "a title about what is hidden": (f'<p title="the hidden truth">{LONG}</p>', LONG),
+    "data-id": (f'<p data-id="ad">{LONG}</p>', LONG),
+    "data-class": (f'<div data-class="widget"><p>{LONG}</p></div>', LONG),
+    "names in values of others": (f"<div data-x='class=\"ad\"'><p title='id=ad hidden'>{LONG}</p></div>", LONG),
+    "the attribute itself": (f"<div HIDDEN><p>x</p></div><p>{LONG}</p><div Class = ad>y</div><p hidden=\"\">z</p>", LONG),
+    "first of equal names": (f'<div class="text" class="ad"><p>{LONG}</p></div>', LONG),
+    "broken quotes": (f'<p class="x" "ad" id=\'b\'>{LONG}</p>', LONG),
+    "teaser articles": (f'<div><p>{LONG}</p></div><article class="related-card"><p>{LONG} Teaser.</p></article>', LONG),
+    "teaser articles beside the article": (f'<article class="post with-sidebar"><p>{LONG}</p></article><article class="teaser">t {LONG}</article>', LONG),
+    "articleBody": (f'<div>Other words here</div><div itemprop="articleBody"><p>{LONG}</p></div>', LONG),
+    "articleBody in another value": (f'<div title="articleBody"><p>One.</p></div><p>{LONG}</p>', f"One. {LONG}"),
+    "two short stretches": ("<p>Short one.</p><aside>x</aside><div><p>Other section here.</p></div>", "Short one. Other section here."),
+    "a short one beside the text's part": (f"<p>Short one.</p><aside>x</aside><div><p>{LONG}</p></div>", f"Short one. {LONG}"),
+    "mostly links": (f"<p><a href=/>Home</a> | <a href=/b>Contact us</a></p><aside>x</aside><aside>y</aside><p>{LONG}</p>", LONG),
+}
+
+
+@pytest.mark.parametrize("name", ATTRIBUTES)
+def test_only_attributes_of_the_exact_name_count(name):
+    html, want = ATTRIBUTES[name]
+    assert main_text(html) == want

@@ -102,5 +102,14 @@ def test_copies_count_once_and_no_language_goes_missing(spark):
     model = L.train(frame, rows_per_lang=20)
     assert model.langs == sorted(["aa", *few])
     usable = frame.selectExpr("text", "lang", "shiftrightunsigned(xxhash64(text, 'langid'), 1) AS key")
-    got = L.sampled(usable, 20, 1000).collect()
+    got = L.sampled(usable, 20).collect()
     assert len(got) == 20 + sum(map(len, few.values())) == len({(r["lang"], r["text"]) for r in got})
+
+
+def test_every_language_is_learned_however_many_there_are(spark):
+    rows = [(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{i} " * (3 + k), f"l{i:04d}") for i in range(1_100) for k in range(2)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = L.train(df, bits=12)
+    assert len(model.langs) == 1_100 and model.scores.shape == (1 << 12, 16) and model.head.shape == (16, 1_100)
+    named = L.identify(df, model).select("__lang.lang_pred", "__lang.score").collect()
+    assert {r.lang_pred for r in named} <= set(model.langs) and all(0 <= r.score <= 1 for r in named)

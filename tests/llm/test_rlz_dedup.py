@@ -89,3 +89,13 @@ def test_very_long_text(spark):
 
 def test_empty_table(spark):
     assert dedup_substrings(empty_docs(spark)).collect() == []
+
+
+def test_words_that_agree_in_a_rolling_hash_are_different_words(spark):
+    # the Thue-Morse word and its complement have equal polynomial hashes modulo 2^64 for every base
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(1_024))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    same = " ".join(f"w{i}" for i in range(49))
+    rows = [(0, f"{same} {morse}"), (1, f"{same} {other}"), (2, f"{same}\n {morse}"), (3, " "), (4, f"x {same} {other} y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in dedup_substrings(docs, 50).collect()} == {0: 0, 1: 0, 2: 50, 3: 0, 4: 50}
