@@ -162,7 +162,8 @@ def sampled(usable: DataFrame, rows_per_lang: int) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     # only hashes that can be among the least are ranked: a few times rows_per_lang, whatever the language holds
     enough = F.least(F.lit(1.0), F.lit(3.0 * rows_per_lang + 100) / F.col("count")) * float(1 << 63)
-    near = keys.join(sizes, "lang").where(F.col("key") <= enough)  # one row a language: the planner broadcasts them if they are few
+    # one row a class of the model, which is on the driver with all its classes
+    near = keys.join(F.broadcast(sizes), "lang").where(F.col("key") <= enough)
     chosen = near.withColumn("__nth", nth).where(F.col("__nth") <= rows_per_lang)
     # rows_per_lang keys a language at most; the planner chooses how to join them
     return usable.join(saved(chosen.select("lang", "key"), "langid-chosen"), ["lang", "key"]).groupBy("key", "lang").agg(F.min("text").alias("text"))
