@@ -63,6 +63,38 @@ def with_successor(df: DataFrame, group: str, order: list[str], value: str, *,
                         "_has_next OR _goes_on AS has_next"))
 
 
+def successor_counts(df: DataFrame, group: str, order: list[str], value: str, *, among: list[int],
+                     bucket: str | None = None, skew_safe: bool = True) -> DataFrame:
+    """Rows ``(value, next_value, n)``: how often a value ``among`` these is followed by which (NULL: by nothing).
+
+    The counts of ``with_successor`` without its second look at the rows.  One
+    window over (group, bucket) gives each row its follower; the last row of a
+    bucket keeps its group, its bucket and the bucket's first value instead.
+    All are counted together: pairs inside buckets collapse where they lie, one
+    row a (group, bucket) stays, and among those the first value of the group's
+    next bucket is the missing follower.  Both parts read the same aggregate.
+    """
+    kept = ", ".join(str(int(v)) for v in among) or "NULL"
+    if not skew_safe:
+        rows = with_successor(df, group, order, value, skew_safe=False)
+        return rows.where(f"`{value}` IN ({kept})").groupBy(F.col(value).alias("value"), "next_value").agg(F.count(F.lit(1)).alias("n"))
+    names = ["_g", *[f"_o{i}" for i in range(len(order))], "_v"]
+    base = df.select(group, *order, value).toDF(*names)
+    cut = bucket or _default_bucket(base.schema["_o0"].dataType)
+    w = f"OVER (PARTITION BY _g, _b ORDER BY {', '.join(names[1:-1])})"
+    rows = (base.selectExpr("*", f"coalesce({cut}, '') AS _b")
+            .selectExpr("_g", "_b", "_v", f"lead(_v) {w} AS _next", f"lead(true) {w} IS NULL AS _last", f"first_value(_v) {w} AS _first")
+            .where(f"_last OR _v IN ({kept})")
+            .selectExpr("_v", "_last", "CASE WHEN _last THEN _first ELSE _next END AS _w", "CASE WHEN _last THEN _g END AS _g",
+                        "CASE WHEN _last THEN _b END AS _b"))
+    # the flag is an aggregate, not a key: a filter on it stays above the exchange, which both parts then share
+    counted = rows.groupBy("_v", "_w", "_g", "_b").agg(F.count(F.lit(1)).alias("n"), F.max("_last").alias("_end"))
+    inside = counted.where("NOT _end").selectExpr("_v AS value", "_w AS next_value", "n")
+    ends = (counted.where("_end").selectExpr("_v AS value", "lead(_w) OVER (PARTITION BY _g ORDER BY _b) AS next_value", "n")
+            .where(f"value IN ({kept})"))
+    return inside.unionByName(ends).groupBy("value", "next_value").agg(F.sum("n").alias("n"))
+
+
 def adjacent_pairs(df: DataFrame, group: str, order: list[str], value: str, *,
                    bucket: str | None = None, skew_safe: bool = True) -> DataFrame:
     """Rows ``(group, prev_value, next_value)``: one per adjacent pair."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickscope.config import PAGE_RATE_PATTERN
 from clickscope.functions.text import percent_sql
-from clickscope.operators.adjacency import adjacent_pairs, with_successor
+from clickscope.operators.adjacency import successor_counts
 
 
 def _page_ids(flow: str) -> list[str]:
@@ -63,12 +63,9 @@ def page_jump_counts(actions: DataFrame, flow: str, *, order: tuple[str, ...] =
         schema = "from_page BIGINT, to_page BIGINT, jumps BIGINT"
         return actions.sparkSession.createDataFrame([], schema)
     order_cols = [c for c in order if c in actions.columns]
-    adj = adjacent_pairs(actions, "session_id", order_cols, "page_id", skew_safe=skew_safe)
-    wanted = reduce(lambda x, y: x | y,
-                    [(F.col("prev_value") == a) & (F.col("next_value") == b) for a, b in pairs])
-    return (adj.where(wanted)
-            .groupBy(F.col("prev_value").alias("from_page"), F.col("next_value").alias("to_page"))
-            .agg(F.count(F.lit(1)).alias("jumps")))
+    counts = successor_counts(actions, "session_id", order_cols, "page_id", among=sorted({a for a, _ in pairs}), skew_safe=skew_safe)
+    wanted = reduce(lambda x, y: x | y, [(F.col("value") == a) & (F.col("next_value") == b) for a, b in pairs])
+    return counts.where(wanted).select(F.col("value").alias("from_page"), F.col("next_value").alias("to_page"), F.col("n").alias("jumps"))
 
 
 def page_conversion(actions: DataFrame, flow: str, task_id: str | None = None, *,
@@ -93,9 +90,8 @@ def page_conversion(actions: DataFrame, flow: str, task_id: str | None = None, *
     if not pairs:
         return actions.sparkSession.createDataFrame([], schema)
     order_cols = [c for c in order if c in actions.columns]
-    succ = with_successor(actions, "session_id", order_cols, "page_id", skew_safe=skew_safe)
-    stats = (succ.where(F.col("page_id").isin(pages))
-             .groupBy("page_id", "next_value").agg(F.count(F.lit(1)).alias("n")))
+    stats = (successor_counts(actions, "session_id", order_cols, "page_id", among=pages, skew_safe=skew_safe)
+             .withColumnRenamed("value", "page_id"))
     wanted = " OR ".join(f"(page_id = {a} AND next_value = {b})" for a, b in pairs)
     ratio = "jumps / visits"
     out = (stats.selectExpr("page_id", "next_value", "n",

@@ -9,12 +9,9 @@ a leading "0" removed equals the ".00%" pattern.
 from __future__ import annotations
 
 from clickscope.config import CHECK
-from clickscope.operators.pageflow import flow_pages, flow_pairs
 from clickscope.plans.streams import PART_DATES
-from clickscope.sources.bindings import LINE
 
 _C = CHECK.condition
-_FLOW = _C.target_page_flow
 _T = CHECK.task_id
 _OTHER = CHECK.other_label
 _TH = CHECK.blacklist_threshold
@@ -96,8 +93,9 @@ top AS (
   ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10)
 """
 
-_PAGES = ", ".join(str(p) for p in flow_pages(_FLOW))
-_PAIRS = " OR ".join(f"(prev_value = {a} AND next_value = {b})" for a, b in flow_pairs(_FLOW))
+# Pages and pairs of the flow 1,2,3,4,5,6,7 of the checks.
+_PAGES = "1, 2, 3, 4, 5, 6, 7"
+_PAIRS = "(prev_value, next_value) IN ((1, 2), (2, 3), (3, 4), (4, 5), (5, 6), (6, 7))"
 
 _PAGE = f"""
 pv AS (SELECT page_id, count(*) AS visits FROM fa WHERE page_id IN ({_PAGES}) GROUP BY page_id),
@@ -240,7 +238,10 @@ FROM lh GROUP BY ads_id""",
 _LINES = f"""
 lines AS (
   SELECT ts, user_id, ads_id, day, area, city, event_id,
-         {LINE.format(ms="epoch_ms(ts)").replace("STRING", "VARCHAR")} AS value
+         CASE event_id % 10 WHEN 7 THEN concat('abc,', area, ',', city, ',', user_id, ',', ads_id)
+              WHEN 8 THEN concat('99999999999999999,', area, ',', city, ',', user_id, ',', ads_id)
+              WHEN 9 THEN concat(area, ',', user_id)
+              ELSE concat(epoch_ms(ts), ',', area, ',', city, ',', user_id, ',', ads_id) END AS value
   FROM ads),
 sound AS (SELECT date_trunc('millisecond', ts) AS ts, area, city, user_id, ads_id, day
           FROM lines WHERE event_id % 10 < 7)
@@ -267,6 +268,7 @@ _CATEGORY_ROWS = "category_id, click_count, order_count, pay_count"
 # The streaming jobs must end in the batch results.
 ORACLE_SQL.update({
     "stream_day_area_city_ads": ORACLE_SQL["day_area_city_ads"],
+    "stream_day_area_city_ads_expiring": ORACLE_SQL["day_area_city_ads"],
     "stream_area_ads_top3": ORACLE_SQL["area_ads_top3"],
     "stream_area_ads_top3_update": ORACLE_SQL["area_ads_top3"],
     "stream_area_ads_top3_json": ORACLE_SQL["area_ads_top3_json"],

@@ -74,6 +74,13 @@ def q_stream_day_area_city_ads(spark, sf_dir):
     return _counts(spark, sf_dir, "day_area_city_ads", "update")
 
 
+def q_stream_day_area_city_ads_expiring(spark, sf_dir):
+    """State of days that began two days before the newest one is dropped between the parts; the totals stay in the table."""
+    out = _clicks_job(spark, sf_dir, "counts-expiring", lambda c, o, k: J.start_running_counts(
+        c, o, k, mode="update", day_watermark="2 days", trigger=J.AVAILABLE_NOW))
+    return J.read_table(spark, out, "day_area_city_ads")
+
+
 def q_stream_area_ads_top3(spark, sf_dir):
     return _counts(spark, sf_dir, "area_ads_top3", "complete")
 
@@ -151,6 +158,7 @@ def q_ads_pipeline_rejects(spark, sf_dir):
 
 STREAM_QUERIES = {
     "stream_day_area_city_ads": q_stream_day_area_city_ads,
+    "stream_day_area_city_ads_expiring": q_stream_day_area_city_ads_expiring,
     "stream_area_ads_top3": q_stream_area_ads_top3,
     "stream_area_ads_top3_update": q_stream_area_ads_top3_update,
     "stream_area_ads_top3_json": q_stream_area_ads_top3_json,

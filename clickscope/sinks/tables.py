@@ -38,10 +38,13 @@ def _write_files_or_table(df: DataFrame, target: str, mode: str, fmt: str) -> No
     w = df.write.mode(mode).format(fmt)
     if "/" in target or ":" in target:
         w.save(target)
-    elif mode == "overwrite":
-        w.saveAsTable(target)
+    elif mode == "append" and df.sparkSession.catalog.tableExists(target):
+        there = df.sparkSession.table(target).columns
+        if sorted(c.lower() for c in there) != sorted(c.lower() for c in df.columns):
+            raise ValueError(f"{target} has the columns {there}, the rows have {df.columns}")
+        df.select(*there).write.insertInto(target)  # this goes by position, so the columns are put in order
     else:
-        w.insertInto(target) if df.sparkSession.catalog.tableExists(target) else w.saveAsTable(target)
+        w.saveAsTable(target)
 
 
 def overwrite_table(df: DataFrame, target: JdbcTarget | str, fmt: str = "parquet") -> None:
@@ -55,8 +58,12 @@ def overwrite_table(df: DataFrame, target: JdbcTarget | str, fmt: str = "parquet
 
 
 def append_table(df: DataFrame, target: JdbcTarget | str, fmt: str = "parquet") -> None:
-    """K2: add rows; a task id column tells runs apart."""
-    if isinstance(target, JdbcTarget):
+    """K2: add rows; a task id column tells runs apart.
+
+    Columns go by name, whatever their order; a table that lacks one of them,
+    or has one more, refuses the rows.
+    """
+    if isinstance(target, JdbcTarget):  # Spark's JDBC insert names its columns
         df.write.jdbc(target.url, target.table, mode="append", properties=target.properties())
     else:
         _write_files_or_table(df, target, "append", fmt)

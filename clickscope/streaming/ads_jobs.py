@@ -2,7 +2,9 @@
 
 Every job is one Structured Streaming query with its own checkpoint and a
 ``foreachBatch`` sink that writes keyed serving tables (K5) or a folder named
-by batch id, so a retried micro-batch rewrites the same output.  The per-batch
+by batch id, so a retried micro-batch rewrites the same output.  The last thing
+a batch writes is its record in the query's commit log: readers of all tables
+of a query see the same batches, and none in part.  The per-batch
 work calls the batch operators of ``clickscope.operators.ads``.
 
 Serving tables under ``out_root``:
@@ -19,6 +21,7 @@ Serving tables under ``out_root``:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickscope.config import BLACKLIST_THRESHOLD, LAST_HOUR_MINUTES, TOP_ADS
 from clickscope.operators import ads as A
 from clickscope.streaming.blacklist import blacklist_stream
-from clickscope.streaming.keyed import KeyedTable
+from clickscope.streaming.keyed import CommitLog, KeyedTable
 
 
 @dataclass(frozen=True)
@@ -48,6 +51,24 @@ class Trigger:
 AVAILABLE_NOW = Trigger(processing_time=None, available_now=True)
 
 
+def _once(spark: SparkSession, commits: CommitLog, apply: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` step that records each batch when ``apply`` is done with it, and skips recorded ones."""
+    last = commits.last(spark)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal last
+        if batch_id <= last:  # complete, but stopped before the query's own checkpoint knew
+            return
+        apply(batch, batch_id)
+        commits.record(spark, batch_id)
+        last = batch_id
+    return write
+
+
+def _commits(checkpoint: str) -> CommitLog:
+    return CommitLog(f"{checkpoint.rstrip('/')}/serving-commits")
+
+
 def _path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -78,8 +99,9 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
         counts = (days.groupBy("_day_start", "day", "area", "city", "ads_id")
                   .agg(F.count(F.lit(1)).alias("click_count")).drop("_day_start"))
     r3, r4, r4j = (_table(out_root, n) for n in ("day_area_city_ads", "area_ads_top3", "area_ads_top3_json"))
+    commits = _commits(checkpoint)
     for t in (r3, r4, r4j):
-        t.claim(clicks.sparkSession, checkpoint, reset)
+        t.claim(clicks.sparkSession, checkpoint, reset, commits)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -87,7 +109,7 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
             if batch.isEmpty():
                 return
             r3.upsert(batch, batch_id)
-            totals = batch if mode == "complete" else r3.read(batch.sparkSession, only=batch)
+            totals = batch if mode == "complete" else r3.read(batch.sparkSession, below=batch_id + 1, only=batch)
             top3 = A.area_ads_top3(totals, top).persist()
             try:
                 r4.upsert(top3, batch_id)
@@ -97,7 +119,7 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
         finally:
             batch.unpersist()
 
-    w = (counts.writeStream.outputMode(mode).foreachBatch(write)
+    w = (counts.writeStream.outputMode(mode).foreachBatch(_once(clicks.sparkSession, commits, write))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -125,13 +147,14 @@ def start_last_hour(clicks: DataFrame, out_root: str, checkpoint: str, *,
               .select("ads_id", F.col("w.start").alias("minute_start"),
                       F.date_format("w.start", "yyyy-MM-dd").alias("day"), "click_count"))
     table = _table(out_root, "last_hour")
-    table.claim(clicks.sparkSession, checkpoint, reset)
+    commits = _commits(checkpoint)
+    table.claim(clicks.sparkSession, checkpoint, reset, commits)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             table.upsert(batch, batch_id)
 
-    w = (counts.writeStream.outputMode("update").foreachBatch(write)
+    w = (counts.writeStream.outputMode("update").foreachBatch(_once(clicks.sparkSession, commits, write))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -140,7 +163,8 @@ def start_last_hour(clicks: DataFrame, out_root: str, checkpoint: str, *,
 
 def read_last_hour(spark: SparkSession, out_root: str, minutes: int = LAST_HOUR_MINUTES) -> DataFrame | None:
     """Serving view of R5: the ``minutes`` whole minutes that end with the newest one."""
-    t = _table(out_root, "last_hour").read(spark)
+    days = -(-minutes // (24 * 60)) + 1  # the window can begin the day before
+    t = _table(out_root, "last_hour").read(spark, last_days=days)
     if t is None:
         return None
     newest = t.select(F.max("minute_start")).scalar()
@@ -197,13 +221,14 @@ def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
     own = ["blacklist_counters", "blacklist_listed", "blacklist_passed"]
     if counts:
         own += ["day_area_city_ads", "area_ads_top3", "area_ads_top3_json", "last_hour"]
+    commits = _commits(checkpoint)
     for n in own:
-        _table(out_root, n).claim(clicks.sparkSession, checkpoint, reset)
+        _table(out_root, n).claim(clicks.sparkSession, checkpoint, reset, commits)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         apply_blacklist_batch(batch, batch_id, out_root, threshold, mode, counts, top)
 
-    w = (clicks.writeStream.outputMode("append").foreachBatch(write)
+    w = (clicks.writeStream.outputMode("append").foreachBatch(_once(clicks.sparkSession, commits, write))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -256,7 +281,7 @@ def count_batch(clicks: DataFrame, batch_id: int, out_root: str, top: int = TOP_
     spark = clicks.sparkSession
     r3, r4, r4j, r5 = (_table(out_root, n) for n in ("day_area_city_ads", "area_ads_top3", "area_ads_top3_json", "last_hour"))
     r3.upsert(_added(A.day_area_city_ads(clicks), r3.read(spark, below=batch_id, only=clicks), r3.keys, "click_count"), batch_id)
-    totals = r3.read(spark, only=clicks)
+    totals = r3.read(spark, below=batch_id + 1, only=clicks)
     if totals is not None:
         top3 = A.area_ads_top3(totals, top).persist()
         try:

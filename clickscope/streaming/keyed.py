@@ -12,6 +12,11 @@ another checkpoint over a table that has rows (a reset, or a second query) it
 raises an error, unless the caller asks for a fresh table (``reset``), which
 starts in a folder of its own; the rows of before stay where they are.
 
+Tables that one query writes can share a ``CommitLog``: a record per micro-batch,
+written when all of them have its rows.  Readers then see every table as of the
+last recorded batch, also in the middle of the next one, and a batch that is
+run again after its record is skipped.
+
 With ``partition_by`` (the day) a batch folder is partitioned by that column,
 so a read of some days lists and scans only those.  ``compact`` writes the
 newest rows once and lets later reads start from there: maintenance, to be
@@ -38,9 +43,24 @@ def _note(spark: SparkSession, path: str) -> list[str]:
 
 
 def _write_note(spark: SparkSession, path: str, line: str) -> None:
+    """A small text file; callers only write where no note is, so overwriting just clears what a crash left."""
     spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+class CommitLog:
+    """The micro-batches of one query whose rows are complete in all its tables."""
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def last(self, spark: SparkSession) -> int:
+        """The newest complete batch (-1: none)."""
+        return max(map(int, _note(spark, self.path)), default=-1)
+
+    def record(self, spark: SparkSession, batch_id: int) -> None:
+        _write_note(spark, f"{self.path}/batch={batch_id}", str(batch_id))
+
+
 class TableClaimed(RuntimeError):
     """The serving table belongs to another checkpoint."""
 
@@ -54,8 +74,8 @@ class KeyedTable:
         self.partition_by = partition_by
 
     # ------------------------------------------------------------ ownership
-    def claim(self, spark: SparkSession, checkpoint: str, reset: bool = False) -> None:
-        """Tie the table to the query of this checkpoint (call before the query starts)."""
+    def claim(self, spark: SparkSession, checkpoint: str, reset: bool = False, commits: CommitLog | None = None) -> None:
+        """Tie the table to the query of this checkpoint and its commit log (call before the query starts)."""
         mark = f"{checkpoint.rstrip('/')}/serving-id"
         own = _note(spark, mark)
         if not own:
@@ -67,12 +87,31 @@ class KeyedTable:
         if there and not reset:
             raise TableClaimed(f"{self.path} was written with another checkpoint than {checkpoint}; "
                                "go on with that one, or start with reset=True")
-        _write_note(spark, f"{self.path}-head", f"{own[0]},{uuid.uuid4().hex[:12]}")
+        if not there and not reset and self._has_rows(spark):
+            raise TableClaimed(f"{self.path} has rows, but nothing says which of its folders counts; "
+                               "put its head back, or start with reset=True")
+        self._set_head(spark, own[0], uuid.uuid4().hex[:12], commits.path if commits else "")
+
+    def _heads(self, spark: SparkSession) -> list[list[str]]:
+        return sorted((line.split(",", 3) for line in _note(spark, f"{self.path}-head")), key=lambda h: int(h[0]))
 
     def _head(self, spark: SparkSession) -> list[str]:
-        """[owner, data folder] of the table, empty if nobody has claimed it."""
-        head = _note(spark, f"{self.path}-head")
-        return head[0].split(",") if head else []
+        """[owner, data folder, commit log] of the table, empty if nobody has claimed it; the newest note counts."""
+        heads = self._heads(spark)
+        return heads[-1][1:] if heads else []
+
+    def _set_head(self, spark: SparkSession, owner: str, folder: str, commits: str) -> None:
+        heads = self._heads(spark)
+        nth = int(heads[-1][0]) + 1 if heads else 0
+        _write_note(spark, f"{self.path}-head/note={nth}-{uuid.uuid4().hex[:8]}", f"{nth},{owner},{folder},{commits}")
+
+    def _has_rows(self, spark: SparkSession) -> bool:
+        try:
+            return bool(spark.read.parquet(self.path).columns)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
 
     def data_path(self, spark: SparkSession) -> str:
         head = self._head(spark)
@@ -81,28 +120,40 @@ class KeyedTable:
         return f"{self.path}/data={head[1]}"
 
     # ------------------------------------------------------------ reading
-    def _rows(self, spark: SparkSession, below: int | None, only: DataFrame | None) -> DataFrame | None:
-        if not self._head(spark):
+    def _rows(self, spark: SparkSession, below: int | None, only: DataFrame | None, last_days: int | None = None) -> DataFrame | None:
+        head = self._head(spark)
+        if not head:
             return None
         try:
-            rows = spark.read.parquet(self.data_path(spark))
+            rows = spark.read.parquet(f"{self.path}/data={head[1]}")
         except AnalysisException as e:  # no batch has written yet
             if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
         rows = rows.withColumn("batch", F.col("batch").cast("bigint"))
+        if below is None and head[2]:
+            below = CommitLog(head[2]).last(spark) + 1
         if below is not None:
             rows = rows.where(F.col("batch") < below)
         if self.partition_by:
+            day = F.col("_part").cast("string")
             if only is not None:
                 days = [r[0] for r in only.select(self.partition_by).distinct().collect()]  # days of one micro-batch
-                rows = rows.where(F.col("_part").cast("string").isin(days))
+                rows = rows.where(day.isin(days))
+            if last_days is not None:  # reads no column but the folders' names
+                newest = rows.agg(F.max(day)).first()[0]
+                rows = rows.where(day >= F.date_sub(F.lit(newest).cast("date"), last_days - 1).cast("string"))
             rows = rows.drop("_part")
         return rows
 
-    def read(self, spark: SparkSession, below: int | None = None, only: DataFrame | None = None) -> DataFrame | None:
-        """For each key the rows of its newest batch (of batches ``below``; of the partitions in ``only``)."""
-        rows = self._rows(spark, below, only)
+    def read(self, spark: SparkSession, below: int | None = None, only: DataFrame | None = None,
+             last_days: int | None = None) -> DataFrame | None:
+        """For each key the rows of its newest batch.
+
+        Of the batches ``below`` (default: the recorded ones); of the partitions
+        in ``only``, or the ``last_days`` calendar days up to the newest one.
+        """
+        rows = self._rows(spark, below, only, last_days)
         if rows is None:
             return None
         newest = rows.groupBy(*self.keys).agg(F.max("batch").alias("batch"))
@@ -134,9 +185,11 @@ class KeyedTable:
         if rows is None:
             return None
         last = rows.agg(F.max("batch")).first()[0]
+        if last is None:
+            return None
         now = self.read(spark)
-        owner, folder = self._head(spark)
+        owner, folder, commits = self._head(spark)
         fresh = uuid.uuid4().hex[:12]
         self._write(now if keep is None else now.where(keep), f"{self.path}/data={fresh}/batch={last}")
-        _write_note(spark, f"{self.path}-head", f"{owner},{fresh}")
+        self._set_head(spark, owner, fresh, commits)
         return f"{self.path}/data={folder}"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 
-from clickscope.operators.adjacency import adjacent_pairs, with_successor
+from clickscope.operators.adjacency import adjacent_pairs, successor_counts, with_successor
 from clickscope.operators.pageflow import flow_pairs, page_conversion, page_jump_counts
 from tests.helpers import action, actions_df, rows
 
@@ -80,6 +80,9 @@ def test_hot_session_is_split_and_stitched(spark, reuse, adaptive):
         got = sorted(map(tuple, succ.collect()), key=repr)
         plain = with_successor(df, "session_id", ["action_time", "event_id"], "page_id", skew_safe=False)
         assert got == sorted(map(tuple, plain.collect()), key=repr) and len(got) == len(data)
+        counts = lambda **how: sorted(map(tuple, successor_counts(df, "session_id", ["action_time", "event_id"], "page_id",
+                                                                  among=[1, 3], **how).collect()), key=repr)
+        assert counts() == counts(skew_safe=False)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -93,3 +96,18 @@ def test_jumps_never_exceed_visits(spark, events):
         return
     for r in page_conversion(actions_df(spark, data), "1,2,3,4,5").collect():
         assert r.jumps <= r.visits
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_counts_of_successors_read_and_sort_the_log_once(spark, tmp_dir, adaptive):
+    spark.range(50).selectExpr("concat('s', id % 3) AS session_id", "concat('2024-01-01 0', id % 7, ':', id) AS action_time", "id AS event_id",
+                               "id % 4 AS page_id").write.parquet(f"{tmp_dir}/log")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = page_conversion(spark.read.parquet(f"{tmp_dir}/log"), "1,2,3")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") >= 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

@@ -1,3 +1,4 @@
+import pytest
 import uuid
 
 from clickscope.sinks.tables import JdbcTarget, append_table, jdbc_overwrite, overwrite_table, save_table
@@ -34,3 +35,19 @@ def test_files_and_managed_table(spark, tmp_dir):
     save_table(df, name, partition_by=["date"])
     assert spark.table(name).count() == 2
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_append_goes_by_column_name(spark):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    first = spark.createDataFrame([("a", 1, 10)], "task_id string, click_count long, pay_count long")
+    append_table(first, name)
+    append_table(spark.createDataFrame([(7, "b", 2)], "pay_count long, TASK_ID string, click_count long"), name)
+    assert sorted(map(tuple, spark.table(name).select("task_id", "click_count", "pay_count").collect())) == [("a", 1, 10), ("b", 2, 7)]
+    for wrong in (first.drop("pay_count"), first.withColumn("more", first.pay_count)):
+        with pytest.raises(ValueError):
+            append_table(wrong, name)
+    spark.sql(f"DROP TABLE {name}")
+    save_table(first, name, partition_by=["task_id"])
+    append_table(first.select("pay_count", "task_id", "click_count"), name)
+    assert [tuple(r) for r in spark.table(name).select("task_id", "click_count", "pay_count").collect()] == [("a", 1, 10)] * 2
+    spark.sql(f"DROP TABLE {name}")

@@ -12,7 +12,7 @@ from clickscope.operators import ads as A
 from clickscope.session import checkpoint_root
 from clickscope.sources import bindings as B
 from clickscope.streaming import ads_jobs as J
-from clickscope.streaming.keyed import KeyedTable, TableClaimed
+from clickscope.streaming.keyed import CommitLog, KeyedTable, TableClaimed
 from tests.conftest import SF_MID
 
 TH = CHECK.blacklist_threshold
@@ -371,3 +371,55 @@ def test_live_trigger_processes_and_stops(spark, sliced, tmp_dir):
     r3 = _batch(spark).transform(A.day_area_city_ads)
     cols = ["day", "area", "city", "ads_id", "click_count"]
     assert _rows(J.read_table(spark, f"{tmp_dir}/out", "day_area_city_ads"), cols) == _rows(r3, cols)
+
+
+def test_a_table_whose_head_is_lost_is_not_started_anew(spark, tmp_dir):
+    t = _claimed(spark, tmp_dir, "lost", ["k"])
+    t.upsert(spark.createDataFrame([("a", 5)], "k string, n long"), 0)
+    os.rename(f"{tmp_dir}/lost-head", f"{tmp_dir}/elsewhere")
+    with pytest.raises(TableClaimed, match="which of its folders"):
+        t.claim(spark, f"{tmp_dir}/ck")
+    os.rename(f"{tmp_dir}/elsewhere", f"{tmp_dir}/lost-head")
+    t.claim(spark, f"{tmp_dir}/ck")
+    assert _rows(t.read(spark), ["k", "n"]) == [("a", 5)]
+    assert t.compact(spark) and len(t._heads(spark)) == 2  # a new note beside the old one, none written over
+
+
+def test_readers_see_all_tables_as_of_the_last_recorded_batch(spark, tmp_dir):
+    log = CommitLog(f"{tmp_dir}/ck/serving-commits")
+    tables = [KeyedTable(f"{tmp_dir}/{n}", ["day", "k"], "day") for n in ("one", "two")]
+    for t in tables:
+        t.claim(spark, f"{tmp_dir}/ck", commits=log)
+    assert log.last(spark) == -1
+    rows = lambda n: spark.createDataFrame([("2024-01-01", "a", n)], "day string, k string, n long")
+    seen = lambda: [_rows(t.read(spark), ["n"]) if t.read(spark) is not None else None for t in tables]
+    for batch in range(3):
+        tables[0].upsert(rows(batch), batch)
+        assert seen()[0] == ([(batch - 1,)] if batch else [])  # in the middle of a batch
+        tables[1].upsert(rows(batch), batch)
+        log.record(spark, batch)
+        assert seen() == [[(batch,)]] * 2 and log.last(spark) == batch
+    tables[0].upsert(rows(9), 3)
+    assert tables[0].compact(spark) and seen() == [[(2,)]] * 2  # what is not recorded is not compacted
+    assert _rows(tables[0].read(spark, below=4), ["n"]) == [(2,)]
+
+
+def test_a_recorded_batch_is_not_applied_again(spark, tmp_dir):
+    log, done = CommitLog(f"{tmp_dir}/log"), []
+    step = J._once(spark, log, lambda batch, batch_id: done.append(batch_id))
+    for batch_id in (0, 1, 1, 0, 2):
+        step(None, batch_id)
+    J._once(spark, log, lambda batch, batch_id: done.append(batch_id))(None, 2)  # restarted before the checkpoint knew
+    assert done == [0, 1, 2]
+
+    def fails(batch, batch_id):
+        raise RuntimeError
+    with pytest.raises(RuntimeError):
+        J._once(spark, log, fails)(None, 3)
+    assert log.last(spark) == 2
+
+
+def test_last_hour_reads_two_days(spark, sliced, tmp_dir):
+    _run(J.start_last_hour(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", trigger=J.AVAILABLE_NOW))
+    plan = J.read_last_hour(spark, f"{tmp_dir}/out")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_part[^\]]*>=", plan)
