@@ -15,11 +15,13 @@ rules of normalisation and word splitting; the merging is done here.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
 import string
 from collections.abc import Callable
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -34,7 +36,7 @@ from clickscope.llm.common import WHITE, shipped
 #: A tokenizer file is sent to all tasks; larger ones are refused.
 MOST_FILE_BYTES = 64 << 20
 # remembered chunks and words of a task, the longest one remembered, and the chunks looked at together
-_MEMO, _MEMO_BYTES, _SLICE = 1 << 18, 64, 1 << 18
+_MEMO, _MEMO_BYTES, _SLICE = 400_000, 64, 1 << 18
 _MARK = "\U0010FFFD"  # a private character that stands between chunks split together
 _NEVER = 1 << 30
 _LONG = 64             # symbols from which a fragment is merged by a queue
@@ -68,6 +70,8 @@ class Encoder:
         self._pairs_in_order = pairs[self._rank_of_pair]
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in [*vocab.items(), *added.items()]}
+        self._token_of = np.full(max(self.tokens) + 1, None, dtype=object)
+        self._token_of[list(self.tokens)] = list(self.tokens.values())
         self._added = {t: np.array([i], dtype="<u4").tobytes() for t, i in added.items()}
         self._added_bytes = [t.encode() for t in added]
         self._at_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
@@ -263,10 +267,10 @@ class Encoder:
         parts = {c: [p for p in self._at_added.split(c.decode()) if p] for c in chunks.difference(plain)} if len(plain) < len(chunks) else {}
         between = [p.encode() for own in parts.values() for p in own if p not in self._added]
         words = self._words_of(plain + between)
-        new = list({w for own in words for w in own}.difference(self._words))
+        new = list(set(chain.from_iterable(words)).difference(self._words))
         self._learn_words(new)
-        known = self._words
-        ids = [known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for own in words]
+        id_of = self._words.__getitem__
+        ids = [id_of(own[0]) if len(own) == 1 else b"".join(map(id_of, own)) for own in words]
         for w in new:
             if len(w) > _MEMO_BYTES:
                 del self._words[w]
@@ -277,6 +281,15 @@ class Encoder:
 
     def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of UTF-8 texts as little-endian unsigned 32-bit integers; new chunks of many texts are learned together."""
+        collecting = gc.isenabled()
+        gc.disable()  # many small lists and no cycles
+        try:
+            return self._encode_all(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_all(self, texts: list[bytes | None]) -> list[bytes]:
         out: list[bytes] = []
         ready: list[list[bytes]] = []
         waiting = 0
@@ -314,7 +327,7 @@ class Encoder:
 
     def decode(self, ids: bytes | None) -> str:
         """The tokens' strings joined by a space: what the library gives for a file without a decoder."""
-        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", dtype="<u4").tolist()))
+        return " ".join(self._token_of[np.frombuffer(ids or b"", dtype="<u4")].tolist())
 
 
 def encoder(spark: SparkSession, path: str) -> Callable[[], Encoder]:
