@@ -15,11 +15,11 @@ anchor, so no other block can hold it).  Only the first holder of each
 distinct block has to be checked so, once, whatever the number of copies.
 Runs of repeated windows are the duplicate spans.
 
-Blocks and windows are compared by a 128-bit cryptographic digest of their
-words, joined by one space: different words that agree can't be made up, and
-come about by chance once in 2^64 distinct ones.  The rolling hash of words
-only chooses where to cut.  Shuffled are an anchor, a digest and an id for
-each block, and the texts by doc_id.
+Blocks and windows are compared by a 64-bit cryptographic digest of their
+words, joined by one space, among those of one anchor: two different ones with
+the same anchor are taken for equal once in 2^64 cases, and no structure of
+words makes that likelier.  The rolling hash of words only chooses where to
+cut.  Shuffled are three numbers for each block, and the texts by doc_id.
 """
 
 from __future__ import annotations
@@ -58,11 +58,10 @@ class Blocks:
         gram = min(_GRAM, window)
         self._data, self._at = data, np.append(at, len(data) + 1)
         self._window, self._first = window, first
-        self.content: list[bytes] = []
         self._sums, self._down = gram_sums(hashes)
         n = len(hashes) - window + 1
         if n <= 0:
-            self.row = self.start = self.count = self.anchor = np.zeros(0, dtype=np.int64)
+            self.row = self.start = self.count = self.anchor = self.content = np.zeros(0, dtype=np.int64)
             return
         of = np.repeat(np.arange(len(first) - 1), np.diff(first))
         at = np.flatnonzero(of[:n] == of[window - 1:])
@@ -84,20 +83,21 @@ class Blocks:
     def _hash(self, start: np.ndarray, length) -> np.ndarray:
         return (self._sums[start + length] - self._sums[start]) * self._down[start]
 
-    def _digests(self, start: np.ndarray, length) -> list[bytes]:
+    def _digests(self, start: np.ndarray, length) -> np.ndarray:
         """Digest of the ``length`` words from each ``start``."""
         data, ends = self._data, self._at[start + length] - 1
-        return [blake2b(data[a:b], digest_size=16).digest() for a, b in zip(self._at[start].tolist(), ends.tolist(), strict=True)]
+        found = [blake2b(data[a:b], digest_size=8).digest() for a, b in zip(self._at[start].tolist(), ends.tolist(), strict=True)]
+        return np.frombuffer(b"".join(found), dtype="<i8")
 
-    def windows(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def windows(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Block, place in it and digest of each window of these blocks."""
         count = self.count[blocks]
         of = np.repeat(blocks, count)
         nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
         return of, nth, self._digests(self.start[of] + nth, self._window)
 
-    def keys(self, lo: int, hi: int) -> list[tuple[int, bytes]]:
-        return list(zip(self.anchor[lo:hi].tolist(), self.content[lo:hi], strict=True))
+    def keys(self, lo: int, hi: int) -> list[tuple[int, int]]:
+        return list(zip(self.anchor[lo:hi].tolist(), self.content[lo:hi].tolist(), strict=True))
 
     def of_row(self, row: int) -> tuple[int, int]:
         """First block of a row and the end."""
@@ -122,19 +122,15 @@ def _longs(x) -> pa.Array:
     return pa.array(np.asarray(x, dtype=np.int64))
 
 
-def _digests(x: list[bytes]) -> pa.Array:
-    return pa.array(x, pa.binary())
-
-
 def document_blocks(docs: DataFrame, window: int) -> DataFrame:
     """(anchor, content, doc_id): the blocks of each row."""
     def cut(batches):
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for lo, _, _, b in _groups(batch, window):
-                yield pa.RecordBatch.from_arrays([_longs(b.anchor), _digests(b.content), _longs(ids[lo + b.row])],
+                yield pa.RecordBatch.from_arrays([_longs(b.anchor), _longs(b.content), _longs(ids[lo + b.row])],
                                                  names=["anchor", "content", "doc_id"])
-    return docs.select("doc_id", "text").mapInArrow(cut, "anchor long, content binary, doc_id long")
+    return docs.select("doc_id", "text").mapInArrow(cut, "anchor long, content long, doc_id long")
 
 
 def boundary_windows(asked: DataFrame, window: int) -> DataFrame:
@@ -154,9 +150,9 @@ def boundary_windows(asked: DataFrame, window: int) -> DataFrame:
                             found.append(k)
                 of, nth, h = b.windows(np.array(found, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [_longs(b.anchor[of]), _digests([b.content[k] for k in of.tolist()]), _longs(ids[lo + b.row[of]]), _longs(nth), _digests(h)],
+                    [_longs(b.anchor[of]), _longs(b.content[of]), _longs(ids[lo + b.row[of]]), _longs(nth), _longs(h)],
                     names=["anchor", "content", "doc_id", "nth", "hash"])
-    return asked.mapInArrow(check, "anchor long, content binary, doc_id long, nth long, hash binary")
+    return asked.mapInArrow(check, "anchor long, content long, doc_id long, nth long, hash long")
 
 
 def _covered(b: Blocks, row: int, first: int, n_words: int, window: int, whole: set, partly: dict) -> np.ndarray:
