@@ -69,7 +69,8 @@ def run_reports(model: ActionModel, condition: Condition, targets: ReportTargets
     task_id = task_id or str(uuid.uuid4())
     out, acts = build_reports(model, condition, task_id, other_label)
     try:
-        append_table(out["category_top10"], targets.category_top10)
+        once = "task_id" if isinstance(targets.category_top10, JdbcTarget) else None
+        append_table(out["category_top10"], targets.category_top10, once_per=once)
         overwrite_table(out["category_session_top10"], targets.category_session_top10)
         overwrite_table(out["page_conversion"], targets.page_conversion)
         if isinstance(targets.area_product_top3, JdbcTarget):

@@ -1,7 +1,12 @@
 import pytest
 import uuid
 
-from clickscope.sinks.tables import JdbcTarget, append_table, jdbc_overwrite, overwrite_table, save_table
+from clickscope.config import Condition
+from clickscope.operators.actions import filter_actions
+from clickscope.sinks.tables import JdbcTarget, _transaction, append_table, jdbc_overwrite, overwrite_table, save_table
+from clickscope.sources import bindings as B
+from clickscope.sources.tables import load_tables
+from tests.conftest import SF_SMALL
 
 DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
 
@@ -51,3 +56,71 @@ def test_append_goes_by_column_name(spark):
     append_table(first.select("pay_count", "task_id", "click_count"), name)
     assert [tuple(r) for r in spark.table(name).select("task_id", "click_count", "pay_count").collect()] == [("a", 1, 10)] * 2
     spark.sql(f"DROP TABLE {name}")
+
+
+def _tables(spark, t):
+    names = spark.read.jdbc(t.url, "(SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T') x", properties={"driver": DRIVER})
+    return sorted(r[0] for r in names.collect())
+
+
+@pytest.mark.parametrize("write", [overwrite_table, append_table, jdbc_overwrite])
+def test_a_failing_task_leaves_the_jdbc_rows_as_they_were(spark, write):
+    t = _target("REPORT")
+    old = spark.createDataFrame([("t1", 1)], "task_id string, n int")
+    jdbc_overwrite(old, t)
+    # the first rows go in, the last task fails
+    bad = spark.range(0, 4000, 1, 4).selectExpr(
+        "cast(id as string) AS task_id", "IF(id = 3999, CAST(raise_error('lost') AS INT), 1) AS n")
+    with pytest.raises(Exception, match="lost"):
+        write(bad, t)
+    assert _read(spark, t) == [("t1", 1)] and _tables(spark, t) == ["REPORT"]
+    write(spark.createDataFrame([(2, "t2")], "n int, task_id string"), t)
+    assert sorted(tuple(r) for r in spark.read.jdbc(t.url, t.table, properties={"driver": DRIVER}).select("task_id", "n").collect()) == \
+        ([("t1", 1)] if write is append_table else []) + [("t2", 2)]
+    assert _tables(spark, t) == ["REPORT"]
+
+
+def test_a_repeated_run_is_appended_once(spark):
+    t = _target("TOP10")
+    run = spark.createDataFrame([("t1", 1), ("t1", 2)], "task_id string, n int")
+    append_table(run, t, once_per="task_id")
+    append_table(spark.createDataFrame([("t2", 9)], "task_id string, n int"), t, once_per="task_id")
+    append_table(run, t, once_per="task_id")
+    assert _read(spark, t) == [("t1", 1), ("t1", 2), ("t2", 9)]
+    append_table(run, t)
+    assert len(_read(spark, t)) == 5
+    with pytest.raises(ValueError):
+        append_table(run, "some_table", once_per="task_id")
+
+
+def test_columns_of_a_table_made_by_hand_are_matched_by_name(spark):
+    t = _target("MADE")
+    df = spark.createDataFrame([(1, "a")], "n int, task_id string")
+    _transaction(df, t, "CREATE TABLE MADE (TASK_ID VARCHAR(9), N INT, MORE INT)")
+    append_table(df, t)
+    overwrite_table(df, t)
+    assert _read(spark, t) == [("a", 1, None)]
+
+
+def test_bucketed_log_and_users_are_joined_without_a_shuffle(spark):
+    db = f"b_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db}")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        t = B.action_model(B.test_tables(spark, SF_SMALL))
+        save_table(t.actions, f"{db}.user_visit_action", bucket_by=(4, ["user_id"]))
+        save_table(t.users, f"{db}.user_info", bucket_by=(4, ["user_id"]))
+        for n in ("city_info", "product_info"):
+            save_table(t.cities if n == "city_info" else t.products, f"{db}.{n}")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        cond = Condition(start_age=20, end_age=50)
+        m = load_tables(spark, database=db)
+        got = filter_actions(m.actions, m.users, cond)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" in plan and "Exchange" not in plan, plan
+        want = filter_actions(t.actions, t.users, cond)
+        cols = ["user_id", "session_id", "page_id"]
+        assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect())) != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP DATABASE {db} CASCADE")
