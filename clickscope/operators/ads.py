@@ -36,13 +36,38 @@ def area_ads_top3(day_counts: DataFrame, k: int = TOP_ADS) -> DataFrame:
     Exactly k rows per group (row_number; ties by ads_id text).
     Columns: day, area, ads_id, click_count, rank.
     """
-    rolled = (day_counts.groupBy("day", "area", "ads_id")
-              .agg(F.sum("click_count").cast("bigint").alias("click_count")))
+    return _largest(ads_totals(day_counts), k)
+
+
+def ads_totals(day_counts: DataFrame) -> DataFrame:
+    """R3 rolled up over cities: day, area, ads_id, click_count."""
+    return (day_counts.groupBy("day", "area", "ads_id")
+            .agg(F.sum("click_count").cast("bigint").alias("click_count")))
+
+
+def _largest(totals: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("day", "area").orderBy(F.desc("click_count"), F.asc("ads_id"))
-    return (rolled.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    return (totals.withColumn("rank", F.row_number().over(w).cast("bigint"))
             .where(F.col("rank") <= k))
 
 
+def area_ads_top3_update(before: DataFrame | None, changed: DataFrame, k: int = TOP_ADS) -> DataFrame:
+    """R4 of the (day, area) groups in ``changed``, from their k largest ads ``before`` and the changed totals.
+
+    ``changed`` has the new totals (day, area, ads_id, click_count) of the ads
+    that were clicked.  Totals only grow: an ad that was not clicked and was
+    not among the k largest can't have come among them, so the totals of the
+    day are not needed.
+    """
+    changed = changed.select("day", "area", "ads_id", "click_count")
+    if before is None:
+        return _largest(changed, k)
+    old = (before.select(*changed.columns)
+           .join(changed.select("day", "area").distinct(), ["day", "area"], "left_semi")
+           .join(changed, ["day", "area", "ads_id"], "left_anti"))
+    return _largest(changed.unionByName(old), k)
+
+
 def area_ads_top3_json(top: DataFrame) -> DataFrame:
     """R4 serving form: (day, area, ads_json) with ``[{"ad":count},...]`` by rank.
 

@@ -22,8 +22,10 @@ Serving tables under ``out_root``:
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,7 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickscope.config import BLACKLIST_THRESHOLD, LAST_HOUR_MINUTES, TOP_ADS
 from clickscope.operators import ads as A
 from clickscope.streaming.blacklist import blacklist_stream
-from clickscope.streaming.keyed import CommitLog, KeyedTable
+from clickscope.streaming.keyed import CommitLog, KeyedTable, distinct_values
 
 
 @dataclass(frozen=True)
@@ -73,6 +75,14 @@ def _path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _all_at_once(spark: SparkSession, *steps: Callable[[], object]) -> None:
+    """Run the independent writes of a micro-batch side by side; the first error is raised when all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(s)) for s in steps]
+    for r in running:
+        r.result()
+
+
 # ---------------------------------------------------------------- R3 + R4
 
 def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
@@ -81,41 +91,53 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
                          name: str | None = None) -> StreamingQuery:
     """R3 running totals per (day, area, city, ad), R4 top ads per (day, area).
 
-    ``update``: only changed totals arrive; they are upserted into R3, and R4
-    is recomputed for the days touched by the batch only; the tables are
-    partitioned by day.  With ``day_watermark`` (e.g. "2 days") state is
+    ``update``: only changed totals arrive, those of cities and those of all
+    cities together from one aggregation.  The former are upserted into R3, the
+    latter are merged with the ``top`` ads so far into R4, so no totals are
+    read back; the tables are partitioned by day.  With ``day_watermark`` (e.g. "2 days") state is
     dropped for days that began so long before the newest day, in the session
     time zone; clicks of such days are dropped too.  ``complete``: every batch
     emits and writes all totals, as the reference does; state never expires,
     and each batch adds a whole copy of the tables until they are compacted.
     """
-    counts = A.day_area_city_ads(clicks)
-    if day_watermark:
-        if mode != "update":
-            raise ValueError("a watermark needs update mode")
-        # the watermark is on the start of the session-zone day, so that there
-        # is one state row for each (day, area, city, ad)
-        days = clicks.withColumn("_day_start", F.date_trunc("day", "ts")).withWatermark("_day_start", day_watermark)
-        counts = (days.groupBy("_day_start", "day", "area", "city", "ads_id")
-                  .agg(F.count(F.lit(1)).alias("click_count")).drop("_day_start"))
+    if day_watermark and mode != "update":
+        raise ValueError("a watermark needs update mode")
+    if mode == "update":
+        # each click counts for its city and, in a row of its own, for all cities
+        parts = F.inline(F.array(F.struct(F.lit(False).alias("_all"), F.col("city").alias("city")),
+                                 F.struct(F.lit(True).alias("_all"), F.lit(None).cast("string").alias("city"))))
+        keys = ["day", "area", "_all", "city", "ads_id"]
+        if day_watermark:
+            # the watermark is on the start of the session-zone day, so that there
+            # is one state row for each (day, area, city, ad)
+            items = clicks.select("day", "area", "ads_id", F.date_trunc("day", "ts").alias("_day_start"), parts)
+            grouped = items.withWatermark("_day_start", day_watermark).groupBy("_day_start", *keys)
+        else:
+            grouped = clicks.select("day", "area", "ads_id", parts).groupBy(*keys)
+        counts = grouped.agg(F.count(F.lit(1)).alias("click_count")).select(*keys, "click_count")
+    else:
+        counts = A.day_area_city_ads(clicks).withColumn("_all", F.lit(False))
     r3, r4, r4j = (_table(out_root, n) for n in ("day_area_city_ads", "area_ads_top3", "area_ads_top3_json"))
     commits = _commits(checkpoint)
     for t in (r3, r4, r4j):
         t.claim(clicks.sparkSession, checkpoint, reset, commits)
 
+    for t in (r3, r4, r4j):
+        t.pinned(clicks.sparkSession)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if batch.isEmpty():
+            days = distinct_values(batch, "day")
+            if not days:
                 return
-            r3.upsert(batch, batch_id)
-            totals = batch if mode == "complete" else r3.read(batch.sparkSession, below=batch_id + 1, only=batch)
-            top3 = A.area_ads_top3(totals, top).persist()
-            try:
-                r4.upsert(top3, batch_id)
-                r4j.upsert(A.area_ads_top3_json(top3), batch_id)
-            finally:
-                top3.unpersist()
+            totals = batch.where(~F.col("_all")).drop("_all")
+            if mode == "complete":
+                top3 = A.area_ads_top3(totals, top)
+            else:
+                before = r4.read(batch.sparkSession, below=batch_id, only=days)
+                top3 = A.area_ads_top3_update(before, batch.where("_all"), top)
+            _write_counts(batch.sparkSession, batch_id, totals, top3, r3, r4, r4j)
         finally:
             batch.unpersist()
 
@@ -126,6 +148,16 @@ def start_running_counts(clicks: DataFrame, out_root: str, checkpoint: str, *,
     return trigger.apply(w).start()
 
 
+def _write_counts(spark: SparkSession, batch_id: int, totals: DataFrame, top3: DataFrame,
+                  r3: KeyedTable, r4: KeyedTable, r4j: KeyedTable, *more: Callable[[], object]) -> None:
+    top3 = top3.persist()
+    try:
+        _all_at_once(spark, lambda: r3.upsert(totals, batch_id), lambda: r4.upsert(top3, batch_id),
+                     lambda: r4j.upsert(A.area_ads_top3_json(top3), batch_id), *more)
+    finally:
+        top3.unpersist()
+
+
 # ---------------------------------------------------------------- R5
 
 def start_last_hour(clicks: DataFrame, out_root: str, checkpoint: str, *,
@@ -149,6 +181,7 @@ def start_last_hour(clicks: DataFrame, out_root: str, checkpoint: str, *,
     table = _table(out_root, "last_hour")
     commits = _commits(checkpoint)
     table.claim(clicks.sparkSession, checkpoint, reset, commits)
+    table.pinned(clicks.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
@@ -222,11 +255,13 @@ def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
     if counts:
         own += ["day_area_city_ads", "area_ads_top3", "area_ads_top3_json", "last_hour"]
     commits = _commits(checkpoint)
-    for n in own:
-        _table(out_root, n).claim(clicks.sparkSession, checkpoint, reset, commits)
+    tables = {n: _table(out_root, n) for n in own}
+    for t in tables.values():
+        t.claim(clicks.sparkSession, checkpoint, reset, commits)
+        t.pinned(clicks.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        apply_blacklist_batch(batch, batch_id, out_root, threshold, mode, counts, top)
+        apply_blacklist_batch(batch, batch_id, tables, threshold, mode, counts, top)
 
     w = (clicks.writeStream.outputMode("append").foreachBatch(_once(clicks.sparkSession, commits, write))
          .option("checkpointLocation", checkpoint))
@@ -235,37 +270,44 @@ def start_blacklist_tables(clicks: DataFrame, out_root: str, checkpoint: str, *,
     return trigger.apply(w).start()
 
 
-def apply_blacklist_batch(batch: DataFrame, batch_id: int, out_root: str,
+def apply_blacklist_batch(batch: DataFrame, batch_id: int, tables: str | dict[str, KeyedTable],
                           threshold: int = BLACKLIST_THRESHOLD, mode: str = "batch", counts: bool = False,
                           top: int = TOP_ADS) -> None:
-    """One micro-batch of ``start_blacklist_tables`` (idempotent per batch id; the batch is read once)."""
+    """One micro-batch of ``start_blacklist_tables`` (idempotent per batch id; the batch is read once).
+
+    ``tables``: the serving tables by name, or the folder they are in.
+    """
     keys = ["user_id", "day", "ads_id"]
-    counters, listed, passed_table = (_table(out_root, n) for n in ("blacklist_counters", "blacklist_listed", "blacklist_passed"))
+    if isinstance(tables, str):
+        tables = {n: _table(tables, n) for n in TABLE_KEYS}
+    counters, listed, passed_table = (tables[n] for n in ("blacklist_counters", "blacklist_listed", "blacklist_passed"))
     spark = batch.sparkSession
-    batch = batch.persist()
+    kept = [batch.persist()]
     try:
-        if batch.isEmpty():
+        days = distinct_values(batch, "day")
+        if not days:
             return
-        inc = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        base = counters.read(spark, below=batch_id, only=batch)
+        base = counters.read(spark, below=batch_id, only=days)
         snapshot = listed.read(spark, below=batch_id)
         passed = batch if snapshot is None else A.drop_blacklisted(batch, snapshot)
         if mode == "row":
             passed = A.ads_not_blacklisted(passed, threshold, prior=base)
-        passed_table.upsert(passed, batch_id)
+        if passed is not batch:
+            passed = passed.persist()
+            kept.append(passed)
+        totals = _added(batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), base, keys, "n").persist()
+        kept.append(totals)
+        new = totals.where(F.col("n") >= threshold).select("user_id").distinct()
+        if snapshot is not None:
+            new = new.join(snapshot, "user_id", "left_anti")
+        steps = [lambda: passed_table.upsert(passed, batch_id), lambda: counters.upsert(totals, batch_id),
+                 lambda: listed.upsert(new, batch_id)]
         if counts:
-            count_batch(passed, batch_id, out_root, top)
-        totals = _added(inc, base, keys, "n").persist()
-        try:
-            counters.upsert(totals, batch_id)
-            new = totals.where(F.col("n") >= threshold).select("user_id").distinct()
-            if snapshot is not None:
-                new = new.join(snapshot, "user_id", "left_anti")
-            listed.upsert(new, batch_id)
-        finally:
-            totals.unpersist()
+            steps.append(lambda: count_batch(passed, batch_id, tables, days, top))
+        _all_at_once(spark, *steps)
     finally:
-        batch.unpersist()
+        for df in reversed(kept):
+            df.unpersist()
 
 
 def _added(inc: DataFrame, base: DataFrame | None, keys: list[str], value: str) -> DataFrame:
@@ -276,22 +318,33 @@ def _added(inc: DataFrame, base: DataFrame | None, keys: list[str], value: str)
             .withColumn(value, F.col(value) + F.coalesce(F.col("_stored"), F.lit(0))).drop("_stored"))
 
 
-def count_batch(clicks: DataFrame, batch_id: int, out_root: str, top: int = TOP_ADS) -> None:
-    """Add one batch of clicks to the tables of R3, R4 and R5 (idempotent per batch id)."""
+def count_batch(clicks: DataFrame, batch_id: int, tables: dict[str, KeyedTable], days: list[str], top: int = TOP_ADS) -> None:
+    """Add one batch of clicks, all of ``days``, to the tables of R3, R4 and R5 (idempotent per batch id).
+
+    Of the stored totals one look keeps those of the ads that were clicked, in
+    all cities: R3's new rows and the ads' new totals come from them, and R4
+    from these totals and the top ads so far.
+    """
     spark = clicks.sparkSession
-    r3, r4, r4j, r5 = (_table(out_root, n) for n in ("day_area_city_ads", "area_ads_top3", "area_ads_top3_json", "last_hour"))
-    r3.upsert(_added(A.day_area_city_ads(clicks), r3.read(spark, below=batch_id, only=clicks), r3.keys, "click_count"), batch_id)
-    totals = r3.read(spark, below=batch_id + 1, only=clicks)
-    if totals is not None:
-        top3 = A.area_ads_top3(totals, top).persist()
-        try:
-            r4.upsert(top3, batch_id)
-            r4j.upsert(A.area_ads_top3_json(top3), batch_id)
-        finally:
-            top3.unpersist()
-    minutes = (clicks.groupBy("ads_id", F.date_trunc("minute", "ts").alias("minute_start"), "day")
-               .agg(F.count(F.lit(1)).alias("click_count")))
-    r5.upsert(_added(minutes, r5.read(spark, below=batch_id, only=clicks), r5.keys, "click_count"), batch_id)
+    r3, r4, r4j, r5 = (tables[n] for n in ("day_area_city_ads", "area_ads_top3", "area_ads_top3_json", "last_hour"))
+    kept = [A.day_area_city_ads(clicks).persist()]
+    try:
+        inc, stored = kept[0], r3.read(spark, below=batch_id, only=days)
+        if stored is None:
+            totals = changed = inc
+        else:
+            ads = ["day", "area", "ads_id"]
+            stored = stored.join(inc.select(*ads).distinct(), ads, "left_semi").persist()
+            kept.append(stored)
+            totals, changed = _added(inc, stored, r3.keys, "click_count"), inc.unionByName(stored)
+        top3 = A.area_ads_top3_update(r4.read(spark, below=batch_id, only=days), A.ads_totals(changed), top)
+        minutes = (clicks.groupBy("ads_id", F.date_trunc("minute", "ts").alias("minute_start"), "day")
+                   .agg(F.count(F.lit(1)).alias("click_count")))
+        minutes = _added(minutes, r5.read(spark, below=batch_id, only=days), r5.keys, "click_count")
+        _write_counts(spark, batch_id, totals, top3, r3, r4, r4j, lambda: r5.upsert(minutes, batch_id))
+    finally:
+        for df in reversed(kept):
+            df.unpersist()
 
 
 def read_blacklist_tables(spark: SparkSession, out_root: str) -> tuple[DataFrame | None, DataFrame | None]:
@@ -317,7 +370,8 @@ TABLE_KEYS = {"day_area_city_ads": ["day", "area", "city", "ads_id"], "area_ads_
 
 
 def _table(out_root: str, name: str) -> KeyedTable:
-    return KeyedTable(_path(out_root, name), TABLE_KEYS[name], None if name == "blacklist_listed" else "day")
+    return KeyedTable(_path(out_root, name), TABLE_KEYS[name], None if name == "blacklist_listed" else "day",
+                      unique=bool(TABLE_KEYS[name]) and name != "area_ads_top3")
 
 
 def read_table(spark: SparkSession, out_root: str, name: str) -> DataFrame | None:

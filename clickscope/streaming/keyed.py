@@ -21,6 +21,10 @@ With ``partition_by`` (the day) a batch folder is partitioned by that column,
 so a read of some days lists and scans only those.  ``compact`` writes the
 newest rows once and lets later reads start from there: maintenance, to be
 called while the query is stopped.
+
+The query that owns a table holds it ``pinned``: who owns it and where its rows
+are can't change while it runs, so a micro-batch looks up neither again, nor
+the columns of rows it has read before.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _note(spark: SparkSession, path: str) -> list[str]:
@@ -47,6 +52,11 @@ def _write_note(spark: SparkSession, path: str, line: str) -> None:
     spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def distinct_values(batch: DataFrame, column: str) -> list:
+    """The values of a column with few in a micro-batch, such as its days."""
+    return [r[0] for r in batch.select(column).distinct().collect()]
+
+
 class CommitLog:
     """The micro-batches of one query whose rows are complete in all its tables."""
 
@@ -66,12 +76,20 @@ class TableClaimed(RuntimeError):
 
 
 class KeyedTable:
-    """A keyed serving table with one folder per micro-batch."""
+    """A keyed serving table with one folder per micro-batch; ``unique``: a key has one row."""
 
-    def __init__(self, path: str, keys: list[str], partition_by: str | None = None):
+    def __init__(self, path: str, keys: list[str], partition_by: str | None = None, unique: bool = False):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.partition_by = partition_by
+        self.unique = unique
+        self._pinned: list[str] | None = None
+        self._columns: StructType | None = None
+
+    def pinned(self, spark: SparkSession) -> KeyedTable:
+        """This table for the query that has claimed it, for as long as it runs."""
+        self._pinned = self._head(spark) or None
+        return self
 
     # ------------------------------------------------------------ ownership
     def claim(self, spark: SparkSession, checkpoint: str, reset: bool = False, commits: CommitLog | None = None) -> None:
@@ -97,6 +115,8 @@ class KeyedTable:
 
     def _head(self, spark: SparkSession) -> list[str]:
         """[owner, data folder, commit log] of the table, empty if nobody has claimed it; the newest note counts."""
+        if self._pinned:
+            return self._pinned
         heads = self._heads(spark)
         return heads[-1][1:] if heads else []
 
@@ -120,42 +140,49 @@ class KeyedTable:
         return f"{self.path}/data={head[1]}"
 
     # ------------------------------------------------------------ reading
-    def _rows(self, spark: SparkSession, below: int | None, only: DataFrame | None, last_days: int | None = None) -> DataFrame | None:
+    def _rows(self, spark: SparkSession, below: int | None, only: DataFrame | list[str] | None,
+              last_days: int | None = None) -> DataFrame | None:
         head = self._head(spark)
         if not head:
             return None
         try:
-            rows = spark.read.parquet(f"{self.path}/data={head[1]}")
+            reader = spark.read.schema(self._columns) if self._columns else spark.read
+            rows = reader.parquet(f"{self.path}/data={head[1]}")
         except AnalysisException as e:  # no batch has written yet
             if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
+        if self._pinned:
+            self._columns = rows.schema
         rows = rows.withColumn("batch", F.col("batch").cast("bigint"))
         if below is None and head[2]:
             below = CommitLog(head[2]).last(spark) + 1
-        if below is not None:
-            rows = rows.where(F.col("batch") < below)
+        complete = F.lit(True) if below is None else F.col("batch") < below
         if self.partition_by:
             day = F.col("_part").cast("string")
             if only is not None:
-                days = [r[0] for r in only.select(self.partition_by).distinct().collect()]  # days of one micro-batch
-                rows = rows.where(day.isin(days))
+                rows = rows.where(day.isin(only if isinstance(only, list) else distinct_values(only, self.partition_by)))
             if last_days is not None:  # reads no column but the folders' names
-                newest = rows.agg(F.max(day)).first()[0]
+                newest = rows.where(complete).agg(F.max(day)).first()[0]
                 rows = rows.where(day >= F.date_sub(F.lit(newest).cast("date"), last_days - 1).cast("string"))
-            rows = rows.drop("_part")
-        return rows
+            return rows.where(complete).drop("_part")
+        return rows.where(complete)
 
-    def read(self, spark: SparkSession, below: int | None = None, only: DataFrame | None = None,
+    def read(self, spark: SparkSession, below: int | None = None, only: DataFrame | list[str] | None = None,
              last_days: int | None = None) -> DataFrame | None:
         """For each key the rows of its newest batch.
 
         Of the batches ``below`` (default: the recorded ones); of the partitions
-        in ``only``, or the ``last_days`` calendar days up to the newest one.
+        in ``only`` (a list of them, or a micro-batch that has the column), or the ``last_days`` calendar days up to the newest one.
         """
         rows = self._rows(spark, below, only, last_days)
         if rows is None:
             return None
+        if self.unique:  # one pass over the rows
+            rest = [c for c in rows.columns if c not in (*self.keys, "batch")]
+            if not rest:
+                return rows.select(*self.keys).distinct()
+            return rows.groupBy(*self.keys).agg(*[F.max_by(c, "batch").alias(c) for c in rest])
         newest = rows.groupBy(*self.keys).agg(F.max("batch").alias("batch"))
         return rows.join(newest, [*self.keys, "batch"], "left_semi").drop("batch")
 

@@ -423,3 +423,65 @@ def test_last_hour_reads_two_days(spark, sliced, tmp_dir):
     _run(J.start_last_hour(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", trigger=J.AVAILABLE_NOW))
     plan = J.read_last_hour(spark, f"{tmp_dir}/out")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\n]*_part[^\n]*>=", plan), re.findall("PartitionFilters.{200}", plan)
+
+
+def _counts(spark, rows):
+    return spark.createDataFrame([("2024-01-01", *r) for r in rows], "day string, area string, ads_id string, click_count long")
+
+
+def test_top_ads_follow_from_the_top_so_far_and_the_changes(spark):
+    before = _counts(spark, [("n", "1", 9), ("n", "2", 7), ("n", "3", 7), ("s", "1", 4)]).withColumn("rank", F.lit(0))
+    cols = ["area", "ads_id", "click_count", "rank"]
+    # a tie with the third goes by id, a clicked ad of the top keeps one row, the area without clicks is left out
+    got = A.area_ads_top3_update(before, _counts(spark, [("n", "2", 8), ("n", "25", 7), ("w", "5", 1)]))
+    assert _rows(got, cols) == [("n", "1", 9, 1), ("n", "2", 8, 2), ("n", "25", 7, 3), ("w", "5", 1, 1)]
+    assert _rows(A.area_ads_top3_update(None, _counts(spark, [("n", str(i), i) for i in range(6)])), cols) == \
+        [("n", "3", 3, 3), ("n", "4", 4, 2), ("n", "5", 5, 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_top_ads_by_changes_equal_the_report_over_all_batches(spark, seed):
+    rnd = __import__("random").Random(seed)
+    clicks, top = [], None
+    for _ in range(4):
+        batch = [("2024-01-01", rnd.choice("ns"), rnd.choice("xyz"), str(rnd.randrange(9))) for _ in range(rnd.randrange(1, 25))]
+        clicks += batch
+        per_city = A.day_area_city_ads(spark.createDataFrame(clicks, "day string, area string, city string, ads_id string"))
+        hit = spark.createDataFrame(batch, "day string, area string, city string, ads_id string").select("day", "area", "ads_id").distinct()
+        changed = A.ads_totals(per_city).join(hit, ["day", "area", "ads_id"], "left_semi")
+        new = A.area_ads_top3_update(top, changed)
+        kept = [] if top is None else top.join(hit.select("day", "area").distinct(), ["day", "area"], "left_anti").collect()
+        top = spark.createDataFrame(new.collect() + kept, new.schema)
+        cols = ["day", "area", "ads_id", "click_count", "rank"]
+        assert _rows(top, cols) == _rows(A.area_ads_top3(per_city), cols)
+
+
+def test_running_counts_read_no_totals_back(spark, sliced, tmp_dir, monkeypatch):
+    seen = []
+    read = KeyedTable.read
+    monkeypatch.setattr(KeyedTable, "read", lambda self, *a, **k: seen.append(os.path.basename(self.path)) or read(self, *a, **k))
+    _run(J.start_running_counts(_stream(spark, sliced), f"{tmp_dir}/out", f"{tmp_dir}/ck", trigger=J.AVAILABLE_NOW))
+    assert set(seen) == {"area_ads_top3"}
+
+
+def test_a_pinned_table_looks_nothing_up_again(spark, tmp_dir, monkeypatch):
+    t = _claimed(spark, tmp_dir, "pin", ["day", "k"], "day")
+    t.unique = True
+    t.pinned(spark)
+    schema = "day string, k string, n long"
+    t.upsert(spark.createDataFrame([("2024-01-01", "a", 1), ("2024-01-01", None, 2)], schema), 0)
+    assert _rows(t.read(spark, below=1).na.fill("-"), ["k", "n"]) == [("-", 2), ("a", 1)]
+    monkeypatch.setattr(KeyedTable, "_heads", lambda *a: pytest.fail("looked up"))
+    t.upsert(spark.createDataFrame([("2024-01-01", "a", 5), ("2024-01-01", "b", 1)], schema), 1)
+    assert _rows(t.read(spark, below=2, only=["2024-01-01"]).na.fill("-"), ["k", "n"]) == [("-", 2), ("a", 5), ("b", 1)]
+    assert _rows(t.read(spark, below=1).na.fill("-"), ["k", "n"]) == [("-", 2), ("a", 1)]
+
+
+def test_an_error_in_one_of_the_writes_fails_the_batch(spark):
+    done = []
+
+    def fails():
+        raise RuntimeError("lost")
+    with pytest.raises(RuntimeError, match="lost"):
+        J._all_at_once(spark, fails, lambda: done.append(spark.range(3).count()))
+    assert done == [3]
