@@ -138,22 +138,46 @@ ORACLE_SQL = {
                    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
         o AS (SELECT doc_id AS page_id, sum(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad, count(*) AS n
               FROM labels WHERE doc_id IS NOT NULL AND (toxic = 1 OR quality = 0) IS NOT NULL GROUP BY doc_id),
-        h AS (SELECT host, coalesce(sum(bad), 0) AS bad, coalesce(sum(n), 0) AS n,
-                     array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
-                     string_split(host, '.')[-1] AS suffix
+        h AS (SELECT host, coalesce(sum(bad), 0) AS bad, coalesce(sum(n), 0) AS n, string_split(host, '.') AS l,
+                     CASE WHEN array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') IN
+                          ('ac.uk', 'co.uk', 'gov.uk', 'org.uk', 'com.au', 'net.au', 'org.au', 'co.nz', 'co.za', 'co.in', 'co.jp',
+                           'ne.jp', 'or.jp', 'co.kr', 'com.br', 'com.cn', 'com.mx', 'com.tr', 'com.tw') THEN 2 ELSE 1 END AS deep
               FROM p LEFT JOIN o USING (page_id) GROUP BY host),
-        dm AS (SELECT suffix, domain, sum(bad) AS bad, sum(n) AS n FROM h GROUP BY suffix, domain),
-        sx AS (SELECT suffix, sum(bad) AS bad, sum(n) AS n FROM dm GROUP BY suffix),
-        r AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0.0 END AS rate FROM sx),
-        sp AS (SELECT suffix, (bad + 20.0 * rate) / (n + 20.0) AS above FROM sx, r),
-        dp AS (SELECT suffix, domain, (bad + 20.0 * above) / (n + 20.0) AS prior FROM dm JOIN sp USING (suffix)),
-        hp AS (SELECT host, (bad + 20.0 * prior) / (n + 20.0) AS m, n + 20.0 AS k FROM h JOIN dp USING (suffix, domain)),
-        j AS (SELECT page_id, host, path, m - 1.645 * sqrt(m * (1 - m) / (k + 1)) AS low,
+        hd AS (SELECT host, CAST(bad AS DOUBLE) AS bad, CAST(n AS DOUBLE) AS n, array_to_string(list_slice(l, -deep - 1, -1), '.') AS domain,
+                      array_to_string(list_slice(l, -deep, -1), '.') AS suffix FROM h),
+        dm AS (SELECT suffix, domain, sum(bad) AS bad, sum(n) AS n, sum(CASE WHEN n > 0 THEN bad * bad / n END) AS spread,
+                      sum(n * n) AS square, sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) - 1 AS more FROM hd GROUP BY suffix, domain),
+        sx AS (SELECT suffix, sum(bad) AS bad, sum(n) AS n, sum(CASE WHEN n > 0 THEN bad * bad / n END) AS spread,
+                      sum(n * n) AS square, sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) - 1 AS more FROM dm GROUP BY suffix),
+        al AS (SELECT sum(bad) AS bad, sum(n) AS n, sum(CASE WHEN n > 0 THEN bad * bad / n END) AS spread,
+                      sum(n * n) AS square, sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) - 1 AS more FROM sx),
+        lv AS (SELECT 'h' AS level, * EXCLUDE (suffix, domain) FROM dm UNION ALL SELECT 'd', * EXCLUDE (suffix) FROM sx
+               UNION ALL SELECT 's', * FROM al),
+        mo AS (SELECT level, sum(spread - bad * bad / n - bad / n * (1 - bad / n) * more) AS over,
+                      sum(bad / n * (1 - bad / n) * (n - square / n - more)) AS room FROM lv WHERE n > 0 GROUP BY level),
+        st AS (SELECT level, CASE WHEN room > 0 AND over > 0 THEN least(greatest(room / over - 1, 1.0), 1000.0) ELSE 1000.0 END AS s FROM mo),
+        q AS (SELECT coalesce(max(CASE WHEN level = 'h' THEN s / (s + 1) END), 1000.0 / 1001) AS qh,
+                     coalesce(max(CASE WHEN level = 'd' THEN s / (s + 1) END), 1000.0 / 1001) AS qd,
+                     coalesce(max(CASE WHEN level = 's' THEN s / (s + 1) END), 1000.0 / 1001) AS qs FROM st),
+        s1 AS (SELECT sx.*, al.n - sx.n + 1.0 AS rest,
+                      (al.bad - sx.bad + CASE WHEN al.n > 0 THEN al.bad / al.n ELSE 0.0 END) / (al.n - sx.n + 1.0) AS m FROM sx, al),
+        s2 AS (SELECT suffix, bad, n, m, rest / (rest + 1) * qs / (1 - rest / (rest + 1) * qs) AS w FROM s1, q),
+        d1 AS (SELECT suffix, domain, dm.bad, dm.n, s2.n - dm.n + w AS rest, (s2.bad - dm.bad + w * m) / (s2.n - dm.n + w) AS m
+               FROM dm JOIN s2 USING (suffix)),
+        d2 AS (SELECT suffix, domain, bad, n, m, rest / (rest + 1) * qd / (1 - rest / (rest + 1) * qd) AS w FROM d1, q),
+        h1 AS (SELECT host, hd.bad, hd.n, d2.n - hd.n + w AS rest, (d2.bad - hd.bad + w * m) / (d2.n - hd.n + w) AS m
+               FROM hd JOIN d2 USING (suffix, domain)),
+        h2 AS (SELECT host, bad, n, m, rest / (rest + 1) * qh / (1 - rest / (rest + 1) * qh) AS w FROM h1, q),
+        ab AS (SELECT host, greatest(bad + w * m, 1e-9) AS a, greatest(n - bad + w * (1 - m), 1.0) AS b FROM h2),
+        cd AS (SELECT host, a, b, 1 / (9 * a) AS c, 1 / (9 * b) AS d FROM ab),
+        fr AS (SELECT host, a, b, pow(greatest(((1 - c) * (1 - d) - 1.645 * sqrt(c * (1 - d) * (1 - d) + d * (1 - c) * (1 - c) - 2.706025 * c * d))
+                                               / ((1 - d) * (1 - d) - 2.706025 * d), 0.0), 3) AS f FROM cd),
+        j AS (SELECT page_id, host, path, a * f / (b + a * f) AS low,
               CASE WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
                    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
                    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
                    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
-              FROM p JOIN hp USING (host))
+              FROM p JOIN fr USING (host))
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
                     WHEN low > 0.5 THEN 'block' ELSE 'allow' END AS verdict FROM j""",
