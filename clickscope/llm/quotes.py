@@ -115,6 +115,22 @@ def _tops(links: DataFrame) -> DataFrame:
             return state
 
 
+def _placed(turns: DataFrame) -> DataFrame:
+    """``turns`` (__conv, __top, __turn, ...) with ``position`` in (__top, __turn) order of the conversation.
+
+    Threads are placed by their sizes, then messages inside their thread, both
+    in buckets of 256 turns, so neither a long conversation nor one long
+    thread is sorted by a single task.
+    """
+    sizes = (turns.groupBy("__conv", "__top").agg(F.count(F.lit(1)).alias("__size"))
+             .withColumn("__bucket", F.floor(F.col("__top") / 256)))
+    starts = running_before(sizes, ["__conv"], "__bucket", ["__top"], "__size", "__start").select("__conv", "__top", "__start")
+    inside = running_before(turns.withColumns({"__one": F.lit(1), "__bucket": F.floor(F.col("__turn") / 256)}),
+                            ["__conv", "__top"], "__bucket", ["__turn"], "__one", "__inside")
+    return (inside.join(starts, ["__conv", "__top"])
+            .withColumn("position", F.col("__start") + F.col("__inside")).drop("__start", "__inside", "__one", "__bucket"))
+
+
 def link_quotations(messages: DataFrame) -> DataFrame:
     """One row for each message: conv_id, turn, role, reply_to, depth, thread, position, text and chat.
 
@@ -134,9 +150,8 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         F.coalesce(F.col("turn").cast("long"), F.lit(least)).alias("__turn"))
     tops = _tops(reply_links(keyed))
     turns = (keyed.select("__conv", "__turn").distinct().join(tops, ["__conv", "__turn"], "left")
-             .withColumns({"__top": F.coalesce("__top", "__turn"), "__depth": F.coalesce("__depth", F.lit(0)), "__one": F.lit(1)})
-             .withColumn("__bucket", F.floor(F.col("__top") / 256)))
-    placed = running_before(turns, ["__conv"], "__bucket", ["__top", "__turn"], "__one", "position")
+             .withColumns({"__top": F.coalesce("__top", "__turn"), "__depth": F.coalesce("__depth", F.lit(0))}))
+    placed = _placed(saved(turns, "quote-turns"))
 
     @F.arrow_udf("string")
     def own_text(texts: pa.Array) -> pa.Array:

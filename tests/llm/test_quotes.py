@@ -1,5 +1,7 @@
+import random
+
 from clickscope.llm.queries import op3_quotation_links
-from clickscope.llm.quotes import link_quotations, parse, quote_level
+from clickscope.llm.quotes import _placed, link_quotations, parse, quote_level
 from tests.conftest import SF_SMALL
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -47,6 +49,20 @@ def test_long_chain(spark):
     assert all(r["depth"] == t and r["thread"] == 0 and r["position"] == t for (_, t), r in got.items())
 
 
+def test_places_across_buckets(spark):
+    """Long threads among short ones: a turn's place counts what comes before it by (top, turn)."""
+    rng = random.Random(5)
+    turns = {(c, t): (0 if t % 3 == 0 else 700 if t > 700 and t % 3 == 1 else t) for c in ("", "c1") for t in rng.sample(range(-20, 3000), 1500)}
+    turns |= {("c2", -(1 << 63)): -(1 << 63), ("c2", 5): 5}
+    df = spark.createDataFrame([(c, t, top) for (c, t), top in turns.items()], "__conv string, __turn long, __top long")
+    got = {(r["__conv"], r["__turn"]): r["position"] for r in _placed(df).collect()}
+    want = {}
+    for c in ("", "c1", "c2"):
+        own = sorted((top, t) for (d, t), top in turns.items() if d == c)
+        want |= {(c, t): i for i, (_, t) in enumerate(own)}
+    assert got == want
+
+
 def test_a_passage_that_many_repeat_links_to_the_first(spark):
     many = [(1, i, "u", "same words") for i in range(300)] + [(1, 300 + i, "v", f"> same words\nanswer {i}") for i in range(300)]
     got = rows(link_quotations(spark.createDataFrame(many, TURNS)))
