@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,15 +37,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
-    """A function that gives ``value`` in tasks; it is broadcast, so its size must be bounded."""
+def broadcast_value(spark: SparkSession, value: Any) -> tuple[Broadcast, Callable[[], Any]]:
+    """A broadcast of ``value``, to be destroyed when its jobs have ended, and a function that gives the value in tasks; its size must be bounded."""
     sent, got = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
 
     def value_of() -> Any:
         if not got:
             got.append(cloudpickle.loads(sent.value))
         return got[0]
-    return value_of
+    return sent, value_of
+
+
+def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A function that gives ``value`` in tasks; it is broadcast, so its size must be bounded."""
+    return broadcast_value(spark, value)[1]
 
 
 def spaced(text: Column) -> Column:

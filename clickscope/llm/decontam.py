@@ -20,22 +20,24 @@ their shingles is a key, and a document that holds enough keys of an item is a
 candidate, so none is missed.
 
 The items' signatures are broadcast in blocks of ``items_at_once`` items, one
-pass over the documents for each block, so what is sent is bounded whatever
-the size of the benchmark.  Documents are never shuffled.
+pass over the documents for each block.  The result of a pass is written and
+its broadcast destroyed before the next block is sent, so driver and executors
+hold one block whatever the size of the benchmark (two while the driver builds
+the next).  Documents are never shuffled.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import ascii_lower, gram_hashes, mixed, shipped, text_groups
+from clickscope.llm.common import ascii_lower, broadcast_value, gram_hashes, mixed, saved, text_groups
 
 # Fixed value: items of up to so many shingles are looked up by each of them.
 SHORT = 8
@@ -229,15 +231,30 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, out: str = "matches",
     ``k`` lower-cased words (A-Z) occur in the text.  Null and empty texts
     contain nothing; items of fewer than ``k`` words are not searched; items
     that repeat an id with another text are separate matches, exact repeats
-    are one.  Rows, their order and other columns stay as they are.
+    are one.  Rows, repeated ones too, and other columns stay as they are; a
+    column ``out`` is replaced.  Empty tables give empty arrays and an empty table.
     """
-    spark = docs.sparkSession
-    cols: list[Column] = []
-    for index in item_blocks(benchmark, items_at_once, k=k, threshold=threshold, miss=miss):
-        if index.ids:
-            cols.append(_matcher(shipped(spark, index))(F.col(text)))
-    none = F.array().cast(MATCH)
-    return docs.withColumn(out, F.concat(*cols) if cols else none)
+    found = docs.withColumn(out, F.array().cast(MATCH))
+    for find, last in _searches(docs.sparkSession, benchmark, items_at_once, k=k, threshold=threshold, miss=miss):
+        found = found.withColumn(out, F.concat(F.col(out), find(F.col(text))))
+        found = found if last else saved(found, "contained-items")
+    return found
+
+
+def _searches(spark: SparkSession, benchmark: DataFrame, items_at_once: int = 5_000, **how) -> Iterator[tuple[Callable[[Column], Column], bool]]:
+    """For each block of items a function that finds them in texts, and whether it is the last.
+
+    What a function gave must be written before the next is asked for: its
+    index is then released, so that one block at a time is held.
+    """
+    blocks = (index for index in item_blocks(benchmark, items_at_once, **how) if index.ids)
+    index = next(blocks, None)
+    while index is not None:
+        sent, index_of = broadcast_value(spark, index)
+        index = next(blocks, None)
+        yield _matcher(index_of), index is None
+        if index is not None:
+            sent.destroy()
 
 
 def _matcher(index_of):
@@ -250,13 +267,23 @@ def _matcher(index_of):
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """One row for each (document, test item) with the counts and the containment."""
-    found = contained_items(docs.select("doc_id", "text"), benchmark, "__m", **how)
-    return found.select("doc_id", F.explode("__m").alias("m")).select(
-        "doc_id", "m.item_id", "m.n_shingles", "m.n_shared",
-        (F.col("m.n_shared") / F.col("m.n_shingles")).alias("containment"))
+    """One row for each (document, test item) with the counts and the containment; null ids are ids like any other."""
+    pairs = None
+    for find, last in _searches(docs.sparkSession, benchmark, **how):
+        found = docs.select("doc_id", F.explode(find(F.col("text"))).alias("m")).select(
+            "doc_id", "m.item_id", "m.n_shingles", "m.n_shared",
+            (F.col("m.n_shared") / F.col("m.n_shingles")).alias("containment"))
+        found = found if last else saved(found, "contaminated-pairs")
+        pairs = found if pairs is None else pairs.unionByName(found)
+    if pairs is None:
+        return docs.where("false").select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("item_id", "long"), ("n_shingles", "long"), ("n_shared", "long"), ("containment", "double"))])
+    return pairs
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The documents that contain no test item; all columns are kept."""
-    return contained_items(docs, benchmark, "__matches", **how).where(F.size("__matches") == 0).select(*docs.columns)
+    """The documents that contain no test item, repeated rows each on its own; all columns are kept, whatever their names."""
+    for find, last in _searches(docs.sparkSession, benchmark, **how):
+        docs = docs.where(F.size(find(F.col("text"))) == 0)
+        docs = docs if last else saved(docs, "decontaminated")
+    return docs

@@ -70,6 +70,35 @@ def test_planted_items_in_long_documents(spark):
         assert sorted(r["doc_id"] for r in clean.collect()) == sorted({d for d, _ in docs} - {r[0] for r in want})
 
 
+def test_one_block_of_items_is_held_at_a_time(spark, monkeypatch):
+    """Twelve blocks: a broadcast is destroyed before the next one is made, and only the last is left in the plan."""
+    rng = random.Random(21)
+    items = [(i, prose(rng, 12)) for i in range(24)]
+    docs = [(i, f"{prose(rng, 30)} {t} {prose(rng, 9)}") for i, t in items] + [(100 + i, prose(rng, 40)) for i in range(5)]
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    live, most = set(), []
+    real = D.broadcast_value
+
+    def counted(spark, value):
+        sent, value_of = real(spark, value)
+        live.add(id(sent))
+        most.append(len(live))
+
+        class Sent:
+            def destroy(self):
+                live.remove(id(sent))
+                sent.destroy()
+        return Sent(), value_of
+    monkeypatch.setattr(D, "broadcast_value", counted)
+    for work in (lambda: found(D.contaminated_pairs(frame, bench, items_at_once=2)) == slow(docs, items),
+                 lambda: sorted(r["doc_id"] for r in D.decontaminate(frame, bench, items_at_once=2).collect()) == list(range(100, 105)),
+                 lambda: [len(r["hits"]) for r in D.contained_items(frame, bench, "hits", items_at_once=2).orderBy("doc_id").collect()] == [1] * 24 + [0] * 5):
+        live.clear()
+        most.clear()
+        assert work()
+        assert most == [1] * 12
+
+
 def test_candidates_are_few_and_complete():
     rng = random.Random(8)
     docs, items = _planted(rng)
