@@ -3,9 +3,12 @@
 Statistics of each document are transformed to a vector.  For each group
 (language and source) the minimum-covariance-determinant estimate is found by
 concentration steps: mean and covariance of the ``share`` of rows with the
-smallest distances, distances anew, and so on; then once more over the rows
-that are no outliers.  A document whose squared Mahalanobis distance passes
-``cutoff`` is rejected.
+smallest distances, distances anew, and so on.  Steps begin at three places:
+the medians with noise as scale, the medians with the quartiles' scale, and the
+plain mean and covariance; a group keeps the one that ends with the least
+determinant, and takes one more step over the rows that are no outliers.  A
+document whose squared Mahalanobis distance passes the chi-square quantile of
+``chance`` is rejected.
 
 Means, covariances and the ranks of distances are sums over fixed bins and
 moments, so a group of any size is pre-aggregated where its rows lie; each
@@ -19,6 +22,7 @@ noise): most statistics are exactly zero in clean text.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
@@ -125,7 +129,11 @@ def _estimate(moments: DataFrame, d: int, floors: list[float]) -> DataFrame:
     for name, c in _cholesky(d, floors).items():
         moments = moments.withColumn(name, c)
     keep = [f"m{i}" for i in range(d)] + [f"l{i}_{j}" for j in range(d) for i in range(j, d)]
-    return moments.select("__group", F.struct(*keep).alias("__at"))
+    return moments.select("__group", "__start", F.struct(*keep).alias("__at"))
+
+
+def _log_determinant(d: int) -> Column:
+    return sum((F.log(F.col(f"__at.l{i}_{i}")) for i in range(1, d)), F.log(F.col("__at.l0_0"))) * 2
 
 
 def _distance(x: list[str]) -> Column:
@@ -154,13 +162,58 @@ def _for_all_groups(own: DataFrame, wider: DataFrame, whole: list, names: list[s
 
 
 def _moments_of(near: DataFrame, x: list[str], sizes: DataFrame, least_rows: int) -> DataFrame:
-    """Moments of one row each (n is 1), so that those of groups of any size can be mixed."""
-    sums = saved(near.groupBy("__wider", "__group").agg(*_moments(x)), "quality-moments")
-    names = sums.columns[2:]
+    """Moments of one row each (n is 1) for each group and start, so that those of groups of any size can be mixed."""
+    sums = saved(near.groupBy("__start", "__wider", "__group").agg(*_moments(x)), "quality-moments")
+    names = sums.columns[3:]
     each = lambda df: df.select(*[c for c in df.columns if c not in names], *[(F.col(c) / F.col("n")).alias(c) for c in names])
     total = [F.sum(c).alias(c) for c in names]  # moments add up
-    whole = each(sums.agg(*total)).first()  # one row
-    return _for_all_groups(each(sums.drop("__wider")), each(sums.groupBy("__wider").agg(*total)), list(whole), names, sizes, least_rows)
+    out = None
+    for start, *whole in each(sums.groupBy("__start").agg(*total)).orderBy("__start").collect():  # one row a start
+        own = sums.where(F.col("__start") == start).drop("__start")
+        mixed = _for_all_groups(each(own.drop("__wider")), each(own.groupBy("__wider").agg(*total)), whole, names, sizes, least_rows)
+        mixed = mixed.withColumn("__start", F.lit(start))
+        out = mixed if out is None else out.unionByName(mixed)
+    return out if out is not None else sums.drop("__wider")
+
+
+def _concentrated(rows: DataFrame, x: list[str], floors: list[float], at: DataFrame, sizes: DataFrame, share: float,
+                  least_rows: int) -> DataFrame:
+    """One concentration step: the estimates over the ``share`` of each group's rows that lie nearest by the estimates ``at``."""
+    key = ["__group", "__start"]
+    # estimates have one row a group and start; the join leaves the choice of strategy to the planner
+    seen = rows.join(at, "__group").withColumn("distance", _distance(x))
+    # bins a 32nd of an octave wide; the smallest distances share the first one
+    seen = seen.withColumn("__bin", F.floor(32 * F.log2(F.greatest("distance", F.lit(1e-6)))).cast("int"))
+    counts = seen.groupBy(*key, "__bin").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*key).orderBy("__bin"))
+    total = F.sum("n").over(Window.partitionBy(*key))
+    limit = (counts.select(*key, "__bin", (upto >= share * total).alias("__enough"))
+             .groupBy(*key).agg(F.min(F.when(F.col("__enough"), F.col("__bin"))).alias("__last")))
+    near = seen.join(saved(limit, "quality-limit"), key).where("__bin <= __last")
+    return saved(_estimate(_moments_of(near, x, sizes, least_rows), len(x), floors), "quality-estimate")
+
+
+def _starts(rows: DataFrame, x: list[str], floors: list[float], least_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Estimates to begin with (three for each group), and the rows of each group and of what holds it."""
+    d = len(x)
+    middle = [F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(x)]
+    # quartiles of the normal distribution lie 1.349 standard deviations apart
+    wide = [((F.percentile_approx(c, 0.75, 1000) - F.percentile_approx(c, 0.25, 1000)) / 1.349).alias(f"q{i}") for i, c in enumerate(x)]
+    own = saved(rows.groupBy("__wider", "__group").agg(F.count(F.lit(1)).alias("rows"), *middle, *wide), "quality-groups")
+    wider = saved(rows.groupBy("__wider").agg(F.count(F.lit(1)).alias("wider_rows"), *middle, *wide), "quality-wider")
+    names = own.columns[3:]
+    whole = rows.agg(*middle, *wide).first()
+    sizes = saved(own.select("__wider", "__group", "rows").join(wider.select("__wider", "wider_rows"), "__wider"), "quality-sizes")
+    medians = _for_all_groups(own.drop("__wider", "rows"), wider, list(whole), names, sizes, least_rows)
+
+    def about_medians(start: int, scale) -> DataFrame:
+        return medians.select("__group", F.lit(start).alias("__start"), F.struct(
+            *[F.col(f"m{i}") for i in range(d)],
+            *[(scale(i) if i == j else F.lit(0.0)).alias(f"l{i}_{j}") for j in range(d) for i in range(j, d)]).alias("__at"))
+    plain = _estimate(_moments_of(rows.withColumn("__start", F.lit(2)), x, sizes, least_rows), d, floors)
+    return saved(about_medians(0, lambda i: F.lit(floors[i]))
+                 .unionByName(about_medians(1, lambda i: F.sqrt(F.col(f"q{i}") * F.col(f"q{i}") + floors[i] ** 2)))
+                 .unionByName(plain), "quality-estimate"), sizes
 
 
 def robust_distances(rows: DataFrame, x: list[str], floors: list[float], *, share: float = 0.75, steps: int = 4,
@@ -170,46 +223,45 @@ def robust_distances(rows: DataFrame, x: list[str], floors: list[float], *, shar
     A column ``__wider`` names what holds a group and lends it moments if it
     has few rows (none: all rows do).  ``least_rows`` is five for each
     dimension unless given.  ``rows`` is read several times: pass a saved
-    table.
+    table.  Starts that end with equal determinants: the first one counts.
     """
-    d = len(x)
-    least_rows = least_rows or 5 * d
+    least_rows = least_rows or 5 * len(x)
     if "__wider" not in rows.columns:
         rows = rows.withColumn("__wider", F.lit(""))
-    # start: distance from the group's medians, each coordinate by its noise
-    middle = [F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(x)]
-    own = saved(rows.groupBy("__wider", "__group").agg(F.count(F.lit(1)).alias("rows"), *middle), "quality-groups")
-    wider = saved(rows.groupBy("__wider").agg(F.count(F.lit(1)).alias("wider_rows"), *middle), "quality-wider")
-    names = [f"m{i}" for i in range(d)]
-    whole = rows.agg(*middle).first()
-    sizes = saved(own.select("__wider", "__group", "rows").join(wider.select("__wider", "wider_rows"), "__wider"), "quality-sizes")
-    medians = _for_all_groups(own.drop("__wider", "rows"), wider, list(whole), names, sizes, least_rows)
-    at = medians.select("__group", F.struct(
-        *[F.col(f"m{i}") for i in range(d)],
-        *[F.lit(floors[i] if i == j else 0.0).alias(f"l{i}_{j}") for j in range(d) for i in range(j, d)]).alias("__at"))
-    for step in range(steps + 1):
-        # estimates have one row a group; the join leaves the choice of strategy to the planner
-        seen = rows.join(saved(at, "quality-estimate"), "__group").withColumn("distance", _distance(x))
-        if step == steps:
-            near = seen.where(F.col("distance") <= trim)
-        else:
-            # bins a 32nd of an octave wide; the smallest distances share the first one
-            seen = seen.withColumn("__bin", F.floor(32 * F.log2(F.greatest("distance", F.lit(1e-6)))).cast("int"))
-            counts = seen.groupBy("__group", "__bin").agg(F.count(F.lit(1)).alias("n"))
-            upto = F.sum("n").over(Window.partitionBy("__group").orderBy("__bin"))
-            total = F.sum("n").over(Window.partitionBy("__group"))
-            limit = (counts.select("__group", "__bin", (upto >= share * total).alias("__enough"))
-                     .groupBy("__group").agg(F.min(F.when(F.col("__enough"), F.col("__bin"))).alias("__last")))
-            near = seen.join(saved(limit, "quality-limit"), "__group").where("__bin <= __last")
-        at = _estimate(_moments_of(near, x, sizes, least_rows), d, floors)
-    return rows.join(saved(at, "quality-estimate"), "__group").withColumn("distance", _distance(x)).drop("__at")
-
-
-def judge(docs: DataFrame, *, cutoff: float = 40.0, **how) -> DataFrame:
+    at, sizes = _starts(rows, x, floors, least_rows)
+    for _ in range(steps):
+        at = _concentrated(rows, x, floors, at, sizes, share, least_rows)
+    best = (at.groupBy("__group").agg(F.min(F.struct(_log_determinant(len(x)).alias("size"), "__start", "__at")).alias("best"))
+            .select("__group", "best.__start", "best.__at"))
+    near = rows.join(saved(best, "quality-best"), "__group").withColumn("distance", _distance(x)).where(F.col("distance") <= trim)
+    last = _estimate(_moments_of(near.withColumn("__start", F.lit(0)), x, sizes, least_rows), len(x), floors)
+    return rows.join(saved(last, "quality-estimate"), "__group").withColumn("distance", _distance(x)).drop("__at", "__start")
+
+
+def chi_square_quantile(d: int, chance: float) -> float:
+    """What a sum of ``d`` squared normal values passes with that chance."""
+    def passes(x: float) -> float:
+        h = x / 2
+        if d % 2:
+            return math.erfc(math.sqrt(h)) + math.exp(-h) * sum(h ** (k - 0.5) / math.gamma(k + 0.5) for k in range(1, (d + 1) // 2))
+        return math.exp(-h) * sum(h ** k / math.factorial(k) for k in range(d // 2))
+    low, high = 0.0, 1.0
+    while passes(high) > chance:
+        high *= 2
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if passes(middle) > chance else (low, middle)
+    return high
+
+
+def judge(docs: DataFrame, *, chance: float = 1e-7, **how) -> DataFrame:
     """doc_id, the base statistics, distance and kept for each row of ``docs``.
 
-    Null languages and sources are groups like any other; rows that repeat are
-    judged alike; an empty table gives an empty one.  Documents that fail the
+    ``chance`` is that of a vector of the estimated distribution to be
+    rejected, were it normal; texts have heavier tails, so it is small.  Null
+    languages and sources are groups like any other; rows that repeat are
+    judged alike, texts of any length as a whole; further columns are left out,
+    whatever their names; an empty table gives an empty one.  Documents that fail the
     base rules are not kept and are left out of the estimates (their distance
     is null).
     """
@@ -221,6 +273,6 @@ def judge(docs: DataFrame, *, cutoff: float = 40.0, **how) -> DataFrame:
     rows = saved(based.withColumns(dict(zip(x, statistic_vector(), strict=True))).drop("text", "lang", "source", "__n_lines"),
                  "quality-statistics")
     sound = robust_distances(rows.where("not base_failed"), x, list(DIMENSIONS.values()), **how)
-    out = ["doc_id", *BASE]
+    out, cutoff = ["doc_id", *BASE], chi_square_quantile(len(DIMENSIONS), chance)
     return (sound.select(*out, "distance", (F.col("distance") <= cutoff).alias("kept"))
             .unionByName(rows.where("base_failed").select(*out, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))))

@@ -67,15 +67,20 @@ def _points(seed=3):
 
 
 def _concentrated(x, floors, share=0.75, steps=4, trim=25.0):
-    """The same concentration steps in numpy, over all rows."""
-    x = np.asarray(x)
-    at, cov = np.median(x, axis=0), np.diag(np.square(floors))
-    for step in range(steps + 1):
-        d = np.einsum("ij,jk,ik->i", x - at, np.linalg.inv(cov), x - at)
-        near = d <= trim if step == steps else d <= np.sort(d)[int(np.ceil(share * len(x))) - 1]
-        at = x[near].mean(axis=0)
-        cov = np.cov(x[near].T, bias=True) + np.diag(np.square(floors))
-    return np.einsum("ij,jk,ik->i", x - at, np.linalg.inv(cov), x - at)
+    """The same search in numpy, over all rows: three starts, the least determinant, one step over what is no outlier."""
+    x, floor = np.asarray(x), np.diag(np.square(floors))
+    quartiles = np.percentile(x, [25, 75], axis=0)
+    scale = np.diag(np.square((quartiles[1] - quartiles[0]) / 1.349))
+    distances = lambda at, cov: np.einsum("ij,jk,ik->i", x - at, np.linalg.inv(cov), x - at)
+    of = lambda rows: (rows.mean(axis=0), np.cov(rows.T, bias=True) + floor)
+    ends = []
+    for at, cov in ((np.median(x, axis=0), floor), (np.median(x, axis=0), scale + floor), of(x)):
+        for _ in range(steps):
+            d = distances(at, cov)
+            at, cov = of(x[d <= np.sort(d)[int(np.ceil(share * len(x))) - 1]])
+        ends.append((np.linalg.det(cov), at, cov))
+    _, at, cov = min(ends, key=lambda e: e[0])
+    return distances(*of(x[distances(at, cov) <= trim]))
 
 
 def test_distances_follow_the_clean_rows(spark):
@@ -91,6 +96,61 @@ def test_distances_follow_the_clean_rows(spark):
     assert (masked[900:] < 40).all()  # what the ordinary covariance would have missed
 
 
+def _determinants(rows, x, floors, steps):
+    """Log determinant of each (group, start) after the starts and after each step."""
+    rows = rows.withColumn("__wider", F.lit(""))
+    at, sizes = Q._starts(rows, x, floors, 15)
+    out = []
+    for step in range(steps + 1):
+        out.append({(r[0], r[1]): r[2] for r in at.select("__group", "__start", Q._log_determinant(len(x))).collect()})
+        if step < steps:
+            at = Q._concentrated(rows, x, floors, at, sizes, 0.75, 15)
+    return out
+
+
+def test_determinants_do_not_rise_and_starts_differ(spark):
+    # the plain start is drawn to a tight clump of outliers, where its determinant stays larger than that of the others
+    rng = np.random.default_rng(8)
+    clump = np.concatenate([rng.normal(0, 1, (700, 2)), rng.normal(12, 0.3, (200, 2))])
+    both = [("a", *map(float, p)) for p in _points()[:, :2]] + [("b", *map(float, p)) for p in clump]
+    got = _determinants(spark.createDataFrame(both, "__group string, x double, y double"), ["x", "y"], [0.05, 0.05], 4)
+    for was, now in zip(got[1:], got[2:], strict=False):
+        for key in was:
+            assert now[key] <= was[key] + 0.02  # ranks are taken in bins, so subsets differ by a few rows
+    assert {s for _, s in got[-1]} == {0, 1, 2}
+
+
+def test_kept_equals_a_plain_estimate_on_a_whole_table(spark):
+    """Verdicts of groups with their own estimates (languages here, all rows as of one source), against the same search in numpy with exact ranks."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").withColumn("source", F.lit("one"))
+    rows = [r for r in Q.judge(docs).collect() if not r["base_failed"]]
+    lang = {r[0]: (r[1], r[2]) for r in docs.select("doc_id", "lang", "text").collect()}
+    groups = {}
+    for r in rows:
+        groups.setdefault(lang[r["doc_id"]][0], []).append(r)
+    compared = 0
+    for own in groups.values():
+        if len(own) < 40:
+            continue
+        n = np.array([r["n_words"] for r in own])
+        lines = np.array([sum(bool(x.strip(" \t\n\x0b\f\r")) for x in lang[r["doc_id"]][1].split("\n")) for r in own])
+        x = np.column_stack([np.log1p(np.array([r["word_chars"] for r in own]) / n),
+                             np.sqrt(np.array([r["n_symbols"] for r in own]) / np.array([r["word_chars"] for r in own])),
+                             np.sqrt(np.array([r["n_repeat_words"] for r in own]) / n),
+                             np.sqrt(np.array([r["n_dup_lines"] for r in own]) / np.maximum(lines, 1))])
+        want = _concentrated(x, list(Q.DIMENSIONS.values()))
+        cutoff = Q.chi_square_quantile(4, 1e-7)
+        sure = np.abs(np.log(want / cutoff)) > 0.1  # exact and binned ranks may differ by a row or two
+        assert ((want <= cutoff) == np.array([r["kept"] for r in own]))[sure].all()
+        compared += sure.sum()
+    assert compared > 200
+
+
+def test_chi_square_quantiles():
+    for d, chance, value in ((1, 0.05, 3.8415), (2, 0.01, 9.2103), (3, 0.001, 16.2662), (4, 0.05, 9.4877), (5, 0.01, 15.0863)):
+        assert Q.chi_square_quantile(d, chance) == pytest.approx(value, abs=1e-3)
+
+
 def test_constant_statistics_and_small_groups(spark):
     rows = spark.createDataFrame([("big", 1.0, 0.0)] * 300 + [("big", 1.0, 5.0)] + [("small", 1.0, 0.0), ("small", 9.0, 0.0)],
                                  "__group string, a double, b double")
