@@ -153,12 +153,14 @@ def _mixed(rows: str, own: str, wider: Column, least_rows: int) -> Column:
     return F.when((share == 0) | F.col(own).isNull(), wider).otherwise(share * F.col(own) + (1 - share) * wider)
 
 
-def _for_all_groups(own: DataFrame, wider: DataFrame, whole: list, names: list[str], sizes: DataFrame, least_rows: int) -> DataFrame:
-    """Values of each group (``own``), mixed with those of ``wider`` and of all rows (one row, ``whole``)."""
-    language = [_mixed("wider_rows", f"__w_{c}", F.lit(v), least_rows) for c, v in zip(names, whole, strict=True)]
+def _for_all_groups(own: DataFrame, wider: DataFrame, whole: list[Column], names: list[str], sizes: DataFrame, least_rows: int,
+                    key: tuple[str, ...] = ()) -> DataFrame:
+    """Values of each group (``own``) and ``key``, mixed with those of ``wider`` and of all rows (``whole``)."""
+    language = [_mixed("wider_rows", f"__w_{c}", v, least_rows) for c, v in zip(names, whole, strict=True)]
     values = [_mixed("rows", c, w, least_rows).alias(c) for c, w in zip(names, language, strict=True)]
-    wider = wider.select("__wider", *[F.col(c).alias(f"__w_{c}") for c in names])
-    return sizes.join(own, "__group", "left").join(wider, "__wider", "left").select("__group", *values)
+    wider = wider.select("__wider", *key, *[F.col(c).alias(f"__w_{c}") for c in names])
+    return (sizes.join(own, ["__group", *key], "left").join(wider, ["__wider", *key], "left")
+            .select("__group", *key, *values))
 
 
 def _moments_of(near: DataFrame, x: list[str], sizes: DataFrame, least_rows: int) -> DataFrame:
@@ -167,13 +169,13 @@ def _moments_of(near: DataFrame, x: list[str], sizes: DataFrame, least_rows: int
     names = sums.columns[3:]
     each = lambda df: df.select(*[c for c in df.columns if c not in names], *[(F.col(c) / F.col("n")).alias(c) for c in names])
     total = [F.sum(c).alias(c) for c in names]  # moments add up
-    out = None
-    for start, *whole in each(sums.groupBy("__start").agg(*total)).orderBy("__start").collect():  # one row a start
-        own = sums.where(F.col("__start") == start).drop("__start")
-        mixed = _for_all_groups(each(own.drop("__wider")), each(own.groupBy("__wider").agg(*total)), whole, names, sizes, least_rows)
-        mixed = mixed.withColumn("__start", F.lit(start))
-        out = mixed if out is None else out.unionByName(mixed)
-    return out if out is not None else sums.drop("__wider")
+    whole = {start: values for start, *values in each(sums.groupBy("__start").agg(*total)).collect()}  # one row a start
+    if not whole:
+        return sums.drop("__wider")
+    of_start = [F.create_map(*[v for start in whole for v in (F.lit(start), F.lit(whole[start][i]))])[F.col("__start")] for i in range(len(names))]
+    sizes = sizes.withColumn("__start", F.explode(F.array(*[F.lit(start) for start in whole])))
+    return _for_all_groups(each(sums.drop("__wider")), each(sums.groupBy("__wider", "__start").agg(*total)), of_start, names, sizes,
+                           least_rows, ("__start",))
 
 
 def _concentrated(rows: DataFrame, x: list[str], floors: list[float], at: DataFrame, sizes: DataFrame, share: float,
@@ -204,7 +206,7 @@ def _starts(rows: DataFrame, x: list[str], floors: list[float], least_rows: int)
     names = own.columns[3:]
     whole = rows.agg(*middle, *wide).first()
     sizes = saved(own.select("__wider", "__group", "rows").join(wider.select("__wider", "wider_rows"), "__wider"), "quality-sizes")
-    medians = _for_all_groups(own.drop("__wider", "rows"), wider, list(whole), names, sizes, least_rows)
+    medians = _for_all_groups(own.drop("__wider", "rows"), wider, [F.lit(v) for v in whole], names, sizes, least_rows)
 
     def about_medians(start: int, scale) -> DataFrame:
         return medians.select("__group", F.lit(start).alias("__start"), F.struct(
